@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["docflow.plans.pages"]
+MODULES = ["docflow.plans.pages", "docflow.plans.documents"]
 
 
 def _mods():
