@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["docflow.plans.pages", "docflow.plans.documents"]
+MODULES = ["docflow.plans.pages", "docflow.plans.documents", "docflow.plans.events"]
 
 
 def _mods():
