@@ -119,8 +119,10 @@ def leading_newlines(col) -> Column:
 
 
 def trailing_newlines(col) -> Column:
-    """The run of newlines at the end."""
-    return F.regexp_extract(_c(col), r"(\n*)\z", 1)
+    """The run of newlines at the end, not counting the leading run
+    (a text of newlines only is all leading), so restoring adds it once."""
+    rest = F.regexp_replace(_c(col), r"\A\n*", "")
+    return F.regexp_extract(rest, r"(\n*)\z", 1)
 
 
 HTML_HEAD = '<html>\n<head><meta charset="utf-8"/></head>\n<body>\n'

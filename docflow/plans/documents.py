@@ -224,7 +224,7 @@ SQL = {
         md5({S.strip("replace(text, chr(9), ' ')")}) AS en_md5 FROM documents""",
     "guard_tags": f"""SELECT doc_id, md5(regexp_replace(text, {_q(T.GUARD_PATTERN)}, ' ｟\\0 ｠ ', 'g')) AS guarded_md5,
         length(regexp_extract(text, {_q(chr(92) + 'A(' + chr(92) + 'n*)')}, 1)) AS lead_nl,
-        length(regexp_extract(text, {_q('(' + chr(92) + 'n*)' + chr(92) + 'z')}, 1)) AS trail_nl FROM documents""",
+        length(regexp_extract(regexp_replace(text, {_q(chr(92) + 'A' + chr(92) + 'n*')}, ''), {_q('(' + chr(92) + 'n*)' + chr(92) + 'z')}, 1)) AS trail_nl FROM documents""",
     "html_render": f"""WITH h AS (SELECT doc_id, {_q(T.HTML_HEAD)} || array_to_string(list_transform(
             string_split(text, {_NL}), lambda l: '<p>' || l || '</p>' || {_NL}), '') || {_q(T.HTML_TAIL)} AS html
             FROM documents)

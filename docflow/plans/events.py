@@ -133,7 +133,7 @@ SQL = {
     "post_prepare": f"""SELECT conv_id, turn, CASE WHEN coalesce(length(text), 0) = 0 THEN 1 ELSE 0 END AS status,
         md5(regexp_replace(text, {_q(T.GUARD_PATTERN)}, ' ｟\\0 ｠ ', 'g')) AS guarded_md5,
         length(regexp_extract(text, {_q(chr(92) + 'A(' + chr(92) + 'n*)')}, 1)) AS lead_nl,
-        length(regexp_extract(text, {_q('(' + chr(92) + 'n*)' + chr(92) + 'z')}, 1)) AS trail_nl
+        length(regexp_extract(regexp_replace(text, {_q(chr(92) + 'A' + chr(92) + 'n*')}, ''), {_q('(' + chr(92) + 'n*)' + chr(92) + 'z')}, 1)) AS trail_nl
         FROM conversations""",
     "turn_overlap": f"""SELECT c.conv_id, c.turn, round({_text_overlap('c.text', 'p.text')}, 6) AS overlap
         FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn + 1 = c.turn""",
