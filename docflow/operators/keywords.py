@@ -21,7 +21,7 @@ def read_keyword_lists(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """{lang: path} -> (term_id, lang, term), term_id = 0-based line."""
     frames = []
     for lang, path in files.items():
-        t = spark.read.option("wholetext", "true").text(path)
+        t = spark.read.text(path, wholetext=True)
         frames.append(t.select(F.lit(lang).alias("lang"),
                                F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1))
                                .alias("term_id", "term")))

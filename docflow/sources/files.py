@@ -41,8 +41,8 @@ def scan_pages(spark: SparkSession, root: str, region: str | None = None, stage:
         df = df.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("mtime"),
                        F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\ufffd", "").alias("html"))
     else:
-        df = _meta(spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", glob).text(base))
+        df = _meta(spark.read.option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", glob).text(base, wholetext=True))
         df = df.select("file_path", "mtime", F.col("value").alias("html"))
     df = df.withColumn("file_path", _strip_scheme(F.col("file_path")))
     return df.withColumn("region", region_of("file_path", root)).filter(F.col("region").isNotNull())
@@ -69,8 +69,8 @@ def read_sidecar(spark: SparkSession, root: str, suffix: str, first_line: bool =
     """Every ``*{suffix}`` file below ``root`` as (key, value) where key
     is the path without suffix; ``first_line`` keeps only line one.  All
     values are stripped."""
-    df = _meta(spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", f"*{suffix}").text(root))
+    df = _meta(spark.read.option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True))
     v = F.col("value")
     if first_line:
         v = F.substring_index(v, "\n", 1)

@@ -23,10 +23,10 @@ DATE_IN_NAME = r"([0-9]{4}-[0-9]{2}-[0-9]{2})"
 def manifest_lines(spark: SparkSession, folder: str, name_glob: str = "*.txt") -> DataFrame:
     """All lines of all manifests: (file_name, file_date, line_no, page_path),
     lines stripped, blank lines dropped."""
-    df = (spark.read.option("wholetext", "true").option("pathGlobFilter", name_glob).text(folder)
+    df = (spark.read.option("pathGlobFilter", name_glob).text(folder, wholetext=True)
           .withColumn("file_name", F.col("_metadata.file_name")))
     df = df.select("file_name",
-                   F.try_to_date(F.regexp_extract("file_name", DATE_IN_NAME, 1), F.lit("yyyy-MM-dd")).alias("file_date"),
+                   F.try_to_date(F.regexp_extract("file_name", DATE_IN_NAME, 1), "yyyy-MM-dd").alias("file_date"),
                    F.posexplode(F.split("value", "\n", -1)).alias("line_no", "page_path"))
     df = df.withColumn("page_path", F.regexp_replace("page_path", r"\A\s+|\s+\z", ""))
     return df.filter(F.col("page_path") != "")
