@@ -89,7 +89,8 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
         todo = todo.persist()
         try:
             append_batch(work(todo), out_path, batch_id)
-            append_batch(todo.select(key).withColumn("processed_at", F.current_timestamp()), ledger_path, batch_id)
+            append_batch(todo.select(key).distinct().withColumn("processed_at", F.current_timestamp()),
+                         ledger_path, batch_id)
         finally:
             todo.unpersist()
 
