@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docflow.functions.regex import STRIP
+from docflow.functions.regex import WS_STRING
 
 # Removed before cutting: comments, scripts, styles and the whole <head>.
 PRE_STRIP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>"
@@ -44,7 +44,7 @@ def decode_entities(col: Column) -> Column:
 
 def tag_text(col: Column) -> Column:
     """Markup removed, entities decoded, blanks stripped."""
-    return F.regexp_replace(decode_entities(F.regexp_replace(col, ANY_TAG, "")), STRIP, "")
+    return F.trim(decode_entities(F.regexp_replace(col, ANY_TAG, "")), F.lit(WS_STRING))
 
 
 def _sum_len(arr: Column) -> Column:
@@ -61,20 +61,29 @@ def tokens(html) -> Column:
 
 def block_struct(tok: Column, pos: Column) -> Column:
     """One block: position, lower-case tag ('p', '/p', 'h1', ... or '' for the
-    text before the first block tag), link flag, text, and the text lengths
-    of its anchors and <strong> parts (used by the link-dominated test)."""
+    text before the first block tag), link flag, text, and the raw block
+    (kept for rules that look inside it, e.g. anchor text lengths)."""
     return F.struct(
         pos.alias("pos"),
         F.lower(F.regexp_extract(tok, TAG_NAME, 1)).alias("tag"),
         tok.rlike(LINK).alias("is_link"),
         tag_text(tok).alias("text"),
-        _sum_len(F.regexp_extract_all(tok, F.lit(ANCHOR_TEXT), F.lit(1))).alias("a_len"),
-        _sum_len(F.regexp_extract_all(tok, F.lit(STRONG_TEXT), F.lit(1))).alias("strong_len"),
+        tok.alias("raw"),
     )
 
 
+def anchor_len(b: Column) -> Column:
+    """Text length of the anchors inside a block."""
+    return _sum_len(F.regexp_extract_all(b["raw"], F.lit(ANCHOR_TEXT), F.lit(1)))
+
+
+def strong_len(b: Column) -> Column:
+    """Text length of the <strong> parts inside a block."""
+    return _sum_len(F.regexp_extract_all(b["raw"], F.lit(STRONG_TEXT), F.lit(1)))
+
+
 def blocks(html) -> Column:
-    """array<struct<pos,tag,is_link,text,a_len,strong_len>>."""
+    """array<struct<pos,tag,is_link,text,raw>>."""
     return F.transform(tokens(html), lambda t, i: block_struct(t, i))
 
 
@@ -155,8 +164,8 @@ def link_dominated(bl: Column, head_pos: Column) -> Column:
     of <p> and <strong>; false when that text is empty; null without heading.
     <strong> and <a> inside <p> count twice, as in the original walk."""
     after = F.filter(bl, lambda b: b["pos"] > head_pos)
-    a_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + b["a_len"])
+    a_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + anchor_len(b))
     p_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + F.when(
-        b["tag"] == "p", F.length(b["text"])).otherwise(0) + b["strong_len"])
+        b["tag"] == "p", F.length(b["text"])).otherwise(0) + strong_len(b))
     return F.when(head_pos.isNull(), F.lit(None).cast("boolean")).when(
         p_len == 0, F.lit(False)).otherwise(a_len > p_len * 2)

@@ -13,3 +13,8 @@ NON_WS = f"[^{WS_CHARS}]"
 # Unicode word character (Python's \w on str).
 WORD = r"[\p{L}\p{N}_]"
 STRIP = rf"\A{WS}+|{WS}+\z"
+
+# The same set as a plain string, for ``trim(col, chars)``, which strips only
+# the ends and never scans the middle of the text.  Built from the rule
+# (``str.isspace``) rather than listed.
+WS_STRING = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())

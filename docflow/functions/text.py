@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from docflow.constants import JA_SITE_SUFFIXES
-from docflow.functions.regex import NON_WS, STRIP, WORD, WS
+from docflow.functions.regex import NON_WS, WORD, WS, WS_STRING
 
 
 def _c(x) -> Column:
@@ -21,7 +21,7 @@ def _c(x) -> Column:
 
 def strip(col) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode blanks."""
-    return F.regexp_replace(_c(col), STRIP, "")
+    return F.trim(_c(col), F.lit(WS_STRING))
 
 
 def keyword_flag(col, keywords, ignore_case: bool = False) -> Column:
@@ -66,11 +66,12 @@ def latin_count(col) -> Column:
 
 def mostly_latin(col) -> Column:
     """after removing blanks, at least 200 chars and more than 60 % of
-    the first 200 are ASCII letters."""
-    t = strip(F.regexp_replace(_c(col), "[　 \t]", ""))
+    the first 200 are ASCII letters.  (``length(head) = 200`` is the same
+    as "at least 200 chars", and keeps the text itself out of the result
+    expression so it is cleaned once.)"""
+    t = strip(F.translate(_c(col), "　 \t", ""))
     head = F.substring(t, 1, 200)
-    return F.when(F.length(t) < 200, F.lit(False)).otherwise(
-        latin_count(head) * 10 > F.length(head) * 6)
+    return (F.length(head) >= 200) & (latin_count(head) * 10 > F.length(head) * 6)
 
 
 # Date mention patterns (F10).  \d in the original is any Unicode digit.
@@ -97,7 +98,7 @@ def clean_ja(col) -> Column:
     otherwise every blank (half-width, full-width, tab) is removed, the text
     stripped and three known site suffixes dropped."""
     c = _c(col)
-    ja = strip(F.regexp_replace(strip(c), "[ 　\t]", ""))
+    ja = strip(F.translate(strip(c), " 　\t", ""))
     for suffix in JA_SITE_SUFFIXES:
         ja = F.replace(ja, F.lit(suffix), F.lit(""))
     return F.when(latin_count(c) > F.floor(F.length(c) / 2), clean_en(c)).otherwise(ja)

@@ -104,6 +104,11 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
     base = items.select(key, "src_lang", "to_lang", "status", text)
     todo = base.filter((F.col("status") == STATUS_OK) & (F.col("src_lang") != F.col("to_lang")))
     parts = explode_parts(todo.withColumnRenamed("src_lang", "from_lang"), [key, "from_lang", "to_lang"], text, limit)
+    if checkpoint:
+        # Parts feed both the distinct-part translation and the join back;
+        # writing them once to the shared checkpoint folder avoids packing
+        # twice and makes the translation restartable from here.
+        parts = parts.checkpoint(eager=True)
     tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint)
     back = reassemble(tr.select(key, "to_lang", "part_no", F.col("translated").alias("part")), [key, "to_lang"])
     done = (todo.select(key, "to_lang", "status").join(back, [key, "to_lang"], "left")
