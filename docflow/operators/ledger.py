@@ -91,3 +91,21 @@ def union_all(frames) -> DataFrame:
 def newest_first(df: DataFrame, order) -> DataFrame:
     """A5: reverse of the arrival order (``order`` ascending = arrival)."""
     return df.orderBy(*[(F.col(c) if isinstance(c, str) else c).desc() for c in _cols(order)])
+
+
+def stage_health(ledger: DataFrame, stage: str = "stage", ts: str = "processed_at",
+                 status: str = "status", stale_after: str = "2 hours") -> DataFrame:
+    """A4: per stage the last item time, item and failure counts, and a
+    stale flag when the stage's last item is older than ``stale_after``
+    before the newest item of any stage (re-aim of the process watcher)."""
+    per = ledger.groupBy(stage).agg(F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n"),
+                                    F.count_if(F.col(status) != STATUS_OK).alias("n_failed"))
+    newest = F.max("last_ts").over(Window.partitionBy())   # one row per stage
+    return per.withColumn("stale", F.col("last_ts") < newest - F.expr(f"INTERVAL {stale_after}"))
+
+
+def unscored_records(records: DataFrame, ledger: DataFrame, link: str = "link",
+                     ledger_key: str = "page_path") -> DataFrame:
+    """Classified records (with an absolute ``link`` from
+    ``sources.files.classified_view``) whose link is not in the ledger."""
+    return unprocessed(records.filter(F.col(link).isNotNull()), ledger, link, ledger_key)

@@ -122,3 +122,35 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
             .select(key, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
                     F.lit(None).cast("string").alias("translated")))
     return ok.select(key, "to_lang", "status", "n_parts", "translated").unionByName(rest)
+
+
+def translate_posts(posts: DataFrame, key: str, text: str, lang: str, to_lang: str,
+                    translate_fn: TranslateFn = passthrough, routes=None,
+                    checkpoint: bool = True) -> DataFrame:
+    """Short-post flow: empty text -> status 1; no route for the post's
+    language -> 9; else URLs and hashtags guarded (X8), the newline runs at
+    both ends kept aside (X9), the whole post translated as one part (no
+    packing) and the newline runs put back once."""
+    from docflow.functions.text import guard_tags, leading_newlines, trailing_newlines
+    from docflow.operators.routing import normalize_lang, route_supported
+    df = posts.select(key, F.col(text).alias("_text"), normalize_lang(lang).alias("from_lang")) \
+        .withColumn("to_lang", F.lit(to_lang))
+    status = (F.when(F.coalesce(F.length("_text"), F.lit(0)) == 0, F.lit(1))
+              .when(F.col("from_lang").isNull() | ~route_supported("from_lang", "to_lang", routes), F.lit(9))
+              .otherwise(F.lit(STATUS_OK)))
+    df = df.withColumn("status", status)
+    g = guard_tags("_text")
+    ok = (df.filter(F.col("status") == STATUS_OK)
+          .withColumn("_lead", leading_newlines(g)).withColumn("_trail", trailing_newlines(g))
+          .withColumn("part", F.regexp_replace(F.regexp_replace(g, r"\A\n+", ""), r"\n+\z", ""))
+          .withColumn("part_no", F.lit(0)))
+    same = ok.filter(F.col("from_lang") == F.col("to_lang")).withColumn("translated", F.col("part"))
+    other = ok.filter(F.col("from_lang") != F.col("to_lang"))
+    tr = translate_parts(other.select(key, "from_lang", "to_lang", "part", "_lead", "_trail", "status"),
+                         translate_fn, None, checkpoint=checkpoint)
+    cols = [key, "to_lang", "status", "_lead", "_trail", "translated"]
+    done = same.select(*cols).unionByName(tr.select(*cols)).withColumn(
+        "translated", F.concat("_lead", "translated", "_trail")).drop("_lead", "_trail")
+    rest = df.filter(F.col("status") != STATUS_OK).select(key, "to_lang", "status",
+                                                          F.lit(None).cast("string").alias("translated"))
+    return done.unionByName(rest)

@@ -162,3 +162,11 @@ def with_sidecars(pages: DataFrame, sidecars: dict[str, DataFrame], key: str = "
 def page_key(col):
     """Path without its suffix: the join key between a page and its sidecars."""
     return F.regexp_replace(with_suffix(col, ""), r"\A\s+", "")
+
+
+def all_present(*cols) -> "F.Column":
+    """every sidecar column is present (non-null)."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull()
+    return out

@@ -121,3 +121,27 @@ def test_hot_split_join_equals_plain_join(spark):
     a = sorted(tuple(r) for r in hot_split_join(left, right, "k", hot_refs=500).select("id", "k", "v").collect())
     b = sorted(tuple(r) for r in left.join(right.drop("n_refs"), "k", "left").select("id", "k", "v").collect())
     assert a == b
+
+
+def test_translate_posts(spark):
+    from docflow.operators.translate import translate_posts
+    rows = [(1, "\n\nCorona #tag https://x.y/z\n", "fr"), (2, "", "fr"), (3, "hi", "xx"), (4, "\nコロナ", "ja")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    fn = dictionary_translator([("fr", "ja", "Corona", "コロナ")])
+    out = {r["id"]: r for r in translate_posts(df, "id", "text", "lang", "ja", fn).collect()}
+    assert out[1]["translated"] == "\n\nコロナ  ｟#tag  ｠  ｟https://x.y/z ｠ \n"
+    assert out[2]["status"] == 1 and out[3]["status"] == 9
+    assert out[4]["translated"] == "\nコロナ"
+
+
+def test_stage_health_and_unscored(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1, 12)
+    led = spark.createDataFrame([("extract", t, 0), ("extract", t, 4), ("translate", t - dt.timedelta(hours=5), 0)],
+                                "stage string, processed_at timestamp, status int")
+    h = {r["stage"]: r for r in L.stage_health(led).collect()}
+    assert (h["extract"]["n"], h["extract"]["n_failed"], h["extract"]["stale"]) == (2, 1, False)
+    assert h["translate"]["stale"] is True
+    rec = spark.createDataFrame([("/r/a",), ("/r/b",), (None,)], "link string")
+    done = spark.createDataFrame([("/r/a",)], "page_path string")
+    assert [r[0] for r in L.unscored_records(rec, done).collect()] == ["/r/b"]
