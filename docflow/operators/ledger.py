@@ -59,7 +59,7 @@ def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank") -> D
     ``n`` per site before the shuffle, so a hot site moves ``n`` rows per
     task, not all its rows."""
     w = Window.partitionBy(site).orderBy(*_cols(order))
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    return df.withColumn(rank, F.row_number().over(w).cast("long")).filter(F.col(rank) <= n)
 
 
 def head_tail(df: DataFrame, order, n: int) -> DataFrame:

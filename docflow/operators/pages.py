@@ -27,7 +27,7 @@ def with_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
 def blocks_table(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per block (key, pos, tag, is_link, text)."""
     return (pages.select(key, F.explode(H.blocks(html)).alias("b"))
-            .select(key, "b.pos", "b.tag", "b.is_link", "b.text"))
+            .select(key, F.col("b.pos").cast("long").alias("pos"), "b.tag", "b.is_link", "b.text"))
 
 
 def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
@@ -47,8 +47,8 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
         *cols,
         H.html_lang(html).alias("html_lang"),
         "title",
-        H.content_count(bl).alias("content_num"),
-        H.link_count(bl).alias("link_num"),
+        H.content_count(bl).cast("long").alias("content_num"),
+        H.link_count(bl).cast("long").alias("link_num"),
         H.first_text(bl, "p").alias("first_par"),
         H.first_text(bl, "h1", need_text=False).alias("first_h1"),
         head["level"].alias("heading_level"),
@@ -57,7 +57,7 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
         H.link_list(bl).alias("link_list"),
         H.link_dominated(bl, head["pos"]).alias("link_dominated"),
         H.extracted_text(F.col("title"), bl).alias("text"),
-    ).withColumn("n_lines", line_count("text"))
+    ).withColumn("n_lines", line_count("text").cast("long"))
     if url:
         region = F.regexp_extract(url_path(url), r"\A/([^/]+)/", 1)
         lang_map = F.create_map(*[F.lit(x) for kv in REGION_LANG.items() for x in kv])

@@ -84,7 +84,8 @@ def q_chunks(spark, sf):
     """Parts of < 300 chars per document."""
     d = read(spark, sf, "documents").select("doc_id", "text")
     p = explode_parts(d, "doc_id")
-    return p.select("doc_id", "part_no", F.length("part").alias("part_len"), F.md5("part").alias("part_md5"))
+    return p.select("doc_id", F.col("part_no").cast("long").alias("part_no"),
+                    F.length("part").cast("long").alias("part_len"), F.md5("part").alias("part_md5"))
 
 
 def q_translate_docs(spark, sf):
@@ -98,7 +99,7 @@ def q_translate_docs(spark, sf):
 def q_text_flags(spark, sf):
     """F4, F9, F10, F11 per document."""
     d = read(spark, sf, "documents")
-    return d.select("doc_id", T.line_count("text").alias("n_lines"),
+    return d.select("doc_id", T.line_count("text").cast("long").alias("n_lines"),
                     T.too_long("text", K.MAX_LINES).alias("too_long"),
                     T.mostly_latin("text").alias("mostly_latin"),
                     T.date_mention("text").alias("date_mention"),
@@ -109,8 +110,8 @@ def q_clean_text(spark, sf):
     """The two cleaners."""
     d = read(spark, sf, "documents")
     ja, en = T.clean_ja("text"), T.clean_en("text")
-    return d.select("doc_id", F.length(ja).alias("ja_len"), F.md5(ja).alias("ja_md5"),
-                    F.length(en).alias("en_len"), F.md5(en).alias("en_md5"))
+    return d.select("doc_id", F.length(ja).cast("long").alias("ja_len"), F.md5(ja).alias("ja_md5"),
+                    F.length(en).cast("long").alias("en_len"), F.md5(en).alias("en_md5"))
 
 
 def q_guard_tags(spark, sf):
@@ -118,15 +119,15 @@ def q_guard_tags(spark, sf):
     d = read(spark, sf, "documents")
     g = T.guard_tags("text")
     return d.select("doc_id", F.md5(g).alias("guarded_md5"),
-                    F.length(T.leading_newlines("text")).alias("lead_nl"),
-                    F.length(T.trailing_newlines("text")).alias("trail_nl"))
+                    F.length(T.leading_newlines("text")).cast("long").alias("lead_nl"),
+                    F.length(T.trailing_newlines("text")).cast("long").alias("trail_nl"))
 
 
 def q_html_render(spark, sf):
     """Text rendered as HTML, one <p> per line."""
     d = read(spark, sf, "documents")
     h = T.render_html("text")
-    return d.select("doc_id", F.length(h).alias("html_len"), F.md5(h).alias("html_md5"))
+    return d.select("doc_id", F.length(h).cast("long").alias("html_len"), F.md5(h).alias("html_md5"))
 
 
 QUERIES = {

@@ -70,8 +70,8 @@ def q_post_prepare(spark, sf):
     return c.select("conv_id", "turn",
                     F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 1).otherwise(0).alias("status"),
                     F.md5(g).alias("guarded_md5"),
-                    F.length(T.leading_newlines("text")).alias("lead_nl"),
-                    F.length(T.trailing_newlines("text")).alias("trail_nl"))
+                    F.length(T.leading_newlines("text")).cast("long").alias("lead_nl"),
+                    F.length(T.trailing_newlines("text")).cast("long").alias("trail_nl"))
 
 
 def q_turn_overlap(spark, sf):
