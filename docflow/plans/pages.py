@@ -130,3 +130,52 @@ WITH u AS (
 SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
        site || regexp_replace(path, '([^/])\\.[^./]+\\z', '\\1') AS feature
 FROM u"""
+
+
+def q_extracted(spark, sf):
+    """K1 record of the extraction stage: region, site, counts, keyword flag
+    with the original keyword list, line count, text digest."""
+    from docflow.constants import COVID_KEYWORDS
+    from docflow.functions.text import keyword_flag
+    f = page_features(read(spark, sf, "pages"))
+    return f.select("page_id", "region", "site", "content_num", "link_num",
+                    keyword_flag("text", COVID_KEYWORDS).alias("keyword_flag"),
+                    "n_lines", F.md5("text").alias("text_md5"))
+
+
+def q_index_pages(spark, sf):
+    """K8 + K6 record fields: pages that reached status 0 and have a URL
+    become index records (id = site + path, url, region, text digest); the
+    rest are skipped."""
+    from docflow.operators.latest import index_records
+    s = page_status_rows(spark, sf)
+    items = s.filter(F.col("status") == 0).select("page_id", "region", "site")
+    urls = read(spark, sf, "pages").select("page_id", "url").filter(F.col("url").isNotNull())
+    texts = s.filter(F.col("status") == 0).select("page_id", F.md5("text").alias("text_md5"))
+    rec, _skipped = index_records(items, urls, texts, "page_id")
+    return rec.select("page_id", F.concat_ws("/", "region", "site", url_path("url")).alias("record_id"),
+                      "url", "region", "text_md5")
+
+
+QUERIES["extracted"] = q_extracted
+QUERIES["index_pages"] = q_index_pages
+
+
+def _more_sql():
+    from docflow.constants import COVID_KEYWORDS
+    from docflow.plans.sqlparts import keyword_sql, q, status_sql
+    site = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(_URL_RE)}, 2), '\\A.*@', ''), "
+            f"':[0-9]*\\z', ''))")
+    st = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
+                    "content_num", "link_num", "n_lines", "length(text)", region="region")
+    SQL["extracted"] = f"""WITH {_B}, {_HD}, {_FEAT}
+        SELECT page_id, region, {site} AS site, content_num, link_num,
+               {keyword_sql('text', COVID_KEYWORDS)} AS keyword_flag, CAST(n_lines AS BIGINT) AS n_lines,
+               md5(text) AS text_md5 FROM feat2"""
+    SQL["index_pages"] = f"""WITH {_B}, {_HD}, {_FEAT}
+        SELECT page_id, concat_ws('/', region, {site}, regexp_extract(url, {q(_URL_RE)}, 3)) AS record_id,
+               url, region, md5(text) AS text_md5
+        FROM feat2 WHERE {st} = 0 AND url IS NOT NULL"""
+
+
+_more_sql()
