@@ -23,23 +23,30 @@ from pyspark.sql import functions as F
 from docflow.functions.text import clean_title
 
 
-def text_features(text: str = "text", num_features: int = 1 << 18):
+def text_features(text: str = "text", num_features: int = 1 << 16):
     """Tokenizer + HashingTF + IDF: no vocabulary pass, fixed width."""
     return [RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[\s\p{Punct}]+", toLowercase=True),
             HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
             IDF(inputCol="_tf", outputCol="features")]
 
 
-def fit_text_classifier(train: DataFrame, text: str, label: str, max_iter: int = 20) -> PipelineModel:
-    """U2 scorer over text (e.g. documents ⋈ labels).  The training frame is
-    persisted for the iterations and released after."""
-    data = train.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+def _fit_on_features(data: DataFrame, head, estimator) -> PipelineModel:
+    """Tokenize and hash once, persist the hashed vectors for the IDF pass
+    and the estimator's iterations, then release them."""
+    tok, tf, idf = head
+    hashed = tf.transform(tok.transform(data)).select("_tf", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pipe = Pipeline(stages=text_features("text") + [LogisticRegression(maxIter=max_iter, regParam=0.01)])
-        return pipe.fit(data)
+        idf_model = idf.fit(hashed)
+        model = estimator.fit(idf_model.transform(hashed))
     finally:
-        data.unpersist()
+        hashed.unpersist()
+    return PipelineModel(stages=[tok, tf, idf_model, model])
+
+
+def fit_text_classifier(train: DataFrame, text: str, label: str, max_iter: int = 20) -> PipelineModel:
+    """U2 scorer over text (e.g. documents ⋈ labels)."""
+    data = train.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
+    return _fit_on_features(data, text_features("text"), LogisticRegression(maxIter=max_iter, regParam=0.01))
 
 
 def fit_vector_classifier(train: DataFrame, vec: str, label: str, max_iter: int = 50) -> PipelineModel:
@@ -68,12 +75,8 @@ def score_text(model: PipelineModel, df: DataFrame, text: str = "text", out: str
 def fit_title_regressor(train: DataFrame, title: str, target: str, max_iter: int = 20) -> PipelineModel:
     """U3 scorer: a linear model over hashed title tokens."""
     data = train.select(clean_title(F.col(title)).alias("text"), F.col(target).cast("double").alias("label")) \
-        .filter(F.col("text").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        pipe = Pipeline(stages=text_features("text", 1 << 16) + [LinearRegression(maxIter=max_iter, regParam=0.1)])
-        return pipe.fit(data)
-    finally:
-        data.unpersist()
+        .filter(F.col("text").isNotNull())
+    return _fit_on_features(data, text_features("text", 1 << 16), LinearRegression(maxIter=max_iter, regParam=0.1))
 
 
 def title_sentiment(model: PipelineModel, df: DataFrame, title: str, out: str = "sentiment") -> DataFrame:

@@ -21,17 +21,40 @@ RUNTIME_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB input).
+# Shuffles start wide and AQE coalesces them to ~128 MB partitions, so no
+# partition has to fit more than that in memory; skewed partitions (a hot
+# site or id) are split at 4x the median; scans cut files into 256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Arrow batches for the pandas steps (translate/score functions, NFKC).
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(master: str | None = None, app: str = "docflow",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session.  ``master`` only matters for local runs;
-    on a cluster leave it ``None`` so spark-submit decides."""
+    on a cluster leave it ``None`` so spark-submit decides, and pass
+    ``cluster=True`` for the large-cluster settings."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in RUNTIME_CONF.items():
         b = b.config(k, v)
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -49,6 +72,7 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf on a managed cluster
             pass
+    ensure_checkpoint_dir(spark)
     return spark
 
 
