@@ -39,3 +39,29 @@ def hot_split_join(left: DataFrame, right: DataFrame, on, refs: str = "n_refs",
     hot_part = marked.filter(F.col("_hot")).drop("_hot")
     rest = marked.filter(F.col("_hot").isNull()).select(*left.columns)
     return hot_part.unionByName(rest.join(cold, keys, how), allowMissingColumns=True)
+
+
+def hot_split_filter(left: DataFrame, right: DataFrame, key: str, how: str = "left_anti",
+                     hot_refs: int = 10_000, max_hot_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Semi/anti join of a ``left`` whose ``key`` may be hot against the
+    keys of ``right``.
+
+    Keys with at least ``hot_refs`` left rows are found by a partial count
+    (one row per key and task crosses the shuffle); whether each hot key is
+    in ``right`` is decided on that small set, which is then broadcast after
+    a size check, so hot rows are kept or dropped map-side.  The other rows
+    take the ordinary shuffle join, where no key holds ``hot_refs`` rows."""
+    if how not in ("left_anti", "left_semi"):
+        raise ValueError(how)
+    rk = right.select(F.col(key)).distinct()
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_refs).select(key)
+    hot = hot.join(rk.withColumn("_in", F.lit(True)), key, "left") \
+        .select(key, F.coalesce(F.col("_in"), F.lit(False)).alias("_in"))
+    b = checked_broadcast(hot, max_hot_rows)
+    if b is None:
+        return left.join(rk, key, how)
+    marked = left.join(b, key, "left")
+    keep_in = how == "left_semi"
+    hot_rows = marked.filter(F.col("_in").isNotNull() & (F.col("_in") == F.lit(keep_in))).select(*left.columns)
+    cold = marked.filter(F.col("_in").isNull()).select(*left.columns).join(rk, key, how)
+    return hot_rows.unionByName(cold)

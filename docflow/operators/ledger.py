@@ -26,14 +26,19 @@ def ok_items(ledger: DataFrame, key: str, status: str = "status") -> DataFrame:
 
 
 def unprocessed(items: DataFrame, ledger: DataFrame, key: str, ledger_key: str | None = None,
-                retry_status=None, status: str = "status") -> DataFrame:
+                retry_status=None, status: str = "status", hot_refs: int | None = None) -> DataFrame:
     """Items with no ledger line.  ``retry_status`` (e.g. {3, 8}) lets
     items whose ledger lines all carry those codes be tried again (the
-    original never retried)."""
+    original never retried).  Item keys are usually unique paths; when many
+    items share a key (``hot_refs`` given), hot keys are decided map-side
+    (``joins.hot_split_filter``)."""
     lk = ledger_key or key
     led = ledger
     if retry_status:
         led = led.filter(~F.col(status).isin(list(retry_status)))
+    if hot_refs:
+        from docflow.operators.joins import hot_split_filter
+        return hot_split_filter(items, led.select(F.col(lk).alias(key)), key, "left_anti", hot_refs)
     led = led.select(F.col(lk).alias("_lk"))
     return items.join(led, items[key] == led["_lk"], "left_anti")
 

@@ -65,12 +65,14 @@ def within_days(df: DataFrame, ts: str, days: int) -> DataFrame:
 
 
 def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], out_path: str,
-                ledger_path: str, checkpoint: str, quota: tuple[str, list, int] | None = None):
+                ledger_path: str, checkpoint: str, quota: tuple[str, list, int] | None = None,
+                hot_refs: int | None = 10_000):
     """W1 + W3: each new item is worked on once.  Per batch: drop items the
     ledger already holds (anti-join), optionally apply a per-site quota
     (site column, order, n), run ``work``, append results and ledger lines
     by ``batch_id``.  Items beyond the quota are left for a later run, as
-    in the original."""
+    in the original.  Keys shared by ``hot_refs`` or more rows of a batch are
+    checked against the ledger map-side (see ``joins.hot_split_filter``)."""
     spark = stream.sparkSession
 
     def fn(batch: DataFrame, batch_id: int):
@@ -79,7 +81,7 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
             led = spark.read.parquet(ledger_path)
             # Lines of this batch from an earlier attempt do not count.
             led = led.filter(F.col("batch_id") != batch_id)
-            todo = L.unprocessed(todo, led, key)
+            todo = L.unprocessed(todo, led, key, hot_refs=hot_refs)
         except Exception as e:  # no ledger yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise

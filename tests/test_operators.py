@@ -145,3 +145,31 @@ def test_stage_health_and_unscored(spark):
     rec = spark.createDataFrame([("/r/a",), ("/r/b",), (None,)], "link string")
     done = spark.createDataFrame([("/r/a",)], "page_path string")
     assert [r[0] for r in L.unscored_records(rec, done).collect()] == ["/r/b"]
+
+
+def test_hot_split_filter_equals_plain(spark):
+    from docflow.operators.joins import hot_split_filter
+    left = spark.range(0, 3000).select(F.when(F.col("id") < 1500, 0).when(F.col("id") < 2000, 1)
+                                       .otherwise(F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(0,), (5,), (2500,), (2500,)], "k long")
+    for how in ("left_anti", "left_semi"):
+        a = sorted(r["id"] for r in hot_split_filter(left, right, "k", how, hot_refs=100).collect())
+        b = sorted(r["id"] for r in left.join(right.distinct(), "k", how).collect())
+        assert a == b, how
+    items = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3, "k string")
+    led = spark.createDataFrame([("a", 0)], "k string, status int")
+    assert L.unprocessed(items, led, "k", hot_refs=10).count() == 3
+
+
+def test_page_status_exists_and_sidecars(spark):
+    from docflow.operators.pages import page_features
+    from docflow.operators.routing import page_status
+    from docflow.sources.files import all_present
+    pages = spark.createDataFrame([(1, "http://a.b/en/1", '<html lang="en"><p>action</p></html>'),
+                                   (2, "http://a.b/en/2", '<html lang="en"><p>action</p></html>')],
+                                  "page_id long, url string, html string")
+    done = spark.createDataFrame([(2,)], "page_id long")
+    st = {r["page_id"]: r["status"] for r in page_status(page_features(pages), "ja", ["tion"], done=done).collect()}
+    assert st == {1: 0, 2: 5}
+    df = spark.createDataFrame([("m", "t", "b"), ("m", None, "b")], "meta string, title string, block string")
+    assert [r[0] for r in df.select(all_present("meta", "title", "block")).collect()] == [True, False]
