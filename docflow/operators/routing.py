@@ -56,7 +56,7 @@ def density_ok(content_num, link_num, region=None, limit: float = K.DENSITY_LIMI
                exempt: str = K.DENSITY_EXEMPT_REGION) -> Column:
     """(content+1)/(content+links+1) >= limit, or an exempt region."""
     c, l = F.col(content_num), F.col(link_num)
-    ok = (c + 1) >= (c + l + 1) * F.lit(limit)
+    ok = ~((c + 1) / (c + l + 1) < F.lit(limit))
     if region is not None:
         ok = ok | F.coalesce(F.col(region) == exempt, F.lit(False))
     return ok

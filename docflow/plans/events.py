@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docflow import constants as K
 from docflow.functions import text as T
+from docflow.functions.regex import WS
 from docflow.functions.similarity import text_overlap
 from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
@@ -91,7 +92,7 @@ QUERIES = {
 }
 
 _q = S.q
-_WS = __import__("docflow.functions.regex", fromlist=["WS"]).WS
+_WS = WS
 
 
 def _words(x):

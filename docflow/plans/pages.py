@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.functions import html as H
-from docflow.functions.paths import url_host, url_path
+from docflow.functions.paths import URL_RE, url_host, url_path
 from docflow.functions.similarity import edit_distance, text_overlap
 from docflow.operators.pages import blocks_table, page_features
 from docflow.operators.routing import density_ok, page_status
@@ -94,7 +94,7 @@ SQL = {
     "link_flags": f"WITH {_B}, {_HD}, {_FEAT} SELECT page_id, link_list, link_dominated FROM feat",
     "density_filter": f"""WITH {_B}, {_HD}, {_FEAT}
         SELECT page_id, content_num, link_num,
-               ((content_num + 1) >= (content_num + link_num + 1) * 0.2 OR coalesce(region = 'my', false)) AS keep
+               (NOT ((content_num + 1) / (content_num + link_num + 1) < 0.2) OR coalesce(region = 'my', false)) AS keep
         FROM feat2""",
     "page_status": None,  # filled below (needs the status SQL)
     "url_parts": None,
@@ -119,7 +119,7 @@ def _status_sql():
     return f"WITH {_B}, {_HD}, {_FEAT} SELECT src_lang, {st} AS status, count(*) AS n FROM feat2 GROUP BY ALL"
 
 
-_URL_RE = __import__("docflow.functions.paths", fromlist=["URL_RE"]).URL_RE
+_URL_RE = URL_RE
 SQL["page_status"] = _status_sql()
 SQL["url_parts"] = f"""
 WITH u AS (

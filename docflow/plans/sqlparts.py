@@ -137,7 +137,7 @@ def route_sql(src: str, to: str) -> str:
 def status_sql(src: str, to: str, has_files: str, kw: str, content: str, links: str,
                n_lines: str, text_len: str, region: str | None = None, max_lines: int = 500,
                density: float = 0.2) -> str:
-    dens = f"(({content} + 1) >= ({content} + {links} + 1) * {density}"
+    dens = f"(NOT (({content} + 1) / ({content} + {links} + 1) < {density})"
     dens += f" OR coalesce({region} = 'my', false))" if region else ")"
     return f"""(CASE WHEN {src} IS NULL OR NOT {route_sql(src, to)} THEN 9
       WHEN NOT ({has_files}) THEN 4

@@ -18,8 +18,15 @@ def event_files(spark, scratch):
     configure(spark)
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     d = f"{scratch}/events_in"
+    bounds = list(ev.selectExpr("percentile(event_id, array(0.25, 0.5, 0.75))").first()[0])
+    edges = [None, *bounds, None]
     for i in range(4):
-        ev.filter(F.col("event_id") % 4 == i).coalesce(1).write.parquet(f"{d}/part{i}")
+        part = ev
+        if edges[i] is not None:
+            part = part.filter(F.col("event_id") > edges[i])
+        if edges[i + 1] is not None:
+            part = part.filter(F.col("event_id") <= edges[i + 1])
+        part.coalesce(1).write.parquet(f"{d}/part{i}")     # four consecutive id ranges, all rows
     return d, ev.schema, ev
 
 
