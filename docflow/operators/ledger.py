@@ -8,6 +8,7 @@ hot.  Quotas and limits keep an explicit order with a unique tie-break.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,23 +59,51 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
     return out
 
 
-def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank") -> DataFrame:
+def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
+    if buckets is not None:
+        return buckets
+    n = df.rdd.getNumPartitions()          # planning only; no job runs
+    return int(math.ceil(math.sqrt(n))) if n > 64 else 1
+
+
+def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank",
+               buckets: int | None = None) -> DataFrame:
     """A1: at most ``n`` items per site, in ``order`` (which must end in a
-    unique column).  Planned as WindowGroupLimit: each task keeps its own top
-    ``n`` per site before the shuffle, so a hot site moves ``n`` rows per
-    task, not all its rows."""
-    w = Window.partitionBy(site).orderBy(*_cols(order))
+    unique column).
+
+    Planned as WindowGroupLimit: each task keeps its own top ``n`` per site
+    before the shuffle, so a hot site moves ``n`` rows per task.  With many
+    input partitions the limit is taken in two levels (site and a bucket of
+    input partitions, then site), so the task finishing a hot site reads
+    ``buckets * n`` rows instead of ``partitions * n``."""
+    order = _cols(order)
+    b = _fan_in_buckets(df, buckets)
+    if b > 1:
+        df = df.withColumn("_b", F.spark_partition_id() % b)
+        w1 = Window.partitionBy(site, "_b").orderBy(*order)
+        df = df.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n).drop("_r", "_b")
+    w = Window.partitionBy(site).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w).cast("long")).filter(F.col(rank) <= n)
 
 
-def head_tail(df: DataFrame, order, n: int) -> DataFrame:
-    """The first ``n`` and the last ``n`` items in ``order``, once each
-    (top-k on each end: per-task top-n, then one small merge)."""
-    asc = _cols(order)
-    desc = [(F.col(c) if isinstance(c, str) else c).desc() for c in asc]
-    first = df.orderBy(*asc).limit(n)
-    last = df.orderBy(*desc).limit(n)
-    return first.unionByName(last).distinct()
+def top_k(df: DataFrame, order, k: int, buckets: int | None = None) -> DataFrame:
+    """The first ``k`` rows in ``order`` (a unique ordering), in two levels
+    when the input has many partitions: top ``k`` per bucket of input
+    partitions (limited per task before the shuffle), then top ``k`` of
+    those.  One task never reads more than ``buckets * k`` rows."""
+    order = _cols(order)
+    b = _fan_in_buckets(df, buckets)
+    if b > 1:
+        w = Window.partitionBy(F.spark_partition_id() % b).orderBy(*order)
+        df = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    return df.orderBy(*order).limit(k)
+
+
+def head_tail(df: DataFrame, order, n: int, buckets: int | None = None) -> DataFrame:
+    """The first ``n`` and the last ``n`` items in ``order``, once each."""
+    asc = [F.col(c) if isinstance(c, str) else c for c in _cols(order)]
+    desc = [c.desc() for c in asc]
+    return top_k(df, asc, n, buckets).unionByName(top_k(df, desc, n, buckets)).distinct()
 
 
 def backlog(items: DataFrame, ledger: DataFrame, key: str, by) -> DataFrame:

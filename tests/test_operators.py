@@ -173,3 +173,15 @@ def test_page_status_exists_and_sidecars(spark):
     assert st == {1: 0, 2: 5}
     df = spark.createDataFrame([("m", "t", "b"), ("m", None, "b")], "meta string, title string, block string")
     assert [r[0] for r in df.select(all_present("meta", "title", "block")).collect()] == [True, False]
+
+
+def test_two_level_top_k_and_quota(spark, docs):
+    d = docs.select("doc_id", "source").repartition(40)
+    want = [r[0] for r in d.orderBy(F.col("doc_id").desc()).limit(25).collect()]
+    got = [r[0] for r in L.top_k(d, [F.col("doc_id").desc()], 25, buckets=6).collect()]
+    assert got == want
+    one = L.site_quota(d, "source", [F.col("doc_id").desc()], 7, buckets=1)
+    two = L.site_quota(d, "source", [F.col("doc_id").desc()], 7, buckets=6)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    ht = L.head_tail(d, ["doc_id"], 30, buckets=5)
+    assert ht.count() == 60
