@@ -28,6 +28,7 @@ ANY_TAG = r"<[^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 ANCHOR_TEXT = r"(?is)<a\b[^>]*>(.*?)</a>"
 STRONG_TEXT = r"(?is)<strong\b[^>]*>(.*?)</strong>"
+STRONG_OPEN = r"(?i)<strong\b"
 HTML_LANG = r"(?i)<html\b[^>]*\blang=[\"']?([a-zA-Z_-]+)"
 SEP = "\u0001"
 
@@ -73,13 +74,16 @@ def block_struct(tok: Column, pos: Column) -> Column:
 
 
 def anchor_len(b: Column) -> Column:
-    """Text length of the anchors inside a block."""
-    return _sum_len(F.regexp_extract_all(b["raw"], F.lit(ANCHOR_TEXT), F.lit(1)))
+    """Text length of the anchors inside a block (0 for a block without a
+    link, without running the extraction)."""
+    return F.when(b["is_link"], _sum_len(F.regexp_extract_all(b["raw"], F.lit(ANCHOR_TEXT), F.lit(1)))) \
+        .otherwise(F.lit(0))
 
 
 def strong_len(b: Column) -> Column:
     """Text length of the <strong> parts inside a block."""
-    return _sum_len(F.regexp_extract_all(b["raw"], F.lit(STRONG_TEXT), F.lit(1)))
+    return F.when(b["raw"].rlike(STRONG_OPEN), _sum_len(F.regexp_extract_all(b["raw"], F.lit(STRONG_TEXT), F.lit(1)))) \
+        .otherwise(F.lit(0))
 
 
 def blocks(html) -> Column:
@@ -163,7 +167,10 @@ def link_dominated(bl: Column, head_pos: Column) -> Column:
     """after the main heading, anchor text is more than twice the text
     of <p> and <strong>; false when that text is empty; null without heading.
     <strong> and <a> inside <p> count twice, as in the original walk."""
-    after = F.filter(bl, lambda b: b["pos"] > head_pos)
+    # Blocks sit at index = pos, so "after the heading" is a slice, taken
+    # once per page (a lambda referring to ``head_pos`` would evaluate it
+    # again for every block).
+    after = F.slice(bl, head_pos + 2, F.greatest(F.size(bl) - head_pos - 1, F.lit(0)))
     a_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + anchor_len(b))
     p_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + F.when(
         b["tag"] == "p", F.length(b["text"])).otherwise(0) + strong_len(b))

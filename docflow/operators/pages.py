@@ -42,7 +42,10 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
         cols.append(url)
     df = with_blocks(pages.select(*cols, html), html)
     bl = F.col("blocks")
-    head = H.heading(bl)
+    # The heading is used four times below: give it its own projection so
+    # it is computed once per page.
+    df = df.withColumn("_head", H.heading(bl))
+    head = F.col("_head")
     out = df.select(
         *cols,
         H.html_lang(html).alias("html_lang"),
