@@ -61,12 +61,26 @@ def build_session(master: str | None = None, app: str = "docflow",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_code()
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def ship_code() -> None:
+    """Send this package's Python functions (pandas UDFs, mapInPandas
+    steps) to the Python workers by value, so a worker needs no copy of the
+    package on its path.  (On a cluster ``--py-files`` works as well.)"""
+    import docflow
+    from pyspark import cloudpickle
+    try:
+        cloudpickle.register_pickle_by_value(docflow)
+    except ValueError:  # already registered
+        pass
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime confs to an existing session (idempotent)."""
+    ship_code()
     for k, v in RUNTIME_CONF.items():
         try:
             spark.conf.set(k, v)
