@@ -107,12 +107,17 @@ def page_status(features: DataFrame, to_lang: str, keywords, done: DataFrame | N
 
 def text_status(docs: DataFrame, to_langs, keywords, text: str = "text", lang: str = "lang",
                 **kw) -> DataFrame:
-    """F8 for plain-text items (no link counts): one row per item and target."""
-    df = with_targets(docs.withColumn("src_lang", normalize_lang(lang)), to_langs)
-    df = df.withColumn("_c", F.lit(1)).withColumn("_l", F.lit(0))
+    """F8 for plain-text items (no link counts): one row per item and target.
+
+    The text checks (keyword scan, line count, length) are computed once per
+    item, before the rows are repeated per target."""
+    df = (docs.withColumn("src_lang", normalize_lang(lang))
+          .withColumn("_len", F.length(text))
+          .withColumn("_kw", F.coalesce(keyword_flag(text, keywords), F.lit(False)))
+          .withColumn("_nl", line_count(text)))
+    df = with_targets(df, to_langs).withColumn("_c", F.lit(1)).withColumn("_l", F.lit(0))
     st = status_cascade(src_lang="src_lang", to_lang="to_lang",
-                        has_files=F.coalesce(F.length(text) > 0, F.lit(False)),
-                        keyword_hit=F.coalesce(keyword_flag(text, keywords), F.lit(False)),
-                        content_num="_c", link_num="_l", n_lines=line_count(text),
-                        text_len=F.length(text), **kw)
-    return df.withColumn("status", st).drop("_c", "_l")
+                        has_files=F.coalesce(F.col("_len") > 0, F.lit(False)),
+                        keyword_hit=F.col("_kw"), content_num="_c", link_num="_l",
+                        n_lines=F.col("_nl"), text_len=F.col("_len"), **kw)
+    return df.withColumn("status", st).drop("_c", "_l", "_len", "_kw", "_nl")
