@@ -62,7 +62,10 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
 def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets is not None:
         return buckets
-    n = df.rdd.getNumPartitions()          # planning only; no job runs
+    try:
+        n = df.rdd.getNumPartitions()      # planning only; no job runs
+    except Exception:                      # no RDD view (client session)
+        return 1
     return int(math.ceil(math.sqrt(n))) if n > 64 else 1
 
 

@@ -1,7 +1,7 @@
 """Stream queries; their oracle is the batch query's SQL (same result)."""
 
 from docflow.plans.events import SQL as EV
-from docflow.streaming import pipeline as W
+from docflow.streaming import incremental as W
 
 QUERIES = {"stream_hourly": W.stream_hourly, "stream_health": W.stream_health,
            "stream_latest": W.stream_latest, "stream_first": W.stream_first}

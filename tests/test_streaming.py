@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
-from docflow.streaming import pipeline as W
+from docflow.streaming import incremental as W
 from tests.conftest import SF_SMALL
 
 
