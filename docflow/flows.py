@@ -42,7 +42,8 @@ def extract_flow(lines: DataFrame, pages: DataFrame, ledger: DataFrame | None =
         todo = L.unprocessed(todo, ledger, "page_path")
     src = pages.select(F.col("file_path").alias("page_path"), "mtime", "html")
     joined = todo.select("page_path", "region", "site").join(src, "page_path", "inner")
-    f = page_features(joined, key="page_path", url=None)
+    f = page_features(joined, key="page_path", url=None,
+                      features=["title", "text", "content_num", "link_num", "first_h1"])
     f = f.join(joined.select("page_path", "region", "site", "mtime"), "page_path")
     f = prepend_h1(f, sites=h1_sites)
     rec = f.select("page_path", "region", "site", "mtime", "title", "text", "content_num", "link_num",

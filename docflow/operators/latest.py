@@ -33,12 +33,15 @@ def first_version(history: DataFrame, key: str, arrival: str, cols=None) -> Data
     return _pick(history, key, F.col(arrival), cols, F.min_by)
 
 
-def index_records(items: DataFrame, urls: DataFrame, texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def index_records(items: DataFrame, urls: DataFrame, texts: DataFrame | None, key: str) -> tuple[DataFrame, DataFrame]:
     """K8: an index record needs both its URL and its text.
 
     Returns (records, skipped): records = items ⋈ urls ⋈ texts, skipped =
-    items with either missing.  All three are keyed by the unique item key."""
-    rec = items.join(urls, key, "inner").join(texts, key, "inner")
+    items with either missing.  All three are keyed by the unique item key.
+    ``texts=None`` when the items already carry their (non-null) text."""
+    rec = items.join(urls, key, "inner")
+    if texts is not None:
+        rec = rec.join(texts, key, "inner")
     skipped = items.join(rec.select(key), key, "left_anti")
     return rec, skipped
 

@@ -30,37 +30,56 @@ def blocks_table(pages: DataFrame, key: str = "page_id", html: str = "html") ->
             .select(key, F.col("b.pos").cast("long").alias("pos"), "b.tag", "b.is_link", "b.text"))
 
 
+ALL_FEATURES = ["html_lang", "title", "content_num", "link_num", "first_par", "first_h1", "heading_level",
+                "heading_pos", "main_heading", "link_list", "link_dominated", "text", "n_lines"]
+
+
 def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
-                  url: str | None = "url") -> DataFrame:
+                  url: str | None = "url", features=None) -> DataFrame:
     """One row per page: title, block counts, first <p>/<h1>, main heading,
     link-list and link-dominated flags, extracted text and line count.
+    ``features`` limits the output to the named ones (default: all); the
+    others are not computed.
 
     With ``url``: also host (site), first path folder (region) and the source
-    language (<html lang> if present, else the region's language)."""
-    cols = [key]
+    language (<html lang> if present, else the region's language).
+
+    The result is materialized (see ``materialize``): a later filter on a
+    feature does not make Spark cut the HTML a second time."""
+    want = list(features or ALL_FEATURES)
     if url:
-        cols.append(url)
+        want += [f for f in ("html_lang",) if f not in want]
+    cols = [key] + ([url] if url else [])
     df = with_blocks(pages.select(*cols, html), html)
     bl = F.col("blocks")
-    # The heading is used four times below: give it its own projection so
-    # it is computed once per page.
-    df = df.withColumn("_head", H.heading(bl))
+    needs_head = any(f in want for f in ("heading_level", "heading_pos", "main_heading", "link_dominated"))
+    if needs_head:
+        # Used by several features: its own projection, computed once per page.
+        df = df.withColumn("_head", H.heading(bl))
     head = F.col("_head")
-    out = df.select(
-        *cols,
-        H.html_lang(html).alias("html_lang"),
-        "title",
-        H.content_count(bl).cast("long").alias("content_num"),
-        H.link_count(bl).cast("long").alias("link_num"),
-        H.first_text(bl, "p").alias("first_par"),
-        H.first_text(bl, "h1", need_text=False).alias("first_h1"),
-        head["level"].alias("heading_level"),
-        head["pos"].alias("heading_pos"),
-        head["text"].alias("main_heading"),
-        H.link_list(bl).alias("link_list"),
-        H.link_dominated(bl, head["pos"]).alias("link_dominated"),
-        H.extracted_text(F.col("title"), bl).alias("text"),
-    ).withColumn("n_lines", line_count("text").cast("long"))
+    build = {
+        "html_lang": lambda: H.html_lang(html),
+        "title": lambda: F.col("title"),
+        "content_num": lambda: H.content_count(bl).cast("long"),
+        "link_num": lambda: H.link_count(bl).cast("long"),
+        "first_par": lambda: H.first_text(bl, "p"),
+        "first_h1": lambda: H.first_text(bl, "h1", need_text=False),
+        "heading_level": lambda: head["level"],
+        "heading_pos": lambda: head["pos"],
+        "main_heading": lambda: head["text"],
+        "link_list": lambda: H.link_list(bl),
+        "link_dominated": lambda: H.link_dominated(bl, head["pos"]),
+        "text": lambda: H.extracted_text(F.col("title"), bl),
+    }
+    sel = [build[f]().alias(f) for f in ALL_FEATURES if f in want and f in build]
+    if "n_lines" in want and "text" not in want:
+        sel.append(H.extracted_text(F.col("title"), bl).alias("text"))
+    out = df.select(*cols, *sel)
+    if "n_lines" in want:
+        out = out.withColumn("n_lines", line_count("text").cast("long"))
+        if "text" not in want:
+            out = out.drop("text")
+    out = materialize(out)
     if url:
         region = F.regexp_extract(url_path(url), r"\A/([^/]+)/", 1)
         lang_map = F.create_map(*[F.lit(x) for kv in REGION_LANG.items() for x in kv])
@@ -71,6 +90,17 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
     return out
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute the columns of ``df`` once per row, even under later filters.
+
+    Catalyst pushes a filter below a projection by inlining the projected
+    expressions into the condition, so an expensive column used by both (the
+    HTML blocks behind every page feature) would be evaluated twice.  A
+    one-row ``inline`` turns the projection into a Generate, which a filter
+    on its output does not cross."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def prepend_h1(df: DataFrame, text: str = "text", first_h1: str = "first_h1", site: str = "site",
                sites=H1_PREPEND_SITES) -> DataFrame:
     """For listed sites, the first <h1> line goes before the text."""

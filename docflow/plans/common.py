@@ -7,6 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from docflow.session import configure, table_path
 
 
+# Tables whose rows carry heavy per-row work (HTML, long texts).
+HEAVY = {"pages", "documents", "conversations"}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if name in HEAVY else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work every core: when the scan yields fewer
+    splits than the session's parallelism (a small file with one row group),
+    spread the rows round-robin.  On large inputs the scan already has far
+    more splits than cores and this is a no-op."""
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (client session): leave as is
+        return df
+    return df.repartition(want) if have < want else df

@@ -26,31 +26,35 @@ def q_page_blocks(spark, sf):
 
 def q_block_counts(spark, sf):
     """A2 + title: content and link block counts per page."""
-    f = page_features(read(spark, sf, "pages"), url=None)
+    f = page_features(read(spark, sf, "pages"), url=None, features=["title", "content_num", "link_num"])
     return f.select("page_id", "title", "content_num", "link_num")
 
 
 def q_page_headings(spark, sf):
     """First paragraph, first h1, main heading."""
-    f = page_features(read(spark, sf, "pages"), url=None)
+    f = page_features(read(spark, sf, "pages"), url=None,
+                      features=["first_par", "first_h1", "main_heading", "heading_level"])
     return f.select("page_id", "first_par", "first_h1", "main_heading", "heading_level")
 
 
 def q_link_flags(spark, sf):
     """link-list page and link-dominated page."""
-    f = page_features(read(spark, sf, "pages"), url=None)
+    f = page_features(read(spark, sf, "pages"), url=None, features=["link_list", "link_dominated"])
     return f.select("page_id", "link_list", "link_dominated")
 
 
 def q_density_filter(spark, sf):
     """pages that pass the link-density rule."""
-    f = page_features(read(spark, sf, "pages"))
+    f = page_features(read(spark, sf, "pages"), features=["content_num", "link_num"])
     return (f.withColumn("keep", density_ok("content_num", "link_num", "region"))
             .select("page_id", "content_num", "link_num", "keep"))
 
 
+STATUS_FEATURES = ["html_lang", "content_num", "link_num", "text", "n_lines"]
+
+
 def page_status_rows(spark, sf, to_lang=TO_LANG, keywords=PAGE_KEYWORDS):
-    f = page_features(read(spark, sf, "pages"))
+    f = page_features(read(spark, sf, "pages"), features=STATUS_FEATURES)
     return page_status(f, to_lang, keywords)
 
 
@@ -76,7 +80,7 @@ def q_url_parts(spark, sf):
 def q_title_similarity(spark, sf):
     """J6/J7 on a natural pair: page title vs main heading and first
     paragraph (one row per page, no pair generation)."""
-    f = page_features(read(spark, sf, "pages"), url=None)
+    f = page_features(read(spark, sf, "pages"), url=None, features=["title", "main_heading", "first_par"])
     return f.select(
         "page_id",
         edit_distance("title", F.coalesce("main_heading", F.lit(""))).alias("title_heading_dist"),
@@ -137,7 +141,7 @@ def q_extracted(spark, sf):
     with the original keyword list, line count, text digest."""
     from docflow.constants import COVID_KEYWORDS
     from docflow.functions.text import keyword_flag
-    f = page_features(read(spark, sf, "pages"))
+    f = page_features(read(spark, sf, "pages"), features=STATUS_FEATURES)
     return f.select("page_id", "region", "site", "content_num", "link_num",
                     keyword_flag("text", COVID_KEYWORDS).alias("keyword_flag"),
                     "n_lines", F.md5("text").alias("text_md5"))
@@ -149,10 +153,10 @@ def q_index_pages(spark, sf):
     rest are skipped."""
     from docflow.operators.latest import index_records
     s = page_status_rows(spark, sf)
-    items = s.filter(F.col("status") == 0).select("page_id", "region", "site")
+    # status 0 implies a non-empty text, so the items carry it (one pass)
+    items = s.filter(F.col("status") == 0).select("page_id", "region", "site", F.md5("text").alias("text_md5"))
     urls = read(spark, sf, "pages").select("page_id", "url").filter(F.col("url").isNotNull())
-    texts = s.filter(F.col("status") == 0).select("page_id", F.md5("text").alias("text_md5"))
-    rec, _skipped = index_records(items, urls, texts, "page_id")
+    rec, _skipped = index_records(items, urls, None, "page_id")
     return rec.select("page_id", F.concat_ws("/", "region", "site", url_path("url")).alias("record_id"),
                       "url", "region", "text_md5")
 
