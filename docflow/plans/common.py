@@ -11,10 +11,12 @@ from docflow.session import configure, table_path
 HEAVY = {"pages", "documents", "conversations"}
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, heavy: bool | None = None) -> DataFrame:
+    """A driver table; ``heavy`` (default: by table) spreads a small scan
+    for CPU-heavy per-row work."""
     configure(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if name in HEAVY else df
+    return spread(df) if (name in HEAVY if heavy is None else heavy) else df
 
 
 def spread(df: DataFrame) -> DataFrame:

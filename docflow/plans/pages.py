@@ -67,7 +67,7 @@ def q_page_status(spark, sf):
 
 def q_url_parts(spark, sf):
     """P9 + P6 on URLs: host (site), region folder, path, version-free key."""
-    p = read(spark, sf, "pages").select("page_id", "url")
+    p = read(spark, sf, "pages", heavy=False).select("page_id", "url")
     path = url_path("url")
     stem = F.regexp_replace(path, r"(?<=[^/])\.[^./]+\z", "")
     return p.select(
@@ -155,7 +155,7 @@ def q_index_pages(spark, sf):
     s = page_status_rows(spark, sf)
     # status 0 implies a non-empty text, so the items carry it (one pass)
     items = s.filter(F.col("status") == 0).select("page_id", "region", "site", F.md5("text").alias("text_md5"))
-    urls = read(spark, sf, "pages").select("page_id", "url").filter(F.col("url").isNotNull())
+    urls = read(spark, sf, "pages", heavy=False).select("page_id", "url").filter(F.col("url").isNotNull())
     rec, _skipped = index_records(items, urls, None, "page_id")
     return rec.select("page_id", F.concat_ws("/", "region", "site", url_path("url")).alias("record_id"),
                       "url", "region", "text_md5")
