@@ -40,7 +40,7 @@ def q_first_seen(spark, sf):
 def q_hourly_manifest(spark, sf):
     """K5: items per output hour (minutes forced to 00)."""
     e = read(spark, sf, "events")
-    return (e.groupBy(F.date_trunc("hour", "ts").alias("hour"))
+    return (e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -14,9 +14,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Parquet timestamps without zone stay TIMESTAMP (not NTZ) so that
-    # watermarks and windows accept them.
-    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # Parquet timestamps without zone are read as TIMESTAMP_NTZ (wall-clock
+    # values, independent of any zone); streams cast to TIMESTAMP only where a
+    # watermark needs it (``streaming.incremental.event_time``).
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
@@ -99,9 +99,18 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
     return run_batches(stream, fn, checkpoint)
 
 
+def event_time(df: DataFrame, ts: str) -> tuple[DataFrame, bool]:
+    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is cast (in the
+    session zone, UTC here) and the caller casts results back."""
+    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    return (df.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else df), ntz
+
+
 def dedupe_stream(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """Process-once on record id within the watermark delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    s, ntz = event_time(stream, ts)
+    out = s.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return out.withColumn(ts, F.col(ts).cast("timestamp_ntz")) if ntz else out
 
 
 def upsert_history(stream: DataFrame, history_path: str, checkpoint: str):
@@ -117,9 +126,11 @@ def latest_view(spark: SparkSession, history_path: str, key: str, ts: str, arriv
 def windowed_counts(stream: DataFrame, ts: str, by: list[str], window: str, delay: str) -> DataFrame:
     """Tumbling-window counts with a watermark (state older than the
     watermark is dropped)."""
-    return (stream.withWatermark(ts, delay).groupBy(*by, F.window(ts, window).alias("w"))
+    s, ntz = event_time(stream, ts)
+    start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
+    return (s.withWatermark(ts, delay).groupBy(*by, F.window(ts, window).alias("w"))
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(*by, F.col("w.start").alias("window_start"), "n"))
+            .select(*by, start.alias("window_start"), "n"))
 
 
 def rollup_to_table(counts: DataFrame, path: str, checkpoint: str):
