@@ -59,13 +59,23 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
     return out
 
 
+def estimated_partitions(df: DataFrame) -> int:
+    """Input partitions of ``df``, estimated from the optimizer's size
+    statistics and the split size (planning only: no stage is run, which
+    asking the RDD of an adaptive plan with exchanges would do)."""
+    try:
+        qe = df._jdf.queryExecution()
+        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+        split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        return max(1, size // max(split, 1))
+    except Exception:  # client session without plan access
+        return 1
+
+
 def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets is not None:
         return buckets
-    try:
-        n = df.rdd.getNumPartitions()      # planning only; no job runs
-    except Exception:                      # no RDD view (client session)
-        return 1
+    n = estimated_partitions(df)
     return int(math.ceil(math.sqrt(n))) if n > 64 else 1
 
 
