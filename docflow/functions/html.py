@@ -136,7 +136,8 @@ def extracted_text(title_col: Column, bl: Column) -> Column:
 
 
 def first_text(bl: Column, tag: str, need_text: bool = True) -> Column:
-    """Text of the first block with ``tag`` ('' if none)."""
+    """Text of the first block with ``tag`` ('' if none); with
+    ``need_text`` the first one that has text."""
     cond = (lambda b: (b["tag"] == tag) & (b["text"] != "")) if need_text else (lambda b: b["tag"] == tag)
     return F.coalesce(F.get(F.filter(bl, cond), 0)["text"], F.lit(""))
 

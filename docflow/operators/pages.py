@@ -62,7 +62,7 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
         "title": lambda: F.col("title"),
         "content_num": lambda: H.content_count(bl).cast("long"),
         "link_num": lambda: H.link_count(bl).cast("long"),
-        "first_par": lambda: H.first_text(bl, "p"),
+        "first_par": lambda: H.first_text(bl, "p", need_text=False),
         "first_h1": lambda: H.first_text(bl, "h1", need_text=False),
         "heading_level": lambda: head["level"],
         "heading_pos": lambda: head["pos"],

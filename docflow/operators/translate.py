@@ -154,3 +154,10 @@ def translate_posts(posts: DataFrame, key: str, text: str, lang: str, to_lang: s
     rest = df.filter(F.col("status") != STATUS_OK).select(key, "to_lang", "status",
                                                           F.lit(None).cast("string").alias("translated"))
     return done.unionByName(rest)
+
+
+def post_text(html) -> "F.Column":
+    """X3 for a post page: the text of its first <p> ('' when there is none
+    or it is empty, which the post flow records as status 1)."""
+    from docflow.functions import html as H
+    return H.first_text(H.blocks(html), "p", need_text=False)

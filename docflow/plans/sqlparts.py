@@ -83,7 +83,7 @@ agg AS (
   SELECT {key},
          count(*) FILTER (WHERE text <> '' AND NOT is_link) AS content_num,
          count(*) FILTER (WHERE text <> '' AND is_link) AS link_num,
-         coalesce(arg_min(text, pos) FILTER (WHERE tag = 'p' AND text <> ''), '') AS first_par,
+         coalesce(arg_min(text, pos) FILTER (WHERE tag = 'p'), '') AS first_par,
          coalesce(arg_min(text, pos) FILTER (WHERE tag = 'h1'), '') AS first_h1,
          count(*) FILTER (WHERE tag = 'li') AS n_li,
          count(*) FILTER (WHERE tag = 'li' AND is_link) AS n_li_a,

@@ -185,3 +185,10 @@ def test_two_level_top_k_and_quota(spark, docs):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
     ht = L.head_tail(d, ["doc_id"], 30, buckets=5)
     assert ht.count() == 60
+
+
+def test_post_text_first_paragraph(spark):
+    from docflow.operators.translate import post_text
+    df = spark.createDataFrame([("<p>hello <b>#tag</b></p><p>two</p>",), ("<p></p><p>late</p>",), ("<div>x</div>",)],
+                               "html string")
+    assert [r[0] for r in df.select(post_text("html")).collect()] == ["hello #tag", "", ""]
