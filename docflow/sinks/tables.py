@@ -47,12 +47,25 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append"):
 
 def append_ledger(df: DataFrame, path: str, stage: str, key: str = "page_path", status: str = "status",
                   extra=(), batch_id: int | None = None):
-    """Ledger lines (key, stage, status, processed_at, extra...),
-    partitioned by stage."""
+    """Ledger lines (key, stage, status, processed_at, day, extra...),
+    partitioned by stage and day, so a reader that only needs recent lines
+    (``read_recent_ledger``) prunes whole folders instead of re-reading a
+    ledger that grows forever."""
     cols = [F.col(key).alias("page_path"), F.lit(stage).alias("stage"),
             F.col(status).cast("int").alias("status"), F.current_timestamp().alias("processed_at"),
-            *[F.col(c) for c in extra]]
-    _write(df.select(*cols), path, ["stage"], batch_id)
+            F.current_date().alias("day"), *[F.col(c) for c in extra]]
+    _write(df.select(*cols), path, ["stage", "day"], batch_id)
+
+
+def read_recent_ledger(spark: SparkSession, path: str, stage: str, days: int | None = None) -> DataFrame:
+    """Ledger lines of one stage, only the last ``days`` days when given
+    (partition pruning on stage and day: the other folders are not listed
+    into the scan).  Items older than the day window never come back (W2),
+    so older lines are not needed for the anti-join."""
+    led = spark.read.parquet(path).filter(F.col("stage") == stage)
+    if days is not None:
+        led = led.filter(F.col("day") >= F.date_sub(F.current_date(), days))
+    return led
 
 
 def hourly_manifest(df: DataFrame, ts: str = "processed_at") -> DataFrame:

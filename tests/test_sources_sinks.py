@@ -166,3 +166,13 @@ def test_keyword_lists(spark, scratch):
     assert h[1]["hits_ja"] == 2 and h[1]["hits_zh"] == 1 and h[2]["hits_ja"] == 0
     pairs = normalise_terms(long, "ja")
     assert ("en", "ja", "Corona", "コロナ") in pairs and ("es", "ja", "Neumonía", "肺炎") in pairs
+
+
+def test_recent_ledger_prunes_partitions(spark, scratch):
+    df = spark.createDataFrame([("p1", 0), ("p2", 4)], "page_path string, status int")
+    K.append_ledger(df, f"{scratch}/led", "extract")
+    K.append_ledger(df, f"{scratch}/led", "translate_ja")
+    led = K.read_recent_ledger(spark, f"{scratch}/led", "extract", days=7)
+    assert led.count() == 2
+    plan = led._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "stage" in plan and "day" in plan
