@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from docflow.constants import PART_LIMIT, STATUS_OK, STATUS_SHORT
 from docflow.operators.joins import hot_split_join
-from docflow.operators.packing import explode_parts, reassemble
+from docflow.operators.packing import pack, reassemble
 
 TranslateFn = Callable[[pd.DataFrame], pd.Series]
 
@@ -100,27 +100,40 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
     and a different language are packed, translated and put back together;
     same-language items pass unchanged; others keep their status and no
     text.  Output: key, to_lang, status (3 when the result is <= 1 char),
-    n_parts, translated."""
-    base = items.select(key, "src_lang", "to_lang", "status", text)
-    todo = base.filter((F.col("status") == STATUS_OK) & (F.col("src_lang") != F.col("to_lang")))
-    parts = explode_parts(todo.withColumnRenamed("src_lang", "from_lang"), [key, "from_lang", "to_lang"], text, limit)
+    n_parts, translated.
+
+    The items are read once: a single projection turns each item into its
+    parts (to translate) or into one row (same language / other status);
+    that table is checkpointed and every branch below reads it."""
+    todo = (F.col("status") == STATUS_OK) & (F.col("src_lang") != F.col("to_lang"))
+    same = (F.col("status") == STATUS_OK) & (F.col("src_lang") == F.col("to_lang"))
+    piece = "struct<part_no:int,part:string>"
+    pieces = F.when(todo, F.transform(pack(text, limit), lambda p, i: F.struct(i.alias("part_no"), p.alias("part")))) \
+        .when(same, F.array(F.struct(F.lit(-1).alias("part_no"), F.col(text).alias("part")))) \
+        .otherwise(F.array().cast(f"array<{piece}>"))
+    kind = F.when(todo, F.lit("todo")).when(same, F.lit("same")).otherwise(F.lit("rest"))
+    rows = items.select(key, F.col("src_lang").alias("from_lang"), "to_lang", "status", kind.alias("_kind"),
+                        F.explode_outer(pieces).alias("_p")) \
+        .select(key, "from_lang", "to_lang", "status", "_kind", "_p.part_no", "_p.part")
     if checkpoint:
-        # Parts feed both the distinct-part translation and the join back;
-        # writing them once to the shared checkpoint folder avoids packing
-        # twice and makes the translation restartable from here.
-        parts = parts.checkpoint(eager=True)
+        # One read of the items; the parts feed the distinct-part
+        # translation and the join back, so they are written once to the
+        # shared checkpoint folder (and the step restarts from here).
+        rows = rows.checkpoint(eager=True)
+    is_todo = F.col("_kind") == "todo"
+    parts = rows.filter(is_todo & F.col("part_no").isNotNull()).select(key, "from_lang", "to_lang", "part_no", "part")
     tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint)
-    back = reassemble(tr.select(key, "to_lang", "part_no", F.col("translated").alias("part")), [key, "to_lang"])
-    done = (todo.select(key, "to_lang", "status").join(back, [key, "to_lang"], "left")
-            .select(key, "to_lang", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),
-                    F.coalesce(F.col("text"), F.lit("")).alias("translated")))
-    same = (base.filter((F.col("status") == STATUS_OK) & (F.col("src_lang") == F.col("to_lang")))
-            .select(key, "to_lang", F.lit(None).cast("long").alias("n_parts"), F.col(text).alias("translated")))
-    ok = done.unionByName(same).withColumn(
+    back = reassemble(tr.select(key, "to_lang", "part_no", F.col("translated").alias("part")), [key, "to_lang"]) \
+        .select(key, "to_lang", "n_parts", F.col("text").alias("translated"))
+    empty = rows.filter(is_todo & F.col("part_no").isNull()) \
+        .select(key, "to_lang", F.lit(0).cast("long").alias("n_parts"), F.lit("").alias("translated"))
+    same_rows = rows.filter(F.col("_kind") == "same") \
+        .select(key, "to_lang", F.lit(None).cast("long").alias("n_parts"), F.col("part").alias("translated"))
+    ok = back.unionByName(empty).unionByName(same_rows).withColumn(
         "status", F.when(F.length("translated") <= 1, F.lit(STATUS_SHORT)).otherwise(F.lit(STATUS_OK)))
-    rest = (base.filter(F.col("status") != STATUS_OK)
-            .select(key, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
-                    F.lit(None).cast("string").alias("translated")))
+    rest = rows.filter(F.col("_kind") == "rest") \
+        .select(key, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
+                F.lit(None).cast("string").alias("translated"))
     return ok.select(key, "to_lang", "status", "n_parts", "translated").unionByName(rest)
 
 
