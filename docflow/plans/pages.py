@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docflow.functions import html as H
 from docflow.functions.paths import URL_RE, url_host, url_path
 from docflow.functions.similarity import edit_distance, text_overlap
 from docflow.operators.pages import blocks_table, page_features
