@@ -1,21 +1,26 @@
-"""Queries over ``pages``."""
+"""Queries over ``pages`` (X2-X5, A2, F1, F3, F8, F12, F13, P6, P9, A9, J6,
+J7, K1, K8)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docflow.constants import COVID_KEYWORDS
 from docflow.functions.paths import URL_RE, url_host, url_path
 from docflow.functions.similarity import edit_distance, text_overlap
+from docflow.functions.text import keyword_flag
+from docflow.operators.latest import index_records
 from docflow.operators.pages import blocks_table, page_features
 from docflow.operators.routing import density_ok, page_status
 from docflow.plans.common import read
-from docflow.plans.sqlparts import blocks_cte, features_cte, heading_cte
+from docflow.plans.sqlparts import blocks_cte, features_cte, heading_cte, keyword_sql, q, status_sql
 
 # Keyword list for the status queries over the synthetic pages: the real
 # list (constants.COVID_KEYWORDS) never occurs in them, which would leave
 # every page at status 1.  A frequent fragment exercises the whole cascade.
 PAGE_KEYWORDS = ["tion"]
 TO_LANG = "ja"
+STATUS_FEATURES = ["html_lang", "content_num", "link_num", "text", "n_lines"]
 
 
 def q_page_blocks(spark, sf):
@@ -49,9 +54,6 @@ def q_density_filter(spark, sf):
             .select("page_id", "content_num", "link_num", "keep"))
 
 
-STATUS_FEATURES = ["html_lang", "content_num", "link_num", "text", "n_lines"]
-
-
 def page_status_rows(spark, sf, to_lang=TO_LANG, keywords=PAGE_KEYWORDS):
     f = page_features(read(spark, sf, "pages"), features=STATUS_FEATURES)
     return page_status(f, to_lang, keywords)
@@ -86,60 +88,9 @@ def q_title_similarity(spark, sf):
         F.round(text_overlap("title", "first_par"), 6).alias("title_par_overlap"))
 
 
-_B = blocks_cte()
-_HD = heading_cte()
-_FEAT = features_cte()
-
-SQL = {
-    "page_blocks": f"WITH {_B} SELECT page_id, pos, tag, is_link, text FROM blk",
-    "block_counts": f"WITH {_B}, {_HD}, {_FEAT} SELECT page_id, title, content_num, link_num FROM feat",
-    "page_headings": f"WITH {_B}, {_HD}, {_FEAT} SELECT page_id, first_par, first_h1, main_heading, heading_level FROM feat",
-    "link_flags": f"WITH {_B}, {_HD}, {_FEAT} SELECT page_id, link_list, link_dominated FROM feat",
-    "density_filter": f"""WITH {_B}, {_HD}, {_FEAT}
-        SELECT page_id, content_num, link_num,
-               (NOT ((content_num + 1) / (content_num + link_num + 1) < 0.2) OR coalesce(region = 'my', false)) AS keep
-        FROM feat2""",
-    "page_status": None,  # filled below (needs the status SQL)
-    "url_parts": None,
-}
-
-QUERIES = {
-    "page_blocks": q_page_blocks,
-    "block_counts": q_block_counts,
-    "page_headings": q_page_headings,
-    "link_flags": q_link_flags,
-    "density_filter": q_density_filter,
-    "page_status": q_page_status,
-    "url_parts": q_url_parts,
-    "title_similarity": q_title_similarity,
-}
-
-
-def _status_sql():
-    from docflow.plans.sqlparts import keyword_sql, status_sql
-    st = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
-                    "content_num", "link_num", "n_lines", "length(text)", region="region")
-    return f"WITH {_B}, {_HD}, {_FEAT} SELECT src_lang, {st} AS status, count(*) AS n FROM feat2 GROUP BY ALL"
-
-
-_URL_RE = URL_RE
-SQL["page_status"] = _status_sql()
-SQL["url_parts"] = f"""
-WITH u AS (
-  SELECT page_id, url,
-         lower(regexp_replace(regexp_replace(regexp_extract(url, '{_URL_RE}', 2), '\\A.*@', ''), ':[0-9]*\\z', '')) AS site,
-         regexp_extract(url, '{_URL_RE}', 3) AS path
-  FROM pages)
-SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
-       site || regexp_replace(path, '([^/])\\.[^./]+\\z', '\\1') AS feature
-FROM u"""
-
-
 def q_extracted(spark, sf):
     """K1 record of the extraction stage: region, site, counts, keyword flag
     with the original keyword list, line count, text digest."""
-    from docflow.constants import COVID_KEYWORDS
-    from docflow.functions.text import keyword_flag
     f = page_features(read(spark, sf, "pages"), features=STATUS_FEATURES)
     return f.select("page_id", "region", "site", "content_num", "link_num",
                     keyword_flag("text", COVID_KEYWORDS).alias("keyword_flag"),
@@ -148,9 +99,8 @@ def q_extracted(spark, sf):
 
 def q_index_pages(spark, sf):
     """K8 + K6 record fields: pages that reached status 0 and have a URL
-    become index records (id = site + path, url, region, text digest); the
-    rest are skipped."""
-    from docflow.operators.latest import index_records
+    become index records (id = region/site/path, url, region, text digest);
+    the rest are skipped."""
     s = page_status_rows(spark, sf)
     # status 0 implies a non-empty text, so the items carry it (one pass)
     items = s.filter(F.col("status") == 0).select("page_id", "region", "site", F.md5("text").alias("text_md5"))
@@ -160,25 +110,47 @@ def q_index_pages(spark, sf):
                       "url", "region", "text_md5")
 
 
-QUERIES["extracted"] = q_extracted
-QUERIES["index_pages"] = q_index_pages
+QUERIES = {
+    "page_blocks": q_page_blocks,
+    "block_counts": q_block_counts,
+    "page_headings": q_page_headings,
+    "link_flags": q_link_flags,
+    "density_filter": q_density_filter,
+    "page_status": q_page_status,
+    "url_parts": q_url_parts,
+    "title_similarity": q_title_similarity,
+    "extracted": q_extracted,
+    "index_pages": q_index_pages,
+}
 
+# ---------------------------------------------------------------- oracles
+_FEAT = f"WITH {blocks_cte()}, {heading_cte()}, {features_cte()}"
+_SITE = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(URL_RE)}, 2), '\\A.*@', ''), "
+         f"':[0-9]*\\z', ''))")
+_PATH = f"regexp_extract(url, {q(URL_RE)}, 3)"
+_STATUS = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
+                     "content_num", "link_num", "n_lines", "length(text)", region="region")
 
-def _more_sql():
-    from docflow.constants import COVID_KEYWORDS
-    from docflow.plans.sqlparts import keyword_sql, q, status_sql
-    site = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(_URL_RE)}, 2), '\\A.*@', ''), "
-            f"':[0-9]*\\z', ''))")
-    st = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
-                    "content_num", "link_num", "n_lines", "length(text)", region="region")
-    SQL["extracted"] = f"""WITH {_B}, {_HD}, {_FEAT}
-        SELECT page_id, region, {site} AS site, content_num, link_num,
+SQL = {
+    "page_blocks": f"WITH {blocks_cte()} SELECT page_id, pos, tag, is_link, text FROM blk",
+    "block_counts": f"{_FEAT} SELECT page_id, title, content_num, link_num FROM feat",
+    "page_headings": f"{_FEAT} SELECT page_id, first_par, first_h1, main_heading, heading_level FROM feat",
+    "link_flags": f"{_FEAT} SELECT page_id, link_list, link_dominated FROM feat",
+    "density_filter": f"""{_FEAT}
+        SELECT page_id, content_num, link_num,
+               (NOT ((content_num + 1) / (content_num + link_num + 1) < 0.2) OR coalesce(region = 'my', false)) AS keep
+        FROM feat2""",
+    "page_status": f"{_FEAT} SELECT src_lang, {_STATUS} AS status, count(*) AS n FROM feat2 GROUP BY ALL",
+    "url_parts": f"""
+        WITH u AS (SELECT page_id, {_SITE} AS site, {_PATH} AS path FROM pages)
+        SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
+               site || regexp_replace(path, '([^/])\\.[^./]+\\z', '\\1') AS feature
+        FROM u""",
+    "extracted": f"""{_FEAT}
+        SELECT page_id, region, {_SITE} AS site, content_num, link_num,
                {keyword_sql('text', COVID_KEYWORDS)} AS keyword_flag, CAST(n_lines AS BIGINT) AS n_lines,
-               md5(text) AS text_md5 FROM feat2"""
-    SQL["index_pages"] = f"""WITH {_B}, {_HD}, {_FEAT}
-        SELECT page_id, concat_ws('/', region, {site}, regexp_extract(url, {q(_URL_RE)}, 3)) AS record_id,
-               url, region, md5(text) AS text_md5
-        FROM feat2 WHERE {st} = 0 AND url IS NOT NULL"""
-
-
-_more_sql()
+               md5(text) AS text_md5 FROM feat2""",
+    "index_pages": f"""{_FEAT}
+        SELECT page_id, concat_ws('/', region, {_SITE}, {_PATH}) AS record_id, url, region, md5(text) AS text_md5
+        FROM feat2 WHERE {_STATUS} = 0 AND url IS NOT NULL""",
+}

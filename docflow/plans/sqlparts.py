@@ -6,7 +6,9 @@ regexes, written for RE2, applied with SQL set operations instead of arrays.
 
 from __future__ import annotations
 
+from docflow.constants import JA_SITE_SUFFIXES, REGION_LANG, ROUTE_SOURCES
 from docflow.functions import html as H
+from docflow.functions.paths import URL_RE
 from docflow.functions.regex import STRIP
 
 
@@ -39,7 +41,6 @@ def latin(x: str) -> str:
 
 
 def clean_ja(x: str) -> str:
-    from docflow.constants import JA_SITE_SUFFIXES
     ja = strip(f"regexp_replace({strip(x)}, {q('[ 　' + chr(9) + ']')}, '', 'g')")
     for s in JA_SITE_SUFFIXES:
         ja = f"replace({ja}, {q(s)}, '')"
@@ -75,7 +76,6 @@ head AS (
 
 def features_cte(key: str = "page_id") -> str:
     """CTE ``feat``: per-page features matching ``page_features``."""
-    from docflow.constants import REGION_LANG
     lang_case = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in REGION_LANG.items())
     title = tag_text(f"regexp_extract(p.html, {q(H.TITLE)}, 1)")
     return f"""
@@ -116,20 +116,16 @@ feat2 AS (
   FROM feat)"""
 
 
-from docflow.functions.paths import URL_RE  # noqa: E402
-
 
 def norm_lang(x: str) -> str:
     return f"(CASE WHEN contains(lower({x}), 'cn') THEN 'zh' ELSE lower({x}) END)"
 
 
 def keyword_sql(x: str, keywords) -> str:
-    from docflow.plans.sqlparts import q as _q
-    return "(" + " OR ".join(f"contains({x}, {_q(k)})" for k in dict.fromkeys(keywords)) + ")"
+    return "(" + " OR ".join(f"contains({x}, {q(k)})" for k in dict.fromkeys(keywords)) + ")"
 
 
 def route_sql(src: str, to: str) -> str:
-    from docflow.constants import ROUTE_SOURCES
     arms = " ".join(f"WHEN {q(t)} THEN [{', '.join(q(s) for s in srcs)}]" for t, srcs in ROUTE_SOURCES.items())
     return f"coalesce(list_contains(CASE {to} {arms} END, {src}), false)"
 
