@@ -26,22 +26,32 @@ from docflow.operators.latest import first_version, index_records, latest_versio
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
 from docflow.operators.translate import TranslateFn, passthrough, translate_items, translate_posts
+from docflow.sinks.tables import append_ledger, write_extracted
+from docflow.sources.files import read_named_files
+from docflow.sources.manifests import parse_manifests, recent_lines
+from docflow.streaming.incremental import file_stream, run_batches
 
 
-def extract_flow(lines: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
+def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataFrame | None = None,
                  quota: int = K.EXTRACT_SITE_QUOTA, keywords=K.COVID_KEYWORDS,
                  h1_sites=K.H1_PREPEND_SITES) -> tuple[DataFrame, DataFrame]:
     """``lines``: from ``sources.manifests.recent_pages`` (page_path, region,
     site, ordinal).  ``pages``: (file_path, mtime, html), e.g. from
-    ``sources.files.scan_pages``.  ``ledger``: earlier extract lines
+    ``sources.files.scan_pages``; None reads just the listed files
+    (``sources.files.read_named_files``).  ``ledger``: earlier extract lines
     (page_path).  The quota counts lines before the ledger is consulted, as
     the original did (Q7).  Returns (records, ledger lines)."""
     todo = L.site_quota(lines, "site", ["ordinal"], quota).drop("rank")
     todo = todo.dropDuplicates(["page_path"])
     if ledger is not None:
         todo = L.unprocessed(todo, ledger, "page_path")
-    src = pages.select(F.col("file_path").alias("page_path"), "mtime", "html")
-    joined = todo.select("page_path", "region", "site").join(src, "page_path", "inner")
+    if pages is None:
+        joined = read_named_files(todo.select("page_path", "region", "site")) \
+            .filter(F.col("html").isNotNull()) \
+            .withColumn("mtime", F.timestamp_seconds("mtime_s")).drop("mtime_s")
+    else:
+        src = pages.select(F.col("file_path").alias("page_path"), "mtime", "html")
+        joined = todo.select("page_path", "region", "site").join(src, "page_path", "inner")
     f = page_features(joined, key="page_path", url=None,
                       features=["title", "text", "content_num", "link_num", "first_h1"])
     f = f.join(joined.select("page_path", "region", "site", "mtime"), "page_path")
@@ -116,3 +126,36 @@ def posts_flow(posts: DataFrame, ledger: DataFrame | None, to_lang: str, n: int
     todo = posts if ledger is None else L.unprocessed(posts, ledger, "post_path")
     todo = L.head_tail(todo, ["ordinal", "post_path"], n)
     return translate_posts(todo, "post_path", "text", "lang", to_lang, translate_fn)
+
+
+def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_path: str, checkpoint: str,
+                   days: int = K.EXTRACT_DAY_WINDOW, quota: int = K.EXTRACT_SITE_QUOTA, region: str | None = None,
+                   name_glob: str = "*.txt", max_files_per_trigger: int | None = None, once: bool = True,
+                   today=None):
+    """W1 for the extract loop: new manifest files as a stream; per
+    micro-batch the lines of the day window, the per-site quota, the ledger
+    anti-join, the listed pages read on the executors, extraction, then the
+    records (partitioned by region) and ledger lines written by batch id."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField("value", StringType())])
+    s = file_stream(spark, manifest_dir, schema, fmt="text", glob=name_glob,
+                    max_files_per_trigger=max_files_per_trigger)
+    s = s.select("value", F.col("_metadata.file_name").alias("file_name"))
+
+    def batch(df: DataFrame, batch_id: int):
+        lines = recent_lines(parse_manifests(df), days, root, region, today)
+        try:
+            led = spark.read.parquet(ledger_path).filter(F.col("batch_id") != batch_id).select("page_path")
+        except Exception as e:  # no ledger yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            led = None
+        rec, led_lines = extract_flow(lines, None, led, quota=quota)
+        rec = rec.persist()
+        try:
+            write_extracted(rec, out_path, batch_id=batch_id)
+            append_ledger(rec, ledger_path, "extract", batch_id=batch_id)
+        finally:
+            rec.unpersist()
+
+    return run_batches(s, batch, checkpoint, once=once)

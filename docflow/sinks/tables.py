@@ -51,8 +51,9 @@ def append_ledger(df: DataFrame, path: str, stage: str, key: str = "page_path",
     partitioned by stage and day, so a reader that only needs recent lines
     (``read_recent_ledger``) prunes whole folders instead of re-reading a
     ledger that grows forever."""
+    st = F.col(status).cast("int") if status in df.columns else F.lit(0)
     cols = [F.col(key).alias("page_path"), F.lit(stage).alias("stage"),
-            F.col(status).cast("int").alias("status"), F.current_timestamp().alias("processed_at"),
+            st.alias("status"), F.current_timestamp().alias("processed_at"),
             F.current_date().alias("day"), *[F.col(c) for c in extra]]
     _write(df.select(*cols), path, ["stage", "day"], batch_id)
 

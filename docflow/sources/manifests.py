@@ -25,6 +25,12 @@ def manifest_lines(spark: SparkSession, folder: str, name_glob: str = "*.txt") -
     lines stripped, blank lines dropped."""
     df = (spark.read.option("pathGlobFilter", name_glob).text(folder, wholetext=True)
           .withColumn("file_name", F.col("_metadata.file_name")))
+    return parse_manifests(df)
+
+
+def parse_manifests(df: DataFrame) -> DataFrame:
+    """(value = whole manifest, file_name) -> numbered, stripped, non-blank
+    lines.  Shared by the batch reader and the manifest stream."""
     df = df.select("file_name",
                    F.try_to_date(F.regexp_extract("file_name", DATE_IN_NAME, 1), "yyyy-MM-dd").alias("file_date"),
                    F.posexplode(F.split("value", "\n", -1)).alias("line_no", "page_path"))
@@ -37,9 +43,14 @@ def recent_pages(spark: SparkSession, folder: str, days: int, root: str, region:
     """S3: lines of manifests dated within the last ``days`` days (today
     included), of one region (exact folder match), with their site; lines
     without a site are dropped.  ``ordinal`` orders newest day first."""
+    return recent_lines(manifest_lines(spark, folder, name_glob), days, root, region, today)
+
+
+def recent_lines(df: DataFrame, days: int, root: str, region: str | None = None,
+                 today: dt.date | None = None) -> DataFrame:
+    """S3 on parsed manifest lines (batch or one micro-batch)."""
     today = today or dt.date.today()
     first = today - dt.timedelta(days=days - 1)
-    df = manifest_lines(spark, folder, name_glob)
     df = df.filter((F.col("file_date") >= F.lit(first)) & (F.col("file_date") <= F.lit(today)))
     df = df.withColumn("region", region_of("page_path", root)).withColumn("site", site_of("page_path", root))
     if region:

@@ -29,6 +29,8 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     bounds one micro-batch (the original's per-poll quota); ``max_file_age``
     ignores files older than the day window (W2)."""
     r = spark.readStream.format(fmt).schema(schema)
+    if fmt == "text":
+        r = r.option("wholetext", "true")      # a manifest file is one row
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:

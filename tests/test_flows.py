@@ -71,3 +71,31 @@ def test_posts_flow(spark):
     out = flows.posts_flow(posts, done, "ja", n=3)
     got = sorted(r["post_path"] for r in out.collect())
     assert got == ["/t/1", "/t/2", "/t/3", "/t/7", "/t/8", "/t/9"]
+
+
+def test_extract_stream_takes_each_page_once(spark, scratch):
+    root, man = f"{scratch}/html", f"{scratch}/manifests"
+    paths = _tree(root, man)
+    out, led, ck = f"{scratch}/extracted", f"{scratch}/ledger", f"{scratch}/ck"
+    flows.extract_stream(spark, man, root, out, led, ck, today=dt.date(2024, 1, 9))
+    got = spark.read.parquet(out)
+    assert sorted(r["page_path"] for r in got.collect()) == sorted(paths)
+    assert got.filter(F.col("region") == "jp").first()["text"] == "新型コロナ\nコロナの情報です"
+    # a new manifest naming one old and one new page: only the new one is extracted
+    new = f"{root}/jp/orig/www.a.jp/news/2024/01/09-13-00/p5.html"
+    _w(new, "<p>コロナ 5</p>")
+    _w(f"{man}/new-html-files-2024-01-09-13.txt", paths[0] + "\n" + new + "\n")
+    flows.extract_stream(spark, man, root, out, led, ck, today=dt.date(2024, 1, 9))
+    got = spark.read.parquet(out)
+    assert got.count() == 5 and got.filter(F.col("page_path") == new).count() == 1
+    assert spark.read.parquet(led).select("page_path").distinct().count() == 5
+
+
+def test_read_named_files(spark, scratch):
+    p = f"{scratch}/a.html"
+    with open(p, "wb") as fh:
+        fh.write(b"<p>ok\xff</p>")
+    df = spark.createDataFrame([(p,), (f"{scratch}/missing.html",)], "page_path string")
+    rows = {r["page_path"]: r for r in S.read_named_files(df).collect()}
+    assert rows[p]["html"] == "<p>ok</p>" and rows[p]["mtime_s"] > 0
+    assert rows[f"{scratch}/missing.html"]["html"] is None
