@@ -54,12 +54,29 @@ def dictionary_translator(pairs: list[tuple[str, str, str, str]]) -> TranslateFn
     return fn
 
 
+def _call(fn: TranslateFn, b: pd.DataFrame) -> pd.Series:
+    """Translate a batch; if the function fails on it, retry part by part
+    and give '' for the parts that still fail (the original's rule: a
+    failed part is empty, the others go on)."""
+    cols = b[["from_lang", "to_lang", "part"]]
+    try:
+        return fn(cols)
+    except Exception:
+        out = []
+        for i in range(len(cols)):
+            try:
+                out.append(fn(cols.iloc[i:i + 1]).iloc[0])
+            except Exception:
+                out.append("")
+        return pd.Series(out, index=b.index, dtype=object)
+
+
 def _apply(fn: TranslateFn):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
             if len(b) == 0:
                 continue
-            res = fn(b[["from_lang", "to_lang", "part"]])
+            res = _call(fn, b)
             yield pd.DataFrame({"from_lang": b["from_lang"], "to_lang": b["to_lang"], "part": b["part"],
                                 "translated": res.astype(object).where(res.notna(), ""), "n_refs": b["n_refs"]})
     return run
@@ -67,11 +84,13 @@ def _apply(fn: TranslateFn):
 
 def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
                     memory: DataFrame | None = None, hot_refs: int = 10_000,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, memory_out: str | None = None) -> DataFrame:
     """Translate a table of parts (… from_lang, to_lang, part) and add
     ``translated``.  ``memory`` (from_lang, to_lang, part, translated) holds
     earlier results; only misses reach ``translate_fn``.  A failed part
-    becomes '' (the original's rule)."""
+    becomes '' (the original's rule).  ``memory_out``: append the new,
+    non-empty translations there (Parquet by language pair), so a later run
+    finds them in its memory."""
     key = ["from_lang", "to_lang", "part"]
     uniq = parts.groupBy(*key).agg(F.count(F.lit(1)).alias("n_refs"))
     if memory is not None:
@@ -83,17 +102,21 @@ def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
         hits, misses = None, uniq
     new = misses.mapInPandas(_apply(translate_fn),
                              "from_lang string, to_lang string, part string, translated string, n_refs long")
-    done = new if hits is None else hits.select(*key, "translated", "n_refs").unionByName(new)
     if checkpoint:
         # Translation is the costly, external step: run it once, cut lineage,
         # and keep the result on the shared checkpoint folder.
-        done = done.checkpoint(eager=True)
+        new = new.checkpoint(eager=True)
+    if memory_out:
+        (new.filter(F.col("translated") != "").select(*key, "translated").write.mode("append")
+         .partitionBy("from_lang", "to_lang").parquet(memory_out))
+    done = new if hits is None else hits.select(*key, "translated", "n_refs").unionByName(new)
     return hot_split_join(parts, done, key, refs="n_refs", hot_refs=hot_refs)
 
 
 def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn: TranslateFn = passthrough,
                     memory: DataFrame | None = None, limit: int = PART_LIMIT,
-                    hot_refs: int = 10_000, checkpoint: bool = True) -> DataFrame:
+                    hot_refs: int = 10_000, checkpoint: bool = True,
+                    memory_out: str | None = None) -> DataFrame:
     """U1 over items that passed the status cascade.
 
     ``items``: key, src_lang, to_lang, status, text.  Items with status 0
@@ -122,7 +145,7 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
         rows = rows.checkpoint(eager=True)
     is_todo = F.col("_kind") == "todo"
     parts = rows.filter(is_todo & F.col("part_no").isNotNull()).select(key, "from_lang", "to_lang", "part_no", "part")
-    tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint)
+    tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint, memory_out)
     back = reassemble(tr.select(key, "to_lang", "part_no", F.col("translated").alias("part")), [key, "to_lang"]) \
         .select(key, "to_lang", "n_parts", F.col("text").alias("translated"))
     empty = rows.filter(is_todo & F.col("part_no").isNull()) \

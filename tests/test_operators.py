@@ -192,3 +192,26 @@ def test_post_text_first_paragraph(spark):
     df = spark.createDataFrame([("<p>hello <b>#tag</b></p><p>two</p>",), ("<p></p><p>late</p>",), ("<div>x</div>",)],
                                "html string")
     assert [r[0] for r in df.select(post_text("html")).collect()] == ["hello #tag", "", ""]
+
+
+def test_failed_part_is_empty_and_memory_grows(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(b: pd.DataFrame) -> pd.Series:
+        calls.add(len(b))
+        if (b["part"] == "boom").any():
+            raise RuntimeError("service error")
+        return b["part"].str.upper()
+    rows = [(1, "fr", "ja", 0, "boom"), (2, "fr", "ja", 0, "fine"), (3, "fr", "ja", 0, "boom\n" + "x" * 300)]
+    items = spark.createDataFrame(rows, "doc_id long, src_lang string, to_lang string, status int, text string")
+    mem = str(tmp_path / "tm")
+    out = {r["doc_id"]: r for r in translate_items(items, "doc_id", translate_fn=fn, memory_out=mem).collect()}
+    assert out[1]["translated"] == "" and out[1]["status"] == 3          # failed part -> '' -> too short
+    assert out[2]["translated"] == "FINE"
+    assert out[3]["translated"] == "\n" + "X" * 300                       # the failed part is empty, the other kept
+    first = calls.value
+    memory = spark.read.parquet(mem)
+    assert {r["part"] for r in memory.collect()} == {"fine", "x" * 300}
+    out2 = {r["doc_id"]: r for r in translate_items(items, "doc_id", translate_fn=fn, memory=memory).collect()}
+    assert out2[2]["translated"] == "FINE"
+    assert calls.value - first <= 2                                       # only the failing part is asked again
