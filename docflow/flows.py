@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from docflow import constants as K
 from docflow.functions.text import keyword_flag
 from docflow.operators import ledger as L
-from docflow.operators.latest import first_version, index_records, latest_version
+from docflow.functions.paths import page_parts
+from docflow.operators.latest import first_version, index_record, index_records, latest_version
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
 from docflow.operators.translate import TranslateFn, passthrough, translate_items, translate_posts
@@ -92,17 +93,22 @@ def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
     return out, led
 
 
-def index_flow(translated: DataFrame, urls: DataFrame, parts: DataFrame, arrival: str = "arrival",
-               history: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str = "arrival",
+               history: DataFrame | None = None, tz: str = "UTC") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``translated``: (page_path, to_lang, status, translated, ``arrival``)
     where ``arrival`` orders writes (e.g. batch id); ``urls``:
-    (page_path, url); ``parts``: (page_path, record_id, ts_local, ts_utc)
-    from ``functions.paths.page_parts``.  Records need a URL and a text
-    (K8); ``history`` holds earlier records.  Returns (newest-version table,
-    first-version table, skipped)."""
+    (page_path, url).  Records need a URL and a text (K8); each becomes the
+    original's index document (``latest.index_record``), keyed by
+    record_id = region/site/path/name and the target language; ``history``
+    holds earlier records.  Returns (newest-version table, first-version
+    table, skipped)."""
     ok = translated.filter((F.col("status") == K.STATUS_OK) & F.col("translated").isNotNull())
-    rec, skipped = index_records(ok.select("page_path", "to_lang", "translated", F.col(arrival).alias("arrival")),
-                                 urls, parts, "page_path")
+    ok = ok.select("page_path", "to_lang", "translated", F.col(arrival).alias("arrival"),
+                   page_parts("page_path", root, tz).alias("_p"))
+    rec, skipped = index_records(ok, urls, None, "page_path")
+    rec = rec.select("page_path", "to_lang", "arrival", F.col("_p.record_id").alias("record_id"),
+                     F.col("_p.ts_local").alias("ts_local"),
+                     index_record("translated", "_p", "url").alias("record"))
     hist = rec if history is None else history.unionByName(rec, allowMissingColumns=True)
     key = F.concat_ws("|", "to_lang", "record_id")
     hist = hist.withColumn("_id", key)

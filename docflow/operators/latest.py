@@ -46,6 +46,20 @@ def index_records(items: DataFrame, urls: DataFrame, texts: DataFrame | None, ke
     return rec, skipped
 
 
+def index_record(text, parts, url) -> "F.Column":
+    """The index document of a page, as the original built it: text,
+    region, domain (site), path, the time fields of the crawl folder
+    (year, month, day, hh, mm, local, utc), file name and URL.  ``parts`` is
+    the struct from ``functions.paths.page_parts``."""
+    c = (lambda x: F.col(x) if isinstance(x, str) else x)
+    p = c(parts)
+    ts = F.struct(p["year"].alias("year"), p["month"].alias("month"), p["day"].alias("day"),
+                  p["hh"].alias("hh"), p["mm"].alias("mm"), p["ts_local"].alias("local"), p["ts_utc"].alias("utc"))
+    return F.struct(c(text).alias("text"), p["region"].alias("region"), p["site"].alias("domain"),
+                    p["path"].alias("path"), ts.alias("timestamp"), p["filename"].alias("filename"),
+                    c(url).alias("url"))
+
+
 def newer_than(candidates: DataFrame, current: DataFrame, key: str, ts: str) -> DataFrame:
     """The newer-than gate of K6 as a join: candidates whose id is absent
     from ``current`` or whose ``ts`` is strictly later."""

@@ -51,6 +51,8 @@ def build_session(master: str | None = None, app: str = "docflow",
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # remove checkpoint files of data that is no longer referenced
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in RUNTIME_CONF.items():
         b = b.config(k, v)
     if cluster:
