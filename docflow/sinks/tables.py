@@ -7,6 +7,8 @@ through log files.  Appends are safe to repeat when a ``batch_id`` is given
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +52,11 @@ def append_ledger(df: DataFrame, path: str, stage: str, key: str = "page_path",
     """Ledger lines (key, stage, status, processed_at, day, extra...),
     partitioned by stage and day, so a reader that only needs recent lines
     (``read_recent_ledger``) prunes whole folders instead of re-reading a
-    ledger that grows forever."""
+    ledger that grows forever.  Lines always carry a ``batch_id`` (streams
+    pass theirs; a batch run gets a new time-based one), so every writer
+    shares one folder layout and a repeated batch replaces its own lines."""
+    if batch_id is None:
+        batch_id = time.time_ns() // 1000
     st = F.col(status).cast("int") if status in df.columns else F.lit(0)
     cols = [F.col(key).alias("page_path"), F.lit(stage).alias("stage"),
             st.alias("status"), F.current_timestamp().alias("processed_at"),

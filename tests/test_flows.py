@@ -99,3 +99,25 @@ def test_read_named_files(spark, scratch):
     rows = {r["page_path"]: r for r in S.read_named_files(df).collect()}
     assert rows[p]["html"] == "<p>ok</p>" and rows[p]["mtime_s"] > 0
     assert rows[f"{scratch}/missing.html"]["html"] is None
+
+
+def test_jobs_end_to_end(spark, scratch):
+    from docflow import jobs
+    root, man = f"{scratch}/html", f"{scratch}/manifests"
+    paths = _tree(root, man)
+    t = f"{scratch}/tables"
+    a = jobs.parser().parse_args(["extract", "--root", root, "--manifests", man, "--out", f"{t}/extracted",
+                                  "--ledger", f"{t}/ledger", "--checkpoint", f"{t}/ck", "--days", "100000"])
+    jobs.run_extract(spark, a)
+    assert spark.read.parquet(f"{t}/extracted").count() == len(paths)
+    a = jobs.parser().parse_args(["translate", "--extracted", f"{t}/extracted", "--ledger", f"{t}/ledger",
+                                  "--to", "en", "--out", f"{t}/translated"])
+    jobs.run_translate(spark, a)
+    tr = spark.read.parquet(f"{t}/translated")
+    assert tr.count() == len(paths) and tr.filter("status = 0").count() >= 2
+    jobs.run_translate(spark, a)                     # second run: everything is in the ledger
+    assert spark.read.parquet(f"{t}/translated").count() == len(paths)
+    a = jobs.parser().parse_args(["index", "--translated", f"{t}/translated", "--root", root,
+                                  "--history", f"{t}/index", "--run-id", "1"])
+    jobs.run_index(spark, a)
+    assert spark.read.parquet(f"{t}/index/newest-1").count() >= 2
