@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from docflow import constants as K
 from docflow.functions import text as T
-from docflow.functions.regex import WS
 from docflow.functions.similarity import text_overlap
 from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
@@ -92,30 +91,7 @@ QUERIES = {
 }
 
 _q = S.q
-_WS = WS
-
-
-def _words(x):
-    return f"list_distinct(list_filter(string_split_regex({x}, {_q(_WS + '+')}), lambda t: t <> ''))"
-
-
-def _bigrams(x):
-    s = f"regexp_replace({x}, {_q(_WS + '+')}, '', 'g')"
-    return (f"list_distinct(list_filter(list_transform(range(1, greatest(length({s}) - 1, 1) + 1), "
-            f"lambda i: substr({s}, i, 2)), lambda g: length(g) = 2))")
-
-
-def _ov(a, b):
-    m = f"least(len({a}), len({b}))"
-    return f"(CASE WHEN {m} = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / {m} END)"
-
-
-def _text_overlap(x, y):
-    both = f"({x} || {y})"
-    alnum = f"(length({both}) - length(regexp_replace({both}, '[a-zA-Z0-9]', '', 'g')))"
-    nonblank = f"length(replace({both}, ' ', ''))"
-    return (f"(CASE WHEN {alnum} > floor({nonblank} / 2.0) THEN {_ov(_words(x), _words(y))} "
-            f"ELSE {_ov(_bigrams(x), _bigrams(y))} END)")
+_text_overlap = S.text_overlap
 
 
 SQL = {

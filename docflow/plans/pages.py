@@ -14,6 +14,7 @@ from docflow.operators.pages import blocks_table, page_features
 from docflow.operators.routing import density_ok, page_status
 from docflow.plans.common import read
 from docflow.plans.sqlparts import blocks_cte, features_cte, heading_cte, keyword_sql, q, status_sql
+from docflow.plans.sqlparts import text_overlap as overlap_sql
 
 # Keyword list for the status queries over the synthetic pages: the real
 # list (constants.COVID_KEYWORDS) never occurs in them, which would leave
@@ -88,6 +89,12 @@ def q_title_similarity(spark, sf):
         F.round(text_overlap("title", "first_par"), 6).alias("title_par_overlap"))
 
 
+def q_title_overlap(spark, sf):
+    """J6 on a natural pair: page title vs first paragraph."""
+    f = page_features(read(spark, sf, "pages"), url=None, features=["title", "first_par"])
+    return f.select("page_id", F.round(text_overlap("title", "first_par"), 6).alias("title_par_overlap"))
+
+
 def q_extracted(spark, sf):
     """K1 record of the extraction stage: region, site, counts, keyword flag
     with the original keyword list, line count, text digest."""
@@ -119,6 +126,7 @@ QUERIES = {
     "page_status": q_page_status,
     "url_parts": q_url_parts,
     "title_similarity": q_title_similarity,
+    "title_overlap": q_title_overlap,
     "extracted": q_extracted,
     "index_pages": q_index_pages,
 }
@@ -146,6 +154,8 @@ SQL = {
         SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
                site || regexp_replace(path, '([^/])\\.[^./]+\\z', '\\1') AS feature
         FROM u""",
+    "title_overlap": f"""{_FEAT}
+        SELECT page_id, round({overlap_sql('title', 'first_par')}, 6) AS title_par_overlap FROM feat""",
     "extracted": f"""{_FEAT}
         SELECT page_id, region, {_SITE} AS site, content_num, link_num,
                {keyword_sql('text', COVID_KEYWORDS)} AS keyword_flag, CAST(n_lines AS BIGINT) AS n_lines,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from docflow.constants import JA_SITE_SUFFIXES, REGION_LANG, ROUTE_SOURCES
 from docflow.functions import html as H
 from docflow.functions.paths import URL_RE
-from docflow.functions.regex import STRIP
+from docflow.functions.regex import STRIP, WS
 
 
 def q(s: str) -> str:
@@ -142,3 +142,27 @@ def status_sql(src: str, to: str, has_files: str, kw: str, content: str, links:
       WHEN NOT coalesce({src} = {to}, false) AND {n_lines} > {max_lines} THEN 7
       WHEN {text_len} <= 1 THEN 3
       ELSE 0 END)"""
+
+
+# --- token overlap (J6) -----------------------------------------------------
+def _words(x):
+    return f"list_distinct(list_filter(string_split_regex({x}, {q(WS + '+')}), lambda t: t <> ''))"
+
+
+def _bigrams(x):
+    s = f"regexp_replace({x}, {q(WS + '+')}, '', 'g')"
+    return (f"list_distinct(list_filter(list_transform(range(1, greatest(length({s}) - 1, 1) + 1), "
+            f"lambda i: substr({s}, i, 2)), lambda g: length(g) = 2))")
+
+
+def _ov(a, b):
+    m = f"least(len({a}), len({b}))"
+    return f"(CASE WHEN {m} = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / {m} END)"
+
+
+def text_overlap(x, y):
+    both = f"({x} || {y})"
+    alnum = f"(length({both}) - length(regexp_replace({both}, '[a-zA-Z0-9]', '', 'g')))"
+    nonblank = f"length(replace({both}, ' ', ''))"
+    return (f"(CASE WHEN {alnum} > floor({nonblank} / 2.0) THEN {_ov(_words(x), _words(y))} "
+            f"ELSE {_ov(_bigrams(x), _bigrams(y))} END)")
