@@ -176,3 +176,12 @@ def test_recent_ledger_prunes_partitions(spark, scratch):
     assert led.count() == 2
     plan = led._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "stage" in plan and "day" in plan
+
+
+def test_keyword_classes(spark):
+    from docflow.operators.keywords import keyword_classes
+    terms = spark.createDataFrame([("health", "感染"), ("health", "PCR"), ("economy", "経済"), ("empty", "")],
+                                  "class string, term string")
+    docs = spark.createDataFrame([(1, "PCR検査と経済"), (2, "感染"), (3, "none")], "id long, text string")
+    got = {r["id"]: r["keyword_classes"] for r in keyword_classes(docs, "text", terms).collect()}
+    assert got == {1: ["economy", "health"], 2: ["health"], 3: []}
