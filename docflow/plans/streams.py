@@ -4,7 +4,7 @@ from docflow.plans.events import SQL as EV
 from docflow.streaming import incremental as W
 
 QUERIES = {"stream_hourly": W.stream_hourly, "stream_health": W.stream_health,
-           "stream_latest": W.stream_latest, "stream_first": W.stream_first}
+           "stream_latest": W.stream_latest, "stream_first": W.stream_first, "stream_quota": W.stream_quota}
 
 SQL = {
     "stream_hourly": EV["hourly_manifest"],
@@ -12,4 +12,6 @@ SQL = {
         FROM events GROUP BY ALL""",
     "stream_latest": EV["latest_version"],
     "stream_first": EV["first_seen"],
+    "stream_quota": """SELECT event_id, event_type, ts FROM events
+        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 10""",
 }

@@ -194,3 +194,16 @@ def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     process_new(s, "user_id", lambda b: first_version(b, "user_id", "event_id"),
                 f"{base}/out", f"{base}/ledger", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bounded batch per poll: of the new events, at most
+    TRANSLATE_SITE_QUOTA per event type (newest first) are taken; the rest
+    wait for a later poll."""
+    from docflow.constants import TRANSLATE_SITE_QUOTA
+    base = _run_dir(spark, "quota")
+    s = _events_stream(spark, sf_dir).select("event_id", "event_type", "ts")
+    process_new(s, "event_id", lambda b: b, f"{base}/out", f"{base}/ledger", f"{base}/ckpt",
+                quota=("event_type", [F.col("ts").desc(), F.col("event_id").desc()], TRANSLATE_SITE_QUOTA),
+                hot_refs=None)
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
