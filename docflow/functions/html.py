@@ -20,7 +20,7 @@ from docflow.functions.regex import WS_STRING
 # Removed before cutting: comments, scripts, styles and the whole <head>.
 PRE_STRIP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>|<title\b.*?</title>"
 # Opening or closing block-level tag (no <br>): each one starts a new block.
-BLOCK_TAG = (r"(?i)</?(?:p|li|h[1-6]|div|ul|ol|nav|article|section|header|footer"
+BLOCK_TAG = (r"(?i)</?(?:p|li|h[1-9]|div|ul|ol|nav|article|section|header|footer"
              r"|tr|td|table|body|html)\b[^>]*>")
 TAG_NAME = r"^<(/?[a-zA-Z0-9]+)"
 LINK = r"(?i)<a\b"

@@ -155,3 +155,9 @@ def test_prepend_h1(spark):
 def test_entities_decoded_last_amp(spark):
     r = _rows(spark, ["<p>a &amp;lt; b &lt; c&nbsp;d</p>"], H.tag_text(F.col("s")).alias("t"))[0]["t"]
     assert r == "a &lt; b < c d"
+
+
+def test_heading_goes_to_h9(spark):
+    df = spark.createDataFrame([(1, "<h2><a>x</a></h2><h8>Deep</h8><p>t</p>")], "page_id long, html string")
+    f = page_features(df, url=None, features=["main_heading", "heading_level"]).first()
+    assert (f["main_heading"], f["heading_level"]) == ("Deep", 8)
