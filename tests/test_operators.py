@@ -215,3 +215,22 @@ def test_failed_part_is_empty_and_memory_grows(spark, tmp_path):
     out2 = {r["doc_id"]: r for r in translate_items(items, "doc_id", translate_fn=fn, memory=memory).collect()}
     assert out2[2]["translated"] == "FINE"
     assert calls.value - first <= 2                                       # only the failing part is asked again
+
+
+def test_ready_set_on_path_lists(spark):
+    """J2 as the classifier runs it: translated-to-ja ok, translated-to-en
+    ok, block XML done, not yet classified, matched on the feature key
+    (region/site/path/name, stage folder and suffix left out)."""
+    from docflow.functions.paths import feature_key
+    root = "/share/html"
+    p = lambda stage, name, ext: f"{root}/jp/{stage}/www.a.jp/news/2024/01/09-10-00/{name}.{ext}"
+    ja = [p("ja_translated", n, "html") for n in ("a", "b", "c", "d")]
+    en = [p("en_translated", n, "html") for n in ("a", "b", "c")]
+    xml = [p("tmp", n, "block") for n in ("a", "b", "c", "d")]
+    done = [p("ja_translated", "b", "html")]
+
+    def frame(paths):
+        df = spark.createDataFrame([(x,) for x in paths], "path string")
+        return df.withColumn("key", feature_key("path", root))
+    ready = L.ready_set(frame(ja), frame(en), frame(xml), frame(done), "key", order=[F.col("path").desc()])
+    assert [r["path"].rsplit("/", 1)[-1] for r in ready.collect()] == ["c.html", "a.html"]
