@@ -137,7 +137,7 @@ def posts_flow(posts: DataFrame, ledger: DataFrame | None, to_lang: str, n: int
 def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_path: str, checkpoint: str,
                    days: int = K.EXTRACT_DAY_WINDOW, quota: int = K.EXTRACT_SITE_QUOTA, region: str | None = None,
                    name_glob: str = "*.txt", max_files_per_trigger: int | None = None, once: bool = True,
-                   today=None):
+                   today=None, interval: str = "10 seconds"):
     """W1 for the extract loop: new manifest files as a stream; per
     micro-batch the lines of the day window, the per-site quota, the ledger
     anti-join, the listed pages read on the executors, extraction, then the
@@ -164,4 +164,4 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
         finally:
             rec.unpersist()
 
-    return run_batches(s, batch, checkpoint, once=once)
+    return run_batches(s, batch, checkpoint, once=once, interval=interval)

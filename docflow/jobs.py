@@ -39,7 +39,8 @@ def _translator(spec: str | None):
 def run_extract(spark, a):
     from docflow.flows import extract_stream
     q = extract_stream(spark, a.manifests, a.root, a.out, a.ledger, a.checkpoint, days=a.days, quota=a.quota,
-                       region=a.region, max_files_per_trigger=a.max_files, once=a.poll is None)
+                       region=a.region, max_files_per_trigger=a.max_files, once=a.poll is None,
+                       interval=a.poll or "10 seconds")
     if a.poll is not None:
         q.awaitTermination()
 
