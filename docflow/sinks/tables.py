@@ -64,6 +64,21 @@ def append_ledger(df: DataFrame, path: str, stage: str, key: str = "page_path",
     _write(df.select(*cols), path, ["stage", "day"], batch_id)
 
 
+def append_bucketed_ledger(df: DataFrame, table: str, stage: str, buckets: int = 512, key: str = "page_path",
+                           status: str = "status", extra=()):
+    """K4 as a catalog table bucketed (and sorted) by item key.
+
+    The anti-join "new items vs ledger" runs on every poll against a ledger
+    that only grows.  With the ledger bucketed on the key, that join reads
+    the ledger without shuffling it; only the (small) new items are
+    shuffled into the ledger's buckets."""
+    st = F.col(status).cast("int") if status in df.columns else F.lit(0)
+    out = df.select(F.col(key).alias("page_path"), F.lit(stage).alias("stage"), st.alias("status"),
+                    F.current_timestamp().alias("processed_at"), *[F.col(c) for c in extra])
+    (out.write.mode("append").format("parquet").partitionBy("stage")
+     .bucketBy(buckets, "page_path").sortBy("page_path").saveAsTable(table))
+
+
 def read_recent_ledger(spark: SparkSession, path: str, stage: str, days: int | None = None) -> DataFrame:
     """Ledger lines of one stage, only the last ``days`` days when given
     (partition pruning on stage and day: the other folders are not listed

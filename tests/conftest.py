@@ -11,9 +11,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from docflow.session import build_session
-    s = build_session("local[*]", app="docflow-tests", shuffle_partitions=8)
+    wh = str(tmp_path_factory.mktemp("warehouse"))
+    s = build_session("local[*]", app="docflow-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -185,3 +185,24 @@ def test_keyword_classes(spark):
     docs = spark.createDataFrame([(1, "PCR検査と経済"), (2, "感染"), (3, "none")], "id long, text string")
     got = {r["id"]: r["keyword_classes"] for r in keyword_classes(docs, "text", terms).collect()}
     assert got == {1: ["economy", "health"], 2: ["health"], 3: []}
+
+
+def test_bucketed_ledger_is_not_shuffled(spark, scratch):
+    from docflow.operators.ledger import unprocessed
+    name = "ledger_bucketed_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for a ledger far too big to broadcast
+    try:
+        done = spark.createDataFrame([(f"/p/{i}",) for i in range(100)], "page_path string")
+        K.append_bucketed_ledger(done, name, "extract", buckets=8)
+        led = spark.table(name).filter(F.col("stage") == "extract")
+        items = spark.createDataFrame([(f"/p/{i}",) for i in range(90, 120)], "page_path string")
+        todo = unprocessed(items, led, "page_path")
+        plan = todo._jdf.queryExecution().executedPlan().toString()     # before running: one plan
+        assert plan.count("Exchange hashpartitioning") == 1      # the new items only; the ledger is not moved
+        assert "Bucketed: true" in plan
+        assert sorted(r[0] for r in todo.collect()) == sorted(f"/p/{i}" for i in range(100, 120))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
