@@ -1,6 +1,6 @@
 """spark-submit entry points for the original's loops.
 
-    spark-submit --py-files docflow.zip -m docflow.jobs extract \\
+    spark-submit --py-files docflow.zip docflow/jobs.py extract \\
         --root /share/html --manifests /share/run/new-html-files \\
         --out /share/tables/extracted --ledger /share/tables/ledger \\
         --checkpoint /share/checkpoints/extract [--region jp] [--poll 10s]
