@@ -21,11 +21,15 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import os
 import sys
 
-from pyspark.sql import functions as F
+if __package__ in (None, ""):  # run as a script file: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from docflow import constants as K
+from pyspark.sql import functions as F  # noqa: E402
+
+from docflow import constants as K  # noqa: E402
 
 
 def _translator(spec: str | None):
