@@ -78,6 +78,8 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
     spark = stream.sparkSession
 
     def fn(batch: DataFrame, batch_id: int):
+        # the batch is read by the hot-key count and by the join: keep it
+        batch = batch.persist()
         todo = batch
         try:
             led = spark.read.parquet(ledger_path)
@@ -97,6 +99,7 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
                          ledger_path, batch_id)
         finally:
             todo.unpersist()
+            batch.unpersist()
 
     return run_batches(stream, fn, checkpoint)
 
