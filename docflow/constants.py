@@ -63,3 +63,20 @@ STATUS_NO_FOLDER = 6
 STATUS_TOO_LONG = 7
 STATUS_INDEX = 8
 STATUS_NO_ROUTE = 9
+
+# --- fixed values: text rules ------------------------------------------------
+# Date mention (F10); \d of the original is any Unicode digit (\p{Nd}).
+DATE_PATTERN = r"[0-9]月|20\p{Nd}\p{Nd}|199\p{Nd}|平成|昭和|H[2-3][0-9]"
+LINK_WORD = "リンク"                       # F11
+TITLE_CUT_MARKERS = ["−", "ーY", "|"]      # X10: cut from the marker to the end
+LATIN_HEAD = 200                           # F9: look at the first 200 chars ...
+LATIN_SHARE = 0.6                          # ... which must be more than 60 % ASCII letters
+LINK_LIST_MAX_P = 30                       # F12: at most 30 chars of non-link <p> text
+LINK_LIST_SHARE = 0.8                      # F12: more than 80 % of <li> hold a link
+LINK_DOMINATED_FACTOR = 2                  # F13: anchor text more than 2x the <p>/<strong> text
+
+# --- fixed values: block document (S12) ---------------------------------------
+CONTENT_BLOCK_TYPES = ["maintext", "unknown_block"]
+
+# --- fixed values: short posts ----------------------------------------------
+POST_PATH_PREFIX = "/mnt"                  # S4: manifest lines kept by the post extractor

@@ -156,12 +156,13 @@ def heading(bl: Column) -> Column:
 def link_list(bl: Column) -> Column:
     """has <li>; the text of <p> blocks without links, cleaned, is at
     most 30 chars; more than 80 % of <li> blocks hold a link."""
+    from docflow.constants import LINK_LIST_MAX_P, LINK_LIST_SHARE
     from docflow.functions.text import clean_ja
     n_li = F.size(F.filter(bl, lambda b: b["tag"] == "li"))
     n_li_a = F.size(F.filter(bl, lambda b: (b["tag"] == "li") & b["is_link"]))
     p_len = F.aggregate(F.filter(bl, lambda b: (b["tag"] == "p") & ~b["is_link"]), F.lit(0),
                         lambda acc, b: acc + F.length(clean_ja(b["text"])))
-    return (n_li > 0) & (p_len <= 30) & (n_li_a * 10 > n_li * 8)
+    return (n_li > 0) & (p_len <= LINK_LIST_MAX_P) & (n_li_a > n_li * F.lit(LINK_LIST_SHARE))
 
 
 def link_dominated(bl: Column, head_pos: Column) -> Column:
@@ -175,5 +176,6 @@ def link_dominated(bl: Column, head_pos: Column) -> Column:
     a_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + anchor_len(b))
     p_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + F.when(
         b["tag"] == "p", F.length(b["text"])).otherwise(0) + strong_len(b))
+    from docflow.constants import LINK_DOMINATED_FACTOR
     return F.when(head_pos.isNull(), F.lit(None).cast("boolean")).when(
-        p_len == 0, F.lit(False)).otherwise(a_len > p_len * 2)
+        p_len == 0, F.lit(False)).otherwise(a_len > p_len * LINK_DOMINATED_FACTOR)

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from docflow.constants import JA_SITE_SUFFIXES
+from docflow.constants import DATE_PATTERN, JA_SITE_SUFFIXES, LATIN_HEAD, LATIN_SHARE, LINK_WORD, TITLE_CUT_MARKERS
 from docflow.functions.regex import NON_WS, WORD, WS, WS_STRING
 
 
@@ -70,12 +70,8 @@ def mostly_latin(col) -> Column:
     as "at least 200 chars", and keeps the text itself out of the result
     expression so it is cleaned once.)"""
     t = strip(F.translate(_c(col), "　 \t", ""))
-    head = F.substring(t, 1, 200)
-    return (F.length(head) >= 200) & (latin_count(head) * 10 > F.length(head) * 6)
-
-
-# Date mention patterns (F10).  \d in the original is any Unicode digit.
-DATE_PATTERN = r"[0-9]月|20\p{Nd}\p{Nd}|199\p{Nd}|平成|昭和|H[2-3][0-9]"
+    head = F.substring(t, 1, LATIN_HEAD)
+    return (F.length(head) >= LATIN_HEAD) & (latin_count(head) > F.length(head) * F.lit(LATIN_SHARE))
 
 
 def date_mention(col) -> Column:
@@ -85,7 +81,7 @@ def date_mention(col) -> Column:
 
 def link_word(col) -> Column:
     """contains the Japanese word for 'link'."""
-    return _c(col).contains("リンク")
+    return _c(col).contains(LINK_WORD)
 
 
 def clean_en(col) -> Column:
@@ -156,6 +152,6 @@ def clean_title(col) -> Column:
     """NFKC, drop half-width spaces, cut from '−', 'ーY' or '|' to the
     end of the (last) line."""
     t = F.replace(nfkc(_c(col)), F.lit(" "), F.lit(""))
-    for start in ("−", "ーY", r"\|"):
-        t = F.regexp_replace(t, start + r"[^\n]+(?=\n?\z)", "")
+    for start in TITLE_CUT_MARKERS:
+        t = F.regexp_replace(t, re.escape(start) + r"[^\n]+(?=\n?\z)", "")
     return t

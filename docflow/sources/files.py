@@ -127,7 +127,7 @@ def classified_view(records: DataFrame, root: str) -> DataFrame:
         "_corrupt")
 
 
-CONTENT_TYPES = ("maintext", "unknown_block")
+from docflow.constants import CONTENT_BLOCK_TYPES as CONTENT_TYPES  # noqa: E402
 
 
 def parse_block_xml(col):
