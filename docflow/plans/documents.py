@@ -219,7 +219,7 @@ SQL = {
         SELECT doc_id, to_lang, status, NULL, NULL FROM st WHERE status <> 0""",
     "text_flags": f"""SELECT doc_id, {_LINES} AS n_lines, {_LINES} > {K.MAX_LINES} AS too_long,
         {_ml('text')} AS mostly_latin, regexp_matches(text, {_q(T.DATE_PATTERN)}) AS date_mention,
-        contains(text, 'リンク') AS link_word FROM documents""",
+        contains(text, {_q(K.LINK_WORD)}) AS link_word FROM documents""",
     "clean_text": f"""SELECT doc_id, length({S.clean_ja('text')}) AS ja_len, md5({S.clean_ja('text')}) AS ja_md5,
         length({S.strip("replace(text, chr(9), ' ')")}) AS en_len,
         md5({S.strip("replace(text, chr(9), ' ')")}) AS en_md5 FROM documents""",
