@@ -72,11 +72,14 @@ def estimated_partitions(df: DataFrame) -> int:
         return 1
 
 
+MAX_FAN_IN_BUCKETS = 4096   # size estimates of joins can be far too high
+
+
 def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets is not None:
         return buckets
     n = estimated_partitions(df)
-    return int(math.ceil(math.sqrt(n))) if n > 64 else 1
+    return min(int(math.ceil(math.sqrt(n))), MAX_FAN_IN_BUCKETS) if n > 64 else 1
 
 
 def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank",
