@@ -60,7 +60,7 @@ def run_translate(spark, a):
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         led = None
-    memory = spark.read.parquet(a.memory) if a.memory and _exists(spark, a.memory) else None
+    memory = _read_if_there(spark, a.memory) if a.memory else None
     out, led_lines = translate_flow(rec, led, a.to, quota=a.quota, translate_fn=_translator(a.translator),
                                     memory=memory)
     out = out.withColumn("arrival", F.unix_micros(F.current_timestamp())).persist()
@@ -82,10 +82,14 @@ def run_index(spark, a):
     skipped.select("page_path").write.mode("errorifexists").parquet(f"{a.history}/skipped-{a.run_id}")
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _read_if_there(spark, path: str):
+    """The table at ``path``, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
 
 
 def parser() -> argparse.ArgumentParser:

@@ -59,26 +59,17 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
     return out
 
 
-def estimated_partitions(df: DataFrame) -> int:
-    """Input partitions of ``df``, estimated from the optimizer's size
-    statistics and the split size (planning only: no stage is run, which
-    asking the RDD of an adaptive plan with exchanges would do)."""
-    try:
-        qe = df._jdf.queryExecution()
-        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
-        split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-        return max(1, size // max(split, 1))
-    except Exception:  # client session without plan access
-        return 1
-
-
-MAX_FAN_IN_BUCKETS = 4096   # size estimates of joins can be far too high
+MAX_FAN_IN_BUCKETS = 4096
 
 
 def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
+    """Buckets of input partitions for the two-level limits: the square root
+    of the session's shuffle width (which is sized to the cluster and the
+    data: 8,000 in ``session.CLUSTER_CONF`` gives 90 buckets), so both levels
+    read about the same number of rows; one level for small settings."""
     if buckets is not None:
         return buckets
-    n = estimated_partitions(df)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return min(int(math.ceil(math.sqrt(n))), MAX_FAN_IN_BUCKETS) if n > 64 else 1
 
 
