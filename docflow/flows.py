@@ -71,7 +71,11 @@ def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
     content_num, link_num, keyword_flag[, lang file column]).  Newest first,
     at most ``quota`` per site after the ledger is consulted (Q7); then the
     status cascade and the translation.  ``done``: items whose target
-    already exists (status 5).  Returns (translated, ledger lines)."""
+    already exists (status 5).  Returns (translated, ledger lines).
+
+    Because the quota comes after the ledger, items left over in one run are
+    taken by a later one; so this runs as a periodic batch over the whole
+    extracted table (``jobs translate``), not on new files only."""
     todo = records if ledger is None else L.unprocessed(records, ledger, "page_path")
     todo = L.site_quota(todo, "site", [F.col("mtime").desc(), F.col("page_path").desc()], quota).drop("rank")
     todo = todo.withColumn("src_lang", source_lang("region", lang_file)).withColumn("to_lang", F.lit(to_lang))
@@ -141,7 +145,12 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
     """W1 for the extract loop: new manifest files as a stream; per
     micro-batch the lines of the day window, the per-site quota, the ledger
     anti-join, the listed pages read on the executors, extraction, then the
-    records (partitioned by region) and ledger lines written by batch id."""
+    records (partitioned by region) and ledger lines written by batch id.
+
+    The quota is taken per micro-batch, before the ledger (Q7).  The original
+    re-read the whole window each poll with the same rule, so lines past the
+    quota never got their turn there either: the same first ``quota`` lines
+    per site win every poll."""
     from pyspark.sql.types import StringType, StructField, StructType
     schema = StructType([StructField("value", StringType())])
     s = file_stream(spark, manifest_dir, schema, fmt="text", glob=name_glob,
