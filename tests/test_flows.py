@@ -121,3 +121,15 @@ def test_jobs_end_to_end(spark, scratch):
                                   "--history", f"{t}/index", "--run-id", "1"])
     jobs.run_index(spark, a)
     assert spark.read.parquet(f"{t}/index/newest-1").count() >= 2
+
+
+def test_classify_flow(spark):
+    from docflow.operators.scoring import enrich
+    ids = lambda xs: spark.createDataFrame([(x,) for x in xs], "doc_id long")
+    docs = spark.createDataFrame([(1, "en", "a"), (2, "en", ""), (3, None, "c"), (4, "en", "d")],
+                                 "doc_id long, lang string, text string")
+    first = docs.join(ids([1, 2, 3, 4]), "doc_id", "left_semi")
+    steps = [("meta", lambda x: x, F.col("lang").isNotNull()), ("text", lambda x: x, F.length("text") > 0)]
+    out = flows.classify_flow(first, ids([1, 2, 3]), ids([1, 2, 3, 4]), ids([4]), "doc_id",
+                              lambda ready: enrich(ready, steps))
+    assert {r["doc_id"]: r["status"] for r in out.collect()} == {1: 0, 2: 1, 3: 1}
