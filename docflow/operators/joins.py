@@ -17,6 +17,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
     return F.broadcast(df) if n <= max_rows else None
 
 
+def _hot_side(hot: DataFrame, max_rows: int):
+    """('none' | 'broadcast' | 'too_big', broadcast frame or None) for a
+    set of hot keys: with no hot key the plain shuffle join has no skew."""
+    n = hot.count()
+    if n == 0:
+        return "none", None
+    if n > max_rows:
+        return "too_big", None
+    return "broadcast", F.broadcast(hot)
+
+
 def hot_split_join(left: DataFrame, right: DataFrame, on, refs: str = "n_refs",
                    hot_refs: int = 10_000, how: str = "left",
                    max_hot_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -32,8 +43,8 @@ def hot_split_join(left: DataFrame, right: DataFrame, on, refs: str = "n_refs",
     keys = [on] if isinstance(on, str) else list(on)
     hot = right.filter(F.col(refs) >= hot_refs).drop(refs)
     cold = right.filter(F.col(refs) < hot_refs).drop(refs)
-    b = checked_broadcast(hot, max_hot_rows)
-    if b is None:
+    kind, b = _hot_side(hot, max_hot_rows)
+    if kind != "broadcast":
         return left.join(right.drop(refs), keys, how)
     marked = left.join(b.withColumn("_hot", F.lit(True)), keys, "left")
     hot_part = marked.filter(F.col("_hot")).drop("_hot")
@@ -47,21 +58,25 @@ def hot_split_filter(left: DataFrame, right: DataFrame, key: str, how: str = "le
     keys of ``right``.
 
     Keys with at least ``hot_refs`` left rows are found by a partial count
-    (one row per key and task crosses the shuffle); whether each hot key is
-    in ``right`` is decided on that small set, which is then broadcast after
-    a size check, so hot rows are kept or dropped map-side.  The other rows
-    take the ordinary shuffle join, where no key holds ``hot_refs`` rows."""
+    (one row per key and task crosses the shuffle).  With none, the plain
+    shuffle join has no skew and is used.  Otherwise the hot keys (a few, size
+    checked) are broadcast; one map-side semi-join over ``right`` finds
+    which of them it holds; hot rows of ``left`` are then kept or dropped
+    map-side, and only the other rows take the shuffle join, where no key
+    holds ``hot_refs`` rows."""
     if how not in ("left_anti", "left_semi"):
         raise ValueError(how)
-    rk = right.select(F.col(key)).distinct()
-    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_refs).select(key)
-    hot = hot.join(rk.withColumn("_in", F.lit(True)), key, "left") \
-        .select(key, F.coalesce(F.col("_in"), F.lit(False)).alias("_in"))
-    b = checked_broadcast(hot, max_hot_rows)
-    if b is None:
-        return left.join(rk, key, how)
-    marked = left.join(b, key, "left")
+    rk = right.select(F.col(key))
+    # the hot keys are few and used twice: count them once, from a checkpoint
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_refs).select(key) \
+        .checkpoint(eager=True)
+    kind, hb = _hot_side(hot, max_hot_rows)
+    if kind != "broadcast":
+        return left.join(rk.distinct(), key, how)
+    present = rk.join(hb, key, "left_semi").distinct().withColumn("_in", F.lit(True))
+    flags = hot.join(F.broadcast(present), key, "left").select(key, F.coalesce("_in", F.lit(False)).alias("_in"))
+    marked = left.join(F.broadcast(flags), key, "left")
     keep_in = how == "left_semi"
     hot_rows = marked.filter(F.col("_in").isNotNull() & (F.col("_in") == F.lit(keep_in))).select(*left.columns)
-    cold = marked.filter(F.col("_in").isNull()).select(*left.columns).join(rk, key, how)
+    cold = marked.filter(F.col("_in").isNull()).select(*left.columns).join(rk.distinct(), key, how)
     return hot_rows.unionByName(cold)
