@@ -27,7 +27,7 @@ from docflow.operators.latest import first_version, index_record, index_records,
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
 from docflow.operators.translate import TranslateFn, passthrough, translate_items, translate_posts
-from docflow.sinks.tables import append_ledger, write_extracted
+from docflow.sinks.tables import append_ledger, quarantine, write_extracted
 from docflow.sources.files import read_named_files
 from docflow.sources.manifests import parse_manifests, recent_lines
 from docflow.streaming.incremental import file_stream, run_batches
@@ -47,19 +47,25 @@ def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataF
     if ledger is not None:
         todo = L.unprocessed(todo, ledger, "page_path")
     if pages is None:
-        joined = read_named_files(todo.select("page_path", "region", "site")) \
-            .filter(F.col("html").isNotNull()) \
+        got = read_named_files(todo.select("page_path", "region", "site")) \
             .withColumn("mtime", F.timestamp_seconds("mtime_s")).drop("mtime_s")
     else:
         src = pages.select(F.col("file_path").alias("page_path"), "mtime", "html")
-        joined = todo.select("page_path", "region", "site").join(src, "page_path", "inner")
+        got = todo.select("page_path", "region", "site").join(src, "page_path", "left")
+    joined = got.filter(F.col("html").isNotNull())
     f = page_features(joined, key="page_path", url=None,
                       features=["title", "text", "content_num", "link_num", "first_h1"])
     f = f.join(joined.select("page_path", "region", "site", "mtime"), "page_path")
     f = prepend_h1(f, sites=h1_sites)
     rec = f.select("page_path", "region", "site", "mtime", "title", "text", "content_num", "link_num",
                    keyword_flag("text", keywords).alias("keyword_flag"))
-    led = todo.select("page_path", F.lit(K.STATUS_OK).alias("status"))
+    # Every item taken gets a ledger line: 0 extracted, 4 file missing or
+    # unreadable (the original logged those and never retried them).  Built
+    # from the items and the records (which a caller may persist), so the
+    # page files are not read a second time.
+    ok = rec.select("page_path", F.lit(True).alias("_ok"))
+    led = todo.select("page_path").join(ok, "page_path", "left").select(
+        "page_path", F.when(F.col("_ok"), F.lit(K.STATUS_OK)).otherwise(F.lit(K.STATUS_MISSING_FILES)).alias("status"))
     return rec, led
 
 
@@ -169,7 +175,9 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
         rec = rec.persist()
         try:
             write_extracted(rec, out_path, batch_id=batch_id)
-            append_ledger(rec, ledger_path, "extract", batch_id=batch_id)
+            append_ledger(led_lines, ledger_path, "extract", batch_id=batch_id)
+            quarantine(led_lines.filter(F.col("status") != K.STATUS_OK), f"{ledger_path}_errors", "extract",
+                       "page_path", "page file missing or unreadable")
         finally:
             rec.unpersist()
 

@@ -81,14 +81,19 @@ def test_extract_stream_takes_each_page_once(spark, scratch):
     got = spark.read.parquet(out)
     assert sorted(r["page_path"] for r in got.collect()) == sorted(paths)
     assert got.filter(F.col("region") == "jp").first()["text"] == "新型コロナ\nコロナの情報です"
-    # a new manifest naming one old and one new page: only the new one is extracted
+    # a new manifest naming one old, one new and one missing page: only the
+    # new one is extracted; the missing one is recorded with status 4
     new = f"{root}/jp/orig/www.a.jp/news/2024/01/09-13-00/p5.html"
+    gone = f"{root}/jp/orig/www.a.jp/news/2024/01/09-13-00/gone.html"
     _w(new, "<p>コロナ 5</p>")
-    _w(f"{man}/new-html-files-2024-01-09-13.txt", paths[0] + "\n" + new + "\n")
+    _w(f"{man}/new-html-files-2024-01-09-13.txt", "\n".join([paths[0], new, gone]) + "\n")
     flows.extract_stream(spark, man, root, out, led, ck, today=dt.date(2024, 1, 9))
     got = spark.read.parquet(out)
     assert got.count() == 5 and got.filter(F.col("page_path") == new).count() == 1
-    assert spark.read.parquet(led).select("page_path").distinct().count() == 5
+    ledger = spark.read.parquet(led)
+    assert ledger.select("page_path").distinct().count() == 6
+    assert [r["status"] for r in ledger.filter(F.col("page_path") == gone).collect()] == [4]
+    assert spark.read.parquet(f"{led}_errors").count() == 1
 
 
 def test_read_named_files(spark, scratch):
