@@ -80,25 +80,27 @@ def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFra
     def fn(batch: DataFrame, batch_id: int):
         # the batch is read by the hot-key count and by the join: keep it
         batch = batch.persist()
-        todo = batch
-        try:
-            led = spark.read.parquet(ledger_path)
-            # Lines of this batch from an earlier attempt do not count.
-            led = led.filter(F.col("batch_id") != batch_id)
-            todo = L.unprocessed(todo, led, key, hot_refs=hot_refs)
-        except Exception as e:  # no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-        if quota:
-            site, order, n = quota
-            todo = L.site_quota(todo, site, order, n).drop("rank")
-        todo = todo.persist()
+        todo = None
         try:
+            todo = batch
+            try:
+                led = spark.read.parquet(ledger_path)
+                # Lines of this batch from an earlier attempt do not count.
+                led = led.filter(F.col("batch_id") != batch_id)
+                todo = L.unprocessed(todo, led, key, hot_refs=hot_refs)
+            except Exception as e:  # no ledger yet
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+            if quota:
+                site, order, n = quota
+                todo = L.site_quota(todo, site, order, n).drop("rank")
+            todo = todo.persist()
             append_batch(work(todo), out_path, batch_id)
             append_batch(todo.select(key).distinct().withColumn("processed_at", F.current_timestamp()),
                          ledger_path, batch_id)
         finally:
-            todo.unpersist()
+            if todo is not None and todo is not batch:
+                todo.unpersist()
             batch.unpersist()
 
     return run_batches(stream, fn, checkpoint)
