@@ -11,6 +11,8 @@
     ... index --translated /share/tables/translated --root /share/html \\
         --history /share/tables/index_history
 
+    ... health --ledger /share/tables/ledger --out /share/tables/health
+
 Each job reads and writes tables on shared storage; a job killed at any
 point can be started again (stream checkpoints, batch-id partitions,
 append-only histories).  The translate function is the pass-through by
@@ -82,6 +84,15 @@ def run_index(spark, a):
     skipped.select("page_path").write.mode("errorifexists").parquet(f"{a.history}/skipped-{a.run_id}")
 
 
+def run_health(spark, a):
+    """Per stage the last item, counts, failures and a stale flag
+    (what the original's process watcher checked), written as a table."""
+    from docflow.operators.ledger import stage_health
+    led = spark.read.parquet(a.ledger)
+    rep = stage_health(led, stale_after=a.stale_after)
+    rep.write.mode("errorifexists").parquet(f"{a.out}/health-{a.run_id}")
+
+
 def _read_if_there(spark, path: str):
     """The table at ``path``, or None before its first write."""
     try:
@@ -120,6 +131,11 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--history", required=True)
     i.add_argument("--run-id", dest="run_id", required=True)
     i.add_argument("--tz", default="UTC")
+    h = sub.add_parser("health")
+    h.add_argument("--ledger", required=True)
+    h.add_argument("--out", required=True)
+    h.add_argument("--run-id", dest="run_id", required=True)
+    h.add_argument("--stale-after", dest="stale_after", default="2 hours")
     return ap
 
 
@@ -127,7 +143,7 @@ def main(argv=None) -> int:
     from docflow.session import build_session
     a = parser().parse_args(argv)
     spark = build_session(app=f"docflow-{a.job}", cluster=True)
-    {"extract": run_extract, "translate": run_translate, "index": run_index}[a.job](spark, a)
+    {"extract": run_extract, "translate": run_translate, "index": run_index, "health": run_health}[a.job](spark, a)
     return 0
 
 

@@ -126,6 +126,10 @@ def test_jobs_end_to_end(spark, scratch):
                                   "--history", f"{t}/index", "--run-id", "1"])
     jobs.run_index(spark, a)
     assert spark.read.parquet(f"{t}/index/newest-1").count() >= 2
+    a = jobs.parser().parse_args(["health", "--ledger", f"{t}/ledger", "--out", f"{t}/health", "--run-id", "1"])
+    jobs.run_health(spark, a)
+    h = {r["stage"]: r for r in spark.read.parquet(f"{t}/health/health-1").collect()}
+    assert set(h) == {"extract", "translate_en"} and h["extract"]["n"] == len(paths)
 
 
 def test_classify_flow(spark):
