@@ -182,3 +182,43 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
             rec.unpersist()
 
     return run_batches(s, batch, checkpoint, once=once, interval=interval)
+
+
+def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str, checkpoint: str, to_lang: str,
+                     quota: int = K.TRANSLATE_SITE_QUOTA, translate_fn: TranslateFn = passthrough,
+                     memory_path: str | None = None, once: bool = True, interval: str = "1 second"):
+    """W1 for the translate loop.  New files of the extracted table trigger
+    a micro-batch; since the quota is taken after the ledger (Q7), each
+    micro-batch runs ``translate_flow`` over the whole extracted table
+    against the ledger (items left over by the quota are taken later), and
+    writes the results and ledger lines by batch id."""
+    from docflow.sinks.tables import write_translated
+    schema = spark.read.parquet(extracted_path).schema
+    trigger = spark.readStream.schema(schema).parquet(extracted_path).select("page_path")
+    stage = f"translate_{to_lang}"
+
+    def batch(_new: DataFrame, batch_id: int):
+        records = spark.read.parquet(extracted_path)
+        try:
+            led = spark.read.parquet(ledger_path).filter(
+                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select("page_path")
+        except Exception as e:  # no ledger yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            led = None
+        memory = None
+        if memory_path:
+            try:
+                memory = spark.read.parquet(memory_path)
+            except Exception as e:
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+        out, _ = translate_flow(records, led, to_lang, quota=quota, translate_fn=translate_fn, memory=memory)
+        out = out.persist()
+        try:
+            write_translated(out, out_path, batch_id=batch_id)
+            append_ledger(out, ledger_path, stage, extra=["region", "to_lang"], batch_id=batch_id)
+        finally:
+            out.unpersist()
+
+    return run_batches(trigger, batch, checkpoint, once=once, interval=interval)

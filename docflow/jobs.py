@@ -52,6 +52,15 @@ def run_extract(spark, a):
 
 
 def run_translate(spark, a):
+    if a.poll:
+        from docflow.flows import translate_stream
+        if not a.checkpoint:
+            raise SystemExit("--poll needs --checkpoint")
+        q = translate_stream(spark, a.extracted, a.out, a.ledger, a.checkpoint, a.to, quota=a.quota,
+                             translate_fn=_translator(a.translator), memory_path=a.memory,
+                             once=False, interval=a.poll)
+        q.awaitTermination()
+        return
     from docflow.flows import translate_flow
     from docflow.sinks.tables import append_ledger, read_recent_ledger, write_translated
     rec = spark.read.parquet(a.extracted)
@@ -125,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--memory")
     t.add_argument("--quota", type=int, default=K.TRANSLATE_SITE_QUOTA)
     t.add_argument("--translator")
+    t.add_argument("--poll", help="keep polling (e.g. '1 second'): new extracted files trigger a run")
+    t.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
     i = sub.add_parser("index")
     i.add_argument("--translated", required=True)
     i.add_argument("--root", required=True)

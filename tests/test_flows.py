@@ -142,3 +142,21 @@ def test_classify_flow(spark):
     out = flows.classify_flow(first, ids([1, 2, 3]), ids([1, 2, 3, 4]), ids([4]), "doc_id",
                               lambda ready: enrich(ready, steps))
     assert {r["doc_id"]: r["status"] for r in out.collect()} == {1: 0, 2: 1, 3: 1}
+
+
+def test_translate_stream_after_extract_stream(spark, scratch):
+    root, man = f"{scratch}/html", f"{scratch}/manifests"
+    paths = _tree(root, man)
+    ext, led, tr = f"{scratch}/extracted", f"{scratch}/ledger", f"{scratch}/translated"
+    flows.extract_stream(spark, man, root, ext, led, f"{scratch}/ck_e", today=dt.date(2024, 1, 9))
+    flows.translate_stream(spark, ext, tr, led, f"{scratch}/ck_t", "en")
+    first = spark.read.parquet(tr)
+    assert first.select("page_path").distinct().count() == len(paths)
+    new = f"{root}/jp/orig/www.a.jp/news/2024/01/09-13-00/p5.html"
+    _w(new, "<p>コロナ 5</p>")
+    _w(f"{man}/new-html-files-2024-01-09-13.txt", new + "\n")
+    flows.extract_stream(spark, man, root, ext, led, f"{scratch}/ck_e", today=dt.date(2024, 1, 9))
+    flows.translate_stream(spark, ext, tr, led, f"{scratch}/ck_t", "en")
+    got = spark.read.parquet(tr)
+    assert got.count() == len(paths) + 1                       # only the new page was added
+    assert got.filter(F.col("page_path") == new).first()["status"] == 0
