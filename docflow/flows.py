@@ -26,9 +26,10 @@ from docflow.functions.paths import page_parts
 from docflow.operators.latest import first_version, index_record, index_records, latest_version
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
-from docflow.operators.translate import TranslateFn, passthrough, translate_items, translate_posts
+from docflow.functions.paths import with_suffix
+from docflow.operators.translate import TranslateFn, passthrough, post_text, translate_items, translate_posts
 from docflow.sinks.tables import append_ledger, quarantine, write_extracted
-from docflow.sources.files import read_named_files
+from docflow.sources.files import json_field, read_named_files
 from docflow.sources.manifests import parse_manifests, recent_lines
 from docflow.streaming.incremental import file_stream, run_batches
 
@@ -135,6 +136,20 @@ def classify_flow(ja_ok: DataFrame, en_ok: DataFrame, extracted: DataFrame, clas
     return score(ready)
 
 
+def read_posts(lines: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """S8 + X3 for post pages named in manifest lines (``page_path``,
+    ``ordinal``): read on the executors, the text of the page's first <p>
+    and the ``lang`` field of its ``.json`` sidecar (null when missing,
+    which the post flow records as status 9).  Returns (post_path, ordinal,
+    text, lang)."""
+    pages = read_named_files(lines.select("page_path", ordinal), "page_path", "html", "_m1")
+    side = pages.withColumn("_json_path", with_suffix("page_path", ".json"))
+    side = read_named_files(side, "_json_path", "_json", "_m2")
+    return side.select(F.col("page_path").alias("post_path"), ordinal,
+                       F.coalesce(post_text("html"), F.lit("")).alias("text"),
+                       json_field("_json", "lang").alias("lang"))
+
+
 def posts_flow(posts: DataFrame, ledger: DataFrame | None, to_lang: str, n: int = K.TWEET_HEAD_TAIL,
                translate_fn: TranslateFn = passthrough) -> DataFrame:
     """Short posts (post_path, ordinal, text, lang): not yet translated,

@@ -160,3 +160,24 @@ def test_translate_stream_after_extract_stream(spark, scratch):
     got = spark.read.parquet(tr)
     assert got.count() == len(paths) + 1                       # only the new page was added
     assert got.filter(F.col("page_path") == new).first()["status"] == 0
+
+
+def test_posts_from_files(spark, scratch):
+    root, man = f"{scratch}/twitter/html", f"{scratch}/manifests"
+    base = f"{root}/jp/orig/2024/01/09/10-00"
+    posts = {"1": ("<p>Corona #tag https://t.co/x</p>", '{"lang": "en"}'),
+             "2": ("<p></p><p>late</p>", '{"lang": "en"}'),
+             "3": ("<p>hola</p>", '{"lang": "xx"}'),
+             "4": ("<p>no sidecar</p>", None)}
+    for i, (html, js) in posts.items():
+        _w(f"{base}/{i}.html", html)
+        if js:
+            _w(f"{base}/{i}.json", js + "\n")
+    _w(f"{man}/new-twitter-html-files-2024-01-09-10.txt", "\n".join(f"{base}/{i}.html" for i in posts) + "\n")
+    lines = M.recent_posts(spark, man, scratch).withColumn(
+        "ordinal", F.struct("file_date", "file_name", "line_no"))
+    got = flows.read_posts(lines)
+    out = {r["post_path"].rsplit("/", 1)[-1]: r for r in flows.posts_flow(got, None, "ja").collect()}
+    assert out["1.html"]["status"] == 0 and "｟#tag  ｠" in out["1.html"]["translated"]
+    assert out["2.html"]["status"] == 1                   # first <p> is empty
+    assert out["3.html"]["status"] == 9 and out["4.html"]["status"] == 9   # unknown / missing language
