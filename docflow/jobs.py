@@ -93,6 +93,27 @@ def run_index(spark, a):
     skipped.select("page_path").write.mode("errorifexists").parquet(f"{a.history}/skipped-{a.run_id}")
 
 
+def run_posts(spark, a):
+    """The short-post loop: post pages listed in manifests (lines starting
+    with ``--prefix``), not yet in the ledger, first and last ``--n`` in
+    arrival order, translated one part each."""
+    from docflow.flows import posts_flow, read_posts
+    from docflow.sinks.tables import append_ledger, write_translated
+    from docflow.sources.manifests import recent_posts
+    lines = recent_posts(spark, a.manifests, a.prefix).withColumn(
+        "ordinal", F.struct("file_date", "file_name", "line_no"))
+    stage = f"posts_{a.to}"
+    led = _read_if_there(spark, a.ledger)
+    if led is not None:
+        led = led.filter(F.col("stage") == stage).select(F.col("page_path").alias("post_path"))
+    out = posts_flow(read_posts(lines), led, a.to, n=a.n, translate_fn=_translator(a.translator)).persist()
+    try:
+        write_translated(out, a.out)
+        append_ledger(out, a.ledger, stage, key="post_path", extra=["to_lang"])
+    finally:
+        out.unpersist()
+
+
 def run_health(spark, a):
     """Per stage the last item, counts, failures and a stale flag
     (what the original's process watcher checked), written as a table."""
@@ -142,6 +163,14 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--history", required=True)
     i.add_argument("--run-id", dest="run_id", required=True)
     i.add_argument("--tz", default="UTC")
+    p = sub.add_parser("posts")
+    p.add_argument("--manifests", required=True)
+    p.add_argument("--prefix", default=K.POST_PATH_PREFIX)
+    p.add_argument("--to", required=True, choices=sorted(K.ROUTE_SOURCES))
+    p.add_argument("--out", required=True)
+    p.add_argument("--ledger", required=True)
+    p.add_argument("--n", type=int, default=K.TWEET_HEAD_TAIL)
+    p.add_argument("--translator")
     h = sub.add_parser("health")
     h.add_argument("--ledger", required=True)
     h.add_argument("--out", required=True)
@@ -154,7 +183,9 @@ def main(argv=None) -> int:
     from docflow.session import build_session
     a = parser().parse_args(argv)
     spark = build_session(app=f"docflow-{a.job}", cluster=True)
-    {"extract": run_extract, "translate": run_translate, "index": run_index, "health": run_health}[a.job](spark, a)
+    jobs = {"extract": run_extract, "translate": run_translate, "index": run_index, "posts": run_posts,
+            "health": run_health}
+    jobs[a.job](spark, a)
     return 0
 
 

@@ -181,3 +181,10 @@ def test_posts_from_files(spark, scratch):
     assert out["1.html"]["status"] == 0 and "｟#tag  ｠" in out["1.html"]["translated"]
     assert out["2.html"]["status"] == 1                   # first <p> is empty
     assert out["3.html"]["status"] == 9 and out["4.html"]["status"] == 9   # unknown / missing language
+    # the same loop as a job, twice: the second run finds everything in the ledger
+    from docflow import jobs
+    args = ["posts", "--manifests", man, "--prefix", scratch, "--to", "ja", "--out", f"{scratch}/tr",
+            "--ledger", f"{scratch}/led"]
+    jobs.run_posts(spark, jobs.parser().parse_args(args))
+    jobs.run_posts(spark, jobs.parser().parse_args(args))
+    assert spark.read.parquet(f"{scratch}/tr").count() == 4
