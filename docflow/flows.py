@@ -12,6 +12,10 @@ records to write and the ledger lines to append; the caller writes them with
                tables                                        (K8, K6, K7)
     classify:  ja ok ⋉ en ok ⋉ extracted ▷ classified -> scores (J2, U2-U4, K3)
     posts:     post list -> not yet translated -> first and last n -> U1 (A6, U1)
+
+Stream forms: ``extract_stream`` (new manifest files), ``translate_stream``
+(new extracted files trigger a run over the whole table); ``read_posts``
+reads post pages and their language sidecars named in manifests.
 """
 
 from __future__ import annotations
