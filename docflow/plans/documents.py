@@ -18,6 +18,10 @@ from docflow.plans.common import read
 # list never occurs in them): frequent fragments in all four languages.
 DOC_KEYWORDS = ["tion", "ein"]
 TO_LANGS = ["ja", "en"]
+# Class/term parameter for the keyword-class query (the original read its
+# class keywords from a file): frequent fragments of the synthetic prose.
+DOC_CLASSES = [("class_a", "tion"), ("class_b", "ein"), ("class_b", "sch"), ("class_c", "the"),
+               ("class_d", "qu")]
 
 
 def q_keyword_hits(spark, sf):
@@ -123,6 +127,16 @@ def q_guard_tags(spark, sf):
                     F.length(T.trailing_newlines("text")).cast("long").alias("trail_nl"))
 
 
+def q_doc_classes(spark, sf):
+    """U2 keyword classification: the classes whose terms occur in each
+    document (sorted, comma-joined)."""
+    from docflow.operators.keywords import keyword_classes
+    d = read(spark, sf, "documents").select("doc_id", "text")
+    terms = spark.createDataFrame(DOC_CLASSES, "class string, term string")
+    out = keyword_classes(d, "text", terms)
+    return out.select("doc_id", F.array_join("keyword_classes", ",").alias("classes"))
+
+
 def q_html_render(spark, sf):
     """Text rendered as HTML, one <p> per line."""
     d = read(spark, sf, "documents")
@@ -135,7 +149,7 @@ QUERIES = {
     "status_totals": q_status_totals, "site_quota": q_site_quota, "backlog": q_backlog,
     "ready_set": q_ready_set, "chunks": q_chunks, "translate_docs": q_translate_docs,
     "text_flags": q_text_flags, "clean_text": q_clean_text, "guard_tags": q_guard_tags,
-    "html_render": q_html_render,
+    "html_render": q_html_render, "doc_classes": q_doc_classes,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -230,4 +244,7 @@ SQL = {
             string_split(text, {_NL}), lambda l: '<p>' || l || '</p>' || {_NL}), '') || {_q(T.HTML_TAIL)} AS html
             FROM documents)
         SELECT doc_id, length(html) AS html_len, md5(html) AS html_md5 FROM h""",
+    "doc_classes": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(["
+                   + ", ".join(f"CASE WHEN contains(text, {_q(t)}) THEN {_q(c)} END" for c, t in DOC_CLASSES)
+                   + "], lambda x: x IS NOT NULL))), ',') AS classes FROM documents",
 }
