@@ -52,6 +52,14 @@ def scan_pages(spark: SparkSession, root: str, region: str | None = None, stage:
     return df.withColumn("region", region_of("file_path", root)).filter(F.col("region").isNotNull())
 
 
+def scan_folder(spark: SparkSession, folder: str, glob: str = "*.html") -> DataFrame:
+    """S1, any-folder form: every ``glob`` file below ``folder`` as
+    (file_path, mtime, html), whatever the layout."""
+    df = _meta(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+               .text(folder, wholetext=True))
+    return df.select(_strip_scheme(F.col("file_path")).alias("file_path"), "mtime", F.col("value").alias("html"))
+
+
 def scan_files(spark: SparkSession, data_dir: str, ignores=(), total: int | None = None) -> DataFrame:
     """Files below ``data_dir`` whose path matches no ``ignores`` regex,
     has no '?', and ends in .html, .htm or no suffix; at most ``total`` (in

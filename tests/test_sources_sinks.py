@@ -35,6 +35,8 @@ def test_page_tree_scan(spark, scratch):
     assert got["jp"]["mtime"] is not None
     only_jp = S.scan_pages(spark, root, region="jp")
     assert only_jp.count() == 1
+    anywhere = S.scan_folder(spark, f"{root}/jp")          # any folder: orig and tmp both
+    assert anywhere.count() == 2
     # Sidecars joined by path stem
     key = S.page_key(F.col("file_path"))
     lang = S.read_sidecar(spark, root, ".lang", first_line=True)
