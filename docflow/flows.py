@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from docflow import constants as K
 from docflow.functions.text import keyword_flag
 from docflow.operators import ledger as L
-from docflow.functions.paths import page_parts
+from docflow.functions.paths import page_parts, tweet_parts
 from docflow.operators.latest import first_version, index_record, index_records, latest_version
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
@@ -132,6 +132,24 @@ def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str =
     return newest, first, skipped
 
 
+def index_posts(translated: DataFrame, root: str, arrival: str = "arrival", history: DataFrame | None = None,
+                tz: str = "UTC") -> DataFrame:
+    """Post index (K7 for posts): translated posts (post_path, to_lang,
+    status, translated, ``arrival``) become documents keyed by the post id
+    (the file name) with country and crawl-time fields; posts go only to the
+    append-only, create-only target, so the first version per id stays."""
+    ok = translated.filter((F.col("status") == K.STATUS_OK) & F.col("translated").isNotNull())
+    p = tweet_parts("post_path", root, tz)
+    rec = ok.select("to_lang", F.col(arrival).alias("arrival"), p["record_id"].alias("record_id"), F.struct(
+        F.col("translated").alias("text"), p["country"].alias("country"),
+        F.struct(p["year"].alias("year"), p["month"].alias("month"), p["day"].alias("day"), p["hh"].alias("hh"),
+                 p["mm"].alias("mm"), p["ts_local"].alias("local"), p["ts_utc"].alias("utc")).alias("timestamp"),
+        p["filename"].alias("filename")).alias("record")).filter(F.col("record_id").isNotNull())
+    hist = rec if history is None else history.unionByName(rec, allowMissingColumns=True)
+    hist = hist.withColumn("_id", F.concat_ws("|", "to_lang", "record_id"))
+    return first_version(hist, "_id", "arrival").drop("_id")
+
+
 def classify_flow(ja_ok: DataFrame, en_ok: DataFrame, extracted: DataFrame, classified: DataFrame,
                   key: str, score) -> DataFrame:
     """J2 then a scorer (``score``: DataFrame -> DataFrame with ``status``,

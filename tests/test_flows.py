@@ -181,6 +181,9 @@ def test_posts_from_files(spark, scratch):
     assert out["1.html"]["status"] == 0 and "｟#tag  ｠" in out["1.html"]["translated"]
     assert out["2.html"]["status"] == 1                   # first <p> is empty
     assert out["3.html"]["status"] == 9 and out["4.html"]["status"] == 9   # unknown / missing language
+    idx = flows.index_posts(flows.posts_flow(got, None, "ja").withColumn("arrival", F.lit(1)),
+                            f"{scratch}/twitter/html").collect()
+    assert [(r["record_id"], r["record"].country, r["record"].timestamp.hh) for r in idx] == [("1", "jp", 10)]
     # the same loop as a job, twice: the second run finds everything in the ledger
     from docflow import jobs
     args = ["posts", "--manifests", man, "--prefix", scratch, "--to", "ja", "--out", f"{scratch}/tr",
