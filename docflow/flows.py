@@ -118,8 +118,9 @@ def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str =
     holds earlier records.  Returns (newest-version table, first-version
     table, skipped)."""
     ok = translated.filter((F.col("status") == K.STATUS_OK) & F.col("translated").isNotNull())
+    # ids come from the translated text file's name (``<name>.txt``), as in the original
     ok = ok.select("page_path", "to_lang", "translated", F.col(arrival).alias("arrival"),
-                   page_parts("page_path", root, tz).alias("_p"))
+                   page_parts(with_suffix("page_path", ".txt"), root, tz).alias("_p"))
     rec, skipped = index_records(ok, urls, None, "page_path")
     rec = rec.select("page_path", "to_lang", "arrival", F.col("_p.record_id").alias("record_id"),
                      F.col("_p.ts_local").alias("ts_local"),
@@ -139,7 +140,8 @@ def index_posts(translated: DataFrame, root: str, arrival: str = "arrival", hist
     (the file name) with country and crawl-time fields; posts go only to the
     append-only, create-only target, so the first version per id stays."""
     ok = translated.filter((F.col("status") == K.STATUS_OK) & F.col("translated").isNotNull())
-    p = tweet_parts("post_path", root, tz)
+    # ids come from the translated text file's name (``<id>.txt``), as in the original
+    p = tweet_parts(with_suffix("post_path", ".txt"), root, tz)
     rec = ok.select("to_lang", F.col(arrival).alias("arrival"), p["record_id"].alias("record_id"), F.struct(
         F.col("translated").alias("text"), p["country"].alias("country"),
         F.struct(p["year"].alias("year"), p["month"].alias("month"), p["day"].alias("day"), p["hh"].alias("hh"),

@@ -57,8 +57,8 @@ def test_extract_translate_index(spark, scratch):
     urls = S.read_sidecar(spark, root, ".url").select(F.concat("key", F.lit(".html")).alias("page_path"), "url")
     newest, first, skipped = flows.index_flow(tr.withColumn("arrival", F.lit(1)), urls, root, tz="Asia/Tokyo")
     got = {r["record_id"]: r["record"] for r in newest.collect()}
-    assert set(got) == {"jp/www.a.jp/news/p1.", "us/www.b.com/n/p2."}
-    r = got["jp/www.a.jp/news/p1."]
+    assert set(got) == {"jp/www.a.jp/news/p1", "us/www.b.com/n/p2"}
+    r = got["jp/www.a.jp/news/p1"]
     assert (r.region, r.domain, r.path, r.url) == ("jp", "www.a.jp", "news", "https://www.a.jp/p1.html")
     assert (r.timestamp.year, r.timestamp.day, r.timestamp.hh, r.timestamp.utc) == (2024, 9, 10, dt.datetime(2024, 1, 9, 1))
     assert first.count() == 2 and skipped.count() == 0
