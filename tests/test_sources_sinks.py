@@ -208,3 +208,27 @@ def test_bucketed_ledger_is_not_shuffled(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_small_helpers(spark, scratch):
+    from docflow.operators import ledger as L
+    from docflow.operators.keywords import any_term, read_keyword_lists
+    from docflow.operators.routing import route_table
+    p = f"{scratch}/ledger.txt"
+    _w(p, "p1 jp 0\np2 jp 4\np3 jp\n")
+    both = M.read_ledgers(spark, {"translate_ja": (p, "three"), "extract": (p, "line")})
+    assert {(r["stage"], r["page_path"]) for r in both.collect()} >= {("translate_ja", "p1"), ("extract", "p3 jp")}
+    assert both.count() == 5
+    assert route_table(spark).count() == 24
+    df = spark.createDataFrame([(1,), (3,), (2,)], "n long")
+    assert [r[0] for r in L.newest_first(df, ["n"]).collect()] == [3, 2, 1]
+    assert {tuple(r) for r in L.status_totals(M.read_ledger(spark, p, "three"), ["status"]).collect()} == {(0, 1), (4, 1)}
+    items = spark.createDataFrame([("p1", "jp"), ("p9", "jp"), ("p8", "in")], "page_path string, region string")
+    assert {tuple(r) for r in L.backlog(items, M.read_ledger(spark, p, "first"), "page_path", ["region"]).collect()} \
+        == {("jp", 1), ("in", 1)}
+    kw = {"ja": f"{scratch}/kw/ja.txt", "en": f"{scratch}/kw/en.txt"}
+    _w(kw["ja"], "コロナ\n肺炎\n")
+    _w(kw["en"], "Corona\nPneumonia\n")
+    docs = spark.createDataFrame([(1, "Pneumonia"), (2, "肺炎"), (3, "x")], "id long, text string")
+    got = {r["id"]: r["keyword_flag"] for r in any_term(docs, "text", read_keyword_lists(spark, kw), "en").collect()}
+    assert got == {1: True, 2: False, 3: False}
