@@ -161,3 +161,13 @@ def test_bigram_overlap_cjk(spark):
     v = df.select(SIM.text_overlap("a", "b")).first()[0]
     # bigrams: {東京,京都,都の,の感,感染} vs {東京,京都,都で,で感,感染}: 3 shared of 5
     assert v == pytest.approx(0.6)
+
+
+def test_short_output_and_page_helpers(spark):
+    assert _one(spark, T.is_short, ["", "a", "ab", None]) == [True, True, False, True]
+    from docflow.functions import html as H
+    from docflow.operators.pages import keyword_pages, page_features
+    df = spark.createDataFrame([(1, "<p>a</p><p><a>l</a></p><p>b corona</p>")], "page_id long, html string")
+    assert df.select(H.content_text(H.blocks("html"))).first()[0] == "a\nb corona"
+    f = keyword_pages(page_features(df, url=None, features=["text"]), ["corona"])
+    assert f.first()["keyword_flag"] is True
