@@ -93,15 +93,22 @@ def normalise_terms(long: DataFrame, to_lang: str) -> list[tuple[str, str, str,
     return out
 
 
-def keyword_classes(df: DataFrame, text: str, class_terms: DataFrame, out: str = "keyword_classes") -> DataFrame:
+def keyword_classes(df: DataFrame, text: str, class_terms, out: str = "keyword_classes") -> DataFrame:
     """U2 keyword classification: the classes (sorted) whose terms occur in
-    the text.  ``class_terms``: (class, term), a small dimension read with
-    ``sources.files.read_dimension``; it is embedded in the plan after a size
-    check, so each text is scanned once and nothing is joined."""
-    n = class_terms.count()
-    if n > MAX_TERMS:
-        raise ValueError(f"class keyword table has {n} rows, more than {MAX_TERMS}")
-    rows = class_terms.select(F.col("class").cast("string"), F.col("term").cast("string")).collect()
+    the text.  ``class_terms``: (class, term) pairs, as a list or as a small
+    dimension read with ``sources.files.read_dimension``; it is embedded in
+    the plan after a size check, so each text is scanned once and nothing is
+    joined."""
+    if isinstance(class_terms, DataFrame):
+        n = class_terms.count()
+        if n > MAX_TERMS:
+            raise ValueError(f"class keyword table has {n} rows, more than {MAX_TERMS}")
+        rows = [tuple(r) for r in class_terms.select(F.col("class").cast("string"),
+                                                     F.col("term").cast("string")).collect()]
+    else:
+        rows = list(class_terms)
+        if len(rows) > MAX_TERMS:
+            raise ValueError(f"class keyword list has {len(rows)} pairs, more than {MAX_TERMS}")
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(t).alias("t")) for c, t in rows if t])
     hits = F.filter(pairs, lambda p: F.col(text).contains(p["t"]))
     return df.withColumn(out, F.array_sort(F.array_distinct(F.transform(hits, lambda p: p["c"]))))

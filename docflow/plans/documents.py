@@ -132,8 +132,7 @@ def q_doc_classes(spark, sf):
     document (sorted, comma-joined)."""
     from docflow.operators.keywords import keyword_classes
     d = read(spark, sf, "documents").select("doc_id", "text")
-    terms = spark.createDataFrame(DOC_CLASSES, "class string, term string")
-    out = keyword_classes(d, "text", terms)
+    out = keyword_classes(d, "text", DOC_CLASSES)
     return out.select("doc_id", F.array_join("keyword_classes", ",").alias("classes"))
 
 
