@@ -1,6 +1,5 @@
 """The data model in docflow.schemas is what the functions produce."""
 
-from pyspark.sql import functions as F
 
 from docflow import schemas as SC
 from docflow.functions.paths import page_parts
