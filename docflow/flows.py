@@ -14,8 +14,9 @@ records to write and the ledger lines to append; the caller writes them with
     posts:     post list -> not yet translated -> first and last n -> U1 (A6, U1)
 
 Stream forms: ``extract_stream`` (new manifest files), ``translate_stream``
-(new extracted files trigger a run over the whole table); ``read_posts``
-reads post pages and their language sidecars named in manifests.
+(new extracted files trigger a run over the whole table), ``posts_stream``
+(new manifests trigger a run over the whole post list); ``read_posts`` reads
+post pages and their language sidecars named in manifests.
 """
 
 from __future__ import annotations
@@ -261,3 +262,39 @@ def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str
             out.unpersist()
 
     return run_batches(trigger, batch, checkpoint, once=once, interval=interval)
+
+
+def posts_stream(spark, manifest_dir: str, prefix: str, out_path: str, ledger_path: str, checkpoint: str,
+                 to_lang: str, n: int = K.TWEET_HEAD_TAIL, translate_fn: TranslateFn = passthrough,
+                 name_glob: str = "*.txt", once: bool = True, interval: str = "10 seconds"):
+    """W1 for the short-post loop: new manifest files trigger a run over all
+    listed posts (the original re-read its whole list each poll) against the
+    ledger; first and last ``n`` of the rest are translated and written,
+    with their ledger lines, by batch id."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from docflow.sinks.tables import write_translated
+    from docflow.sources.manifests import recent_posts
+    trigger = file_stream(spark, manifest_dir, StructType([StructField("value", StringType())]), fmt="text",
+                          glob=name_glob)
+    stage = f"posts_{to_lang}"
+
+    def batch(_new: DataFrame, batch_id: int):
+        lines = recent_posts(spark, manifest_dir, prefix, name_glob=name_glob).withColumn(
+            "ordinal", F.struct("file_date", "file_name", "line_no"))
+        try:
+            led = spark.read.parquet(ledger_path).filter(
+                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select(
+                F.col("page_path").alias("post_path"))
+        except Exception as e:  # no ledger yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            led = None
+        out = posts_flow(read_posts(lines), led, to_lang, n=n, translate_fn=translate_fn).persist()
+        try:
+            write_translated(out, out_path, batch_id=batch_id)
+            append_ledger(out, ledger_path, stage, key="post_path", extra=["to_lang"], batch_id=batch_id)
+        finally:
+            out.unpersist()
+
+    return run_batches(trigger, batch, checkpoint, once=once, interval=interval)

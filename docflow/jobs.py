@@ -97,6 +97,14 @@ def run_posts(spark, a):
     """The short-post loop: post pages listed in manifests (lines starting
     with ``--prefix``), not yet in the ledger, first and last ``--n`` in
     arrival order, translated one part each."""
+    if a.poll:
+        from docflow.flows import posts_stream
+        if not a.checkpoint:
+            raise SystemExit("--poll needs --checkpoint")
+        q = posts_stream(spark, a.manifests, a.prefix, a.out, a.ledger, a.checkpoint, a.to, n=a.n,
+                         translate_fn=_translator(a.translator), once=False, interval=a.poll)
+        q.awaitTermination()
+        return
     from docflow.flows import posts_flow, read_posts
     from docflow.sinks.tables import append_ledger, write_translated
     from docflow.sources.manifests import recent_posts
@@ -171,6 +179,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--ledger", required=True)
     p.add_argument("--n", type=int, default=K.TWEET_HEAD_TAIL)
     p.add_argument("--translator")
+    p.add_argument("--poll", help="keep polling (e.g. '10 seconds'): new manifests trigger a run")
+    p.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
     h = sub.add_parser("health")
     h.add_argument("--ledger", required=True)
     h.add_argument("--out", required=True)

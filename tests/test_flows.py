@@ -191,3 +191,12 @@ def test_posts_from_files(spark, scratch):
     jobs.run_posts(spark, jobs.parser().parse_args(args))
     jobs.run_posts(spark, jobs.parser().parse_args(args))
     assert spark.read.parquet(f"{scratch}/tr").count() == 4
+    # the stream form: a new manifest triggers a run; only the new post is added
+    flows.posts_stream(spark, man, scratch, f"{scratch}/tr2", f"{scratch}/led2", f"{scratch}/ck2", "ja")
+    assert spark.read.parquet(f"{scratch}/tr2").count() == 4
+    _w(f"{base}/5.html", "<p>more #news</p>")
+    _w(f"{base}/5.json", '{"lang": "en"}\n')
+    _w(f"{man}/new-twitter-html-files-2024-01-09-11.txt", f"{base}/5.html\n")
+    flows.posts_stream(spark, man, scratch, f"{scratch}/tr2", f"{scratch}/led2", f"{scratch}/ck2", "ja")
+    tr2 = spark.read.parquet(f"{scratch}/tr2")
+    assert tr2.count() == 5 and tr2.filter(F.col("post_path").endswith("/5.html")).first()["status"] == 0
