@@ -49,18 +49,20 @@ def _bounded_terms(long: DataFrame) -> list[tuple[int, str, str]]:
     return [(r["term_id"], r["lang"], r["term"]) for r in long.orderBy("term_id", "lang").collect()]
 
 
-def terms_column(long: DataFrame) -> Column:
+def terms_column(long: DataFrame, rows=None) -> Column:
     """The dictionary as a literal array<struct<term_id,lang,term>>."""
+    rows = rows if rows is not None else _bounded_terms(long)
     return F.array(*[F.struct(F.lit(i).alias("term_id"), F.lit(l).alias("lang"), F.lit(t).alias("term"))
-                     for i, l, t in _bounded_terms(long) if t])
+                     for i, l, t in rows if t])
 
 
 def hits_per_lang(df: DataFrame, text: str, long: DataFrame) -> DataFrame:
     """X11: per text, the dictionary terms found (term_id, lang) and a hit
     count per dictionary language."""
-    terms = terms_column(long)
+    rows = _bounded_terms(long)                   # one read of the (small) dictionary
+    terms = terms_column(long, rows)
     found = F.filter(terms, lambda k: F.col(text).contains(k["term"]))
-    langs = sorted({l for _, l, _ in _bounded_terms(long)})
+    langs = sorted({l for _, l, _ in rows})
     out = df.withColumn("kw_found", found)
     for l in langs:
         out = out.withColumn(f"hits_{l}", F.size(F.filter(F.col("kw_found"), lambda k: k["lang"] == l)))
