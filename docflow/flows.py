@@ -103,8 +103,9 @@ def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
                         n_lines=F.size(F.split("text", "\n", -1)), text_len=F.length("text"),
                         region="region", exists=exists)
     items = todo.withColumn("status", st)
-    out = translate_items(items, "page_path", translate_fn=translate_fn, memory=memory)
-    out = out.join(items.select("page_path", "region", "site", "mtime"), "page_path")
+    # region, site and mtime ride along (no join back to the items)
+    out = translate_items(items, "page_path", translate_fn=translate_fn, memory=memory,
+                          keep=("region", "site", "mtime"))
     led = out.select("page_path", "region", "status", "to_lang")
     return out, led
 

@@ -116,14 +116,16 @@ def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
 def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn: TranslateFn = passthrough,
                     memory: DataFrame | None = None, limit: int = PART_LIMIT,
                     hot_refs: int = 10_000, checkpoint: bool = True,
-                    memory_out: str | None = None) -> DataFrame:
+                    memory_out: str | None = None, keep=()) -> DataFrame:
     """U1 over items that passed the status cascade.
 
     ``items``: key, src_lang, to_lang, status, text.  Items with status 0
     and a different language are packed, translated and put back together;
     same-language items pass unchanged; others keep their status and no
     text.  Output: key, to_lang, status (3 when the result is <= 1 char),
-    n_parts, translated.
+    n_parts, translated, and the ``keep`` columns (which must depend on the
+    key only, e.g. region or site: they ride along and are grouped on for
+    free).
 
     The items are read once: a single projection turns each item into its
     parts (to translate) or into one row (same language / other status);
@@ -135,29 +137,33 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
         .when(same, F.array(F.struct(F.lit(-1).alias("part_no"), F.col(text).alias("part")))) \
         .otherwise(F.array().cast(f"array<{piece}>"))
     kind = F.when(todo, F.lit("todo")).when(same, F.lit("same")).otherwise(F.lit("rest"))
-    rows = items.select(key, F.col("src_lang").alias("from_lang"), "to_lang", "status", kind.alias("_kind"),
+    keep = list(keep)
+    rows = items.select(key, *keep, F.col("src_lang").alias("from_lang"), "to_lang", "status", kind.alias("_kind"),
                         F.explode_outer(pieces).alias("_p")) \
-        .select(key, "from_lang", "to_lang", "status", "_kind", "_p.part_no", "_p.part")
+        .select(key, *keep, "from_lang", "to_lang", "status", "_kind", "_p.part_no", "_p.part")
     if checkpoint:
         # One read of the items; the parts feed the distinct-part
         # translation and the join back, so they are written once to the
         # shared checkpoint folder (and the step restarts from here).
         rows = rows.checkpoint(eager=True)
     is_todo = F.col("_kind") == "todo"
-    parts = rows.filter(is_todo & F.col("part_no").isNotNull()).select(key, "from_lang", "to_lang", "part_no", "part")
+    parts = rows.filter(is_todo & F.col("part_no").isNotNull()) \
+        .select(key, *keep, "from_lang", "to_lang", "part_no", "part")
     tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint, memory_out)
-    back = reassemble(tr.select(key, "to_lang", "part_no", F.col("translated").alias("part")), [key, "to_lang"]) \
-        .select(key, "to_lang", "n_parts", F.col("text").alias("translated"))
+    back = reassemble(tr.select(key, *keep, "to_lang", "part_no", F.col("translated").alias("part")),
+                      [key, "to_lang", *keep]) \
+        .select(key, *keep, "to_lang", "n_parts", F.col("text").alias("translated"))
     empty = rows.filter(is_todo & F.col("part_no").isNull()) \
-        .select(key, "to_lang", F.lit(0).cast("long").alias("n_parts"), F.lit("").alias("translated"))
+        .select(key, *keep, "to_lang", F.lit(0).cast("long").alias("n_parts"), F.lit("").alias("translated"))
     same_rows = rows.filter(F.col("_kind") == "same") \
-        .select(key, "to_lang", F.lit(None).cast("long").alias("n_parts"), F.col("part").alias("translated"))
+        .select(key, *keep, "to_lang", F.lit(None).cast("long").alias("n_parts"), F.col("part").alias("translated"))
     ok = back.unionByName(empty).unionByName(same_rows).withColumn(
         "status", F.when(F.length("translated") <= 1, F.lit(STATUS_SHORT)).otherwise(F.lit(STATUS_OK)))
     rest = rows.filter(F.col("_kind") == "rest") \
-        .select(key, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
+        .select(key, *keep, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
                 F.lit(None).cast("string").alias("translated"))
-    return ok.select(key, "to_lang", "status", "n_parts", "translated").unionByName(rest)
+    cols = [key, "to_lang", "status", "n_parts", "translated", *keep]
+    return ok.select(*cols).unionByName(rest.select(*cols))
 
 
 def translate_posts(posts: DataFrame, key: str, text: str, lang: str, to_lang: str,
