@@ -59,9 +59,9 @@ def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataF
         src = pages.select(F.col("file_path").alias("page_path"), "mtime", "html")
         got = todo.select("page_path", "region", "site").join(src, "page_path", "left")
     joined = got.filter(F.col("html").isNotNull())
-    f = page_features(joined, key="page_path", url=None,
+    # region, site and mtime ride along: no join back, so no second file read
+    f = page_features(joined, key="page_path", url=None, keep=("region", "site", "mtime"),
                       features=["title", "text", "content_num", "link_num", "first_h1"])
-    f = f.join(joined.select("page_path", "region", "site", "mtime"), "page_path")
     f = prepend_h1(f, sites=h1_sites)
     rec = f.select("page_path", "region", "site", "mtime", "title", "text", "content_num", "link_num",
                    keyword_flag("text", keywords).alias("keyword_flag"))

@@ -35,11 +35,12 @@ ALL_FEATURES = ["html_lang", "title", "content_num", "link_num", "first_par", "f
 
 
 def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
-                  url: str | None = "url", features=None) -> DataFrame:
+                  url: str | None = "url", features=None, keep=()) -> DataFrame:
     """One row per page: title, block counts, first <p>/<h1>, main heading,
     link-list and link-dominated flags, extracted text and line count.
     ``features`` limits the output to the named ones (default: all); the
-    others are not computed.
+    others are not computed.  ``keep``: further input columns carried
+    through unchanged (so callers need no join back to the input).
 
     With ``url``: also host (site), first path folder (region) and the source
     language (<html lang> if present, else the region's language).
@@ -49,7 +50,7 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
     want = list(features or ALL_FEATURES)
     if url:
         want += [f for f in ("html_lang",) if f not in want]
-    cols = [key] + ([url] if url else [])
+    cols = [key, *keep] + ([url] if url else [])
     df = with_blocks(pages.select(*cols, html), html)
     bl = F.col("blocks")
     needs_head = any(f in want for f in ("heading_level", "heading_pos", "main_heading", "link_dominated"))
