@@ -265,6 +265,19 @@ def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str
     return run_batches(trigger, batch, checkpoint, once=once, interval=interval)
 
 
+def posts_from_lines(lines: DataFrame, ledger: DataFrame | None, to_lang: str, n: int = K.TWEET_HEAD_TAIL,
+                     translate_fn: TranslateFn = passthrough) -> DataFrame:
+    """The post loop from manifest lines (page_path, ordinal): the ledger
+    check and the first/last ``n`` choice need only the lines, so they run
+    first and only the chosen posts' files are read (once)."""
+    todo = lines.select(F.col("page_path").alias("post_path"), "ordinal")
+    if ledger is not None:
+        todo = L.unprocessed(todo, ledger, "post_path")
+    todo = L.head_tail(todo, ["ordinal", "post_path"], n)
+    posts = read_posts(todo.withColumnRenamed("post_path", "page_path"))
+    return translate_posts(posts, "post_path", "text", "lang", to_lang, translate_fn)
+
+
 def posts_stream(spark, manifest_dir: str, prefix: str, out_path: str, ledger_path: str, checkpoint: str,
                  to_lang: str, n: int = K.TWEET_HEAD_TAIL, translate_fn: TranslateFn = passthrough,
                  name_glob: str = "*.txt", once: bool = True, interval: str = "10 seconds"):
@@ -291,7 +304,7 @@ def posts_stream(spark, manifest_dir: str, prefix: str, out_path: str, ledger_pa
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             led = None
-        out = posts_flow(read_posts(lines), led, to_lang, n=n, translate_fn=translate_fn).persist()
+        out = posts_from_lines(lines, led, to_lang, n=n, translate_fn=translate_fn).persist()
         try:
             write_translated(out, out_path, batch_id=batch_id)
             append_ledger(out, ledger_path, stage, key="post_path", extra=["to_lang"], batch_id=batch_id)

@@ -105,7 +105,7 @@ def run_posts(spark, a):
                          translate_fn=_translator(a.translator), once=False, interval=a.poll)
         q.awaitTermination()
         return
-    from docflow.flows import posts_flow, read_posts
+    from docflow.flows import posts_from_lines
     from docflow.sinks.tables import append_ledger, write_translated
     from docflow.sources.manifests import recent_posts
     lines = recent_posts(spark, a.manifests, a.prefix).withColumn(
@@ -114,7 +114,7 @@ def run_posts(spark, a):
     led = _read_if_there(spark, a.ledger)
     if led is not None:
         led = led.filter(F.col("stage") == stage).select(F.col("page_path").alias("post_path"))
-    out = posts_flow(read_posts(lines), led, a.to, n=a.n, translate_fn=_translator(a.translator)).persist()
+    out = posts_from_lines(lines, led, a.to, n=a.n, translate_fn=_translator(a.translator)).persist()
     try:
         write_translated(out, a.out)
         append_ledger(out, a.ledger, stage, key="post_path", extra=["to_lang"])
