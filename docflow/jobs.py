@@ -84,9 +84,13 @@ def run_translate(spark, a):
 
 def run_index(spark, a):
     from docflow.flows import index_flow
-    from docflow.sources.files import read_sidecar
+    from docflow.functions.paths import with_suffix
+    from docflow.sources.files import read_named_files
     tr = spark.read.parquet(a.translated)
-    urls = read_sidecar(spark, a.root, ".url").select(F.concat("key", F.lit(".html")).alias("page_path"), "url")
+    # only the .url sidecars of the translated pages, read on the executors
+    want = tr.select("page_path").distinct().withColumn("_url_path", with_suffix("page_path", ".url"))
+    urls = read_named_files(want, "_url_path", "_url", "_m").select(
+        "page_path", F.regexp_replace("_url", r"\A\s+|\s+\z", "").alias("url")).filter(F.col("url").isNotNull())
     newest, first, skipped = index_flow(tr, urls, a.root, tz=a.tz)
     newest.write.mode("errorifexists").parquet(f"{a.history}/newest-{a.run_id}")
     first.write.mode("errorifexists").parquet(f"{a.history}/first-{a.run_id}")
