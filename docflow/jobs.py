@@ -3,15 +3,18 @@
     spark-submit --py-files docflow.zip docflow/jobs.py extract \\
         --root /share/html --manifests /share/run/new-html-files \\
         --out /share/tables/extracted --ledger /share/tables/ledger \\
-        --checkpoint /share/checkpoints/extract [--region jp] [--poll 10s]
+        --checkpoint /share/checkpoints/extract [--region jp] [--poll '10 seconds']
 
     ... translate --extracted /share/tables/extracted --ledger /share/tables/ledger \\
-        --to ja --out /share/tables/translated [--memory /share/tables/tm]
+        --to ja --out /share/tables/translated [--memory /share/tables/tm] [--poll '1 second' --checkpoint ...]
 
     ... index --translated /share/tables/translated --root /share/html \\
-        --history /share/tables/index_history
+        --history /share/tables/index_history --run-id 1
 
-    ... health --ledger /share/tables/ledger --out /share/tables/health
+    ... posts --manifests /share/run/new-html-files --to ja \\
+        --out /share/tables/posts_ja --ledger /share/tables/ledger [--poll '10 seconds' --checkpoint ...]
+
+    ... health --ledger /share/tables/ledger --out /share/tables/health --run-id 1
 
 Each job reads and writes tables on shared storage; a job killed at any
 point can be started again (stream checkpoints, batch-id partitions,
