@@ -200,3 +200,15 @@ def test_posts_from_files(spark, scratch):
     flows.posts_stream(spark, man, scratch, f"{scratch}/tr2", f"{scratch}/led2", f"{scratch}/ck2", "ja")
     tr2 = spark.read.parquet(f"{scratch}/tr2")
     assert tr2.count() == 5 and tr2.filter(F.col("post_path").endswith("/5.html")).first()["status"] == 0
+
+
+def test_extract_stream_polling_trigger(spark, scratch):
+    root, man = f"{scratch}/html", f"{scratch}/manifests"
+    paths = _tree(root, man)
+    q = flows.extract_stream(spark, man, root, f"{scratch}/ext", f"{scratch}/led", f"{scratch}/ck",
+                             today=dt.date(2024, 1, 9), once=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{scratch}/ext").count() == len(paths)
