@@ -131,7 +131,9 @@ def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str =
     key = F.concat_ws("|", "to_lang", "record_id")
     hist = hist.withColumn("_id", key)
     newest = latest_version(hist, "_id", "ts_local", "arrival").drop("_id")
-    first = first_version(hist, "_id", "arrival").drop("_id")
+    # the create-only stream's documents also carry @timestamp = UTC crawl time
+    first = first_version(hist, "_id", "arrival").drop("_id") \
+        .withColumn("@timestamp", F.col("record.timestamp.utc"))
     return newest, first, skipped
 
 
@@ -151,7 +153,7 @@ def index_posts(translated: DataFrame, root: str, arrival: str = "arrival", hist
         p["filename"].alias("filename")).alias("record")).filter(F.col("record_id").isNotNull())
     hist = rec if history is None else history.unionByName(rec, allowMissingColumns=True)
     hist = hist.withColumn("_id", F.concat_ws("|", "to_lang", "record_id"))
-    return first_version(hist, "_id", "arrival").drop("_id")
+    return first_version(hist, "_id", "arrival").drop("_id").withColumn("@timestamp", F.col("record.timestamp.utc"))
 
 
 def classify_flow(ja_ok: DataFrame, en_ok: DataFrame, extracted: DataFrame, classified: DataFrame,

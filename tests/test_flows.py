@@ -62,6 +62,7 @@ def test_extract_translate_index(spark, scratch):
     assert (r.region, r.domain, r.path, r.url) == ("jp", "www.a.jp", "news", "https://www.a.jp/p1.html")
     assert (r.timestamp.year, r.timestamp.day, r.timestamp.hh, r.timestamp.utc) == (2024, 9, 10, dt.datetime(2024, 1, 9, 1))
     assert first.count() == 2 and skipped.count() == 0
+    assert first.filter(F.col("record_id") == "jp/www.a.jp/news/p1").first()["@timestamp"] == dt.datetime(2024, 1, 9, 1)
 
 
 def test_posts_flow(spark):
