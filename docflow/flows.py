@@ -78,7 +78,7 @@ def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataF
 def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
                    quota: int = K.TRANSLATE_SITE_QUOTA, translate_fn: TranslateFn = passthrough,
                    memory: DataFrame | None = None, lang_file: str | None = None,
-                   done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                   done: DataFrame | None = None, retry_status=None) -> tuple[DataFrame, DataFrame]:
     """``records``: extraction records (page_path, region, site, mtime, text,
     content_num, link_num, keyword_flag[, lang file column]).  Newest first,
     at most ``quota`` per site after the ledger is consulted (Q7); then the
@@ -87,8 +87,11 @@ def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
 
     Because the quota comes after the ledger, items left over in one run are
     taken by a later one; so this runs as a periodic batch over the whole
-    extracted table (``jobs translate``), not on new files only."""
-    todo = records if ledger is None else L.unprocessed(records, ledger, "page_path")
+    extracted table (``jobs translate``), not on new files only.
+    ``retry_status`` (e.g. {3, 8}): items whose ledger lines all carry
+    those codes are tried again (the original never retried)."""
+    todo = records if ledger is None else L.unprocessed(records, ledger, "page_path",
+                                                        retry_status=retry_status)
     todo = L.site_quota(todo, "site", [F.col("mtime").desc(), F.col("page_path").desc()], quota).drop("rank")
     todo = todo.withColumn("src_lang", source_lang("region", lang_file)).withColumn("to_lang", F.lit(to_lang))
     exists = None
@@ -229,7 +232,8 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
 
 def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str, checkpoint: str, to_lang: str,
                      quota: int = K.TRANSLATE_SITE_QUOTA, translate_fn: TranslateFn = passthrough,
-                     memory_path: str | None = None, once: bool = True, interval: str = "1 second"):
+                     memory_path: str | None = None, once: bool = True, interval: str = "1 second",
+                     retry_status=None):
     """W1 for the translate loop.  New files of the extracted table trigger
     a micro-batch; since the quota is taken after the ledger (Q7), each
     micro-batch runs ``translate_flow`` over the whole extracted table
@@ -244,7 +248,7 @@ def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str
         records = spark.read.parquet(extracted_path)
         try:
             led = spark.read.parquet(ledger_path).filter(
-                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select("page_path")
+                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select("page_path", "status")
         except Exception as e:  # no ledger yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
@@ -256,7 +260,8 @@ def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str
             except Exception as e:
                 if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                     raise
-        out, _ = translate_flow(records, led, to_lang, quota=quota, translate_fn=translate_fn, memory=memory)
+        out, _ = translate_flow(records, led, to_lang, quota=quota, translate_fn=translate_fn, memory=memory,
+                                retry_status=retry_status)
         out = out.persist()
         try:
             write_translated(out, out_path, batch_id=batch_id)

@@ -37,6 +37,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from docflow import constants as K  # noqa: E402
 
 
+def _codes(spec: str | None):
+    return {int(x) for x in spec.split(",") if x.strip()} if spec else None
+
+
 def _translator(spec: str | None):
     if not spec:
         from docflow.operators.translate import passthrough
@@ -61,7 +65,7 @@ def run_translate(spark, a):
             raise SystemExit("--poll needs --checkpoint")
         q = translate_stream(spark, a.extracted, a.out, a.ledger, a.checkpoint, a.to, quota=a.quota,
                              translate_fn=_translator(a.translator), memory_path=a.memory,
-                             once=False, interval=a.poll)
+                             once=False, interval=a.poll, retry_status=_codes(a.retry_status))
         q.awaitTermination()
         return
     from docflow.flows import translate_flow
@@ -76,7 +80,7 @@ def run_translate(spark, a):
         led = None
     memory = _read_if_there(spark, a.memory) if a.memory else None
     out, led_lines = translate_flow(rec, led, a.to, quota=a.quota, translate_fn=_translator(a.translator),
-                                    memory=memory)
+                                    memory=memory, retry_status=_codes(a.retry_status))
     out = out.withColumn("arrival", F.unix_micros(F.current_timestamp())).persist()
     try:
         write_translated(out, a.out)
@@ -171,6 +175,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--quota", type=int, default=K.TRANSLATE_SITE_QUOTA)
     t.add_argument("--translator")
     t.add_argument("--poll", help="keep polling (e.g. '1 second'): new extracted files trigger a run")
+    t.add_argument("--retry-status", dest="retry_status", help="codes to try again, e.g. 3,8")
     t.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
     i = sub.add_parser("index")
     i.add_argument("--translated", required=True)

@@ -46,6 +46,10 @@ def test_extract_translate_index(spark, scratch):
     rec2, _ = flows.extract_flow(lines, pages, ledger=led)
     assert rec2.count() == 0
 
+    # retry: an item whose only ledger line says 3 (short output) is taken again when asked
+    led3 = spark.createDataFrame([(paths[1], 3), (paths[2], 0)], "page_path string, status int")
+    again, _ = flows.translate_flow(rec, led3, "ja", retry_status={3})
+    assert {r["page_path"] for r in again.collect()} == {paths[0], paths[1], paths[3]}
     tr, tled = flows.translate_flow(rec, None, "ja")
     st = {r["page_path"]: r for r in tr.collect()}
     assert st[paths[0]]["status"] == 0 and st[paths[0]]["translated"] == got[paths[0]]["text"]   # same language
