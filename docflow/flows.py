@@ -21,6 +21,8 @@ post pages and their language sidecars named in manifests.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -210,9 +212,15 @@ def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_pa
     s = s.select("value", F.col("_metadata.file_name").alias("file_name"))
 
     def batch(df: DataFrame, batch_id: int):
-        lines = recent_lines(parse_manifests(df), days, root, region, today)
+        day = today or dt.date.today()
+        lines = recent_lines(parse_manifests(df), days, root, region, day)
         try:
-            led = spark.read.parquet(ledger_path).filter(F.col("batch_id") != batch_id).select("page_path")
+            # A line of the window was processed on or after its manifest's
+            # date, so only ledger days inside the window can hold it: the
+            # stage and day partitions outside are pruned, not read.
+            led = spark.read.parquet(ledger_path).filter(
+                (F.col("stage") == "extract") & (F.col("day") >= F.lit(day - dt.timedelta(days=days)))
+                & (F.col("batch_id") != batch_id)).select("page_path")
         except Exception as e:  # no ledger yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
