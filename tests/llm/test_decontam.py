@@ -1,0 +1,89 @@
+"""Decontamination against a brute-force scan."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from docflow.llm import decontam
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(t):
+    return WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def brute(docs, items, k=10):
+    out = []
+    for i, t in docs:
+        ws, hit, found = words(t), set(), set()
+        for name, it in items:
+            iw = words(it)
+            for a in range(max(1, len(iw) - k + 1) if iw else 0):
+                win = iw[a:a + k]
+                for p in range(len(ws) - len(win) + 1):
+                    if ws[p:p + len(win)] == win:
+                        hit.update(range(p, p + len(win)))
+                        found.add("" if name is None else str(name))
+        out.append((i, len(ws), len(hit), tuple(sorted(found))))
+    return sorted(out, key=str)
+
+
+def data(seed):
+    r = random.Random(seed)
+    vocab = [f"w{i}" for i in range(60)] + ["the", "of", "é", "ñu", "7"]
+    text = lambda n: r.choice([" ", ", ", "\n"]).join(r.choice(vocab) for _ in range(n))
+    items = [(i, text(r.choice([1, 4, 10, 11, 30]))) for i in range(12)] + [(20, None), (21, "..."), (None, text(15)), (10, text(12)), (2, "The OF the of the of the of the of the of")]
+    docs = []
+    for i in range(80):
+        t = text(r.choice([0, 3, 20, 120]))
+        if i % 3 == 0:
+            t += " " + (r.choice(items)[1] or "")
+        docs.append((i, t))
+    docs += [(200, None), (201, ""), (202, "the of " * 3000), (5, docs[5][1]), (None, items[4][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize("block_bytes,words_per_pass", [(2 << 20, 500_000), (300, 20), (1, 500_000)])
+def test_matches_brute_force(spark, block_bytes, words_per_pass):
+    docs, items = data(1)
+    d = spark.createDataFrame([(i, t, "z") for i, t in docs], "doc_id long, text string, spans string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.decontaminate(d, b, block_bytes=block_bytes, words_per_pass=words_per_pass).collect()
+    assert sorted(((x.doc_id, x.n_words, x.n_hit, tuple(x["items"])) for x in got), key=str) == brute(docs, items)
+    for x in got:
+        assert all(0 <= s.first < s.after <= x.n_words for s in x.spans)
+        assert all(a.after < c.first for a, c in zip(x.spans, x.spans[1:]))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    assert [(x.n_words, x.n_hit) for x in decontam.decontaminate(docs, none).collect()] == [(3, 0)]
+    assert decontam.decontaminate(docs.limit(0), spark.createDataFrame([(1, "a")], "item_id long, text string")).collect() == []
+
+
+def test_index_keeps_every_posting():
+    docs = [decontam.words(t) for t in (b"a b a", b"", b"b c")]
+    row = decontam.index_block(0, [1, 2, 3], [0, 0, 0], docs)
+    terms, counts, steps = (row[i][0].as_py() for i in (4, 5, 6))
+    at, places = 0, {}
+    for t, n in zip(terms, counts):
+        places[t] = list(np.cumsum(steps[at:at + n]))
+        at += n
+    assert places == {"a": [0, 2], "b": [1, 3], "c": [4]} and row[3][0].as_py() == [3, 3, 5]
+
+
+def test_proximity_matches():
+    lists = [np.array([2, 50]), np.array([5, 51]), np.array([6, 60])]
+    assert list(decontam.intersect(lists)) == []
+    assert 50 not in decontam.intersect(lists, slop=1)
+    assert 3 in decontam.intersect(lists, slop=2)
+
+
+def test_matches_do_not_cross_documents(spark):
+    d = spark.createDataFrame([(1, "x a b"), (2, "c d y")], "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    assert [x.n_hit for x in decontam.decontaminate(d, b).collect()] == [0, 0]
