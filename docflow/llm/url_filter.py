@@ -153,14 +153,14 @@ def calibrate(scored: DataFrame, bins: int = BINS) -> float:
     rows = scored.groupBy(at.alias("bin")).agg(F.count_if(F.col("verdict") == "allow").alias("a"), F.count_if(F.col("verdict") == "block").alias("b")).collect()
     hist = {r.bin: (r.a, r.b) for r in rows}
     all_a, all_b = sum(a for a, _ in hist.values()), sum(b for _, b in hist.values())
-    best, under_a, under_b = (-1.0, 0.0), 0, 0
+    found, under_a, under_b = [], 0, 0
     for k in range(bins + 1):
-        good = (all_a - under_a) / max(1, all_a) + under_b / max(1, all_b)
-        if good > best[0]:
-            best = (good, lo + (hi - lo) * k / bins)
+        found.append((all_a - under_a) / max(1, all_a) + under_b / max(1, all_b))
         a, b = hist.get(k, (0, 0))
         under_a, under_b = under_a + a, under_b + b
-    return best[1]
+    first = found.index(max(found))                 # the middle of the first stretch of equally good cuts
+    last = next((k for k in range(first, bins + 1) if found[k] < found[first]), bins + 1) - 1
+    return lo + (hi - lo) * (first + last) / 2 / bins
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
