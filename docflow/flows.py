@@ -13,10 +13,10 @@ records to write and the ledger lines to append; the caller writes them with
     classify:  ja ok ⋉ en ok ⋉ extracted ▷ classified -> scores (J2, U2-U4, K3)
     posts:     post list -> not yet translated -> first and last n -> U1 (A6, U1)
 
-Stream forms: ``extract_stream`` (new manifest files), ``translate_stream``
-(new extracted files trigger a run over the whole table), ``posts_stream``
-(new manifests trigger a run over the whole post list); ``read_posts`` reads
-post pages and their language sidecars named in manifests.
+Loop forms: ``extract_stream``, ``translate_stream`` and ``posts_stream`` run
+one poll or keep polling; every poll works on its whole window minus the
+ledger (see ``streaming.incremental``).  ``read_posts`` reads post pages and
+their language sidecars named in manifests.
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
 from docflow.functions.paths import with_suffix
 from docflow.operators.translate import TranslateFn, passthrough, post_text, translate_items, translate_posts
-from docflow.sinks.tables import append_ledger, quarantine, write_extracted
+from docflow.sinks.tables import (append_ledger, next_batch, quarantine, read_if_exists, write_extracted,
+                                  write_hourly_manifest, write_translated)
 from docflow.sources.files import json_field, read_named_files
-from docflow.sources.manifests import parse_manifests, recent_lines
-from docflow.streaming.incremental import file_stream, run_batches
+from docflow.sources.manifests import recent_pages, recent_posts
+from docflow.streaming.incremental import run_polls
 
 
 def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataFrame | None = None,
@@ -48,9 +49,10 @@ def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataF
     site, ordinal).  ``pages``: (file_path, mtime, html), e.g. from
     ``sources.files.scan_pages``; None reads just the listed files
     (``sources.files.read_named_files``).  ``ledger``: earlier extract lines
-    (page_path).  The quota counts lines before the ledger is consulted, as
-    the original did (Q7).  Returns (records, ledger lines)."""
-    todo = L.site_quota(lines, "site", ["ordinal"], quota).drop("rank")
+    (page_path).  The quota counts lines per region and site, before the
+    ledger is consulted, as the original did (Q7).  Returns (records, ledger
+    lines)."""
+    todo = L.site_quota(lines, ["region", "site"], ["ordinal"], quota).drop("rank")
     todo = todo.dropDuplicates(["page_path"])
     if ledger is not None:
         todo = L.unprocessed(todo, ledger, "page_path")
@@ -80,21 +82,32 @@ def extract_flow(lines: DataFrame, pages: DataFrame | None = None, ledger: DataF
 def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
                    quota: int = K.TRANSLATE_SITE_QUOTA, translate_fn: TranslateFn = passthrough,
                    memory: DataFrame | None = None, lang_file: str | None = None,
-                   done: DataFrame | None = None, retry_status=None) -> tuple[DataFrame, DataFrame]:
+                   done: DataFrame | None = None, retry_status=None, memory_out: str | None = None,
+                   lang_sidecars: bool = False, batch_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``records``: extraction records (page_path, region, site, mtime, text,
     content_num, link_num, keyword_flag[, lang file column]).  Newest first,
-    at most ``quota`` per site after the ledger is consulted (Q7); then the
-    status cascade and the translation.  ``done``: items whose target
-    already exists (status 5).  Returns (translated, ledger lines).
+    at most ``quota`` per region and site after the ledger is consulted (Q7);
+    then the status cascade and the translation.  Both choices are made on
+    the narrow columns, and texts are fetched for the chosen rows only.
+    ``done``: items whose target already exists (status 5).  ``memory_out``:
+    where new part translations are kept for later runs.  ``lang_sidecars``:
+    a page's ``.lang`` file, if there is one, overrides its region's
+    language.  ``batch_id`` adds ``arrival``, the order of writes.  Returns
+    (translated, ledger lines).
 
     Because the quota comes after the ledger, items left over in one run are
-    taken by a later one; so this runs as a periodic batch over the whole
-    extracted table (``jobs translate``), not on new files only.
+    taken by a later one; so this runs over the whole extracted table.
     ``retry_status`` (e.g. {3, 8}): items whose ledger lines all carry
     those codes are tried again (the original never retried)."""
-    todo = records if ledger is None else L.unprocessed(records, ledger, "page_path",
-                                                        retry_status=retry_status)
-    todo = L.site_quota(todo, "site", [F.col("mtime").desc(), F.col("page_path").desc()], quota).drop("rank")
+    todo = records.select("page_path", "region", "site", "mtime")
+    if ledger is not None:
+        todo = L.unprocessed(todo, ledger, "page_path", retry_status=retry_status)
+    chosen = L.site_quota(todo, ["region", "site"], [F.col("mtime").desc(), F.col("page_path").desc()], quota).select("page_path")
+    todo = records.join(chosen, "page_path", "left_semi")
+    if lang_sidecars:
+        lang_file = "_lang"
+        todo = read_named_files(todo.withColumn("_lang_path", with_suffix("page_path", ".lang")), "_lang_path", "_lang", "_lang_mtime")
+        todo = todo.withColumn("_lang", F.regexp_replace("_lang", r"\A\s+|\s+\z", "")).drop("_lang_path", "_lang_mtime")
     todo = todo.withColumn("src_lang", source_lang("region", lang_file)).withColumn("to_lang", F.lit(to_lang))
     exists = None
     if done is not None:
@@ -110,11 +123,19 @@ def translate_flow(records: DataFrame, ledger: DataFrame | None, to_lang: str,
     items = todo.withColumn("status", st)
     # region, site and mtime ride along (no join back to the items)
     out = translate_items(items, "page_path", translate_fn=translate_fn, memory=memory,
-                          keep=("region", "site", "mtime"))
+                          keep=("region", "site", "mtime"), memory_out=memory_out)
+    if batch_id is not None:
+        out = out.withColumn("arrival", arrival_order("page_path", batch_id))
     led = out.select("page_path", "region", "status", "to_lang")
     return out, led
 
 
+def arrival_order(key: str, batch_id: int):
+    """Order of writes as a long: by run, and within one by a hash of the
+    item (a repeated run gives the same order)."""
+    return F.lit(batch_id).cast("long") * (1 << 31) + F.pmod(F.xxhash64(key), F.lit(1 << 31))
+
+
 def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str = "arrival",
                history: DataFrame | None = None, tz: str = "UTC") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``translated``: (page_path, to_lang, status, translated, ``arrival``)
@@ -129,6 +150,9 @@ def index_flow(translated: DataFrame, urls: DataFrame, root: str, arrival: str =
     ok = ok.select("page_path", "to_lang", "translated", F.col(arrival).alias("arrival"),
                    page_parts(with_suffix("page_path", ".txt"), root, tz).alias("_p"))
     rec, skipped = index_records(ok, urls, None, "page_path")
+    # a path too short for an id is skipped, not merged with others like it
+    skipped = skipped.select("page_path").unionByName(rec.filter(F.col("_p.record_id").isNull()).select("page_path"))
+    rec = rec.filter(F.col("_p.record_id").isNotNull())
     rec = rec.select("page_path", "to_lang", "arrival", F.col("_p.record_id").alias("record_id"),
                      F.col("_p.ts_local").alias("ts_local"),
                      index_record("translated", "_p", "url").alias("record"))
@@ -192,92 +216,81 @@ def posts_flow(posts: DataFrame, ledger: DataFrame | None, to_lang: str, n: int
     return translate_posts(todo, "post_path", "text", "lang", to_lang, translate_fn)
 
 
-def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_path: str, checkpoint: str,
+def extract_stream(spark, manifest_dir: str, root: str, out_path: str, ledger_path: str, checkpoint: str | None = None,
                    days: int = K.EXTRACT_DAY_WINDOW, quota: int = K.EXTRACT_SITE_QUOTA, region: str | None = None,
-                   name_glob: str = "*.txt", max_files_per_trigger: int | None = None, once: bool = True,
-                   today=None, interval: str = "10 seconds"):
-    """W1 for the extract loop: new manifest files as a stream; per
-    micro-batch the lines of the day window, the per-site quota, the ledger
-    anti-join, the listed pages read on the executors, extraction, then the
-    records (partitioned by region) and ledger lines written by batch id.
-
-    The quota is taken per micro-batch, before the ledger (Q7).  The original
-    re-read the whole window each poll with the same rule, so lines past the
-    quota never got their turn there either: the same first ``quota`` lines
-    per site win every poll."""
-    from pyspark.sql.types import StringType, StructField, StructType
-    schema = StructType([StructField("value", StringType())])
-    s = file_stream(spark, manifest_dir, schema, fmt="text", glob=name_glob,
-                    max_files_per_trigger=max_files_per_trigger)
-    s = s.select("value", F.col("_metadata.file_name").alias("file_name"))
-
-    def batch(df: DataFrame, batch_id: int):
+                   name_glob: str = "*.txt", once: bool = True, today=None, interval: str = "10 seconds"):
+    """W1 for the extract loop.  A poll reads the manifests of the day window
+    as they are now, takes the first ``quota`` lines of each region and site
+    (before the ledger, Q7), drops what the ledger holds, reads the listed
+    pages on the executors, extracts, and writes records (partitioned by
+    region), quarantine and ledger lines under one number.  Returns the
+    number of items taken, or the running query when it keeps polling."""
+    def poll() -> int:
         day = today or dt.date.today()
-        lines = recent_lines(parse_manifests(df), days, root, region, day)
-        try:
+        lines = recent_pages(spark, manifest_dir, days, root, region, day, name_glob)
+        number = next_batch(spark, ledger_path, "extract")
+        led = read_if_exists(spark, ledger_path)
+        if led is not None:
             # A line of the window was processed on or after its manifest's
             # date, so only ledger days inside the window can hold it: the
             # stage and day partitions outside are pruned, not read.
-            led = spark.read.parquet(ledger_path).filter(
-                (F.col("stage") == "extract") & (F.col("day") >= F.lit(day - dt.timedelta(days=days)))
-                & (F.col("batch_id") != batch_id)).select("page_path")
-        except Exception as e:  # no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            led = None
+            led = led.filter((F.col("stage") == "extract") & (F.col("day") >= F.lit(day - dt.timedelta(days=days)))
+                             & (F.col("batch_id") < number)).select("page_path")
         rec, led_lines = extract_flow(lines, None, led, quota=quota)
         rec = rec.persist()
+        led_lines = led_lines.persist()
         try:
-            write_extracted(rec, out_path, batch_id=batch_id)
-            append_ledger(led_lines, ledger_path, "extract", batch_id=batch_id)
+            write_extracted(rec, out_path, batch_id=number)
             quarantine(led_lines.filter(F.col("status") != K.STATUS_OK), f"{ledger_path}_errors", "extract",
-                       "page_path", "page file missing or unreadable")
+                       "page_path", "page file missing", batch_id=number)
+            append_ledger(led_lines, ledger_path, "extract", batch_id=number)
+            return led_lines.count()
         finally:
+            led_lines.unpersist()
             rec.unpersist()
 
-    return run_batches(s, batch, checkpoint, once=once, interval=interval)
+    return run_polls(spark, poll, checkpoint, once, interval)
 
 
-def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str, checkpoint: str, to_lang: str,
+def translate_stream(spark, extracted_path: str, out_path: str, ledger_path: str, checkpoint: str | None, to_lang: str,
                      quota: int = K.TRANSLATE_SITE_QUOTA, translate_fn: TranslateFn = passthrough,
                      memory_path: str | None = None, once: bool = True, interval: str = "1 second",
-                     retry_status=None):
-    """W1 for the translate loop.  New files of the extracted table trigger
-    a micro-batch; since the quota is taken after the ledger (Q7), each
-    micro-batch runs ``translate_flow`` over the whole extracted table
-    against the ledger (items left over by the quota are taken later), and
-    writes the results and ledger lines by batch id."""
-    from docflow.sinks.tables import write_translated
-    schema = spark.read.parquet(extracted_path).schema
-    trigger = spark.readStream.schema(schema).parquet(extracted_path).select("page_path")
+                     retry_status=None, lang_sidecars: bool = True, manifest_path: str | None = None):
+    """W1 for the translate loop.  A poll runs ``translate_flow`` over the
+    whole extracted table against the ledger and writes results, the hourly
+    manifest of new targets (K5) and ledger lines under one number.
+    ``memory_path``: translation memory, read and added to.  Items whose
+    target the table already holds get status 5."""
     stage = f"translate_{to_lang}"
 
-    def batch(_new: DataFrame, batch_id: int):
+    def poll() -> int:
         records = spark.read.parquet(extracted_path)
-        try:
-            led = spark.read.parquet(ledger_path).filter(
-                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select("page_path", "status")
-        except Exception as e:  # no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            led = None
-        memory = None
-        if memory_path:
-            try:
-                memory = spark.read.parquet(memory_path)
-            except Exception as e:
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
+        there = read_if_exists(spark, out_path)
+        if there is not None:
+            there = there.filter(F.col("to_lang") == to_lang)
+        number = next_batch(spark, ledger_path, stage, there)
+        led = read_if_exists(spark, ledger_path)
+        if led is not None:
+            led = led.filter((F.col("stage") == stage) & (F.col("batch_id") < number)).select("page_path", "status")
+        if there is not None:
+            there = there.filter((F.col("batch_id") < number) & (F.col("status") == K.STATUS_OK)).select("page_path")
+        memory = read_if_exists(spark, memory_path) if memory_path else None
         out, _ = translate_flow(records, led, to_lang, quota=quota, translate_fn=translate_fn, memory=memory,
-                                retry_status=retry_status)
+                                done=there, retry_status=retry_status, memory_out=memory_path,
+                                lang_sidecars=lang_sidecars, batch_id=number)
         out = out.persist()
         try:
-            write_translated(out, out_path, batch_id=batch_id)
-            append_ledger(out, ledger_path, stage, extra=["region", "to_lang"], batch_id=batch_id)
+            # a target that was there stays as it is: only its ledger line is new
+            write_translated(out.filter(F.col("status") != K.STATUS_EXISTS), out_path, batch_id=number)
+            if manifest_path:
+                write_hourly_manifest(out.filter(F.col("status") == K.STATUS_OK).withColumn("processed_at", F.current_timestamp()),
+                                      manifest_path, batch_id=number)
+            append_ledger(out, ledger_path, stage, extra=["region", "to_lang"], batch_id=number)
+            return out.count()
         finally:
             out.unpersist()
 
-    return run_batches(trigger, batch, checkpoint, once=once, interval=interval)
+    return run_polls(spark, poll, checkpoint, once, interval)
 
 
 def posts_from_lines(lines: DataFrame, ledger: DataFrame | None, to_lang: str, n: int = K.TWEET_HEAD_TAIL,
@@ -293,37 +306,29 @@ def posts_from_lines(lines: DataFrame, ledger: DataFrame | None, to_lang: str, n
     return translate_posts(posts, "post_path", "text", "lang", to_lang, translate_fn)
 
 
-def posts_stream(spark, manifest_dir: str, prefix: str, out_path: str, ledger_path: str, checkpoint: str,
+def posts_stream(spark, manifest_dir: str, prefix: str, out_path: str, ledger_path: str, checkpoint: str | None,
                  to_lang: str, n: int = K.TWEET_HEAD_TAIL, translate_fn: TranslateFn = passthrough,
                  name_glob: str = "*.txt", once: bool = True, interval: str = "10 seconds"):
-    """W1 for the short-post loop: new manifest files trigger a run over all
-    listed posts (the original re-read its whole list each poll) against the
-    ledger; first and last ``n`` of the rest are translated and written,
-    with their ledger lines, by batch id."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    from docflow.sinks.tables import write_translated
-    from docflow.sources.manifests import recent_posts
-    trigger = file_stream(spark, manifest_dir, StructType([StructField("value", StringType())]), fmt="text",
-                          glob=name_glob)
+    """W1 for the short-post loop: a poll takes all listed posts minus the
+    ledger, first and last ``n`` of the rest, and writes translations and
+    ledger lines under one number."""
     stage = f"posts_{to_lang}"
 
-    def batch(_new: DataFrame, batch_id: int):
+    def poll() -> int:
         lines = recent_posts(spark, manifest_dir, prefix, name_glob=name_glob).withColumn(
             "ordinal", F.struct("file_date", "file_name", "line_no"))
-        try:
-            led = spark.read.parquet(ledger_path).filter(
-                (F.col("stage") == stage) & (F.col("batch_id") != batch_id)).select(
+        number = next_batch(spark, ledger_path, stage)
+        led = read_if_exists(spark, ledger_path)
+        if led is not None:
+            led = led.filter((F.col("stage") == stage) & (F.col("batch_id") < number)).select(
                 F.col("page_path").alias("post_path"))
-        except Exception as e:  # no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            led = None
-        out = posts_from_lines(lines, led, to_lang, n=n, translate_fn=translate_fn).persist()
+        out = posts_from_lines(lines, led, to_lang, n=n, translate_fn=translate_fn) \
+            .withColumn("arrival", arrival_order("post_path", number)).persist()
         try:
-            write_translated(out, out_path, batch_id=batch_id)
-            append_ledger(out, ledger_path, stage, key="post_path", extra=["to_lang"], batch_id=batch_id)
+            write_translated(out, out_path, batch_id=number)
+            append_ledger(out, ledger_path, stage, key="post_path", extra=["to_lang"], batch_id=number)
+            return out.count()
         finally:
             out.unpersist()
 
-    return run_batches(trigger, batch, checkpoint, once=once, interval=interval)
+    return run_polls(spark, poll, checkpoint, once, interval)

@@ -17,8 +17,9 @@
     ... health --ledger /share/tables/ledger --out /share/tables/health --run-id 1
 
 Each job reads and writes tables on shared storage; a job killed at any
-point can be started again (stream checkpoints, batch-id partitions,
-append-only histories).  The translate function is the pass-through by
+point can be started again: a run's results and ledger lines carry one
+number, the ledger comes last, and a run that died before it is repeated under
+the same number and replaces its own rows.  The translate function is the pass-through by
 default; a deployment passes its own through ``--translator module:function``.
 """
 
@@ -49,44 +50,29 @@ def _translator(spec: str | None):
     return getattr(importlib.import_module(mod), fn)
 
 
+def _finish(q, poll):
+    if poll is not None:
+        q.awaitTermination()
+
+
 def run_extract(spark, a):
     from docflow.flows import extract_stream
-    q = extract_stream(spark, a.manifests, a.root, a.out, a.ledger, a.checkpoint, days=a.days, quota=a.quota,
-                       region=a.region, max_files_per_trigger=a.max_files, once=a.poll is None,
-                       interval=a.poll or "10 seconds")
-    if a.poll is not None:
-        q.awaitTermination()
+    _finish(extract_stream(spark, a.manifests, a.root, a.out, a.ledger, a.checkpoint, days=a.days, quota=a.quota,
+                           region=a.region, once=a.poll is None, interval=a.poll or "10 seconds"), a.poll)
+
+
+def _need_checkpoint(a):
+    if a.poll and not a.checkpoint:
+        raise SystemExit("--poll needs --checkpoint")
 
 
 def run_translate(spark, a):
-    if a.poll:
-        from docflow.flows import translate_stream
-        if not a.checkpoint:
-            raise SystemExit("--poll needs --checkpoint")
-        q = translate_stream(spark, a.extracted, a.out, a.ledger, a.checkpoint, a.to, quota=a.quota,
-                             translate_fn=_translator(a.translator), memory_path=a.memory,
-                             once=False, interval=a.poll, retry_status=_codes(a.retry_status))
-        q.awaitTermination()
-        return
-    from docflow.flows import translate_flow
-    from docflow.sinks.tables import append_ledger, read_recent_ledger, write_translated
-    rec = spark.read.parquet(a.extracted)
-    stage = f"translate_{a.to}"
-    try:
-        led = read_recent_ledger(spark, a.ledger, stage)
-    except Exception as e:  # first run
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        led = None
-    memory = _read_if_there(spark, a.memory) if a.memory else None
-    out, led_lines = translate_flow(rec, led, a.to, quota=a.quota, translate_fn=_translator(a.translator),
-                                    memory=memory, retry_status=_codes(a.retry_status))
-    out = out.withColumn("arrival", F.unix_micros(F.current_timestamp())).persist()
-    try:
-        write_translated(out, a.out)
-        append_ledger(out, a.ledger, stage, extra=["region", "to_lang"])
-    finally:
-        out.unpersist()
+    from docflow.flows import translate_stream
+    _need_checkpoint(a)
+    _finish(translate_stream(spark, a.extracted, a.out, a.ledger, a.checkpoint, a.to, quota=a.quota,
+                             translate_fn=_translator(a.translator), memory_path=a.memory, once=a.poll is None,
+                             interval=a.poll or "1 second", retry_status=_codes(a.retry_status),
+                             manifest_path=a.manifest_out), a.poll)
 
 
 def run_index(spark, a):
@@ -99,38 +85,24 @@ def run_index(spark, a):
     urls = read_named_files(want, "_url_path", "_url", "_m").select(
         "page_path", F.regexp_replace("_url", r"\A\s+|\s+\z", "").alias("url")).filter(F.col("url").isNotNull())
     newest, first, skipped = index_flow(tr, urls, a.root, tz=a.tz)
+    if a.ledger:
+        from docflow.sinks.tables import append_ledger, next_batch
+        number = next_batch(spark, a.ledger, "index")
     newest.write.mode("errorifexists").parquet(f"{a.history}/newest-{a.run_id}")
     first.write.mode("errorifexists").parquet(f"{a.history}/first-{a.run_id}")
     skipped.select("page_path").write.mode("errorifexists").parquet(f"{a.history}/skipped-{a.run_id}")
+    if a.ledger:      # K10: what the index holds now
+        append_ledger(spark.read.parquet(f"{a.history}/newest-{a.run_id}"), a.ledger, "index", extra=["to_lang"], batch_id=number)
 
 
 def run_posts(spark, a):
     """The short-post loop: post pages listed in manifests (lines starting
     with ``--prefix``), not yet in the ledger, first and last ``--n`` in
     arrival order, translated one part each."""
-    if a.poll:
-        from docflow.flows import posts_stream
-        if not a.checkpoint:
-            raise SystemExit("--poll needs --checkpoint")
-        q = posts_stream(spark, a.manifests, a.prefix, a.out, a.ledger, a.checkpoint, a.to, n=a.n,
-                         translate_fn=_translator(a.translator), once=False, interval=a.poll)
-        q.awaitTermination()
-        return
-    from docflow.flows import posts_from_lines
-    from docflow.sinks.tables import append_ledger, write_translated
-    from docflow.sources.manifests import recent_posts
-    lines = recent_posts(spark, a.manifests, a.prefix).withColumn(
-        "ordinal", F.struct("file_date", "file_name", "line_no"))
-    stage = f"posts_{a.to}"
-    led = _read_if_there(spark, a.ledger)
-    if led is not None:
-        led = led.filter(F.col("stage") == stage).select(F.col("page_path").alias("post_path"))
-    out = posts_from_lines(lines, led, a.to, n=a.n, translate_fn=_translator(a.translator)).persist()
-    try:
-        write_translated(out, a.out)
-        append_ledger(out, a.ledger, stage, key="post_path", extra=["to_lang"])
-    finally:
-        out.unpersist()
+    from docflow.flows import posts_stream
+    _need_checkpoint(a)
+    _finish(posts_stream(spark, a.manifests, a.prefix, a.out, a.ledger, a.checkpoint, a.to, n=a.n,
+                         translate_fn=_translator(a.translator), once=a.poll is None, interval=a.poll or "10 seconds"), a.poll)
 
 
 def run_health(spark, a):
@@ -142,16 +114,6 @@ def run_health(spark, a):
     rep.write.mode("errorifexists").parquet(f"{a.out}/health-{a.run_id}")
 
 
-def _read_if_there(spark, path: str):
-    """The table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
-
-
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="docflow.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -160,11 +122,10 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--manifests", required=True)
     e.add_argument("--out", required=True)
     e.add_argument("--ledger", required=True)
-    e.add_argument("--checkpoint", required=True)
+    e.add_argument("--checkpoint", help="clock checkpoint folder (with --poll)", required=True)
     e.add_argument("--region")
     e.add_argument("--days", type=int, default=K.EXTRACT_DAY_WINDOW)
     e.add_argument("--quota", type=int, default=K.EXTRACT_SITE_QUOTA)
-    e.add_argument("--max-files", type=int, dest="max_files")
     e.add_argument("--poll", help="keep polling (e.g. '10 seconds') instead of one pass")
     t = sub.add_parser("translate")
     t.add_argument("--extracted", required=True)
@@ -174,7 +135,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--memory")
     t.add_argument("--quota", type=int, default=K.TRANSLATE_SITE_QUOTA)
     t.add_argument("--translator")
-    t.add_argument("--poll", help="keep polling (e.g. '1 second'): new extracted files trigger a run")
+    t.add_argument("--poll", help="keep polling (e.g. '1 second') instead of one pass")
+    t.add_argument("--manifest-out", dest="manifest_out", help="hourly manifests of new targets")
     t.add_argument("--retry-status", dest="retry_status", help="codes to try again, e.g. 3,8")
     t.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
     i = sub.add_parser("index")
@@ -183,6 +145,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--history", required=True)
     i.add_argument("--run-id", dest="run_id", required=True)
     i.add_argument("--tz", default="UTC")
+    i.add_argument("--ledger", help="ledger for the indexed items")
     p = sub.add_parser("posts")
     p.add_argument("--manifests", required=True)
     p.add_argument("--prefix", default=K.POST_PATH_PREFIX)
@@ -191,7 +154,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--ledger", required=True)
     p.add_argument("--n", type=int, default=K.TWEET_HEAD_TAIL)
     p.add_argument("--translator")
-    p.add_argument("--poll", help="keep polling (e.g. '10 seconds'): new manifests trigger a run")
+    p.add_argument("--poll", help="keep polling (e.g. '10 seconds') instead of one pass")
     p.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
     h = sub.add_parser("health")
     h.add_argument("--ledger", required=True)

@@ -36,7 +36,8 @@ def unprocessed(items: DataFrame, ledger: DataFrame, key: str, ledger_key: str |
     lk = ledger_key or key
     led = ledger
     if retry_status:
-        led = led.filter(~F.col(status).isin(list(retry_status)))
+        # a line without a status is not one of the codes: its item stays processed
+        led = led.filter(~F.coalesce(F.col(status).isin(list(retry_status)), F.lit(False)))
     if hot_refs:
         from docflow.operators.joins import hot_split_filter
         return hot_split_filter(items, led.select(F.col(lk).alias(key)), key, "left_anti", hot_refs)
@@ -50,7 +51,7 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
     (all on ``key``), newest first when ``order`` is given."""
     out = first
     for other in (second, third):
-        o = other.select(F.col(key).alias("_k")).distinct()
+        o = other.select(F.col(key).alias("_k"))
         out = out.join(o, out[key] == o["_k"], "left_semi")
     d = done.select(F.col(key).alias("_k"))
     out = out.join(d, out[key] == d["_k"], "left_anti")
@@ -73,10 +74,10 @@ def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
     return min(int(math.ceil(math.sqrt(n))), MAX_FAN_IN_BUCKETS) if n > 64 else 1
 
 
-def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank",
+def site_quota(df: DataFrame, site, order, n: int, rank: str = "rank",
                buckets: int | None = None) -> DataFrame:
-    """A1: at most ``n`` items per site, in ``order`` (which must end in a
-    unique column).
+    """A1: at most ``n`` items per site (a column or a list of them, e.g.
+    region and site), in ``order`` (which must end in a unique column).
 
     Planned as WindowGroupLimit: each task keeps its own top ``n`` per site
     before the shuffle, so a hot site moves ``n`` rows per task.  With many
@@ -87,9 +88,9 @@ def site_quota(df: DataFrame, site: str, order, n: int, rank: str = "rank",
     b = _fan_in_buckets(df, buckets)
     if b > 1:
         df = df.withColumn("_b", F.spark_partition_id() % b)
-        w1 = Window.partitionBy(site, "_b").orderBy(*order)
+        w1 = Window.partitionBy(*_cols(site), "_b").orderBy(*order)
         df = df.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n).drop("_r", "_b")
-    w = Window.partitionBy(site).orderBy(*order)
+    w = Window.partitionBy(*_cols(site)).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w).cast("long")).filter(F.col(rank) <= n)
 
 

@@ -1,4 +1,4 @@
-"""Stream queries; their oracle is the batch query's SQL (same result)."""
+"""Stream queries and polls; their oracle is the batch query's SQL (same result)."""
 
 from docflow.plans.events import SQL as EV
 from docflow.streaming import incremental as W
@@ -12,6 +12,6 @@ SQL = {
         FROM events GROUP BY ALL""",
     "stream_latest": EV["latest_version"],
     "stream_first": EV["first_seen"],
-    "stream_quota": """SELECT event_id, event_type, ts FROM events
-        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 10""",
+    "stream_quota": f"""SELECT event_id, event_type, ts,
+        (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1) // {W.POLL_QUOTA} AS poll FROM events""",
 }

@@ -101,11 +101,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared, fault-tolerant folder and is
-    used as is.  Only when it is unset (local tests) is a scratch folder made.
+    On a cluster that setting must name a shared, fault-tolerant folder and is
+    used as is; without it a session whose master is not local is refused.
+    Only a local session (tests) gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="docflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,19 +17,39 @@ from docflow.functions.text import render_html
 from docflow.operators.latest import latest_version
 
 
-def _write(df: DataFrame, path: str, partition_by=(), batch_id: int | None = None, mode: str = "append"):
-    parts = list(partition_by)
-    w = df
-    if batch_id is not None:
-        w = w.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        parts.append("batch_id")
-        mode = "overwrite"
-    writer = w.write.mode(mode)
-    if batch_id is not None:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write.  Only a missing
+    or still empty path counts as that; any other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def next_batch(spark: SparkSession, ledger: str, stage: str, out: DataFrame | None = None) -> int:
+    """The number of a stage's next run: one more than that of its last
+    committed ledger lines.  A run that died before its ledger lines is
+    repeated under the same number and replaces what it had written.  Where
+    the stage's results ``out`` are further on than that (its ledger was lost
+    or is another one), numbers go on after theirs, so nothing is replaced."""
+    last = lambda df: df.agg(F.max("batch_id")).first()[0]
+    led = read_if_exists(spark, ledger)
+    number = -1 if led is None else last(led.filter(F.col("stage") == stage))
+    number = 0 if number is None else number + 1
+    written = None if out is None else last(out)
+    return number if written is None or written <= number else written + 1
+
+
+def _write(df: DataFrame, path: str, partition_by=(), batch_id: int | None = None):
+    """Every table has one layout, ``.../batch_id=N``, whoever writes it: runs
+    and polls pass their number (a repeat replaces its own rows), a single
+    write without one gets a new time-based number."""
+    if batch_id is None:
+        batch_id = time.time_ns() // 1000
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, "batch_id").parquet(path))
 
 
 def write_extracted(df: DataFrame, path: str, batch_id: int | None = None):
@@ -53,10 +74,8 @@ def append_ledger(df: DataFrame, path: str, stage: str, key: str = "page_path",
     partitioned by stage and day, so a reader that only needs recent lines
     (``read_recent_ledger``) prunes whole folders instead of re-reading a
     ledger that grows forever.  Lines always carry a ``batch_id`` (streams
-    pass theirs; a batch run gets a new time-based one), so every writer
-    shares one folder layout and a repeated batch replaces its own lines."""
-    if batch_id is None:
-        batch_id = time.time_ns() // 1000
+    and jobs pass theirs), so every writer shares one folder layout and a
+    repeated batch replaces its own lines."""
     st = F.col(status).cast("int") if status in df.columns else F.lit(0)
     cols = [F.col(key).alias("page_path"), F.lit(stage).alias("stage"),
             st.alias("status"), F.current_timestamp().alias("processed_at"),
@@ -95,17 +114,19 @@ def hourly_manifest(df: DataFrame, ts: str = "processed_at") -> DataFrame:
     return df.withColumn("hour", F.date_trunc("hour", F.col(ts)))
 
 
-def write_hourly_manifest(df: DataFrame, path: str, key: str = "page_path", ts: str = "processed_at"):
+def write_hourly_manifest(df: DataFrame, path: str, key: str = "page_path", ts: str = "processed_at",
+                          batch_id: int | None = None):
     """K5: items listed under the hour they were written."""
     h = hourly_manifest(df, ts).withColumn("hour", F.date_format("hour", "yyyy-MM-dd-HH-00"))
-    _write(h.select(key, "hour"), path, ["hour"])
+    _write(h.select(key, "hour"), path, ["hour"], batch_id)
 
 
-def quarantine(df: DataFrame, path: str, stage: str, key: str, reason):
-    """K9: rows that failed a stage, with the reason, appended."""
+def quarantine(df: DataFrame, path: str, stage: str, key: str, reason, batch_id: int | None = None):
+    """K9: rows that failed a stage, with the reason; a replayed batch
+    replaces its own lines."""
     r = reason if not isinstance(reason, str) else F.lit(reason)
     _write(df.select(F.col(key).alias("item"), F.lit(stage).alias("stage"), r.alias("reason"),
-                     F.current_timestamp().alias("logged_at")), path, ["stage"])
+                     F.current_timestamp().alias("logged_at")), path, ["stage"], batch_id)
 
 
 def append_history(df: DataFrame, path: str, batch_id: int | None = None):

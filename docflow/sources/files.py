@@ -22,12 +22,23 @@ from docflow.operators.joins import checked_broadcast
 
 
 def _meta(df: DataFrame) -> DataFrame:
-    return (df.withColumn("file_path", F.col("_metadata.file_path"))
+    return (df.withColumn("file_path", plain_path(F.col("_metadata.file_path")))
             .withColumn("mtime", F.col("_metadata.file_modification_time")))
 
 
+SCHEME = r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)"
+
+
 def _strip_scheme(col):
-    return F.regexp_replace(col, r"\Afile:(//)?", "")
+    """A path without scheme and authority (``file:``, ``hdfs://host:port``,
+    ``s3a://bucket``), as manifests list it."""
+    return F.regexp_replace(col, SCHEME, "")
+
+
+def plain_path(col):
+    """The path a ``_metadata`` URI names: percent escapes decoded (a plus
+    sign is itself), scheme and authority removed."""
+    return _strip_scheme(F.url_decode(F.regexp_replace(col, r"\+", "%2B")))
 
 
 def scan_pages(spark: SparkSession, root: str, region: str | None = None, stage: str = "orig",
@@ -48,8 +59,10 @@ def scan_pages(spark: SparkSession, root: str, region: str | None = None, stage:
         df = _meta(spark.read.option("recursiveFileLookup", "true")
                    .option("pathGlobFilter", glob).text(base, wholetext=True))
         df = df.select("file_path", "mtime", F.col("value").alias("html"))
-    df = df.withColumn("file_path", _strip_scheme(F.col("file_path")))
-    return df.withColumn("region", region_of("file_path", root)).filter(F.col("region").isNotNull())
+    if lenient:            # binaryFile gives the path unescaped
+        df = df.withColumn("file_path", _strip_scheme(F.col("file_path")))
+    plain_root = re.sub(SCHEME, "", root)
+    return df.withColumn("region", region_of("file_path", plain_root)).filter(F.col("region").isNotNull())
 
 
 def scan_folder(spark: SparkSession, folder: str, glob: str = "*.html") -> DataFrame:
@@ -57,7 +70,7 @@ def scan_folder(spark: SparkSession, folder: str, glob: str = "*.html") -> DataF
     (file_path, mtime, html), whatever the layout."""
     df = _meta(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
                .text(folder, wholetext=True))
-    return df.select(_strip_scheme(F.col("file_path")).alias("file_path"), "mtime", F.col("value").alias("html"))
+    return df.select("file_path", "mtime", F.col("value").alias("html"))
 
 
 def scan_files(spark: SparkSession, data_dir: str, ignores=(), total: int | None = None) -> DataFrame:
@@ -86,7 +99,7 @@ def read_sidecar(spark: SparkSession, root: str, suffix: str, first_line: bool =
     v = F.col("value")
     if first_line:
         v = F.substring_index(v, "\n", 1)
-    key = F.regexp_replace(_strip_scheme(F.col("file_path")), re.escape(suffix) + r"\z", "")
+    key = F.regexp_replace("file_path", re.escape(suffix) + r"\z", "")
     return df.select(key.alias("key"), F.regexp_replace(v, r"\A\s+|\s+\z", "").alias(col or suffix.strip(".")))
 
 
@@ -189,21 +202,26 @@ def read_named_files(df: DataFrame, path_col: str = "page_path", out: str = "htm
     """S13 for files named in a column (manifest lines): each executor opens
     the paths of its own rows on the shared disk, decodes UTF-8 dropping
     undecodable bytes (as the original did) and adds the file's modification
-    time (epoch seconds).  A missing file gives nulls.  Only the named files
-    are read, and no path list passes through the driver."""
+    time (epoch seconds).  A file that is not there gives nulls; any other
+    error (permission, a stale mount) fails the task, so that it is tried
+    again instead of being recorded as missing.  Only the named files are
+    read, and no path list passes through the driver."""
     schema = StructType([*df.schema.fields, StructField(out, StringType()), StructField(mtime, DoubleType())])
 
     def run(batches):
         for b in batches:
             texts, times = [], []
             for p in b[path_col]:
-                try:
-                    with open(p, "rb") as fh:
-                        texts.append(fh.read().decode("utf-8", "ignore"))
-                    times.append(os.path.getmtime(p))
-                except (OSError, TypeError):
-                    texts.append(None)
-                    times.append(None)
+                text = time = None
+                if p is not None:
+                    try:
+                        with open(p, "rb") as fh:
+                            text = fh.read().decode("utf-8", "ignore")
+                            time = os.fstat(fh.fileno()).st_mtime
+                    except (FileNotFoundError, NotADirectoryError):
+                        pass
+                texts.append(text)
+                times.append(time)
             yield b.assign(**{out: pd.Series(texts, index=b.index, dtype=object),
                               mtime: pd.Series(times, index=b.index, dtype="float64")})
     return df.mapInPandas(run, schema)

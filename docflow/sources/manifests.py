@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.paths import region_of, site_of
 from docflow.operators.ledger import union_all
+from docflow.sources.files import plain_path
 
 DATE_IN_NAME = r"([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
@@ -24,7 +25,7 @@ def manifest_lines(spark: SparkSession, folder: str, name_glob: str = "*.txt") -
     """All lines of all manifests: (file_name, file_date, line_no, page_path),
     lines stripped, blank lines dropped."""
     df = (spark.read.option("pathGlobFilter", name_glob).text(folder, wholetext=True)
-          .withColumn("file_name", F.col("_metadata.file_name")))
+          .withColumn("file_name", F.element_at(F.split(plain_path(F.col("_metadata.file_path")), "/"), -1)))
     return parse_manifests(df)
 
 

@@ -1,11 +1,17 @@
 """Incremental processing with Structured Streaming.
 
-The original polled growing text files forever and kept "done" sets in
-memory.  Here new input is a file stream with a checkpoint (each file is
-taken once), state lives in Spark's state store or in tables on the shared
-checkpoint folder, and every ``foreachBatch`` write is keyed by ``batch_id``
-with dynamic partition overwrite, so a replayed batch (after a lost executor
-or a restart) rewrites its own partition instead of adding twice.
+Two forms, as the work asks.  Counts, de-duplication and histories run over a
+file stream with a checkpoint (each file is taken once), with state in Spark's
+state store; every ``foreachBatch`` write is keyed by ``batch_id``, so a
+replayed batch rewrites its own partition.
+
+Work loops (extract, translate, posts, ``process_new``) are polls: each poll
+takes its whole window of input minus the ledger, so lines appended to a
+known file are seen, and what a quota leaves over is taken by the next poll,
+with or without new input.  A poll writes its results and then its ledger
+lines under the number after the ledger's last one; a poll that died before
+its ledger lines is repeated under the same number and replaces what it had
+written.  A continuous job runs a poll on every tick of a rate stream.
 """
 
 from __future__ import annotations
@@ -66,44 +72,61 @@ def within_days(df: DataFrame, ts: str, days: int) -> DataFrame:
     return df.filter(F.col(ts) >= F.current_timestamp() - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
-def process_new(stream: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], out_path: str,
-                ledger_path: str, checkpoint: str, quota: tuple[str, list, int] | None = None,
-                hot_refs: int | None = 10_000):
-    """W1 + W3: each new item is worked on once.  Per batch: drop items the
-    ledger already holds (anti-join), optionally apply a per-site quota
-    (site column, order, n), run ``work``, append results and ledger lines
-    by ``batch_id``.  Items beyond the quota are left for a later run, as
-    in the original.  Keys shared by ``hot_refs`` or more rows of a batch are
-    checked against the ledger map-side (see ``joins.hot_split_filter``)."""
-    spark = stream.sparkSession
-
-    def fn(batch: DataFrame, batch_id: int):
-        # the batch is read by the hot-key count and by the join: keep it
-        batch = batch.persist()
-        todo = None
-        try:
-            todo = batch
-            try:
-                led = spark.read.parquet(ledger_path)
-                # Lines of this batch from an earlier attempt do not count.
-                led = led.filter(F.col("batch_id") != batch_id)
-                todo = L.unprocessed(todo, led, key, hot_refs=hot_refs)
-            except Exception as e:  # no ledger yet
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
-            if quota:
-                site, order, n = quota
-                todo = L.site_quota(todo, site, order, n).drop("rank")
-            todo = todo.persist()
-            append_batch(work(todo), out_path, batch_id)
-            append_batch(todo.select(key).distinct().withColumn("processed_at", F.current_timestamp()),
-                         ledger_path, batch_id)
-        finally:
-            if todo is not None and todo is not batch:
-                todo.unpersist()
-            batch.unpersist()
-
-    return run_batches(stream, fn, checkpoint)
+def run_polls(spark: SparkSession, poll: Callable[[], int], checkpoint: str | None = None, once: bool = True,
+              interval: str = "10 seconds"):
+    """``once``: one poll, whose number of items is returned.  Else a poll on
+    every tick of a clock stream; returns the running query."""
+    if once:
+        return poll()
+    clock = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
+
+    def tick(_rows: DataFrame, _batch_id: int):
+        poll()
+    return run_batches(clock, tick, checkpoint, once=False, interval=interval)
+
+
+def drain(poll: Callable[[], int]) -> int:
+    """Poll until nothing is left (what an endless loop reaches when its
+    input stops); returns the number of polls that took items."""
+    n = 0
+    while poll():
+        n += 1
+    return n
+
+
+def process_new(items: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], out_path: str,
+                ledger_path: str, quota: tuple[str, list, int] | None = None) -> int:
+    """W1 + W3, one poll: of ``items`` (the whole window, whose ``key`` may
+    repeat) those the ledger does not hold, at most ``quota`` (site column,
+    order, n) per site; ``work`` on them, then results and ledger lines under
+    the poll's number.  Returns how many keys were taken; what the quota left
+    over comes with the next poll.  A key that fills much of the input is
+    split by adaptive execution, which the anti-join allows."""
+    from docflow.sinks.tables import next_batch, read_if_exists
+    spark = items.sparkSession
+    led = read_if_exists(spark, ledger_path)
+    number = next_batch(spark, ledger_path, PROCESS)
+    todo = items
+    if led is not None:
+        # lines of this number are of an attempt that did not end
+        todo = L.unprocessed(items, led.filter(F.col("batch_id") < number), key)
+    if quota:
+        site, order, n = quota
+        todo = L.site_quota(todo, site, order, n).drop("rank")
+    todo = todo.persist()
+    try:
+        append_batch(work(todo), out_path, number)
+        taken = todo.select(key).distinct().withColumn("processed_at", F.current_timestamp()).withColumn("stage", F.lit(PROCESS)).persist()
+        n = taken.count()
+        if n:
+            append_batch(taken, ledger_path, number)
+        taken.unpersist()
+        return n
+    finally:
+        todo.unpersist()
+
+
+PROCESS = "process"
 
 
 def event_time(df: DataFrame, ts: str) -> tuple[DataFrame, bool]:
@@ -192,23 +215,30 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + W4: each user id taken once: per batch, ids already in the
-    ledger are dropped and the first arrival of the rest is kept."""
+    """W1 + W4: each user id taken once, over three growing windows of the
+    event table: a poll drops the ids the ledger holds and keeps the first
+    arrival of the rest."""
     base = _run_dir(spark, "first")
-    s = _events_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
-    process_new(s, "user_id", lambda b: first_version(b, "user_id", "event_id"),
-                f"{base}/out", f"{base}/ledger", f"{base}/ckpt")
+    configure(spark)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "ts", "event_type")
+    third = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    for k in (1, 2, 3):
+        window = ev.filter(F.col("event_id") <= third[0] + (third[1] - third[0]) * k / 3)
+        process_new(window, "user_id", lambda b: first_version(b, "user_id", "event_id"), f"{base}/out", f"{base}/ledger")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+#: Events a type may have in one poll of ``stream_quota``.
+POLL_QUOTA = 4000
+
+
 def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bounded batch per poll: of the new events, at most
-    TRANSLATE_SITE_QUOTA per event type (newest first) are taken; the rest
-    wait for a later poll."""
-    from docflow.constants import TRANSLATE_SITE_QUOTA
+    """A bounded batch per poll, drained to the end: at most
+    ``POLL_QUOTA`` events per type and poll, newest first; every event comes
+    out, with the number of its poll."""
     base = _run_dir(spark, "quota")
-    s = _events_stream(spark, sf_dir).select("event_id", "event_type", "ts")
-    process_new(s, "event_id", lambda b: b, f"{base}/out", f"{base}/ledger", f"{base}/ckpt",
-                quota=("event_type", [F.col("ts").desc(), F.col("event_id").desc()], TRANSLATE_SITE_QUOTA),
-                hot_refs=None)
-    return spark.read.parquet(f"{base}/out").drop("batch_id")
+    configure(spark)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
+    drain(lambda: process_new(ev, "event_id", lambda b: b, f"{base}/out", f"{base}/ledger",
+                              quota=("event_type", [F.col("ts").desc(), F.col("event_id").desc()], POLL_QUOTA)))
+    return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "ts", F.col("batch_id").cast("long").alias("poll"))

@@ -208,12 +208,90 @@ def test_posts_from_files(spark, scratch):
 
 
 def test_extract_stream_polling_trigger(spark, scratch):
+    import time
     root, man = f"{scratch}/html", f"{scratch}/manifests"
     paths = _tree(root, man)
     q = flows.extract_stream(spark, man, root, f"{scratch}/ext", f"{scratch}/led", f"{scratch}/ck",
                              today=dt.date(2024, 1, 9), once=False, interval="1 second")
     try:
-        q.processAllAvailable()
+        end = time.time() + 90
+        while not os.path.exists(f"{scratch}/led/stage=extract") and time.time() < end:
+            time.sleep(0.2)
     finally:
         q.stop()
     assert spark.read.parquet(f"{scratch}/ext").count() == len(paths)
+
+
+def test_appended_lines_arrive_and_quota_is_per_region(spark, scratch):
+    root, man = f"{scratch}/html", f"{scratch}/manifests"
+    name = f"{man}/new-html-files-2024-01-09-12.txt"
+    page = lambda region, i: f"{root}/{region}/orig/www.s.com/n/2024/01/09-10-00/p{i}.html"
+    for region in ("us", "jp"):
+        for i in range(4):
+            _w(page(region, i), f"<p>covid {i}</p>")
+    _w(name, "\n".join(page(r, i) for r in ("us", "jp") for i in range(3)) + "\n")
+    args = (spark, man, root, f"{scratch}/ext", f"{scratch}/led")
+    assert flows.extract_stream(*args, quota=3, today=dt.date(2024, 1, 9)) == 6      # one site, two regions: three each
+    with open(name, "a") as f:
+        f.write(page("us", 3) + "\n")
+    assert flows.extract_stream(*args, quota=4, today=dt.date(2024, 1, 9)) == 1      # a line added to a known manifest
+    assert flows.extract_stream(*args, quota=4, today=dt.date(2024, 1, 9)) == 0
+    tr = (spark, f"{scratch}/ext", f"{scratch}/tr", f"{scratch}/led", None, "ja")
+    assert [flows.translate_stream(*tr, quota=2) for _ in range(3)] == [4, 3, 0]     # leftovers come without new input
+    assert spark.read.parquet(f"{scratch}/tr").select("page_path").distinct().count() == 7
+
+
+def test_translate_poll_then_index_on_one_table(spark, scratch):
+    """Batch and polling runs share one layout, carry ``arrival``, keep a
+    growing memory, use ``.lang`` files and list hourly manifests."""
+    from docflow import jobs
+    root, man, t = f"{scratch}/html", f"{scratch}/manifests", f"{scratch}/tables"
+    paths = _tree(root, man)
+    _w(paths[1][:-5] + ".lang", "fr\n")
+    flows.extract_stream(spark, man, root, f"{t}/ext", f"{t}/led", today=dt.date(2024, 1, 9))
+    calls = []
+    fn = lambda b: b["part"] + ""
+    run = ["translate", "--extracted", f"{t}/ext", "--ledger", f"{t}/led", "--to", "ja", "--out", f"{t}/tr", "--memory", f"{t}/tm",
+           "--manifest-out", f"{t}/hours"]
+    jobs.run_translate(spark, jobs.parser().parse_args([*run, "--quota", "1"]))
+    q = flows.translate_stream(spark, f"{t}/ext", f"{t}/tr", f"{t}/led", f"{scratch}/ck", "ja", translate_fn=fn,
+                               memory_path=f"{t}/tm", once=False, interval="1 second")
+    import time
+    try:
+        end = time.time() + 90
+        while time.time() < end:
+            led = spark.read.parquet(f"{t}/led").filter("stage = 'translate_ja'")
+            if led.count() == len(paths):
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    tr = spark.read.parquet(f"{t}/tr")
+    assert tr.count() == len(paths) and "arrival" in tr.columns and tr.select("arrival").distinct().count() == len(paths)
+    tm = spark.read.parquet(f"{t}/tm")
+    assert tm.filter("from_lang = 'fr'").count() == 1                # the sidecar's language, not the region's
+    assert spark.read.parquet(f"{t}/hours").count() >= 1
+    i = jobs.parser().parse_args(["index", "--translated", f"{t}/tr", "--root", root, "--history", f"{t}/index", "--run-id", "1", "--ledger", f"{t}/led"])
+    jobs.run_index(spark, i)
+    newest = spark.read.parquet(f"{t}/index/newest-1")
+    assert newest.count() >= 1 and spark.read.parquet(f"{t}/led").filter("stage = 'index'").count() == newest.count()
+    assert not calls
+
+
+def test_existing_target_is_status_5(spark, scratch):
+    root, man, t = f"{scratch}/html", f"{scratch}/manifests", f"{scratch}/tables"
+    _tree(root, man)
+    flows.extract_stream(spark, man, root, f"{t}/ext", f"{t}/led", today=dt.date(2024, 1, 9))
+    while flows.translate_stream(spark, f"{t}/ext", f"{t}/tr", f"{t}/led", None, "ja", quota=1):
+        pass
+    n = spark.read.parquet(f"{t}/tr").count()
+    flows.translate_stream(spark, f"{t}/ext", f"{t}/tr", f"{t}/led2", None, "ja")       # another ledger, the same targets
+    assert spark.read.parquet(f"{t}/tr").filter("status = 0").count() == 2 and spark.read.parquet(f"{t}/tr").count() >= n
+    assert spark.read.parquet(f"{t}/led2").filter("status = 5").count() >= 1
+
+
+def test_short_paths_are_skipped_by_the_index(spark):
+    tr = spark.createDataFrame([(f"/x/{i}.html", "ja", 0, "text", i) for i in range(5)], "page_path string, to_lang string, status int, translated string, arrival long")
+    urls = tr.select("page_path", F.lit("https://a/b").alias("url"))
+    newest, first, skipped = flows.index_flow(tr, urls, "/root")
+    assert (newest.count(), first.count(), skipped.count()) == (0, 0, 5)

@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators.keywords import hits_per_lang, merge_wide, merged_lines, normalise_terms, read_keyword_lists
@@ -232,3 +233,43 @@ def test_small_helpers(spark, scratch):
     docs = spark.createDataFrame([(1, "Pneumonia"), (2, "肺炎"), (3, "x")], "id long, text string")
     got = {r["id"]: r["keyword_flag"] for r in any_term(docs, "text", read_keyword_lists(spark, kw), "en").collect()}
     assert got == {1: True, 2: False, 3: False}
+
+
+def test_odd_file_names_keep_their_plain_path(spark, scratch):
+    names = ["?page=3.html", "a b.html", "100%.html", "x+y.html", "記事.html", "%41.html"]
+    folder = f"{scratch}/jp/orig/www.a.jp/n/2024/01/09-10-00"
+    os.makedirs(folder)
+    for n in names:
+        with open(f"{folder}/{n}", "w") as f:
+            f.write("<p>x</p>")
+        with open(f"{folder}/{n[:-5]}.url", "w") as f:
+            f.write("https://u\n")
+    want = sorted(f"{folder}/{n}" for n in names)
+    for lenient in (False, True):
+        assert sorted(r["file_path"] for r in S.scan_pages(spark, scratch, lenient=lenient).collect()) == want
+    assert sorted(r["file_path"] for r in S.scan_folder(spark, scratch).collect()) == want
+    pages = S.scan_pages(spark, scratch).withColumn("key", S.page_key("file_path"))
+    assert S.with_sidecars(pages, {"url": S.read_sidecar(spark, scratch, ".url")}).filter("url = 'https://u'").count() == len(names)
+    df = spark.createDataFrame([("hdfs://h:9000/a/b%20c",), ("s3a://bucket/a+b",), ("file:///a",), ("/plain",)], "p string")
+    assert [r[0] for r in df.select(S.plain_path(F.col("p"))).collect()] == ["/a/b c", "/a+b", "/a", "/plain"]
+
+
+def test_unreadable_file_fails_the_task(spark, scratch):
+    df = spark.createDataFrame([(scratch,)], "page_path string")          # a folder: there, but not a file
+    with pytest.raises(Exception, match="IsADirectoryError|Is a directory"):
+        S.read_named_files(df).collect()
+
+
+def test_lines_without_status_stay_processed(spark):
+    items = spark.createDataFrame([("a",), ("b",), ("c",)], "page_path string")
+    led = spark.createDataFrame([("a", None), ("b", 3)], "page_path string, status int")
+    from docflow.operators import ledger as L
+    assert sorted(r[0] for r in L.unprocessed(items, led, "page_path", retry_status={3}).collect()) == ["b", "c"]
+
+
+def test_read_if_exists(spark, scratch):
+    from docflow.sinks.tables import next_batch, read_if_exists
+    assert read_if_exists(spark, f"{scratch}/none") is None and next_batch(spark, f"{scratch}/none", "s") == 0
+    open(f"{scratch}/bad", "w").write("not parquet")
+    with pytest.raises(Exception):
+        read_if_exists(spark, f"{scratch}/bad").count()

@@ -46,18 +46,17 @@ def test_stream_latest_equals_batch(spark, scratch, event_files):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_stream_first_equals_batch(spark, scratch, event_files):
+def test_polls_take_each_key_once(spark, scratch, event_files):
     d, schema, ev = event_files
-    cols = ["user_id", "event_id", "ts"]
-    s = _stream(spark, d, schema).select(*cols)
-    W.process_new(s, "user_id", lambda b: first_version(b, "user_id", "event_id"),
-                  f"{scratch}/out", f"{scratch}/ledger", f"{scratch}/ck")
-    out = spark.read.parquet(f"{scratch}/out").drop("batch_id")
-    assert out.count() == out.select("user_id").distinct().count()
-    # Each user appears once, from the first batch that held it; the
-    # ledger lists every processed id once.
-    led = spark.read.parquet(f"{scratch}/ledger")
-    assert led.count() == led.select("user_id").distinct().count() == ev.select("user_id").distinct().count()
+    items = ev.select("user_id", "event_id", "ts")
+    out, led = f"{scratch}/out", f"{scratch}/ledger"
+    taken = 0
+    for k in range(4):                       # the window grows by a file each poll
+        window = spark.read.parquet(*[f"{d}/part{i}" for i in range(k + 1)]).select("user_id", "event_id", "ts")
+        taken += W.process_new(window, "user_id", lambda b: first_version(b, "user_id", "event_id"), out, led)
+    got, want = spark.read.parquet(out).drop("batch_id"), first_version(items, "user_id", "event_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert taken == want.count() == spark.read.parquet(led).count()
 
 
 def test_stream_hourly_equals_batch(spark, scratch, event_files):
@@ -77,16 +76,37 @@ def test_replayed_batch_is_not_doubled(spark, scratch):
     assert spark.read.parquet(f"{scratch}/t").count() == 3
 
 
-def test_process_new_with_quota_leaves_rest(spark, scratch):
-    d = f"{scratch}/items"
-    rows = [(i, f"s{i % 2}") for i in range(10)]
-    spark.createDataFrame(rows, "id long, site string").coalesce(1).write.parquet(f"{d}/f0")
-    schema = spark.read.parquet(f"{d}/f0").schema
-    s = W.file_stream(spark, d + "/*", schema)
-    W.process_new(s, "id", lambda b: b, f"{scratch}/out", f"{scratch}/led", f"{scratch}/ck",
-                  quota=("site", [F.col("id").desc()], 2))
-    out = spark.read.parquet(f"{scratch}/out")
-    assert sorted(r["id"] for r in out.collect()) == [6, 7, 8, 9]
+def test_quota_drains_over_polls(spark, scratch):
+    """What the quota leaves over is taken by later polls without new input,
+    and any split of the input into files gives the same polls."""
+    rows = [(i, "s") for i in range(25)]
+    seen = []
+    for n, parts in enumerate((1, 5)):
+        d, out, led = f"{scratch}/in{n}", f"{scratch}/out{n}", f"{scratch}/led{n}"
+        spark.createDataFrame(rows, "id long, site string").repartition(parts).write.parquet(d)
+        poll = lambda: W.process_new(spark.read.parquet(d), "id", lambda b: b, out, led, quota=("site", [F.col("id").desc()], 10))  # noqa: B023, E731
+        assert [poll(), poll(), poll(), poll()] == [10, 10, 5, 0]
+        seen.append(sorted((r["batch_id"], r["id"]) for r in spark.read.parquet(out).collect()))
+    assert seen[0] == seen[1] == sorted(((24 - i) // 10, i) for i in range(25))
+
+
+def test_drain_and_quota_per_site(spark, scratch):
+    df = spark.createDataFrame([(i, f"s{i % 2}") for i in range(10)], "id long, site string")
+    n = W.drain(lambda: W.process_new(df, "id", lambda b: b, f"{scratch}/out", f"{scratch}/led", quota=("site", ["id"], 2)))
+    assert n == 3 and spark.read.parquet(f"{scratch}/out").count() == 10
+
+
+def test_polls_on_a_clock(spark, scratch):
+    import time
+    taken = []
+    q = W.run_polls(spark, lambda: taken.append(1), f"{scratch}/ck", once=False, interval="1 second")
+    try:
+        end = time.time() + 60
+        while len(taken) < 2 and time.time() < end:
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    assert len(taken) >= 2
 
 
 def test_dedupe_and_day_window(spark, scratch):
@@ -101,14 +121,10 @@ def test_dedupe_and_day_window(spark, scratch):
     assert L.union_all([df, df]).count() == 6
 
 
-def test_restart_after_failure_replays_without_duplicates(spark, scratch):
-    """A micro-batch dies after writing its output but before its ledger
-    lines; the restarted stream replays that batch id, which rewrites its own
-    partitions: no duplicate output, complete ledger."""
-    d = f"{scratch}/items"
-    spark.createDataFrame([(i, f"s{i % 3}") for i in range(30)], "id long, site string") \
-        .coalesce(1).write.parquet(f"{d}/f0")
-    schema = spark.read.parquet(f"{d}/f0").schema
+def test_restart_after_failure_repeats_without_duplicates(spark, scratch):
+    """A poll dies after writing its output but before its ledger lines; the
+    next one has the same number and replaces that output."""
+    df = spark.createDataFrame([(i, f"s{i % 3}") for i in range(30)], "id long, site string")
     flag = f"{scratch}/failed_once"
 
     def flaky_ledger_write(df, path, batch_id, fmt="parquet", _orig=W.append_batch):
@@ -117,13 +133,13 @@ def test_restart_after_failure_replays_without_duplicates(spark, scratch):
             raise RuntimeError("executor lost")
         return _orig(df, path, batch_id, fmt)
 
-    out, led, ck = f"{scratch}/out", f"{scratch}/led", f"{scratch}/ck"
+    out, led = f"{scratch}/out", f"{scratch}/led"
     W.append_batch, orig = flaky_ledger_write, W.append_batch
     try:
-        with pytest.raises(Exception):
-            W.process_new(W.file_stream(spark, d + "/*", schema), "id", lambda b: b, out, led, ck)
+        with pytest.raises(RuntimeError):
+            W.process_new(df, "id", lambda b: b, out, led)
         assert spark.read.parquet(out).count() == 30        # output written, ledger not
-        W.process_new(W.file_stream(spark, d + "/*", schema), "id", lambda b: b, out, led, ck)
+        assert W.process_new(df, "id", lambda b: b, out, led) == 30
     finally:
         W.append_batch = orig
     res = spark.read.parquet(out)
