@@ -160,6 +160,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     repeat id and text are one document and stay or go together."""
     near = materialize(near_duplicates(docs, id_col, text_col, **params), "simhash-groups")
     own = F.col("id").eqNullSafe(F.col("component_id"))
-    first = near.filter(own).groupBy("root").agg(F.min("text_hash").alias("keep_hash"))
+    # written first, so that the join on a large component's root can be split
+    first = materialize(near.filter(own).groupBy("root").agg(F.min("text_hash").alias("keep_hash")), "simhash-first")
     losers = near.join(first, "root").filter(~(own & (F.col("text_hash") == F.col("keep_hash"))))
     return keep_rows(docs, {"id": F.col(id_col).cast("long"), "text_hash": F.xxhash64(text_of(text_col))}, losers)
