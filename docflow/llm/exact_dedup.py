@@ -40,9 +40,11 @@ def signatures(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix_cha
 
 
 def shared(sig: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose ``keys`` occur at least twice."""
+    """Rows whose ``keys`` occur at least twice.  The repeated keys are written
+    first: a join that reads them through an exchange of their own can be
+    split where a key is hot, one on top of an aggregation cannot."""
     twice = sig.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
-    return sig.join(twice, list(keys), "left_semi")
+    return sig.join(materialize(twice, "exact-repeated"), list(keys), "left_semi")
 
 
 def duplicate_groups(sig: DataFrame) -> DataFrame:
