@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docflow.constants import LINK_DOMINATED_FACTOR, LINK_LIST_MAX_P, LINK_LIST_SHARE
 from docflow.functions.regex import WS_STRING
 
 # Removed before cutting: comments, scripts, styles and the whole <head>.
@@ -153,21 +154,20 @@ def heading(bl: Column) -> Column:
         b["text"].alias("text"))))
 
 
-def link_list(bl: Column) -> Column:
+def link_list(bl: Column, max_p: int = LINK_LIST_MAX_P, share: float = LINK_LIST_SHARE) -> Column:
     """has <li>; the text of <p> blocks without links, cleaned, is at
-    most 30 chars; more than 80 % of <li> blocks hold a link."""
-    from docflow.constants import LINK_LIST_MAX_P, LINK_LIST_SHARE
+    most ``max_p`` chars; more than ``share`` of <li> blocks hold a link."""
     from docflow.functions.text import clean_ja
     n_li = F.size(F.filter(bl, lambda b: b["tag"] == "li"))
     n_li_a = F.size(F.filter(bl, lambda b: (b["tag"] == "li") & b["is_link"]))
     p_len = F.aggregate(F.filter(bl, lambda b: (b["tag"] == "p") & ~b["is_link"]), F.lit(0),
                         lambda acc, b: acc + F.length(clean_ja(b["text"])))
-    return (n_li > 0) & (p_len <= LINK_LIST_MAX_P) & (n_li_a > n_li * F.lit(LINK_LIST_SHARE))
+    return (n_li > 0) & (p_len <= max_p) & (n_li_a > n_li * F.lit(share))
 
 
-def link_dominated(bl: Column, head_pos: Column) -> Column:
-    """after the main heading, anchor text is more than twice the text
-    of <p> and <strong>; false when that text is empty; null without heading.
+def link_dominated(bl: Column, head_pos: Column, factor: float = LINK_DOMINATED_FACTOR) -> Column:
+    """after the main heading, anchor text is more than ``factor`` times
+    the text of <p> and <strong>; false when that text is empty; null without heading.
     <strong> and <a> inside <p> count twice, as in the original walk."""
     # Blocks sit at index = pos, so "after the heading" is a slice, taken
     # once per page (a lambda referring to ``head_pos`` would evaluate it
@@ -176,6 +176,5 @@ def link_dominated(bl: Column, head_pos: Column) -> Column:
     a_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + anchor_len(b))
     p_len = F.aggregate(after, F.lit(0), lambda acc, b: acc + F.when(
         b["tag"] == "p", F.length(b["text"])).otherwise(0) + strong_len(b))
-    from docflow.constants import LINK_DOMINATED_FACTOR
     return F.when(head_pos.isNull(), F.lit(None).cast("boolean")).when(
-        p_len == 0, F.lit(False)).otherwise(a_len > p_len * LINK_DOMINATED_FACTOR)
+        p_len == 0, F.lit(False)).otherwise(a_len > p_len * F.lit(factor))

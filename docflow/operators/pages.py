@@ -35,12 +35,15 @@ ALL_FEATURES = ["html_lang", "title", "content_num", "link_num", "first_par", "f
 
 
 def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
-                  url: str | None = "url", features=None, keep=()) -> DataFrame:
+                  url: str | None = "url", features=None, keep=(), list_limits: dict | None = None,
+                  link_factor: float | None = None) -> DataFrame:
     """One row per page: title, block counts, first <p>/<h1>, main heading,
     link-list and link-dominated flags, extracted text and line count.
     ``features`` limits the output to the named ones (default: all); the
     others are not computed.  ``keep``: further input columns carried
     through unchanged (so callers need no join back to the input).
+    ``list_limits`` (max_p, share) and ``link_factor``: other limits for the
+    link-list and link-dominated flags.
 
     With ``url``: also host (site), first path folder (region) and the source
     language (<html lang> if present, else the region's language).
@@ -68,8 +71,8 @@ def page_features(pages: DataFrame, key: str = "page_id", html: str = "html",
         "heading_level": lambda: head["level"],
         "heading_pos": lambda: head["pos"],
         "main_heading": lambda: head["text"],
-        "link_list": lambda: H.link_list(bl),
-        "link_dominated": lambda: H.link_dominated(bl, head["pos"]),
+        "link_list": lambda: H.link_list(bl, **(list_limits or {})),
+        "link_dominated": lambda: H.link_dominated(bl, head["pos"], *([link_factor] if link_factor is not None else [])),
         "text": lambda: H.extracted_text(F.col("title"), bl),
     }
     sel = [build[f]().alias(f) for f in ALL_FEATURES if f in want and f in build]

@@ -128,12 +128,17 @@ def q_clean_text(spark, sf):
 
 
 def q_guard_tags(spark, sf):
-    """Guarded text and the newline runs at both ends."""
+    """Guarded text and the newline runs at both ends.  The runs are
+    those of the text without the words of its first and of its last line
+    (no document begins or ends with a newline); every other text also gets
+    a URL, built from its id, in front."""
     d = read(spark, sf, "documents")
-    g = T.guard_tags("text")
+    url = F.concat(F.lit("https://a.example/"), F.col("doc_id").cast("string"), F.lit("?x=#y "))
+    g = T.guard_tags(F.when(F.col("doc_id") % 2 == 0, F.concat(url, "text")).otherwise(F.col("text")))
+    inner = F.regexp_replace(F.regexp_replace("text", r"\A[^\n]+", ""), r"[^\n]+\z", "")
     return d.select("doc_id", F.md5(g).alias("guarded_md5"),
-                    F.length(T.leading_newlines("text")).cast("long").alias("lead_nl"),
-                    F.length(T.trailing_newlines("text")).cast("long").alias("trail_nl"))
+                    F.length(T.leading_newlines(inner)).cast("long").alias("lead_nl"),
+                    F.length(T.trailing_newlines(inner)).cast("long").alias("trail_nl"))
 
 
 def q_doc_classes(spark, sf):
@@ -247,9 +252,11 @@ SQL = {
     "clean_text": f"""SELECT doc_id, length({S.clean_ja('text')}) AS ja_len, md5({S.clean_ja('text')}) AS ja_md5,
         length({S.strip("replace(text, chr(9), ' ')")}) AS en_len,
         md5({S.strip("replace(text, chr(9), ' ')")}) AS en_md5 FROM documents""",
-    "guard_tags": f"""SELECT doc_id, md5(regexp_replace(text, {_q(T.GUARD_PATTERN)}, ' ｟\\0 ｠ ', 'g')) AS guarded_md5,
-        length(regexp_extract(text, {_q(chr(92) + 'A(' + chr(92) + 'n*)')}, 1)) AS lead_nl,
-        length(regexp_extract(regexp_replace(text, {_q(chr(92) + 'A' + chr(92) + 'n*')}, ''), {_q('(' + chr(92) + 'n*)' + chr(92) + 'z')}, 1)) AS trail_nl FROM documents""",
+    "guard_tags": r"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'https://a.example/' || doc_id || '?x=#y ' || text ELSE text END AS text,
+               regexp_replace(regexp_replace(text, '\A[^\n]+', ''), '[^\n]+\z', '') AS i FROM documents)
+        SELECT doc_id, md5(regexp_replace(text, GUARD, ' ｟\0 ｠ ', 'g')) AS guarded_md5,
+        length(regexp_extract(i, '\A(\n*)', 1)) AS lead_nl,
+        length(regexp_extract(regexp_replace(i, '\A\n*', ''), '(\n*)\z', 1)) AS trail_nl FROM t""".replace("GUARD", _q(T.GUARD_PATTERN)),
     "html_render": f"""WITH h AS (SELECT doc_id, {_q(T.HTML_HEAD)} || array_to_string(list_transform(
             string_split(text, {_NL}), lambda l: '<p>' || l || '</p>' || {_NL}), '') || {_q(T.HTML_TAIL)} AS html
             FROM documents)

@@ -21,6 +21,11 @@ from docflow.plans.sqlparts import text_overlap as overlap_sql
 # every page at status 1.  A frequent fragment exercises the whole cascade.
 PAGE_KEYWORDS = ["tion"]
 TO_LANG = "ja"
+# Limits under which the synthetic pages reach codes 0, 1, 2, 7 and 9 and both
+# values of every flag (the original's limits leave the flags constant).
+PAGE_LIMITS = {"density": 0.6, "max_lines": 20, "routes": {"ja": ["en", "fr", "de"]}}
+LIST_MAX_P = 1000
+LINK_FACTOR = 0.05
 STATUS_FEATURES = ["html_lang", "content_num", "link_num", "text", "n_lines"]
 
 
@@ -36,28 +41,34 @@ def q_block_counts(spark, sf):
 
 
 def q_page_headings(spark, sf):
-    """First paragraph, first h1, main heading."""
-    f = page_features(read(spark, sf, "pages"), url=None,
+    """First paragraph, first h1, main heading; the h1 of every
+    third page is made an h3, so that lower levels are searched too."""
+    p = read(spark, sf, "pages")
+    lower = F.replace(F.replace("html", F.lit("<h1"), F.lit("<h3")), F.lit("</h1"), F.lit("</h3"))
+    p = p.withColumn("html", F.when(F.col("page_id") % 3 == 0, lower).otherwise(F.col("html")))
+    f = page_features(p, url=None,
                       features=["first_par", "first_h1", "main_heading", "heading_level"])
     return f.select("page_id", "first_par", "first_h1", "main_heading", "heading_level")
 
 
 def q_link_flags(spark, sf):
-    """link-list page and link-dominated page."""
-    f = page_features(read(spark, sf, "pages"), url=None, features=["link_list", "link_dominated"])
+    """link-list page and link-dominated page.  Each page is read
+    twice over, so that its own links follow its heading."""
+    p = read(spark, sf, "pages").withColumn("html", F.concat("html", "html"))
+    f = page_features(p, url=None, features=["link_list", "link_dominated"], list_limits={"max_p": LIST_MAX_P}, link_factor=LINK_FACTOR)
     return f.select("page_id", "link_list", "link_dominated")
 
 
 def q_density_filter(spark, sf):
     """pages that pass the link-density rule."""
     f = page_features(read(spark, sf, "pages"), features=["content_num", "link_num"])
-    return (f.withColumn("keep", density_ok("content_num", "link_num", "region"))
+    return (f.withColumn("keep", density_ok("content_num", "link_num", "region", PAGE_LIMITS["density"]))
             .select("page_id", "content_num", "link_num", "keep"))
 
 
 def page_status_rows(spark, sf, to_lang=TO_LANG, keywords=PAGE_KEYWORDS):
     f = page_features(read(spark, sf, "pages"), features=STATUS_FEATURES)
-    return page_status(f, to_lang, keywords)
+    return page_status(f, to_lang, keywords, **PAGE_LIMITS)
 
 
 def q_page_status(spark, sf):
@@ -138,7 +149,15 @@ _SITE = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(URL_RE)},
          f"':[0-9]*\\z', ''))")
 _PATH = f"regexp_extract(url, {q(URL_RE)}, 3)"
 _STATUS = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
-                     "content_num", "link_num", "n_lines", "length(text)", region="region")
+                     "content_num", "link_num", "n_lines", "length(text)", region="region", **PAGE_LIMITS)
+
+
+
+def _with_pages(html: str, **limits) -> str:
+    """Feature CTEs over pages whose html is ``html``."""
+    return f"""WITH page2 AS (SELECT page_id, url, {html} AS html FROM pages),
+        {blocks_cte("page2")}, {heading_cte()}, {features_cte(table="page2", **limits)} """
+
 
 # DuckDB's levenshtein counts bytes: each accented letter of the tables gets
 # a control character of its own first, which changes no distance.
@@ -148,11 +167,12 @@ _ONE_BYTE = "translate({}, '" + _ACCENTED + "', '" + "".join(chr(c) for c in [*r
 SQL = {
     "page_blocks": f"WITH {blocks_cte()} SELECT page_id, pos, tag, is_link, text FROM blk",
     "block_counts": f"{_FEAT} SELECT page_id, title, content_num, link_num FROM feat",
-    "page_headings": f"{_FEAT} SELECT page_id, first_par, first_h1, main_heading, heading_level FROM feat",
-    "link_flags": f"{_FEAT} SELECT page_id, link_list, link_dominated FROM feat",
+    "page_headings": _with_pages("CASE WHEN page_id % 3 = 0 THEN replace(replace(html, '<h1', '<h3'), '</h1', '</h3') ELSE html END")
+    + "SELECT page_id, first_par, first_h1, main_heading, heading_level FROM feat",
+    "link_flags": _with_pages("html || html", max_p=LIST_MAX_P, factor=LINK_FACTOR) + "SELECT page_id, link_list, link_dominated FROM feat",
     "density_filter": f"""{_FEAT}
         SELECT page_id, content_num, link_num,
-               (NOT ((content_num + 1) / (content_num + link_num + 1) < 0.2) OR coalesce(region = 'my', false)) AS keep
+               (NOT ((content_num + 1) / (content_num + link_num + 1) < {PAGE_LIMITS['density']}) OR coalesce(region = 'my', false)) AS keep
         FROM feat2""",
     "page_status": f"{_FEAT} SELECT src_lang, {_STATUS} AS status, count(*) AS n FROM feat2 GROUP BY ALL",
     "url_parts": f"""

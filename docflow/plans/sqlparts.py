@@ -74,7 +74,7 @@ head AS (
   QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY CAST(substr(tag, 2, 1) AS INTEGER), pos) = 1)"""
 
 
-def features_cte(key: str = "page_id") -> str:
+def features_cte(key: str = "page_id", table: str = "pages", max_p: int = 30, factor: float = 2) -> str:
     """CTE ``feat``: per-page features matching ``page_features``."""
     lang_case = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in REGION_LANG.items())
     title = tag_text(f"regexp_extract(p.html, {q(H.TITLE)}, 1)")
@@ -100,14 +100,14 @@ feat AS (
          {title} AS title,
          a.content_num, a.link_num, a.first_par, a.first_h1,
          h.heading_level, h.heading_pos, h.main_heading,
-         (a.n_li > 0 AND a.p_len <= 30 AND a.n_li_a * 10 > a.n_li * 8) AS link_list,
+         (a.n_li > 0 AND a.p_len <= {max_p} AND a.n_li_a * 10 > a.n_li * 8) AS link_list,
          CASE WHEN h.heading_pos IS NULL THEN NULL
               WHEN coalesce(f.p_after, 0) = 0 THEN false
-              ELSE coalesce(f.a_after, 0) > 2 * f.p_after END AS link_dominated,
+              ELSE coalesce(f.a_after, 0) > {factor} * f.p_after END AS link_dominated,
          concat_ws(chr(10), nullif({title}, ''), a.ctext) AS text,
          nullif(lower(regexp_extract(p.html, {q(H.HTML_LANG)}, 1)), '') AS html_lang,
          nullif(regexp_extract(regexp_extract(p.url, {q(URL_RE)}, 3), '^/([^/]+)/', 1), '') AS region
-  FROM pages p JOIN agg a ON p.{key} = a.{key}
+  FROM {table} p JOIN agg a ON p.{key} = a.{key}
   LEFT JOIN head h ON p.{key} = h.{key}
   LEFT JOIN after f ON p.{key} = f.{key}),
 feat2 AS (
