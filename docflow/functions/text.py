@@ -27,21 +27,23 @@ def strip(col) -> Column:
 def keyword_flag(col, keywords, ignore_case: bool = False) -> Column:
     """true when the text holds any keyword as a substring.
 
-    Case-sensitive by default, like the original.  A short list becomes an OR
-    of ``contains`` (code-generated, short-circuit); a long list one quoted
-    regex alternation so the text is scanned once.
-    """
+    Case-sensitive by default, like the original.  An OR of ``contains``
+    (code-generated, short-circuit), built as a balanced tree so that a long
+    list gives a flat plan."""
     text = _c(col)
     kws = [k for k in dict.fromkeys(keywords) if k]
-    if not kws:
-        return F.lit(False)
     if ignore_case:
         text = F.lower(text)
         kws = list(dict.fromkeys(k.lower() for k in kws))
-    if len(kws) <= 64:
-        return reduce(lambda a, b: a | b, [text.contains(k) for k in kws])
-    alt = "|".join(re.escape(k) for k in kws)
-    return text.rlike(alt)
+    return any_of([text.contains(k) for k in kws])
+
+
+def any_of(conditions: list[Column]) -> Column:
+    """OR of all conditions, as a balanced tree; false for none."""
+    level = list(conditions)
+    while len(level) > 1:
+        level = [a | b for a, b in zip(level[::2], level[1::2])] + ([level[-1]] if len(level) % 2 else [])
+    return level[0] if level else F.lit(False)
 
 
 def line_count(col) -> Column:

@@ -5,78 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side must stay below this many rows; past it, shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
+#: Bytes a dimension may have to be broadcast; past it, shuffle.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
-    """``broadcast(df)`` if its row count is proven small, else ``None``.
-    Counting costs one pass over ``df``, which callers use only for tables
-    they have already reduced (distinct keys, hot keys)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else None
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
+    """``broadcast(df)`` if its size in bytes is proven small, else ``None``.
+    Used for dimension tables read from one file; measuring costs one pass."""
+    size = df.select(F.octet_length(F.to_csv(F.struct(*df.columns))).alias("n")).agg(F.sum("n")).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else None
 
 
-def _hot_side(hot: DataFrame, max_rows: int):
-    """('none' | 'broadcast' | 'too_big', broadcast frame or None) for a
-    set of hot keys: with no hot key the plain shuffle join has no skew."""
-    n = hot.count()
-    if n == 0:
-        return "none", None
-    if n > max_rows:
-        return "too_big", None
-    return "broadcast", F.broadcast(hot)
+def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a ``left`` whose keys may be hot to a ``right`` with unique keys.
 
-
-def hot_split_join(left: DataFrame, right: DataFrame, on, refs: str = "n_refs",
-                   hot_refs: int = 10_000, how: str = "left",
-                   max_hot_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a skewed ``left`` to a ``right`` with unique keys.
-
-    ``right[refs]`` holds, per key, how many left rows carry it (known for
-    free from the pre-aggregation that built ``right``).  Keys with at least
-    ``hot_refs`` rows are few by construction (at most rows / hot_refs); their
-    right rows are broadcast, after a size check, and joined map-side.  The
-    rest of ``left`` joins the cold keys by shuffle, where no key holds more
-    than ``hot_refs`` rows.  If the hot set is too large to broadcast, the
-    plain shuffle join is used and AQE skew-join splits big partitions."""
-    keys = [on] if isinstance(on, str) else list(on)
-    hot = right.filter(F.col(refs) >= hot_refs).drop(refs)
-    cold = right.filter(F.col(refs) < hot_refs).drop(refs)
-    kind, b = _hot_side(hot, max_hot_rows)
-    if kind != "broadcast":
-        return left.join(right.drop(refs), keys, how)
-    marked = left.join(b.withColumn("_hot", F.lit(True)), keys, "left")
-    hot_part = marked.filter(F.col("_hot")).drop("_hot")
-    rest = marked.filter(F.col("_hot").isNull()).select(*left.columns)
-    return hot_part.unionByName(rest.join(cold, keys, how), allowMissingColumns=True)
-
-
-def hot_split_filter(left: DataFrame, right: DataFrame, key: str, how: str = "left_anti",
-                     hot_refs: int = 10_000, max_hot_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Semi/anti join of a ``left`` whose ``key`` may be hot against the
-    keys of ``right``.
-
-    Keys with at least ``hot_refs`` left rows are found by a partial count
-    (one row per key and task crosses the shuffle).  With none, the plain
-    shuffle join has no skew and is used.  Otherwise the hot keys (a few, size
-    checked) are broadcast; one map-side semi-join over ``right`` finds
-    which of them it holds; hot rows of ``left`` are then kept or dropped
-    map-side, and only the other rows take the shuffle join, where no key
-    holds ``hot_refs`` rows."""
-    if how not in ("left_anti", "left_semi"):
-        raise ValueError(how)
-    rk = right.select(F.col(key))
-    # the hot keys are few and used twice: count them once, from a checkpoint
-    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_refs).select(key) \
-        .checkpoint(eager=True)
-    kind, hb = _hot_side(hot, max_hot_rows)
-    if kind != "broadcast":
-        return left.join(rk.distinct(), key, how)
-    present = rk.join(hb, key, "left_semi").distinct().withColumn("_in", F.lit(True))
-    flags = hot.join(F.broadcast(present), key, "left").select(key, F.coalesce("_in", F.lit(False)).alias("_in"))
-    marked = left.join(F.broadcast(flags), key, "left")
-    keep_in = how == "left_semi"
-    hot_rows = marked.filter(F.col("_in").isNotNull() & (F.col("_in") == F.lit(keep_in))).select(*left.columns)
-    cold = marked.filter(F.col("_in").isNull()).select(*left.columns).join(rk.distinct(), key, how)
-    return hot_rows.unionByName(cold)
+    Both sides reach the join through an exchange of their own (``right`` must
+    be read from a table or checkpoint, not sit on an aggregation by the same
+    keys), so adaptive execution can split a hot key's rows over many tasks and
+    hand each its one right row.  The plan is the same at every size."""
+    return left.join(right, on, how)

@@ -3,7 +3,7 @@
 The dictionary is one term list per language, aligned by line number.  It
 is read as a long table (term_id, lang, term) and pivoted wide on demand.
 It is a bounded dimension, so lookups embed it in the plan (after a size
-check) and scan each text once, with no join against the texts.
+check) and search each text for its terms, with no join against the texts.
 """
 
 from __future__ import annotations
@@ -99,8 +99,8 @@ def keyword_classes(df: DataFrame, text: str, class_terms, out: str = "keyword_c
     """U2 keyword classification: the classes (sorted) whose terms occur in
     the text.  ``class_terms``: (class, term) pairs, as a list or as a small
     dimension read with ``sources.files.read_dimension``; it is embedded in
-    the plan after a size check, so each text is scanned once and nothing is
-    joined."""
+    the plan after a size check, a text is searched for each class until its
+    first term is found, and nothing is joined."""
     if isinstance(class_terms, DataFrame):
         n = class_terms.count()
         if n > MAX_TERMS:
@@ -111,6 +111,9 @@ def keyword_classes(df: DataFrame, text: str, class_terms, out: str = "keyword_c
         rows = list(class_terms)
         if len(rows) > MAX_TERMS:
             raise ValueError(f"class keyword list has {len(rows)} pairs, more than {MAX_TERMS}")
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(t).alias("t")) for c, t in rows if t])
-    hits = F.filter(pairs, lambda p: F.col(text).contains(p["t"]))
-    return df.withColumn(out, F.array_sort(F.array_distinct(F.transform(hits, lambda p: p["c"]))))
+    terms: dict[str, list[str]] = {}
+    for c, t in rows:
+        if t:
+            terms.setdefault(c, []).append(t)
+    hits = [F.when(keyword_flag(text, ts), F.lit(c)) for c, ts in sorted(terms.items())]
+    return df.withColumn(out, F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>"))

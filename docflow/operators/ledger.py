@@ -8,7 +8,6 @@ hot.  Quotas and limits keep an explicit order with a unique tie-break.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,20 +26,16 @@ def ok_items(ledger: DataFrame, key: str, status: str = "status") -> DataFrame:
 
 
 def unprocessed(items: DataFrame, ledger: DataFrame, key: str, ledger_key: str | None = None,
-                retry_status=None, status: str = "status", hot_refs: int | None = None) -> DataFrame:
+                retry_status=None, status: str = "status") -> DataFrame:
     """Items with no ledger line.  ``retry_status`` (e.g. {3, 8}) lets
     items whose ledger lines all carry those codes be tried again (the
-    original never retried).  Item keys are usually unique paths; when many
-    items share a key (``hot_refs`` given), hot keys are decided map-side
-    (``joins.hot_split_filter``)."""
+    original never retried).  Item keys are usually unique paths; a key that
+    many items share is split by adaptive execution."""
     lk = ledger_key or key
     led = ledger
     if retry_status:
         # a line without a status is not one of the codes: its item stays processed
         led = led.filter(~F.coalesce(F.col(status).isin(list(retry_status)), F.lit(False)))
-    if hot_refs:
-        from docflow.operators.joins import hot_split_filter
-        return hot_split_filter(items, led.select(F.col(lk).alias(key)), key, "left_anti", hot_refs)
     led = led.select(F.col(lk).alias("_lk"))
     return items.join(led, items[key] == led["_lk"], "left_anti")
 
@@ -60,54 +55,43 @@ def ready_set(first: DataFrame, second: DataFrame, third: DataFrame, done: DataF
     return out
 
 
-MAX_FAN_IN_BUCKETS = 4096
-
-
-def _fan_in_buckets(df: DataFrame, buckets: int | None) -> int:
-    """Buckets of input partitions for the two-level limits: the square root
-    of the session's shuffle width (which is sized to the cluster and the
-    data: 8,000 in ``session.CLUSTER_CONF`` gives 90 buckets), so both levels
-    read about the same number of rows; one level for small settings."""
-    if buckets is not None:
-        return buckets
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(int(math.ceil(math.sqrt(n))), MAX_FAN_IN_BUCKETS) if n > 64 else 1
+#: Buckets of input partitions in which a limit is taken first.
+FAN_IN = 64
 
 
 def site_quota(df: DataFrame, site, order, n: int, rank: str = "rank",
-               buckets: int | None = None) -> DataFrame:
+               buckets: int = FAN_IN) -> DataFrame:
     """A1: at most ``n`` items per site (a column or a list of them, e.g.
     region and site), in ``order`` (which must end in a unique column).
 
     Planned as WindowGroupLimit: each task keeps its own top ``n`` per site
-    before the shuffle, so a hot site moves ``n`` rows per task.  With many
-    input partitions the limit is taken in two levels (site and a bucket of
-    input partitions, then site), so the task finishing a hot site reads
-    ``buckets * n`` rows instead of ``partitions * n``."""
+    before the shuffle, so a hot site moves ``n`` rows per task.  The limit
+    is taken in two levels (site and a bucket of input partitions, then
+    site), so the task finishing a hot site reads ``buckets * n`` rows
+    instead of ``partitions * n``."""
     order = _cols(order)
-    b = _fan_in_buckets(df, buckets)
-    if b > 1:
-        df = df.withColumn("_b", F.spark_partition_id() % b)
+    if buckets > 1:
+        df = df.withColumn("_b", F.spark_partition_id() % buckets)
         w1 = Window.partitionBy(*_cols(site), "_b").orderBy(*order)
         df = df.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n).drop("_r", "_b")
     w = Window.partitionBy(*_cols(site)).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w).cast("long")).filter(F.col(rank) <= n)
 
 
-def top_k(df: DataFrame, order, k: int, buckets: int | None = None) -> DataFrame:
-    """The first ``k`` rows in ``order`` (a unique ordering), in two levels
-    when the input has many partitions: top ``k`` per bucket of input
-    partitions (limited per task before the shuffle), then top ``k`` of
-    those.  One task never reads more than ``buckets * k`` rows."""
+def top_k(df: DataFrame, order, k: int, buckets: int = FAN_IN) -> DataFrame:
+    """The first ``k`` rows in ``order`` (a unique ordering), in two levels:
+    top ``k`` per bucket of input partitions (limited per task before the
+    shuffle; ``session.RUNTIME_CONF`` lifts Spark's bound of 1,000 for that),
+    then top ``k`` of those.  One task never reads more than ``buckets * k``
+    rows."""
     order = _cols(order)
-    b = _fan_in_buckets(df, buckets)
-    if b > 1:
-        w = Window.partitionBy(F.spark_partition_id() % b).orderBy(*order)
+    if buckets > 1:
+        w = Window.partitionBy(F.spark_partition_id() % buckets).orderBy(*order)
         df = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
     return df.orderBy(*order).limit(k)
 
 
-def head_tail(df: DataFrame, order, n: int, buckets: int | None = None) -> DataFrame:
+def head_tail(df: DataFrame, order, n: int, buckets: int = FAN_IN) -> DataFrame:
     """The first ``n`` and the last ``n`` items in ``order``, once each."""
     asc = [F.col(c) if isinstance(c, str) else c for c in _cols(order)]
     desc = [c.desc() for c in asc]

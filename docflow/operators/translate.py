@@ -4,16 +4,20 @@
     parts --distinct (from,to,part), with reference counts--> unique parts
     unique parts --left join--> translation memory (part, from, to -> text)
     misses --mapInPandas(translate_fn)--> new translations   [checkpointed]
-    parts --hot-split join--> translated parts --A8--> translated text
+    parts --join on a digest--> translated parts --A8--> translated text
 
 Each distinct part is translated once per run, however many documents hold
-it; a part that is in a third of all documents is joined back map-side.
+it.  Part texts cross the network once, pre-aggregated, on their way to the
+distinct parts; the join back is on a 256-bit digest, so documents send only
+keys and digests, and adaptive execution splits a part that is in a third of
+all documents.
 The translate function is supplied by the caller (the original called a
 web service); the default passes text through unchanged.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.constants import PART_LIMIT, STATUS_OK, STATUS_SHORT
-from docflow.operators.joins import hot_split_join
+from docflow.operators.joins import skew_join
 from docflow.operators.packing import pack, reassemble
 
 TranslateFn = Callable[[pd.DataFrame], pd.Series]
@@ -82,19 +86,25 @@ def _apply(fn: TranslateFn):
     return run
 
 
+def with_digest(parts: DataFrame) -> DataFrame:
+    return parts.withColumn("digest", F.unhex(F.sha2("part", 256)))
+
+
 def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
-                    memory: DataFrame | None = None, hot_refs: int = 10_000,
-                    checkpoint: bool = True, memory_out: str | None = None) -> DataFrame:
+                    memory: DataFrame | None = None, checkpoint: bool = True, memory_out: str | None = None) -> DataFrame:
     """Translate a table of parts (… from_lang, to_lang, part) and add
-    ``translated``.  ``memory`` (from_lang, to_lang, part, translated) holds
-    earlier results; only misses reach ``translate_fn``.  A failed part
-    becomes '' (the original's rule).  ``memory_out``: append the new,
-    non-empty translations there (Parquet by language pair), so a later run
-    finds them in its memory."""
+    ``translated`` in place of ``part``.  ``memory`` (from_lang, to_lang, part,
+    translated[, batch_id]) holds earlier results, of which the first one
+    written counts; only misses reach ``translate_fn``.  A failed part becomes
+    '' (the original's rule).  ``memory_out``: append the new, non-empty
+    translations there (Parquet by language pair), so a later run finds them
+    in its memory."""
     key = ["from_lang", "to_lang", "part"]
     uniq = parts.groupBy(*key).agg(F.count(F.lit(1)).alias("n_refs"))
     if memory is not None:
-        mem = memory.select(*key, "translated").dropDuplicates(key)
+        order = F.col("batch_id") if "batch_id" in memory.columns else F.lit(0)
+        mem = memory.groupBy(*key).agg(F.min(F.struct(order.alias("o"), F.col("translated").alias("t"))).alias("m")) \
+            .select(*key, F.col("m.t").alias("translated"))
         looked = uniq.join(mem, key, "left")
         hits = looked.filter(F.col("translated").isNotNull())
         misses = looked.filter(F.col("translated").isNull()).drop("translated")
@@ -107,15 +117,15 @@ def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
         # and keep the result on the shared checkpoint folder.
         new = new.checkpoint(eager=True)
     if memory_out:
-        (new.filter(F.col("translated") != "").select(*key, "translated").write.mode("append")
+        (new.filter(F.col("translated") != "").select(*key, "translated", F.lit(time.time_ns()).alias("batch_id")).write.mode("append")
          .partitionBy("from_lang", "to_lang").parquet(memory_out))
     done = new if hits is None else hits.select(*key, "translated", "n_refs").unionByName(new)
-    return hot_split_join(parts, done, key, refs="n_refs", hot_refs=hot_refs)
+    done = with_digest(done).select("from_lang", "to_lang", "digest", "translated")
+    return skew_join(with_digest(parts).drop("part"), done, ["from_lang", "to_lang", "digest"]).drop("digest")
 
 
 def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn: TranslateFn = passthrough,
-                    memory: DataFrame | None = None, limit: int = PART_LIMIT,
-                    hot_refs: int = 10_000, checkpoint: bool = True,
+                    memory: DataFrame | None = None, limit: int = PART_LIMIT, checkpoint: bool = True,
                     memory_out: str | None = None, keep=()) -> DataFrame:
     """U1 over items that passed the status cascade.
 
@@ -127,41 +137,28 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
     key only, e.g. region or site: they ride along and are grouped on for
     free).
 
-    The items are read once: a single projection turns each item into its
-    parts (to translate) or into one row (same language / other status);
-    that table is checkpointed and every branch below reads it."""
+    The parts to translate are checkpointed, because the distinct parts and
+    the join back both read them; texts that pass unchanged are not, they
+    come from the items as they are."""
     todo = (F.col("status") == STATUS_OK) & (F.col("src_lang") != F.col("to_lang"))
     same = (F.col("status") == STATUS_OK) & (F.col("src_lang") == F.col("to_lang"))
-    piece = "struct<part_no:int,part:string>"
-    pieces = F.when(todo, F.transform(pack(text, limit), lambda p, i: F.struct(i.alias("part_no"), p.alias("part")))) \
-        .when(same, F.array(F.struct(F.lit(-1).alias("part_no"), F.col(text).alias("part")))) \
-        .otherwise(F.array().cast(f"array<{piece}>"))
-    kind = F.when(todo, F.lit("todo")).when(same, F.lit("same")).otherwise(F.lit("rest"))
     keep = list(keep)
-    rows = items.select(key, *keep, F.col("src_lang").alias("from_lang"), "to_lang", "status", kind.alias("_kind"),
-                        F.explode_outer(pieces).alias("_p")) \
-        .select(key, *keep, "from_lang", "to_lang", "status", "_kind", "_p.part_no", "_p.part")
+    base = [key, *keep, "to_lang"]
+    rows = items.filter(todo).select(*base, F.col("src_lang").alias("from_lang"), F.posexplode_outer(pack(text, limit)).alias("part_no", "part"))
     if checkpoint:
-        # One read of the items; the parts feed the distinct-part
-        # translation and the join back, so they are written once to the
-        # shared checkpoint folder (and the step restarts from here).
         rows = rows.checkpoint(eager=True)
-    is_todo = F.col("_kind") == "todo"
-    parts = rows.filter(is_todo & F.col("part_no").isNotNull()) \
-        .select(key, *keep, "from_lang", "to_lang", "part_no", "part")
-    tr = translate_parts(parts, translate_fn, memory, hot_refs, checkpoint, memory_out)
+    parts = rows.filter(F.col("part_no").isNotNull())
+    tr = translate_parts(parts, translate_fn, memory, checkpoint, memory_out)
     back = reassemble(tr.select(key, *keep, "to_lang", "part_no", F.col("translated").alias("part")),
                       [key, "to_lang", *keep]) \
         .select(key, *keep, "to_lang", "n_parts", F.col("text").alias("translated"))
-    empty = rows.filter(is_todo & F.col("part_no").isNull()) \
-        .select(key, *keep, "to_lang", F.lit(0).cast("long").alias("n_parts"), F.lit("").alias("translated"))
-    same_rows = rows.filter(F.col("_kind") == "same") \
-        .select(key, *keep, "to_lang", F.lit(None).cast("long").alias("n_parts"), F.col("part").alias("translated"))
+    empty = rows.filter(F.col("part_no").isNull()) \
+        .select(*base, F.lit(0).cast("long").alias("n_parts"), F.lit("").alias("translated"))
+    same_rows = items.filter(same).select(*base, F.lit(None).cast("long").alias("n_parts"), F.col(text).alias("translated"))
     ok = back.unionByName(empty).unionByName(same_rows).withColumn(
         "status", F.when(F.length("translated") <= 1, F.lit(STATUS_SHORT)).otherwise(F.lit(STATUS_OK)))
-    rest = rows.filter(F.col("_kind") == "rest") \
-        .select(key, *keep, "to_lang", "status", F.lit(None).cast("long").alias("n_parts"),
-                F.lit(None).cast("string").alias("translated"))
+    rest = items.filter(~F.coalesce(todo | same, F.lit(False))) \
+        .select(*base, "status", F.lit(None).cast("long").alias("n_parts"), F.lit(None).cast("string").alias("translated"))
     cols = [key, "to_lang", "status", "n_parts", "translated", *keep]
     return ok.select(*cols).unionByName(rest.select(*cols))
 
@@ -189,7 +186,7 @@ def translate_posts(posts: DataFrame, key: str, text: str, lang: str, to_lang: s
     same = ok.filter(F.col("from_lang") == F.col("to_lang")).withColumn("translated", F.col("part"))
     other = ok.filter(F.col("from_lang") != F.col("to_lang"))
     tr = translate_parts(other.select(key, "from_lang", "to_lang", "part", "_lead", "_trail", "status"),
-                         translate_fn, None, checkpoint=checkpoint)
+                         translate_fn, None, checkpoint)
     cols = [key, "to_lang", "status", "_lead", "_trail", "translated"]
     done = same.select(*cols).unionByName(tr.select(*cols)).withColumn(
         "translated", F.concat("_lead", "translated", "_trail")).drop("_lead", "_trail")

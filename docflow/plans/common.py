@@ -12,21 +12,11 @@ HEAVY = {"pages", "documents", "conversations"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, heavy: bool | None = None) -> DataFrame:
-    """A driver table; ``heavy`` (default: by table) spreads a small scan
-    for CPU-heavy per-row work."""
+    """A driver table.  The session setting ``spark.docflow.spread`` (a number
+    of partitions, unset by default) deals out the rows of ``heavy`` tables
+    (default: by table): single-file tables have one split, so a bench on one
+    machine sets it to use its cores.  A cluster leaves it unset."""
     configure(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if (name in HEAVY if heavy is None else heavy) else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work every core: when the scan yields fewer
-    splits than the session's parallelism (a small file with one row group),
-    spread the rows round-robin.  On large inputs the scan already has far
-    more splits than cores and this is a no-op."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (client session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+    parts = spark.conf.get("spark.docflow.spread", None)
+    return df.repartition(int(parts)) if parts and (name in HEAVY if heavy is None else heavy) else df

@@ -247,7 +247,7 @@ SQL = {
         UNION ALL
         SELECT doc_id, to_lang, status, NULL, NULL FROM st WHERE status <> 0""",
     "text_flags": f"""SELECT doc_id, {_LINES} AS n_lines, {_LINES} > {DOC_MAX_LINES} AS too_long,
-        {_ml('text')} AS mostly_latin, regexp_matches(text, {_q(T.DATE_PATTERN)}) AS date_mention,
+        {_ml('text')} AS mostly_latin, regexp_matches(text, {_q(S.DATE)}) AS date_mention,
         contains(text, {_q(K.LINK_WORD)}) AS link_word FROM documents""",
     "clean_text": f"""SELECT doc_id, length({S.clean_ja('text')}) AS ja_len, md5({S.clean_ja('text')}) AS ja_md5,
         length({S.strip("replace(text, chr(9), ' ')")}) AS en_len,
@@ -256,9 +256,9 @@ SQL = {
                regexp_replace(regexp_replace(text, '\A[^\n]+', ''), '[^\n]+\z', '') AS i FROM documents)
         SELECT doc_id, md5(regexp_replace(text, GUARD, ' ｟\0 ｠ ', 'g')) AS guarded_md5,
         length(regexp_extract(i, '\A(\n*)', 1)) AS lead_nl,
-        length(regexp_extract(regexp_replace(i, '\A\n*', ''), '(\n*)\z', 1)) AS trail_nl FROM t""".replace("GUARD", _q(T.GUARD_PATTERN)),
-    "html_render": f"""WITH h AS (SELECT doc_id, {_q(T.HTML_HEAD)} || array_to_string(list_transform(
-            string_split(text, {_NL}), lambda l: '<p>' || l || '</p>' || {_NL}), '') || {_q(T.HTML_TAIL)} AS html
+        length(regexp_extract(regexp_replace(i, '\A\n*', ''), '(\n*)\z', 1)) AS trail_nl FROM t""".replace("GUARD", _q(S.GUARD)),
+    "html_render": f"""WITH h AS (SELECT doc_id, '<html>' || chr(10) || '<head><meta charset="utf-8"/></head>' || chr(10) || '<body>' || chr(10) || array_to_string(list_transform(
+            string_split(text, {_NL}), lambda l: '<p>' || l || '</p>' || {_NL}), '') || '</body>' || chr(10) || '</html>' || chr(10) AS html
             FROM documents)
         SELECT doc_id, length(html) AS html_len, md5(html) AS html_md5 FROM h""",
     "doc_classes": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(["

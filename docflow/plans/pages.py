@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.constants import COVID_KEYWORDS
-from docflow.functions.paths import URL_RE, url_host, url_path
+from docflow.functions.paths import url_host, url_path
 from docflow.functions.similarity import edit_distance, text_overlap
 from docflow.functions.text import keyword_flag
 from docflow.operators.latest import index_records
 from docflow.operators.pages import blocks_table, page_features
 from docflow.operators.routing import density_ok, page_status
 from docflow.plans.common import read
-from docflow.plans.sqlparts import blocks_cte, features_cte, heading_cte, keyword_sql, q, status_sql
+from docflow.plans.sqlparts import URL, blocks_cte, features_cte, heading_cte, keyword_sql, q, status_sql
 from docflow.plans.sqlparts import text_overlap as overlap_sql
 
 # Keyword list for the status queries over the synthetic pages: the real
@@ -145,9 +145,9 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracles
 _FEAT = f"WITH {blocks_cte()}, {heading_cte()}, {features_cte()}"
-_SITE = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(URL_RE)}, 2), '\\A.*@', ''), "
+_SITE = (f"lower(regexp_replace(regexp_replace(regexp_extract(url, {q(URL)}, 2), '\\A.*@', ''), "
          f"':[0-9]*\\z', ''))")
-_PATH = f"regexp_extract(url, {q(URL_RE)}, 3)"
+_PATH = f"regexp_extract(url, {q(URL)}, 3)"
 _STATUS = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
                      "content_num", "link_num", "n_lines", "length(text)", region="region", **PAGE_LIMITS)
 

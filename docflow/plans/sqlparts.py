@@ -7,9 +7,23 @@ regexes, written for RE2, applied with SQL set operations instead of arrays.
 from __future__ import annotations
 
 from docflow.constants import JA_SITE_SUFFIXES, REGION_LANG, ROUTE_SOURCES
-from docflow.functions import html as H
-from docflow.functions.paths import URL_RE
-from docflow.functions.regex import STRIP, WS
+
+# The oracle's own patterns (RE2), so that a wrong pattern in the library shows.
+PRE_STRIP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>|<title\b.*?</title>"
+BLOCK_TAG = r"(?i)</?(?:p|li|h[1-9]|div|ul|ol|nav|article|section|header|footer|tr|td|table|body|html)\b[^>]*>"
+TAG_NAME = r"^<(/?[a-zA-Z0-9]+)"
+LINK = r"(?i)<a\b"
+ANY_TAG = r"<[^>]*>"
+TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+ANCHOR_TEXT = r"(?is)<a\b[^>]*>(.*?)</a>"
+STRONG_TEXT = r"(?is)<strong\b[^>]*>(.*?)</strong>"
+HTML_LANG = r'''(?i)<html\b[^>]*\blang=[\"']?([a-zA-Z_-]+)'''
+URL = r"\A([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?\z"
+STRIP = r"\A[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+|[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+\z"
+WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+GUARD = r"https?://" + WS.replace("[", "[^", 1) + r"+|[#＃][\p{L}\p{N}_]+" + WS + "*"
+DATE = r"[0-9]月|20\p{Nd}\p{Nd}|199\p{Nd}|平成|昭和|H[2-3][0-9]"
+ENTITIES = [('&lt;', '<'), ('&gt;', '>'), ('&quot;', '"'), ('&#39;', "'"), ('&nbsp;', ' '), ('&amp;', '&')]
 
 
 def q(s: str) -> str:
@@ -18,7 +32,7 @@ def q(s: str) -> str:
 
 
 def decode(x: str) -> str:
-    for ent, ch in H.ENTITIES:
+    for ent, ch in ENTITIES:
         x = f"replace({x}, {q(ent)}, {q(ch)})"
     return x
 
@@ -28,11 +42,11 @@ def strip(x: str) -> str:
 
 
 def tag_text(x: str) -> str:
-    return strip(decode(f"regexp_replace({x}, {q(H.ANY_TAG)}, '', 'g')"))
+    return strip(decode(f"regexp_replace({x}, {q(ANY_TAG)}, '', 'g')"))
 
 
 def sum_len(arr: str) -> str:
-    inner = decode("regexp_replace(z, " + q(H.ANY_TAG) + ", '', 'g')")
+    inner = decode("regexp_replace(z, " + q(ANY_TAG) + ", '', 'g')")
     return f"coalesce(list_sum(list_transform({arr}, lambda z: length({inner}))), 0)"
 
 
@@ -50,18 +64,18 @@ def clean_ja(x: str) -> str:
 
 def blocks_cte(table: str = "pages", key: str = "page_id") -> str:
     """CTEs ``toks`` (one row per raw block) and ``blk`` (block columns)."""
-    marked = (f"regexp_replace(regexp_replace(html, {q(H.PRE_STRIP)}, '', 'g'), "
-              f"{q(H.BLOCK_TAG)}, chr(1) || '\\0', 'g')")
+    marked = (f"regexp_replace(regexp_replace(html, {q(PRE_STRIP)}, '', 'g'), "
+              f"{q(BLOCK_TAG)}, chr(1) || '\\0', 'g')")
     return f"""
 toks0 AS (SELECT {key}, string_split({marked}, chr(1)) AS arr FROM {table}),
 toks AS (SELECT {key}, unnest(arr) AS tok, unnest(range(len(arr))) AS pos FROM toks0),
 blk AS (
   SELECT {key}, pos,
-         lower(regexp_extract(tok, {q(H.TAG_NAME)}, 1)) AS tag,
-         regexp_matches(tok, {q(H.LINK)}) AS is_link,
+         lower(regexp_extract(tok, {q(TAG_NAME)}, 1)) AS tag,
+         regexp_matches(tok, {q(LINK)}) AS is_link,
          {tag_text('tok')} AS text,
-         {sum_len(f"regexp_extract_all(tok, {q(H.ANCHOR_TEXT)}, 1)")} AS a_len,
-         {sum_len(f"regexp_extract_all(tok, {q(H.STRONG_TEXT)}, 1)")} AS strong_len
+         {sum_len(f"regexp_extract_all(tok, {q(ANCHOR_TEXT)}, 1)")} AS a_len,
+         {sum_len(f"regexp_extract_all(tok, {q(STRONG_TEXT)}, 1)")} AS strong_len
   FROM toks)"""
 
 
@@ -77,7 +91,7 @@ head AS (
 def features_cte(key: str = "page_id", table: str = "pages", max_p: int = 30, factor: float = 2) -> str:
     """CTE ``feat``: per-page features matching ``page_features``."""
     lang_case = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in REGION_LANG.items())
-    title = tag_text(f"regexp_extract(p.html, {q(H.TITLE)}, 1)")
+    title = tag_text(f"regexp_extract(p.html, {q(TITLE)}, 1)")
     return f"""
 agg AS (
   SELECT {key},
@@ -105,8 +119,8 @@ feat AS (
               WHEN coalesce(f.p_after, 0) = 0 THEN false
               ELSE coalesce(f.a_after, 0) > {factor} * f.p_after END AS link_dominated,
          concat_ws(chr(10), nullif({title}, ''), a.ctext) AS text,
-         nullif(lower(regexp_extract(p.html, {q(H.HTML_LANG)}, 1)), '') AS html_lang,
-         nullif(regexp_extract(regexp_extract(p.url, {q(URL_RE)}, 3), '^/([^/]+)/', 1), '') AS region
+         nullif(lower(regexp_extract(p.html, {q(HTML_LANG)}, 1)), '') AS html_lang,
+         nullif(regexp_extract(regexp_extract(p.url, {q(URL)}, 3), '^/([^/]+)/', 1), '') AS region
   FROM {table} p JOIN agg a ON p.{key} = a.{key}
   LEFT JOIN head h ON p.{key} = h.{key}
   LEFT JOIN after f ON p.{key} = f.{key}),

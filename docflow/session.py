@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # watermark needs it (``streaming.incremental.event_time``).
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Limits per group and top-k are taken in every task before the shuffle up
+    # to this many rows (Spark's own bound of 1,000 would shuffle all rows).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000000",
 }
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from docflow.functions.paths import region_of, with_suffix
-from docflow.operators.joins import checked_broadcast
+from docflow.operators.joins import MAX_BROADCAST_BYTES, checked_broadcast
 
 
 def _meta(df: DataFrame) -> DataFrame:
@@ -167,12 +167,12 @@ def parse_block_xml(col):
 
 
 def read_dimension(spark: SparkSession, path: str, schema: str | None = None, header: bool = True,
-                   max_rows: int = 1_000_000) -> DataFrame:
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """A small TSV dimension (class list, source info), broadcast after
-    a row-count check; too large -> returned as a normal table."""
+    a check of its bytes; too large -> returned as a normal table."""
     r = spark.read.option("sep", "\t").option("header", str(header).lower())
     df = r.schema(schema).csv(path) if schema else r.csv(path)
-    b = checked_broadcast(df, max_rows)
+    b = checked_broadcast(df, max_bytes)
     return b if b is not None else df
 
 

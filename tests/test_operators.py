@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators import ledger as L
-from docflow.operators.joins import hot_split_join
+from docflow.operators.joins import checked_broadcast, skew_join
 from docflow.operators.latest import first_version, latest_version
 from docflow.operators.routing import text_status
 from docflow.operators.translate import dictionary_translator, translate_items
@@ -85,16 +85,16 @@ def test_status_codes(spark):
     assert st == {1: 0, 2: 9, 3: 4, 4: 1, 5: 7, 6: 0, 7: 3, 8: 0}
 
 
-def test_translate_dictionary_memory_and_hot_split(spark):
+def test_translate_dictionary_and_memory(spark):
     rows = [(1, "fr", "ja", 0, "Corona ici\nligne deux"), (2, "ja", "ja", 0, "コロナ"),
             (3, "fr", "ja", 9, "x"), (4, "fr", "ja", 0, "Corona ici")]
     items = spark.createDataFrame(rows, "doc_id long, src_lang string, to_lang string, status int, text string")
     fn = dictionary_translator([("fr", "ja", "Corona", "コロナ")])
     mem = spark.createDataFrame([("fr", "ja", "Corona ici\nligne deux", "MEMORY")],
                                 "from_lang string, to_lang string, part string, translated string")
-    for hot in (1, 10_000):                     # all parts hot (broadcast) / all cold (shuffle)
-        out = {r["doc_id"]: r for r in translate_items(items, "doc_id", translate_fn=fn, memory=mem,
-                                                       hot_refs=hot).collect()}
+    later = mem.selectExpr("from_lang", "to_lang", "part", "'LATER' AS translated", "2 AS batch_id")
+    for memory in (mem, mem.selectExpr("*", "1 AS batch_id").unionByName(later)):       # the first translation written counts
+        out = {r["doc_id"]: r for r in translate_items(items, "doc_id", translate_fn=fn, memory=memory).collect()}
         assert out[1]["translated"] == "MEMORY" and out[1]["n_parts"] == 1
         assert out[2]["translated"] == "コロナ" and out[2]["status"] == 0
         assert out[3]["status"] == 9 and out[3]["translated"] is None
@@ -109,18 +109,34 @@ def test_each_distinct_part_translated_once(spark):
         return b["part"].str.upper()
     rows = [(i, "fr", "ja", 0, "même texte") for i in range(40)] + [(99, "fr", "ja", 0, "autre")]
     items = spark.createDataFrame(rows, "doc_id long, src_lang string, to_lang string, status int, text string")
-    out = translate_items(items, "doc_id", translate_fn=fn, hot_refs=5)
+    out = translate_items(items, "doc_id", translate_fn=fn)
     assert out.filter(F.col("translated") == "MÊME TEXTE").count() == 40
     assert calls.value == 2
 
 
-def test_hot_split_join_equals_plain_join(spark):
-    left = spark.range(0, 3000).select((F.col("id") % 3).alias("k"), F.col("id"))
-    left = left.withColumn("k", F.when(F.col("id") < 2000, 0).otherwise(F.col("k")))
-    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n_refs")).withColumn("v", F.col("k") * 10)
-    a = sorted(tuple(r) for r in hot_split_join(left, right, "k", hot_refs=500).select("id", "k", "v").collect())
-    b = sorted(tuple(r) for r in left.join(right.drop("n_refs"), "k", "left").select("id", "k", "v").collect())
-    assert a == b
+def test_hot_key_join_is_split(spark):
+    """Adaptive execution deals a hot key's rows out over several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        out = skew_join(left, right, "k")
+        assert out.filter("k = 0 and n = 40001").count() == 40001
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_checked_broadcast_measures_bytes(spark):
+    df = spark.createDataFrame([("x" * 100,)] * 10, "s string")
+    assert checked_broadcast(df, 2000) is not None and checked_broadcast(df, 500) is None
 
 
 def test_translate_posts(spark):
@@ -147,20 +163,6 @@ def test_stage_health_and_unscored(spark):
     assert [r[0] for r in L.unscored_records(rec, done).collect()] == ["/r/b"]
 
 
-def test_hot_split_filter_equals_plain(spark):
-    from docflow.operators.joins import hot_split_filter
-    left = spark.range(0, 3000).select(F.when(F.col("id") < 1500, 0).when(F.col("id") < 2000, 1)
-                                       .otherwise(F.col("id")).alias("k"), "id")
-    right = spark.createDataFrame([(0,), (5,), (2500,), (2500,)], "k long")
-    for how in ("left_anti", "left_semi"):
-        a = sorted(r["id"] for r in hot_split_filter(left, right, "k", how, hot_refs=100).collect())
-        b = sorted(r["id"] for r in left.join(right.distinct(), "k", how).collect())
-        assert a == b, how
-    items = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3, "k string")
-    led = spark.createDataFrame([("a", 0)], "k string, status int")
-    assert L.unprocessed(items, led, "k", hot_refs=10).count() == 3
-
-
 def test_page_status_exists_and_sidecars(spark):
     from docflow.operators.pages import page_features
     from docflow.operators.routing import page_status

@@ -5,33 +5,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docflow.operators import ledger as L
-from docflow.operators.joins import hot_split_filter, hot_split_join
-from tests.conftest import SF_SMALL
 
 CFG = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 KEYS = st.lists(st.integers(0, 30), min_size=1, max_size=300)
 
 
-def _left(spark, keys, hot_copies):
-    rows = [(k, i) for i, k in enumerate(keys)] + [(7, 10_000 + i) for i in range(hot_copies)]
-    return spark.createDataFrame(rows, "k long, id long")
-
-
-@CFG
-@given(keys=KEYS, right_keys=st.lists(st.integers(0, 40), max_size=40), hot_copies=st.integers(0, 200))
-def test_hot_split_equals_plain(spark, keys, right_keys, hot_copies):
-    left = _left(spark, keys, hot_copies)
-    right = spark.createDataFrame([(k,) for k in right_keys] or [(-1,)], "k long")
-    for how in ("left_anti", "left_semi"):
-        got = sorted(r["id"] for r in hot_split_filter(left, right, "k", how, hot_refs=20).collect())
-        want = sorted(r["id"] for r in left.join(right.distinct(), "k", how).collect())
-        assert got == want
-    uniq = left.groupBy("k").agg(F.count(F.lit(1)).alias("n_refs")).withColumn("v", F.col("k") * 3)
-    got = sorted(tuple(r) for r in hot_split_join(left, uniq, "k", hot_refs=20).select("id", "v").collect())
-    want = sorted(tuple(r) for r in left.join(uniq.drop("n_refs"), "k", "left").select("id", "v").collect())
-    assert got == want
-
-
 @CFG
 @given(keys=KEYS, n=st.integers(1, 8), buckets=st.integers(2, 7))
 def test_two_level_limits_equal_one_level(spark, keys, n, buckets):
@@ -44,14 +22,9 @@ def test_two_level_limits_equal_one_level(spark, keys, n, buckets):
     assert t1 == t2
 
 
-def test_translation_hot_and_cold_paths_agree(spark):
-    from docflow.operators.routing import text_status
-    from docflow.operators.translate import translate_items
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang", "text")
-    st_ = text_status(docs, ["ja", "en"], ["tion", "ein"])
-    hot = translate_items(st_, "doc_id", hot_refs=1).select("doc_id", "to_lang", "status", "n_parts",
-                                                            F.md5("translated").alias("h"))
-    cold = translate_items(st_, "doc_id", hot_refs=10 ** 9).select("doc_id", "to_lang", "status", "n_parts",
-                                                                   F.md5("translated").alias("h"))
-    assert hot.count() == cold.count() == 2 * docs.count()
-    assert hot.exceptAll(cold).count() == 0 and cold.exceptAll(hot).count() == 0
+def test_top_k_beyond_a_thousand_is_limited_before_the_shuffle(spark):
+    df = spark.range(0, 20_000, 1, 4)
+    for k in (1000, 1001, 5000):
+        top = L.top_k(df, [F.col("id").desc()], k)
+        assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+        assert [r["id"] for r in top.collect()] == list(range(19_999, 19_999 - k, -1))
