@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["docflow.plans.pages", "docflow.plans.documents", "docflow.plans.events", "docflow.plans.scoring", "docflow.plans.streams"]
+MODULES = ["docflow.plans.pages", "docflow.plans.documents", "docflow.plans.events", "docflow.plans.scoring", "docflow.plans.streams", "docflow.plans.crawl"]
 
 
 def _mods():
