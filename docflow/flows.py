@@ -11,6 +11,7 @@ records to write and the ledger lines to append; the caller writes them with
     index:     translated records ⋈ URL -> newest-version and first-version
                tables                                        (K8, K6, K7)
     classify:  ja ok ⋉ en ok ⋉ extracted ▷ classified -> scores (J2, U2-U4, K3)
+    sentiment: classified JSON lines ▷ scored -> title scores     (S11, J3, U3)
     posts:     post list -> not yet translated -> first and last n -> U1 (A6, U1)
 
 Loop forms: ``extract_stream``, ``translate_stream`` and ``posts_stream`` run
@@ -29,15 +30,16 @@ from pyspark.sql import functions as F
 from docflow import constants as K
 from docflow.functions.text import keyword_flag
 from docflow.operators import ledger as L
-from docflow.functions.paths import page_parts, tweet_parts
+from docflow.functions.paths import feature_key, page_parts, tweet_parts
 from docflow.operators.latest import first_version, index_record, index_records, latest_version
 from docflow.operators.pages import page_features, prepend_h1
 from docflow.operators.routing import source_lang, status_cascade
 from docflow.functions.paths import with_suffix
+from docflow.operators.scoring import enrich
 from docflow.operators.translate import TranslateFn, passthrough, post_text, translate_items, translate_posts
 from docflow.sinks.tables import (append_ledger, next_batch, quarantine, read_if_exists, write_extracted,
                                   write_hourly_manifest, write_translated)
-from docflow.sources.files import json_field, read_named_files
+from docflow.sources.files import classified_view, json_field, read_jsonl, read_named_files
 from docflow.sources.manifests import recent_pages, recent_posts
 from docflow.streaming.incremental import run_polls
 
@@ -193,6 +195,90 @@ def classify_flow(ja_ok: DataFrame, en_ok: DataFrame, extracted: DataFrame, clas
     return score(ready)
 
 
+def classified_records(items: DataFrame, root: str, keywords=K.COVID_KEYWORDS, topic=None) -> DataFrame:
+    """U4 over ready items (page_path, region, site, title, text, ja_text,
+    en_text): metadata -> text -> keyword -> topic, each checked.  Adds
+    ``status`` (0: a record, 1: failed) and ``record``, the JSON object the
+    classifier writes.  ``topic``: DataFrame -> DataFrame with a ``topic``
+    column (null fails); without one the step passes."""
+    parts = page_parts("page_path", root)
+    steps = [("metadata", lambda x: x.withColumn("_p", parts), F.col("_p").isNotNull()),
+             ("text", lambda x: x, (F.length("text") > 0) & (F.length("ja_text") > 0) & (F.length("en_text") > 0)),
+             ("keywords", lambda x: x.withColumn("keyword", keyword_flag("text", keywords)), F.col("keyword").isNotNull())]
+    if topic is not None:
+        steps.append(("topic", topic, F.col("topic").isNotNull()))
+    out = enrich(items, steps)
+    first_line = lambda c: F.substring_index(c, "\n", 1)
+    file = F.replace(F.col("page_path"), F.lit(root.rstrip("/") + "/"), F.lit(""))
+    fields = [F.struct(file.alias("file"), "title").alias("orig"), F.struct(first_line("ja_text").alias("title"), F.col("ja_text").alias("text")).alias("ja_translated"),
+              F.struct(first_line("en_text").alias("title"), F.col("en_text").alias("text")).alias("en_translated"),
+              F.struct(F.col("_p.region").alias("region"), F.col("_p.site").alias("domain"), F.col("_p.ts_utc").alias("timestamp")).alias("meta"), "keyword"]
+    return out.withColumn("record", F.when(F.col("status") == K.STATUS_OK, F.to_json(F.struct(*fields, *(["topic"] if topic is not None else [])))))
+
+
+def classify_stream(spark, extracted_path: str, translated_path: str, root: str, out_path: str, ledger_path: str, checkpoint: str | None = None,
+                    topic=None, keywords=K.COVID_KEYWORDS, once: bool = True, interval: str = "10 seconds"):
+    """W1 for the classifier: pages whose Japanese and English texts are
+    there (status 0), minus the ledger, matched on the feature key, which no
+    stage folder or suffix changes; each poll writes JSON lines for the
+    records and a ledger line (0 or 1) for every item."""
+    stage = "classify"
+
+    def poll() -> int:
+        tr = read_if_exists(spark, translated_path)
+        if tr is None:
+            return 0
+        key = lambda df: df.withColumn("_key", feature_key("page_path", root)).filter(F.col("_key").isNotNull())
+        ok = key(tr.filter(F.col("status") == K.STATUS_OK).select("page_path", "to_lang", "translated"))
+        ext = key(spark.read.parquet(extracted_path).select("page_path", "region", "site", "title", "text"))
+        number = next_batch(spark, ledger_path, stage)
+        led = read_if_exists(spark, ledger_path)
+        done = spark.createDataFrame([], "_key string") if led is None else \
+            key(led.filter((F.col("stage") == stage) & (F.col("batch_id") < number))).select("_key")
+        ready = L.ready_set(ext.select("_key"), *[ok.filter(F.col("to_lang") == x).select("_key") for x in ("ja", "en")], done, "_key")
+        items = ext.join(ready, "_key", "left_semi")
+        for lang in ("ja", "en"):
+            items = items.join(ok.filter(F.col("to_lang") == lang).select("_key", F.col("translated").alias(f"{lang}_text")), "_key")
+        out = classified_records(items.drop("_key"), root, keywords, topic).select("page_path", "region", "status", "record").persist()
+        try:
+            (out.filter(F.col("record").isNotNull()).select(F.col("record").alias("value")).write.mode("overwrite")
+             .text(f"{out_path}/batch_id={number}"))
+            append_ledger(out, ledger_path, stage, batch_id=number)
+            return out.count()
+        finally:
+            out.unpersist()
+
+    return run_polls(spark, poll, checkpoint, once, interval)
+
+
+def sentiment_stream(spark, classified_path: str, root: str, out_path: str, ledger_path: str, scorer, checkpoint: str | None = None,
+                     once: bool = True, interval: str = "1000 seconds"):
+    """W1 for the sentiment scorer: classified JSON lines whose page the
+    ledger does not hold; ``scorer`` (DataFrame with ``title`` -> DataFrame
+    with ``sentiment``) scores the titles, -1 without a title."""
+    stage = "sentiment"
+
+    def poll() -> int:
+        number = next_batch(spark, ledger_path, stage)
+        led = read_if_exists(spark, ledger_path)
+        done = spark.createDataFrame([], "page_path string") if led is None else \
+            led.filter((F.col("stage") == stage) & (F.col("batch_id") < number)).select("page_path")
+        view = classified_view(read_jsonl(spark, classified_path), root).filter(~F.col("_corrupt"))
+        todo = L.unscored_records(view, done).select(F.col("link").alias("page_path"), "title")
+        out = scorer(todo)
+        out = out.select("page_path", F.when(F.length("title") > 0, F.col("sentiment")).otherwise(-1.0).alias("sentiment")) \
+            .withColumn("sentiment", F.coalesce("sentiment", F.lit(-1.0))).withColumn("status", F.lit(K.STATUS_OK)).persist()
+        try:
+            (out.select(F.to_json(F.struct(F.col("page_path").alias("file"), "sentiment")).alias("value")).write.mode("overwrite")
+             .text(f"{out_path}/batch_id={number}"))
+            append_ledger(out, ledger_path, stage, batch_id=number)
+            return out.count()
+        finally:
+            out.unpersist()
+
+    return run_polls(spark, poll, checkpoint, once, interval)
+
+
 def read_posts(lines: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """S8 + X3 for post pages named in manifest lines (``page_path``,
     ``ordinal``): read on the executors, the text of the page's first <p>

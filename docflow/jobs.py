@@ -14,6 +14,12 @@
     ... posts --manifests /share/run/new-html-files --to ja \\
         --out /share/tables/posts_ja --ledger /share/tables/ledger [--poll '10 seconds' --checkpoint ...]
 
+    ... classify --extracted /share/tables/extracted --translated /share/tables/translated --root /share/html \\
+        --out /share/classified --ledger /share/tables/ledger [--topic module:function]
+
+    ... sentiment --classified /share/classified --root /share/html --scorer module:function \\
+        --out /share/sentiment --ledger /share/tables/ledger
+
     ... health --ledger /share/tables/ledger --out /share/tables/health --run-id 1
 
 Each job reads and writes tables on shared storage; a job killed at any
@@ -105,6 +111,25 @@ def run_posts(spark, a):
                          translate_fn=_translator(a.translator), once=a.poll is None, interval=a.poll or "10 seconds"), a.poll)
 
 
+def _function(spec: str):
+    mod, fn = spec.split(":")
+    return getattr(importlib.import_module(mod), fn)
+
+
+def run_classify(spark, a):
+    from docflow.flows import classify_stream
+    _need_checkpoint(a)
+    _finish(classify_stream(spark, a.extracted, a.translated, a.root, a.out, a.ledger, a.checkpoint,
+                            topic=_function(a.topic) if a.topic else None, once=a.poll is None, interval=a.poll or "10 seconds"), a.poll)
+
+
+def run_sentiment(spark, a):
+    from docflow.flows import sentiment_stream
+    _need_checkpoint(a)
+    _finish(sentiment_stream(spark, a.classified, a.root, a.out, a.ledger, _function(a.scorer), a.checkpoint,
+                             once=a.poll is None, interval=a.poll or "1000 seconds"), a.poll)
+
+
 def run_health(spark, a):
     """Per stage the last item, counts, failures and a stale flag
     (what the original's process watcher checked), written as a table."""
@@ -156,6 +181,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--translator")
     p.add_argument("--poll", help="keep polling (e.g. '10 seconds') instead of one pass")
     p.add_argument("--checkpoint", help="stream checkpoint folder (with --poll)")
+    c = sub.add_parser("classify")
+    c.add_argument("--extracted", required=True)
+    c.add_argument("--translated", required=True)
+    c.add_argument("--root", required=True)
+    c.add_argument("--topic", help="module:function that adds a topic column")
+    s = sub.add_parser("sentiment")
+    s.add_argument("--classified", required=True)
+    s.add_argument("--root", required=True)
+    s.add_argument("--scorer", required=True, help="module:function that adds a sentiment column to titles")
+    for x in (c, s):
+        x.add_argument("--out", required=True)
+        x.add_argument("--ledger", required=True)
+        x.add_argument("--poll", help="keep polling instead of one pass")
+        x.add_argument("--checkpoint", help="clock checkpoint folder (with --poll)")
     h = sub.add_parser("health")
     h.add_argument("--ledger", required=True)
     h.add_argument("--out", required=True)
@@ -169,7 +208,7 @@ def main(argv=None) -> int:
     a = parser().parse_args(argv)
     spark = build_session(app=f"docflow-{a.job}", cluster=True)
     jobs = {"extract": run_extract, "translate": run_translate, "index": run_index, "posts": run_posts,
-            "health": run_health}
+            "classify": run_classify, "sentiment": run_sentiment, "health": run_health}
     jobs[a.job](spark, a)
     return 0
 

@@ -1,36 +1,48 @@
 """Newest-version table and append-only table (K6, K7, K8).
 
 Plain Parquet has no MERGE, so versions are appended to a history and the
-"index" is derived from it.  Picking the winner per id is an aggregate
-(``max_by`` / ``min_by``), not a window: each task pre-aggregates its own
-rows, so an id holding a third of all versions costs one row per task in the
-shuffle.
+"index" is derived from it.  The winner of each id is found on narrow columns
+by a hash aggregation of one fixed-width number (time and arrival), which each
+task does for its own rows first; then the winning rows are fetched by a
+semi-join on id and number.  Rows with their texts are never sorted, and as the
+number is part of the join key, an id that holds a third of all versions is
+spread over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_HALF = 1 << 62
 
-def _pick(history: DataFrame, key: str, order, cols, fn) -> DataFrame:
+
+def _pick(history: DataFrame, key: str, order: Column, cols) -> DataFrame:
     cols = [c for c in (cols or history.columns) if c != key]
-    row = F.struct(*[F.col(c) for c in cols])
-    return (history.groupBy(key).agg(fn(row, order).alias("_w"))
-            .select(key, *[F.col("_w")[c].alias(c) for c in cols]))
+    marked = history.select(key, *cols, order.alias("_order"))
+    best = marked.groupBy(F.col(key).alias("_key")).agg(F.max("_order").alias("_best"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_best"))
+    return marked.join(best, same, "left_semi").drop("_order")
+
+
+def _late(arrival: str) -> Column:
+    return F.lit(_HALF) - F.coalesce(F.col(arrival).cast("long"), F.lit(0))
 
 
 def latest_version(history: DataFrame, key: str, ts: str, arrival: str, cols=None) -> DataFrame:
-    """K6: per ``key`` the version with the greatest ``ts``; among equal
-    ``ts`` the earliest ``arrival`` (a later equal one is not newer, so it
-    does not replace).  ``arrival`` is a numeric arrival order."""
-    return _pick(history, key, F.struct(F.col(ts), -F.col(arrival)), cols, F.max_by)
+    """K6: per ``key`` the version with the greatest ``ts`` (null: the
+    least); among equal ``ts`` the earliest ``arrival`` (a later equal one is
+    not newer, so it does not replace).  ``arrival`` is a numeric arrival
+    order, unique for a key and time."""
+    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-_HALF))
+    wide = micros.cast("decimal(19,0)") * F.lit(str(2 * _HALF)).cast("decimal(19,0)") + _late(arrival).cast("decimal(19,0)")
+    return _pick(history, key, wide.cast("decimal(38,0)"), cols)
 
 
 def first_version(history: DataFrame, key: str, arrival: str, cols=None) -> DataFrame:
     """K7: append-only target with create-only writes: the first arrival
     per ``key`` stays, later ones are refused."""
-    return _pick(history, key, F.col(arrival), cols, F.min_by)
+    return _pick(history, key, _late(arrival), cols)
 
 
 def index_records(items: DataFrame, urls: DataFrame, texts: DataFrame | None, key: str) -> tuple[DataFrame, DataFrame]:

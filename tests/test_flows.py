@@ -295,3 +295,43 @@ def test_short_paths_are_skipped_by_the_index(spark):
     urls = tr.select("page_path", F.lit("https://a/b").alias("url"))
     newest, first, skipped = flows.index_flow(tr, urls, "/root")
     assert (newest.count(), first.count(), skipped.count()) == (0, 0, 5)
+
+
+def count_letters(df):
+    """A scorer for the sentiment job's test."""
+    return df.withColumn("sentiment", F.length("title").cast("double"))
+
+
+def test_classify_and_sentiment_jobs(spark, scratch):
+    """From page tree to sentiment lines; nothing is repeated, and a run that
+    died between its output and its ledger lines is done again once."""
+    import json
+
+    from docflow import jobs
+    root, man, t = f"{scratch}/html", f"{scratch}/manifests", f"{scratch}/tables"
+    paths = _tree(root, man)
+    flows.extract_stream(spark, man, root, f"{t}/ext", f"{t}/led", today=dt.date(2024, 1, 9))
+    for lang in ("ja", "en"):
+        flows.translate_stream(spark, f"{t}/ext", f"{t}/tr", f"{t}/led", None, lang)
+    classify = jobs.parser().parse_args(["classify", "--extracted", f"{t}/ext", "--translated", f"{t}/tr", "--root", root, "--out", f"{t}/cls", "--ledger", f"{t}/led"])
+    score = jobs.parser().parse_args(["sentiment", "--classified", f"{t}/cls", "--root", root, "--out", f"{t}/sent", "--ledger", f"{t}/led",
+                                      "--scorer", "tests.test_flows:count_letters"])
+    lines = lambda p: sorted(r[0] for r in spark.read.text(p).select("value").collect())
+    orig, flows.append_ledger = flows.append_ledger, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("executor lost"))
+    try:
+        jobs.run_classify(spark, classify)
+    except RuntimeError:
+        pass
+    finally:
+        flows.append_ledger = orig
+    before = lines(f"{t}/cls")
+    for _ in range(2):
+        jobs.run_classify(spark, classify)
+        jobs.run_sentiment(spark, score)
+    assert lines(f"{t}/cls") == before
+    got = [json.loads(x) for x in before]
+    assert sorted(f"{root}/{x['orig']['file']}" for x in got) == sorted(paths[:2])
+    sent = {json.loads(x)["file"]: json.loads(x)["sentiment"] for x in lines(f"{t}/sent")}
+    assert set(sent) == set(paths[:2]) and len(lines(f"{t}/sent")) == 2 and sent[paths[0]] == len("新型コロナ")
+    led = spark.read.parquet(f"{t}/led")
+    assert led.filter("stage = 'classify'").count() == 2 and led.filter("stage = 'sentiment'").count() == 2

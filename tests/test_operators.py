@@ -73,7 +73,9 @@ def test_latest_plan_is_partial_aggregate(spark):
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
     lv = latest_version(ev.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id")
     plan = lv._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_max_by" in plan
+    assert "Window" not in plan and "SortAggregate" not in plan and "partial_max(_order" in plan
+    df = spark.createDataFrame([(1, 1, None, "a"), (None, 2, None, "b"), (None, 1, None, "c")], "id long, arr long, ts timestamp, v string")
+    assert sorted(r["v"] for r in latest_version(df, "id", "ts", "arr").collect()) == ["a", "c"]      # null times and ids keep their row
 
 
 def test_status_codes(spark):
