@@ -26,4 +26,4 @@ def test_entry_and_python_steps_from_another_directory(tmp_path):
                        timeout=600)
     out = r.stdout
     assert r.returncode == 0, r.stderr[-2000:]
-    assert "ENTRY " in out and "TRANSLATE 400" in out and "SENTIMENT 200" in out, out
+    assert "ENTRY " in out and "TRANSLATE 400" in out and "SENTIMENT 50" in out, out
