@@ -12,6 +12,8 @@ keeps to the subset both Java regex and RE2 accept.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,15 +35,30 @@ STRONG_OPEN = r"(?i)<strong\b"
 HTML_LANG = r"(?i)<html\b[^>]*\blang=[\"']?([a-zA-Z_-]+)"
 SEP = "\u0001"
 
-# Entities decoded in text; &amp; last so "&amp;lt;" stays "&lt;".
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+# Character references end with a semicolon; names come from the HTML5 table of
+# the standard library, and a no-break space is written as a plain one.
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});"
+_NAMES = "\u0002".join(f"{k[:-1]}\u0003{' ' if k == 'nbsp;' else v}" for k, v in html5.items() if k.endswith(";"))
+
+
+def _reference(name: Column) -> Column:
+    """The text a reference stands for, null if there is no such one."""
+    hexa = F.conv(F.substring(name, 3, 6), 16, 10)
+    point = F.when(name.rlike("^#[xX]"), hexa).otherwise(F.substring(name, 2, 7)).try_cast("int")
+    valid = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point < 0x110000))
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    names = F.str_to_map(F.lit(_NAMES), F.lit("\u0002"), F.lit("\u0003"))
+    return F.when(name.startswith("#"), char).otherwise(F.try_element_at(names, name))
 
 
 def decode_entities(col: Column) -> Column:
-    for ent, ch in ENTITIES:
-        col = F.replace(col, F.lit(ent), F.lit(ch))
-    return col
+    """Character references decoded in one pass (``&amp;lt;`` gives ``&lt;``):
+    the text is cut at each ``&`` and every piece after one looked up."""
+    def piece(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, REFERENCE, 1)
+        found = F.when(name != "", F.concat(_reference(name), F.substring(p, F.length(name) + 2, F.length(p))))
+        return F.when(i == 0, p).otherwise(F.coalesce(found, F.concat(F.lit("&"), p)))
+    return F.array_join(F.transform(F.split(col, "&", -1), piece), "")
 
 
 def tag_text(col: Column) -> Column:

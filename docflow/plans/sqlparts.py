@@ -23,7 +23,8 @@ STRIP = r"\A[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x
 WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 GUARD = r"https?://" + WS.replace("[", "[^", 1) + r"+|[#＃][\p{L}\p{N}_]+" + WS + "*"
 DATE = r"[0-9]月|20\p{Nd}\p{Nd}|199\p{Nd}|平成|昭和|H[2-3][0-9]"
-ENTITIES = [('&lt;', '<'), ('&gt;', '>'), ('&quot;', '"'), ('&#39;', "'"), ('&nbsp;', ' '), ('&amp;', '&')]
+# Named references that occur in the tables; numeric ones are computed.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&", "copy": "©", "middot": "·", "eacute": "é", "mdash": "—"}
 
 
 def q(s: str) -> str:
@@ -32,9 +33,10 @@ def q(s: str) -> str:
 
 
 def decode(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
+    names = " ".join(f"WHEN starts_with(p, {q(k + ';')}) THEN {q(v)} || substr(p, {len(k) + 2})" for k, v in ENTITIES.items())
+    return f"""array_to_string(list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p {names}
+        WHEN regexp_matches(p, '^#[0-9]{{1,7}};') THEN chr(CAST(regexp_extract(p, '^#([0-9]+);', 1) AS INTEGER)) || regexp_extract(p, '^#[0-9]+;((?s).*)', 1)
+        ELSE '&' || p END), '')"""
 
 
 def strip(x: str) -> str:

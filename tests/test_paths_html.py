@@ -152,6 +152,17 @@ def test_prepend_h1(spark):
     assert [r["text"] for r in prepend_h1(df).collect()] == ["H\nbody", "body"]
 
 
+def test_character_references(spark):
+    import html
+    texts = ["a &amp;lt; b &lt; c", "&eacute;t&eacute; &mdash; &#8217; &#x1F600; &#X41;", "&copy &nosuch; &; & &&amp;", "&middot;", "&#0; &#xD800; &#99999999;", "no reference", ""]
+    rows = _rows(spark, texts, H.decode_entities(F.col("s")).alias("t"))
+    got = [r["t"] for r in sorted(rows, key=lambda r: r["i"])] if "i" in rows[0].asDict() else [r["t"] for r in rows]
+    want = [html.unescape(t) for t in texts]
+    want[2] = "&copy &nosuch; &; & &&"              # a reference needs its semicolon
+    want[4] = "\ufffd \ufffd &#99999999;"            # more digits than any code point: left as text
+    assert got == want
+
+
 def test_entities_decoded_last_amp(spark):
     r = _rows(spark, ["<p>a &amp;lt; b &lt; c&nbsp;d</p>"], H.tag_text(F.col("s")).alias("t"))[0]["t"]
     assert r == "a &lt; b < c d"
