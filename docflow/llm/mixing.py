@@ -42,9 +42,10 @@ def ranked(totals: DataFrame, order: list[Column]) -> DataFrame:
     """``totals`` with ``rank`` (from 0) in ``order``: rows are sorted in
     ranges, and each range starts after the rows of the ranges before it."""
     placed = materialize(totals.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mix-ranges")
+    # one row per range: their number is that of the shuffle's partitions
     counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    starts = counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left") \
-        .groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    before = F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select("part", F.coalesce(before, F.lit(0)).alias("start"))
     within = F.row_number().over(W.partitionBy("part").orderBy(*order))
     return placed.join(starts, "part").withColumn("rank", F.col("start") + within - 1).drop("part", "start")
 
