@@ -37,7 +37,7 @@ from docflow.llm.common import materialize, opened, share, text_of
 from docflow.llm.elias_fano import EliasFano, pack, unpack
 
 HEAD = 65_536
-MAX_ENTRIES = 2_000_000
+MAX_ENTRIES = 1_000_000
 ALPHA = 0.1
 CHUNK = 8_000_000      # positions whose n-grams are counted in a task before they are handed on
 
@@ -253,10 +253,9 @@ def train(texts: DataFrame, vocabulary: DataFrame, head_size: int = HEAD, max_en
     logp2, back1 = smooth(key2, n2, key2 // width, context_sums(bigrams, width, width), 10 ** p1[key2 % width])
     starts = np.searchsorted(key2, np.arange(width + 1) * width)
     reach = int(np.diff(starts).max(initial=1)) or 1
-    half = Trie.build(width, p1, back1, key2, logp2, np.zeros(len(key2)), empty, empty, reach)
     key3, n3, back2, logp3 = empty, empty, np.zeros(len(key2)), empty
     if len(key2):
-        trigrams = materialize(count_keys(texts, head, half), "lm-trigrams")
+        trigrams = materialize(count_keys(texts, head, Trie.build(width, p1, back1, key2, logp2, back2, empty, empty, reach)), "lm-trigrams")
         key3, n3, _ = kept(trigrams, max_entries)
         parent = key3 // reach
         short = starts[key2[parent] % width] + key3 % reach      # the same last word after one word of context
