@@ -93,7 +93,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     wins = F.col(id_col).eqNullSafe(F.col("__docflow_keep"))
     helpers = [c for c in joined.columns if c.startswith("__docflow_")]
     single = joined.filter(F.col("__docflow_top").isNull() | ((F.col("__docflow_top") == 1) & wins)).drop(*helpers)
-    repeats = top.filter("__docflow_top > 1")
-    many = (marked.join(repeats, F.col("__docflow_key") == F.col("__docflow_digest"))
-            .filter(wins).dropDuplicates(["__docflow_key"]).drop(*helpers))
+    if top.filter("__docflow_top > 1").isEmpty():
+        return single
+    # the same join, so both branches read one exchange of the texts
+    many = joined.filter((F.col("__docflow_top") > 1) & wins).dropDuplicates(["__docflow_key"]).drop(*helpers)
     return single.unionByName(many)
