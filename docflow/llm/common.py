@@ -68,12 +68,19 @@ def keep_rows(docs: DataFrame, keys: dict[str, Column], drop: DataFrame) -> Data
 def sample_ids(rows: DataFrame, id_col: str, limit: int, by: str | None = None) -> DataFrame:
     """At most ``limit`` rows (for each value of ``by``, if given), those with
     the lowest hash of the id: a documented bound for fitting a classifier.
-    The limit is taken in every task before the rows meet."""
+    Rows are counted first, and each task keeps only those whose hash is in
+    the share that twice the limit needs, so what is ranked does not grow with
+    the table."""
     from pyspark.sql import Window as W
     order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
+    share_of = F.shiftrightunsigned(F.xxhash64(F.col(id_col)).bitwiseXOR(F.lit(-(1 << 63))), 11) / float(1 << 53)
+    enough = share_of * F.col("__n") <= 2 * limit + 100
     if by is None:
-        return rows.orderBy(*order).limit(limit)
-    return rows.withColumn("__rank", F.row_number().over(W.partitionBy(by).orderBy(*order))).filter(F.col("__rank") <= limit).drop("__rank")
+        return rows.withColumn("__n", F.lit(rows.count())).filter(enough).drop("__n").orderBy(*order).limit(limit)
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
+    low = rows.join(counts, by).filter(enough).drop("__n")
+    rank = F.row_number().over(W.partitionBy(by).orderBy(*order))
+    return low.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
 
 
 def share(spark: SparkSession, model):

@@ -235,3 +235,18 @@ def test_urls_without_a_model(spark):
     assert [(x.verdict, x.lm) for x in url_filter.url_filter(df, RULES).orderBy("page_id").collect()] == [("allow", None), ("allow", None)]
     assert url_filter.url_filter(df.limit(0), RULES).collect() == []
     assert url_filter.calibrate(df.limit(0).select(F.lit(0.0).alias("lm"), F.lit("allow").alias("verdict"))) == 0.0
+
+
+# --- bounded samples -------------------------------------------------------
+
+def test_samples_are_the_lowest_hashes(spark):
+    from docflow.llm.common import sample_ids
+    df = spark.range(0, 5000).select(F.col("id"), (F.col("id") % 3 == 0).cast("string").alias("c"))
+    low = [r.id for r in df.orderBy(F.xxhash64("id")).limit(300).collect()]
+    assert sorted(r.id for r in sample_ids(df, "id", 300).collect()) == sorted(low)
+    assert sample_ids(df, "id", 10_000).count() == 5000
+    by = sample_ids(df, "id", 200, "c")
+    assert {r.c: r["count"] for r in by.groupBy("c").count().collect()} == {"true": 200, "false": 200}
+    want = {r.id for r in df.filter("c = 'true'").orderBy(F.xxhash64("id")).limit(200).collect()}
+    assert {r.id for r in by.filter("c = 'true'").collect()} == want
+    assert sample_ids(df.limit(0), "id", 5).count() == 0 and sample_ids(df.limit(0), "id", 5, "c").count() == 0
