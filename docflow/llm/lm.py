@@ -1,4 +1,8 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
+"""Language-model scoring with Elias-Fano coded n-grams.
+
+``score`` uses the whole model of ``lm_shards``: all words, bigrams and
+trigrams.  ``train`` builds a bounded model in a single buffer, for a caller
+that asks for one by its size:
 
 Training counts every token of every training text.  The ``head`` most
 frequent words (65,536) have ids of their own in the trie; all others share
@@ -33,6 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.llm import lm_shards
 from docflow.llm.common import materialize, opened, share, text_of
 from docflow.llm.elias_fano import EliasFano, pack, unpack
 
@@ -303,14 +308,20 @@ def score_heads(docs: DataFrame, model: Model) -> DataFrame:
         run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, whole double, others long, words array<string>, times array<long>")
 
 
-def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", head_size: int = HEAD,
-          max_entries: int = MAX_ENTRIES, alpha: float = ALPHA) -> DataFrame:
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", head_size: int | None = None,
+          max_entries: int | None = None, alpha: float = ALPHA) -> DataFrame:
     """One row per document: doc_id, held_out (not in training), n_tokens,
-    n_known, train_tokens, base_score, score (log10 probabilities)."""
+    n_known, train_tokens, base_score, score (log10 probabilities).  The
+    model is whole (``lm_shards``) unless ``head_size`` or ``max_entries`` asks
+    for the bounded trie."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), (~training).alias("held_out"), text_of(text_col).alias("t"))
     texts = src.filter(~F.col("held_out")).select("t")
     vocabulary = materialize(word_counts(texts), "lm-words")
-    m = train(texts, vocabulary, head_size, max_entries, alpha)
+    if head_size is None and max_entries is None:
+        whole = lm_shards.train(texts, vocabulary)
+        return lm_shards.score_texts(src, whole, alpha).select(
+            "doc_id", "held_out", "n_tokens", "n_known", F.lit(whole.total).cast("long").alias("train_tokens"), "base_score", "score")
+    m = train(texts, vocabulary, head_size or HEAD, max_entries or MAX_ENTRIES, alpha)
     rows = materialize(score_heads(src, m), "lm-docs")
     each = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     n = F.coalesce("n", F.lit(0))
