@@ -78,3 +78,12 @@ def _quiet(spark):
     spark.sparkContext.setLogLevel("OFF")
     yield
     spark.sparkContext.setLogLevel("ERROR")
+
+
+def test_no_row_gathers_all_example_texts(spark):
+    """Of the examples' texts, quadratic in the turns, a row holds one: the
+    only collected column is that of the replies."""
+    df = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo")], "conv_id long, turn long, role string, text string")
+    ex = spark.createDataFrame(chat.examples(df).collect(), chat.examples(df).schema)
+    plan = chat.read_back(ex)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") == 1 and "max_by(text" in plan
