@@ -84,9 +84,15 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def packed(part: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """(shard, data): a row for each value of ``part``, which is in order."""
+    """(shard, data): a row for each value of ``part``, which is in order.
+    The entries of a row are sorted by the first column, kept as steps."""
     shards, at = np.unique(part, return_index=True)
-    data = [pack([np.array([e - s], "<i8"), *[_planes(_narrow(c[s:e])) for c in columns]]) for s, e in zip(at, [*at[1:], len(part)])]
+    data = []
+    for s, e in zip(at, [*at[1:], len(part)]):
+        o = s + np.argsort(columns[0][s:e])
+        first = columns[0][o].astype(np.int64)
+        steps = np.diff(first, prepend=first[0])
+        data.append(pack([np.array([e - s, first[0]], "<i8"), *[_planes(_narrow(c)) for c in (steps, *[c[o] for c in columns[1:]])]]))
     return pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(data, pa.binary())], names=["shard", "data"])
 
 
@@ -95,9 +101,10 @@ def unpacked(batches, width: int) -> list[np.ndarray]:
     parts = [[] for _ in range(width)]
     for b in batches:
         for raw in b.column("data"):
-            (n,), *columns = unpack(raw.as_py())
-            for into, c in zip(parts, columns):
-                into.append(_numbers(c, int(n)))
+            (n, first), *columns = unpack(raw.as_py())
+            columns = [_numbers(c, int(n)) for c in columns]
+            for into, c in zip(parts, [first + np.cumsum(columns[0]), *columns[1:]]):
+                into.append(c)
     return [np.concatenate(p) if p else np.empty(0, np.int64) for p in parts]
 
 
