@@ -61,16 +61,29 @@ def q_post_paths(spark, sf):
                     P.parse_iso(iso).alias("ts_second"), "rel", (P.relative_to_absolute("rel", "/tw") == F.col("path")).alias("round_trip"))
 
 
-def q_manifest_window(spark, sf):
-    """Manifests of the last weeks of events, one per day with a
-    line for each event, read back for a window of 10 days and one region."""
-    e = read(spark, sf, "events").select("event_id", "ts", "event_type")
-    last = e.agg(F.max("ts")).first()[0].date()
+MANIFEST_LINES = 50_000  # lines of a manifest at most, on average
+
+
+def event_manifests(e, n_events):
+    """Manifests with a line for each event: (file_name, value).  The lines of
+    a day are dealt to files by a hash, and the files' number follows that of
+    all events, so a manifest stays small even if all are of one day."""
+    n_files = max(1, -(-n_events // MANIFEST_LINES))
     region = F.when(F.col("event_id") % 3 == 0, "us").when(F.col("event_id") % 3 == 1, "jp").otherwise("xx")
     line = F.concat(F.lit(f" {ROOT}/"), region, F.lit("/orig/"), F.col("event_type"), F.lit("/n/"), F.col("event_id").cast("string"), F.lit(".html "))
     day = F.date_format("ts", "yyyy-MM-dd")
-    files = e.groupBy(F.concat(F.lit("new-"), day, F.lit("-00.txt")).alias("file_name")).agg(
+    number = F.pmod(F.xxhash64("event_id", "ts"), F.lit(n_files)).cast("string")
+    return e.groupBy(F.concat(F.lit("new-"), day, F.lit("-00."), number, F.lit(".txt")).alias("file_name")).agg(
         F.array_join(F.sort_array(F.collect_list(line)), "\n\n").alias("value"))
+
+
+def q_manifest_window(spark, sf):
+    """Manifests of the last weeks of events, with a line for each
+    event, read back for a window of 10 days and one region."""
+    e = read(spark, sf, "events").select("event_id", "ts", "event_type")
+    newest, n_events = e.agg(F.max("ts"), F.count(F.lit(1))).first()
+    last = newest.date()
+    files = event_manifests(e, n_events)
     got = M.recent_lines(M.parse_manifests(files), 10, ROOT, "us", last)
     return got.select("page_path", F.col("file_date").cast("string").alias("file_date"), "region", "site", F.col("ordinal.age_days").cast("long").alias("age_days"))
 
