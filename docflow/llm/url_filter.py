@@ -7,9 +7,10 @@ trained on the URLs that rules accept and one on those they reject: the
 log-likelihood difference per character against a threshold that is
 calibrated on the ruled URLs (best balanced accuracy over a histogram).
 
-n-gram counts cover every ruled URL (pre-aggregated in each task); the models
-keep at most ``max_grams`` most frequent n-grams a class, which bounds what is
-sent to the tasks, and back off to shorter contexts elsewhere.
+n-gram counts cover every ruled URL (pre-aggregated in each task) and are all
+used: every distinct n-gram of the URLs is scored once, by joins with the
+table of counts.  Tasks hold the scores of the ``head`` most frequent n-grams;
+the others of a URL get theirs by a join.
 
 Defined cases: null URLs and URLs without ``://`` have empty host and path and
 fit no rule; if no URL is accepted or none rejected there is no model and
@@ -26,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import opened, share
+from docflow.llm.common import materialize, opened, share
 
 ORDER = 5            # characters of context at most
-MAX_GRAMS = 100_000  # n-grams kept for each class
+HEAD = 100_000       # scores of n-grams sent to the tasks; the others are joined
 BINS = 400           # histogram bins of the calibration
 FLUSH = 200_000      # counts held in a task before they are handed on
 START = "\x02"
@@ -82,8 +83,9 @@ def count_grams(urls: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class Markov:
-    """Witten-Bell interpolated character model over a bounded set of
-    n-grams.  Contexts that are not held fall back to shorter ones."""
+    """Witten-Bell interpolated character model from a dictionary of counts.
+    Contexts that are not held fall back to shorter ones.  ``gram_scores``
+    computes the same from tables."""
 
     def __init__(self, counts: dict[str, int], order: int = ORDER):
         self.order, self.counts, self.context = order, counts, {}
@@ -104,44 +106,71 @@ class Markov:
         return math.log(p)
 
 
-class Ratio:
-    """Mean log-likelihood difference per character, with a memo of n-grams."""
-
-    def __init__(self, good: Markov, bad: Markov, memo: int = 500_000):
-        self.good, self.bad, self.order, self.memo, self.size = good, bad, good.order, {}, memo
-
-    def score(self, url: str) -> float:
-        s, total = START + url, 0.0
-        for i in range(1, len(s)):
-            g = s[max(0, i - self.order):i + 1]
-            d = self.memo.get(g)
-            if d is None:
-                if len(self.memo) >= self.size:
-                    self.memo.clear()
-                d = self.memo[g] = self.good.logp(g) - self.bad.logp(g)
-            total += d
-        return total / max(1, len(url))
-
-
-def train(ruled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Ratio | None:
-    """Models of the accepted and the rejected URLs, or None if one is missing."""
-    counts = count_grams(ruled.select("verdict", "url"), order)
-    top = {v: {r.gram: r.n for r in counts.filter(F.col("verdict") == v).orderBy(F.desc("n"), "gram").limit(max_grams).collect()} for v in ("allow", "block")}
-    if not (top["allow"] and top["block"]):
-        return None
-    return Ratio(Markov(top["allow"], order), Markov(top["block"], order))
-
-
-def score(pages: DataFrame, model: Ratio, schema: str) -> DataFrame:
-    """Adds ``lm`` (the ratio of the URL) as the last column."""
-    held = share(pages.sparkSession, (model.good, model.bad))
+def gram_counts(base: DataFrame, order: int = ORDER) -> DataFrame:
+    """(verdict, url) -> (gram, a, b, n): counts of each n-gram in the
+    accepted, the rejected and all URLs."""
+    urls = base.select(F.coalesce("verdict", F.lit("")).alias("verdict"), F.coalesce("url", F.lit("")).alias("url"))
+    of = lambda v: F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0))
+    return materialize(count_grams(urls, order).groupBy("gram").agg(of("allow").alias("a"), of("block").alias("b"), F.sum("n").alias("n")), "url-grams")
+
+
+def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, n, d): log-likelihood difference of the last character after
+    the others, of every n-gram, from the shorter ones to the longer."""
+    short = F.expr("left(gram, length(gram) - 1)")
+    sums = counts.groupBy(short.alias("context")).agg(*[f(x).alias(f"{x}_{name}") for x in ("a", "b") for name, f in
+                                                        (("sum", F.sum), ("kinds", lambda x: F.count_if(F.col(x) > 0)))])
+    full = materialize(counts.withColumn("context", short).join(sums, "context").drop("context"), "url-contexts")
+    out, below = [], None
+    for k in range(order + 1):
+        level = full.filter(F.length("gram") == k + 1)
+        if below is None:
+            level = level.withColumns({"low_a": F.lit(1 / 256), "low_b": F.lit(1 / 256)})
+        else:
+            level = level.withColumn("tail", F.expr("substring(gram, 2)")).join(
+                below.select(F.col("gram").alias("tail"), F.col("p_a").alias("low_a"), F.col("p_b").alias("low_b")), "tail")
+        p = lambda x: F.when(F.col(f"{x}_kinds") > 0, (F.col(x) + F.col(f"{x}_kinds") * F.col(f"low_{x}")) /
+                             (F.col(f"{x}_sum") + F.col(f"{x}_kinds"))).otherwise(F.col(f"low_{x}"))
+        below = materialize(level.select("gram", "n", p("a").alias("p_a"), p("b").alias("p_b")), f"url-level-{k}")
+        out.append(below.filter(F.col("gram").startswith(START)) if k < order else below)      # a shorter one is whole at a URL's start
+    scores = out[0]
+    for x in out[1:]:
+        scores = scores.unionByName(x)
+    return scores.select("gram", "n", (F.log("p_a") - F.log("p_b")).alias("d"))
+
+
+def score(pages: DataFrame, scores: DataFrame, schema: str, order: int = ORDER, head: int = HEAD) -> DataFrame:
+    """Adds ``lm``, the mean log-likelihood difference per character of the
+    URL, as the last column."""
+    top = scores.orderBy(F.desc("n"), "gram").limit(head).select("gram", "d").toArrow()
+    held = share(pages.sparkSession, dict(zip(top.column("gram").to_pylist(), top.column("d").to_pylist())))
 
     def run(batches):
-        m = Ratio(*opened(held))
+        from pyspark import TaskContext
+        known = opened(held)
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            lm = pa.array([m.score(u or "") for u in b.column("url").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, lm], names=[*b.schema.names, "lm"])
-    return pages.mapInArrow(run, f"{schema}, lm double")
+            sums, chars, rest = [], [], []
+            for u in b.column("url").to_pylist():
+                s, total, missing = START + (u or ""), 0.0, []
+                for i in range(1, len(s)):
+                    g = s[max(0, i - order):i + 1]
+                    d = known.get(g)
+                    if d is None:
+                        missing.append(g)
+                    else:
+                        total += d
+                sums.append(total)
+                chars.append(max(1, len(s) - 1))
+                rest.append(missing)
+            own = [pa.array(range(row, row + len(sums)), pa.int64()), pa.array(sums, pa.float64()), pa.array(chars, pa.int64()), pa.array(rest, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *own], names=[*b.schema.names, "row", "part", "chars", "rest"])
+            row += len(sums)
+    rows = materialize(pages.mapInArrow(run, f"{schema}, row long, part double, chars long, rest array<string>"), "url-rows")
+    found = (rows.select("row", F.explode("rest").alias("gram")).join(scores.select("gram", "d"), "gram")
+             .groupBy("row").agg(F.sum("d").alias("more")))
+    lm = (F.col("part") + F.coalesce("more", F.lit(0.0))) / F.col("chars")
+    return materialize(rows.drop("rest").join(found, "row", "left").withColumn("lm", lm).drop("row", "part", "chars", "more"), "url-scored")
 
 
 def calibrate(scored: DataFrame, bins: int = BINS) -> float:
@@ -164,17 +193,16 @@ def calibrate(scored: DataFrame, bins: int = BINS) -> float:
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
-               order: int = ORDER, max_grams: int = MAX_GRAMS, default: str = "allow") -> DataFrame:
+               order: int = ORDER, head: int = HEAD, default: str = "allow") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, lm (null without a model)."""
     url = F.col(url_col).cast("string")
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"))
     hit = rule_of(F.col("host"), F.col("path"), rules)
     base = base.withColumn("hit", hit).select("page_id", "url", "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("verdict"))
-    ruled = base.filter("verdict is not null")
-    model = train(ruled, order, max_grams)
-    if model is None:
+    counts = gram_counts(base, order)
+    if not all(counts.agg(F.max("a"), F.max("b")).first()):
         return base.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"), F.lit(None).cast("double").alias("lm"))
-    scored = score(base, model, "page_id long, url string, host string, path string, rule string, verdict string")
-    cut = calibrate(score(ruled, model, "page_id long, url string, host string, path string, rule string, verdict string"))
+    scored = score(base, gram_scores(counts, order), "page_id long, url string, host string, path string, rule string, verdict string", order, head)
+    cut = calibrate(scored.filter("verdict is not null"))
     judged = F.when(F.col("lm") >= cut, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", judged).alias("verdict"), "lm")
