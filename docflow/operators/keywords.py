@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.text import keyword_flag
+from docflow.session import ensure_checkpoint_dir
 
 DICTIONARY_LANGS = ["ja", "en", "zh", "ko", "fr", "de", "sp"]
 MAX_TERMS = 100_000
@@ -49,6 +50,33 @@ def _bounded_terms(long: DataFrame) -> list[tuple[int, str, str]]:
     return [(r["term_id"], r["lang"], r["term"]) for r in long.orderBy("term_id", "lang").collect()]
 
 
+def _term_blocks(long: DataFrame):
+    """Rows of the dictionary in order, ``MAX_TERMS`` at a time (one block, if
+    it is empty); the driver holds one block."""
+    block, any_rows = [], False
+    for r in long.orderBy("term_id", "lang").toLocalIterator():
+        block.append((r["term_id"], r["lang"], r["term"]))
+        any_rows = True
+        if len(block) == MAX_TERMS:
+            yield block
+            block = []
+    if block or not any_rows:
+        yield block
+
+
+def _found(text: str, rows) -> Column:
+    """Rows of a block whose term is in the text, in order."""
+    owners: dict[str, list] = {}
+    for i, l, t in rows:
+        if t:
+            owners.setdefault(t, []).append(F.struct(F.lit(i).alias("term_id"), F.lit(l).alias("lang"), F.lit(t).alias("term")))
+    if not owners:
+        return F.array().cast("array<struct<term_id:int,lang:string,term:string>>")
+    terms = F.array(*[F.struct(F.lit(t).alias("term"), F.array(*o).alias("owners")) for t, o in owners.items()])
+    hit = F.filter(terms, lambda k: F.col(text).contains(k["term"]))
+    return F.sort_array(F.flatten(F.transform(hit, lambda k: k["owners"])))
+
+
 def terms_column(long: DataFrame, rows=None) -> Column:
     """The dictionary as a literal array<struct<term_id,lang,term>>."""
     rows = rows if rows is not None else _bounded_terms(long)
@@ -58,13 +86,20 @@ def terms_column(long: DataFrame, rows=None) -> Column:
 
 def hits_per_lang(df: DataFrame, text: str, long: DataFrame) -> DataFrame:
     """X11: per text, the dictionary terms found (term_id, lang) and a hit
-    count per dictionary language."""
-    rows = _bounded_terms(long)                   # one read of the (small) dictionary
-    terms = terms_column(long, rows)
-    found = F.filter(terms, lambda k: F.col(text).contains(k["term"]))
-    langs = sorted({l for _, l, _ in rows})
-    out = df.withColumn("kw_found", found)
-    for l in langs:
+    count per dictionary language.  A dictionary of any size is searched in
+    blocks of at most ``MAX_TERMS`` rows, each a literal with every distinct
+    term once; the texts are written between two blocks, so no plan holds more
+    than one of them."""
+    out, langs = None, set()
+    for rows in _term_blocks(long):
+        langs.update(l for _, l, _ in rows)
+        found = _found(text, rows)
+        if out is None:
+            out = df.withColumn("kw_found", found)
+        else:
+            ensure_checkpoint_dir(df.sparkSession)
+            out = out.checkpoint().withColumn("kw_found", F.concat("kw_found", found))
+    for l in sorted(langs):
         out = out.withColumn(f"hits_{l}", F.size(F.filter(F.col("kw_found"), lambda k: k["lang"] == l)))
     return out
 
