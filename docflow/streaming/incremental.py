@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType, TimestampNTZType
 
 from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
+from docflow.operators.ranking import ranked
 from docflow.session import configure, scratch_path
 
 
@@ -237,7 +238,6 @@ def poll_numbers(items: DataFrame, site: str, order: list, n: int) -> DataFrame:
     ``drain`` of polls with the quota (site, order, n) would take each, for all
     rows in one pass: ranks come from sorted ranges, so a hot site is not
     ranked in one task."""
-    from docflow.llm.mixing import ranked
     rows = ranked(items, [F.col(site).asc_nulls_first(), *order])
     first = rows.groupBy(F.col(site).alias("__site")).agg(F.min("rank").alias("__first"))
     return (rows.join(first, F.col(site).eqNullSafe(F.col("__site")))
