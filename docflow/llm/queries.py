@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import chat, decontam, exact_dedup, langid, lm, mixing, quality, simhash, toxicity, url_filter
-from docflow.llm.common import crc_mod, read
+from docflow.llm import chat, decontam, exact_dedup, langid, lm, merkle, mixing, quality, sharding, simhash, toxicity, url_filter, vector_codes
+from docflow.llm.common import crc_mod, read, text_of
 
 CUT = 0.3
+SHARDS = 8
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -68,8 +69,58 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shuffled_shards(read(spark, sf_dir, "documents"), SHARDS)
+    text = text_of("text")
+    return out.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                      F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return vector_codes.label_errors(coded).select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error",
+                                                   F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = F.when(crc_mod("doc_id", 7) == 0, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    tampered = merkle.digest(*[merkle.field(c) for c in ("doc_id", "source", "lang", more, "text")])
+    out = merkle.manifest(read(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], extra={"tampered": tampered})
+    folded = out.withColumn("folded_root", merkle.fold(F.col("tampered"), "steps"))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings("steps"), 256).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_quality, op4_decontaminate, op5_mix, op6_url_filter,
-                                   op7_toxicity, op8_lm_score, op9_chat, op10_language)}
+                                   op7_toxicity, op8_lm_score, op9_chat, op10_language, op11_sharding, op12_vector_codes, op13_merkle)}
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of op12 as a chain of common table expressions."""
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS (SELECT vec_id, part, min(d * {entries} + entry) % {entries} AS entry, min(d * {entries} + entry) // {entries} AS d
+        FROM (SELECT p.vec_id, p.part, e.entry, list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - e.x[i]) * (p.x[i] - e.x[i]))) AS d
+              FROM p JOIN e{k} e USING (part)) GROUP BY vec_id, part)"""
+    def refined(k: int) -> str:
+        return f""",
+m{k} AS (SELECT a.part, a.entry, i, CAST(sum(p.x[i]) AS HUGEINT) AS s, count(*) AS n FROM a{k} a JOIN p USING (vec_id, part), unnest(range(1, len(p.x) + 1)) AS u(i)
+        GROUP BY a.part, a.entry, i),
+q{k} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM m{k} GROUP BY part, entry),
+e{k + 1} AS (SELECT part, entry, coalesce(q.x, e.x) AS x FROM e{k} e LEFT JOIN q{k} q USING (part, entry)),"""
+    chain = "".join(assigned(k) + refined(k) for k in range(rounds)) + assigned(rounds)
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, label, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS x FROM v, unnest(range({parts})) AS u(part)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < {entries}),
+e0 AS (SELECT part, entry, [CAST(c AS HUGEINT) FOR c IN x] AS x FROM p JOIN f USING (vec_id)),{chain},
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e{rounds}),
+r AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM r JOIN v USING (vec_id), b"""
+
 
 SQL = {
     "op1_exact_dedup": """
@@ -103,4 +154,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE hit), '')) AS loss_sha256,
        CAST(sum(upto) FILTER (WHERE hit OR pos = n) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id""",
+    "op12_vector_codes": _codes_sql(),
+    "op13_merkle": r"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, n_chars, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS f_id,
+       coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS f_from,
+       coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS f_chars,
+       coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS f_more,
+       coalesce(strlen(text) || ':' || text, '-') AS f_text,
+       list_transform(range(length(coalesce(CAST(doc_id AS VARCHAR), ''))), lambda i: ord(substr(CAST(doc_id AS VARCHAR), i + 1, 1))) AS bytes FROM documents),
+c AS (SELECT *, xor(list_reduce(bytes, lambda a, b: list_reduce(range(8), lambda x, k:
+          CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(a, b)), 4294967295), 4294967295) AS crc FROM d),
+l AS (SELECT doc_id, lang, sha256(f_id || f_from || f_chars || f_text) AS leaf,
+             sha256(f_id || f_from || CASE WHEN crc % 7 = 0 THEN f_more ELSE f_chars END || f_text) AS changed FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY lang) AS n FROM l),
+up AS (SELECT lang, 0 AS lvl, i, n, leaf AS h FROM o
+       UNION ALL SELECT lang, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY lang, lvl, i // 2, n),
+s AS (SELECT lang, lvl AS height, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j, count(*) OVER () AS m FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, j, m, subroot AS h FROM s
+        UNION ALL SELECT lvl + 1, j // 2, (m + 1) // 2, sha256(string_agg(h, '' ORDER BY j)) FROM top WHERE m > 1 GROUP BY lvl, j // 2, m),
+r AS (SELECT lvl AS top_height, h AS root FROM top WHERE m = 1),
+p AS (SELECT doc_id, o.lang, o.i, leaf, changed, subroot, height, j, root, height + top_height AS steps
+      FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang CROSS JOIN r),
+f AS (SELECT lang, i, height, j, steps, 0 AS lvl, changed AS acc, '' AS proof FROM p
+      UNION ALL
+      SELECT f.lang, f.i, f.height, f.j, f.steps, f.lvl + 1,
+             sha256(CASE WHEN f.lvl < f.height AND (f.i >> f.lvl) % 2 = 1 OR f.lvl >= f.height AND (f.j >> (f.lvl - f.height)) % 2 = 1
+                         THEN coalesce(u.h, t.h, '') || acc ELSE acc || coalesce(u.h, t.h, '') END), proof || coalesce(u.h, t.h, '')
+      FROM f LEFT JOIN up u ON f.lvl < f.height AND u.lang IS NOT DISTINCT FROM f.lang AND u.lvl = f.lvl AND u.i = xor(f.i >> f.lvl, 1)
+             LEFT JOIN top t ON f.lvl >= f.height AND t.lvl = f.lvl - f.height AND t.j = xor(f.j >> (f.lvl - f.height), 1)
+      WHERE f.lvl < f.steps)
+SELECT p.doc_id, p.leaf, p.subroot, p.root, sha256(f.proof) AS proof_sha256, f.acc AS folded_root, f.acc = p.root AS verified
+FROM p JOIN f ON p.lang IS NOT DISTINCT FROM f.lang AND p.i = f.i AND f.lvl = f.steps""",
 }
