@@ -2,20 +2,18 @@
 
 The dictionary is one term list per language, aligned by line number.  It
 is read as a long table (term_id, lang, term) and pivoted wide on demand.
-It is a bounded dimension, so lookups embed it in the plan (after a size
-check) and search each text for its terms, with no join against the texts.
+Lookups search each text once for all terms (``term_search``), with no join
+against the texts and no bound on the number of terms.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.functions.text import keyword_flag
-from docflow.session import ensure_checkpoint_dir
+from docflow.operators.term_search import search_terms
 
 DICTIONARY_LANGS = ["ja", "en", "zh", "ko", "fr", "de", "sp"]
-MAX_TERMS = 100_000
 
 
 def read_keyword_lists(spark: SparkSession, files: dict[str, str]) -> DataFrame:
@@ -43,112 +41,43 @@ def merged_lines(wide: DataFrame, langs=DICTIONARY_LANGS) -> DataFrame:
     return wide.select("term_id", F.concat_ws("\t", *[F.coalesce(F.col(l), F.lit("")) for l in langs]).alias("line"))
 
 
-def _bounded_terms(long: DataFrame) -> list[tuple[int, str, str]]:
-    n = long.count()
-    if n > MAX_TERMS:
-        raise ValueError(f"keyword dictionary has {n} terms, more than {MAX_TERMS}")
-    return [(r["term_id"], r["lang"], r["term"]) for r in long.orderBy("term_id", "lang").collect()]
-
-
-def _term_blocks(long: DataFrame):
-    """Rows of the dictionary in order, ``MAX_TERMS`` at a time (one block, if
-    it is empty); the driver holds one block."""
-    block, any_rows = [], False
-    for r in long.orderBy("term_id", "lang").toLocalIterator():
-        block.append((r["term_id"], r["lang"], r["term"]))
-        any_rows = True
-        if len(block) == MAX_TERMS:
-            yield block
-            block = []
-    if block or not any_rows:
-        yield block
-
-
-def _found(text: str, rows) -> Column:
-    """Rows of a block whose term is in the text, in order."""
-    owners: dict[str, list] = {}
-    for i, l, t in rows:
-        if t:
-            owners.setdefault(t, []).append(F.struct(F.lit(i).alias("term_id"), F.lit(l).alias("lang"), F.lit(t).alias("term")))
-    if not owners:
-        return F.array().cast("array<struct<term_id:int,lang:string,term:string>>")
-    terms = F.array(*[F.struct(F.lit(t).alias("term"), F.array(*o).alias("owners")) for t, o in owners.items()])
-    hit = F.filter(terms, lambda k: F.col(text).contains(k["term"]))
-    return F.sort_array(F.flatten(F.transform(hit, lambda k: k["owners"])))
-
-
-def terms_column(long: DataFrame, rows=None) -> Column:
-    """The dictionary as a literal array<struct<term_id,lang,term>>."""
-    rows = rows if rows is not None else _bounded_terms(long)
-    return F.array(*[F.struct(F.lit(i).alias("term_id"), F.lit(l).alias("lang"), F.lit(t).alias("term"))
-                     for i, l, t in rows if t])
-
-
-def hits_per_lang(df: DataFrame, text: str, long: DataFrame) -> DataFrame:
-    """X11: per text, the dictionary terms found (term_id, lang) and a hit
-    count per dictionary language.  A dictionary of any size is searched in
-    blocks of at most ``MAX_TERMS`` rows, each a literal with every distinct
-    term once; the texts are written between two blocks, so no plan holds more
-    than one of them."""
-    out, langs = None, set()
-    for rows in _term_blocks(long):
-        langs.update(l for _, l, _ in rows)
-        found = _found(text, rows)
-        if out is None:
-            out = df.withColumn("kw_found", found)
-        else:
-            ensure_checkpoint_dir(df.sparkSession)
-            out = out.checkpoint().withColumn("kw_found", F.concat("kw_found", found))
-    for l in sorted(langs):
+def hits_per_lang(df: DataFrame, text: str, long: DataFrame, block_chars: int | None = None) -> DataFrame:
+    """X11: per text, the dictionary terms found (``kw_found``: term_id, lang,
+    term) and a hit count per dictionary language.  Each text is searched once
+    for all terms (``term_search``)."""
+    out = search_terms(df, text, long, "kw_found", block_chars)
+    for (l,) in sorted(tuple(r) for r in long.select("lang").distinct().collect()):
         out = out.withColumn(f"hits_{l}", F.size(F.filter(F.col("kw_found"), lambda k: k["lang"] == l)))
     return out
 
 
 def any_term(df: DataFrame, text: str, long: DataFrame, lang: str | None = None) -> DataFrame:
     """F1 with the dictionary's terms (one language or all)."""
-    terms = [t for _, l, t in _bounded_terms(long) if t and (lang is None or l == lang)]
-    return df.withColumn("keyword_flag", keyword_flag(text, terms))
+    found = search_terms(df, text, long if lang is None else long.filter(F.col("lang") == lang), "__found")
+    return found.withColumn("keyword_flag", F.size("__found") > 0).drop("__found")
+
+
+def normalisation_table(long: DataFrame, to_lang: str) -> DataFrame:
+    """X11 as a translation memory: (from_lang, to_lang, term, target) for
+    every other language of the same line.  'sp' in the lists means Spanish ('es')."""
+    code = lambda c: F.when(c == "sp", "es").otherwise(c)
+    target = long.filter((F.col("lang") == to_lang) & (F.col("term") != "")).select("term_id", F.col("term").alias("target"))
+    rows = long.filter((F.col("lang") != to_lang) & (F.col("term") != "")).join(target, "term_id").filter("term <> target")
+    return rows.select("term_id", code(F.col("lang")).alias("from_lang"), code(F.lit(to_lang)).alias("to_lang"), "term", "target")
 
 
 def normalise_terms(long: DataFrame, to_lang: str) -> list[tuple[str, str, str, str]]:
-    """X11 as a translation memory: (from_lang, to_lang, term, target term)
-    for every other language, for ``translate.dictionary_translator``.
-    'sp' in the lists means Spanish ('es')."""
-    rows = _bounded_terms(long)
-    by_id: dict[int, dict[str, str]] = {}
-    for i, l, t in rows:
-        by_id.setdefault(i, {})[l] = t
-    code = {"sp": "es"}
-    out = []
-    for i in sorted(by_id):
-        tgt = by_id[i].get(to_lang)
-        if not tgt:
-            continue
-        for l, t in by_id[i].items():
-            if l != to_lang and t and t != tgt:
-                out.append((code.get(l, l), code.get(to_lang, to_lang), t, tgt))
-    return out
+    """``normalisation_table`` in line order, for ``translate.dictionary_translator``."""
+    rows = normalisation_table(long, to_lang).orderBy("term_id", "from_lang").toLocalIterator()
+    return [(r.from_lang, r.to_lang, r.term, r.target) for r in rows]
 
 
 def keyword_classes(df: DataFrame, text: str, class_terms, out: str = "keyword_classes") -> DataFrame:
     """U2 keyword classification: the classes (sorted) whose terms occur in
-    the text.  ``class_terms``: (class, term) pairs, as a list or as a small
-    dimension read with ``sources.files.read_dimension``; it is embedded in
-    the plan after a size check, a text is searched for each class until its
-    first term is found, and nothing is joined."""
-    if isinstance(class_terms, DataFrame):
-        n = class_terms.count()
-        if n > MAX_TERMS:
-            raise ValueError(f"class keyword table has {n} rows, more than {MAX_TERMS}")
-        rows = [tuple(r) for r in class_terms.select(F.col("class").cast("string"),
-                                                     F.col("term").cast("string")).collect()]
-    else:
-        rows = list(class_terms)
-        if len(rows) > MAX_TERMS:
-            raise ValueError(f"class keyword list has {len(rows)} pairs, more than {MAX_TERMS}")
-    terms: dict[str, list[str]] = {}
-    for c, t in rows:
-        if t:
-            terms.setdefault(c, []).append(t)
-    hits = [F.when(keyword_flag(text, ts), F.lit(c)) for c, ts in sorted(terms.items())]
-    return df.withColumn(out, F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>"))
+    the text.  ``class_terms``: (class, term) pairs, as a list or as a table
+    (columns class and term).  Each text is searched once for all terms."""
+    if not isinstance(class_terms, DataFrame):
+        class_terms = df.sparkSession.createDataFrame(list(class_terms), "class string, term string")
+    long = class_terms.select(F.lit(0).alias("term_id"), F.col("class").cast("string").alias("lang"), F.col("term").cast("string").alias("term"))
+    found = search_terms(df, text, long.filter("lang is not null"), "__found")
+    return found.withColumn(out, F.array_sort(F.array_distinct(F.transform("__found", lambda k: k["lang"])))).drop("__found")
