@@ -33,6 +33,7 @@ from docflow.operators.ranking import written
 BLOCK_CHARS = 8_000_000
 BLOCK_ROWS = 2_000_000
 PIECE = 256                 # characters a piece advances, besides its overlap
+TABLE = 8_000_000           # entries a full transition table may have
 _SHIFT = 21                 # bits of a code point
 
 
@@ -53,7 +54,11 @@ class Automaton:
     fail: np.ndarray
     term: np.ndarray        # number of the term that ends here, or -1
     link: np.ndarray        # next suffix that ends a term, or 0
-    longest: int
+    levels: list[int]       # first node of each depth from 1 on, and the end
+
+    @property
+    def longest(self) -> int:
+        return len(self.levels) - 1
 
     @classmethod
     def build(cls, terms: list[str]) -> Automaton:
@@ -69,18 +74,36 @@ class Automaton:
             count += len(key)
             live = live[sizes[live] > len(levels)]
         out = cls(np.concatenate([np.zeros(0, dtype=np.int64), *levels]), np.zeros(count, dtype=np.int32),
-                  np.full(count, -1, dtype=np.int32), np.zeros(count, dtype=np.int32), len(levels))
+                  np.full(count, -1, dtype=np.int32), np.zeros(count, dtype=np.int32), [1])
         out.term[node] = np.arange(len(terms))
-        first = 1
         for depth, key in enumerate(levels):
-            here = np.arange(first, first + len(key))
+            here = np.arange(out.levels[-1], out.levels[-1] + len(key))
             if depth:
                 out.fail[here] = out.step(out.fail[key >> _SHIFT], key & ((1 << _SHIFT) - 1))
             back = out.fail[here]
             out.link[here] = np.where(out.term[back] >= 0, back, out.link[back])
-            first += len(key)
+            out.levels.append(out.levels[-1] + len(key))
         return out
 
+    def table(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """(class of each character, node after each node and class), where
+        that fits: one look-up then takes the place of a search for the child
+        and of the failure links.  Class 0 stands for all other characters."""
+        char = self.keys & ((1 << _SHIFT) - 1)
+        known = np.unique(char)
+        if len(self.fail) * (len(known) + 1) > TABLE:
+            return None
+        classes = np.zeros(1 << _SHIFT, dtype=np.int64)
+        classes[known] = np.arange(1, len(known) + 1)
+        after = np.zeros((len(self.fail), len(known) + 1), dtype=np.int64)
+        parent, kid = self.keys >> _SHIFT, np.arange(1, len(self.fail))
+        for lo, hi in zip([0, *self.levels[:-1]], self.levels, strict=True):
+            if lo:
+                after[lo:hi] = after[self.fail[lo:hi]]
+            a, b = np.searchsorted(parent, [lo, hi])
+            after[parent[a:b], classes[char[a:b]]] = kid[a:b]
+        return classes, after
+
     def child(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         key = node.astype(np.int64) << _SHIFT | char
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -115,9 +138,13 @@ class Automaton:
         text, start, length = text[order], start[order], length[order]
         state, found = np.zeros(len(text), dtype=np.int64), [np.zeros(0, dtype=np.int64)]
         ends_term = (self.term >= 0) | (self.link > 0)
+        quick = self.quick = getattr(self, "quick", None) or self.table()
+        if quick:
+            codes, after, width = quick[0][codes], quick[1].ravel(), quick[1].shape[1]
         for t in range(int(length[0]) if len(length) else 0):
             live = int(np.searchsorted(-length, -t, side="left"))     # pieces longer than t come first
-            state = self.step(state[:live], codes[start[:live] + t])
+            char = codes[start[:live] + t]
+            state = after[state[:live] * width + char] if quick else self.step(state[:live], char)
             hit = np.nonzero(ends_term[state])[0]
             if len(hit):
                 found.append(np.unique(text[hit] * len(self.term) + state[hit]))

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from docflow.operators import keywords as K
+from docflow.operators import term_search
 from docflow.operators.term_search import Automaton, search_terms
 
 
@@ -18,7 +19,9 @@ def test_hits_do_not_depend_on_the_blocks(spark, most):
     assert got[3].kw_found == [] and got[3].hits_en == 0
 
 
-def test_automaton_finds_what_in_finds():
+@pytest.mark.parametrize("table", [0, term_search.TABLE])
+def test_automaton_finds_what_in_finds(monkeypatch, table):
+    monkeypatch.setattr(term_search, "TABLE", table)
     r = random.Random(3)
     for _ in range(120):
         letters = "abé𝄞"[:r.choice([1, 2, 4])]
