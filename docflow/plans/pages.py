@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from docflow.constants import COVID_KEYWORDS
 from docflow.functions.paths import url_host, url_path
-from docflow.functions.similarity import edit_distance, text_overlap
+from docflow.functions.similarity import edit_distance, text_overlap, word_set
 from docflow.functions.text import keyword_flag
+from docflow.operators import similar
 from docflow.operators.latest import index_records
 from docflow.operators.pages import blocks_table, page_features
+from docflow.operators.ranking import written
 from docflow.operators.routing import density_ok, page_status
 from docflow.plans.common import read
 from docflow.plans.sqlparts import URL, blocks_cte, features_cte, heading_cte, keyword_sql, q, status_sql
@@ -107,6 +109,34 @@ def q_title_overlap(spark, sf):
     return f.select("page_id", F.round(text_overlap("title", "first_par"), 6).alias("title_par_overlap"))
 
 
+SIMILAR_TITLES = 0.8
+TITLE_EDITS = 8
+
+
+def q_similar_titles(spark, sf):
+    """J6 as a join: the pages whose titles have equal words are a class; each
+    page with the number of other classes that share 0.8 of the smaller
+    title's words, and the largest overlap."""
+    f = page_features(read(spark, sf, "pages"), url=None, features=["title"])
+    rows = written(f.select("page_id", F.array_sort(word_set("title")).alias("words")), "titles")
+    rows = written(similar.with_classes(rows, "page_id", ["words"]), "title-classes")
+    sets = rows.filter("page_id = class_id").select(F.col("class_id").alias("id"), F.col("words").alias("tokens"))
+    out = similar.links(rows, similar.overlap_pairs(sets, SIMILAR_TITLES), F.max("overlap"))
+    return out.select("page_id", "class_id", "n_links", F.round("best", 6).alias("best"))
+
+
+def q_near_titles(spark, sf):
+    """J7 as a join: the pages of a folder with equal titles are a class; each
+    page with the number of other classes of its folder whose titles are at
+    most 8 edits away, and the least distance."""
+    f = page_features(read(spark, sf, "pages"), features=["title"])
+    rows = written(f.select("page_id", F.regexp_extract(url_path("url"), r"\A/([^/]+)/", 1).alias("folder"), "title"), "titles")
+    rows = written(similar.with_classes(rows, "page_id", ["folder", "title"]), "title-classes")
+    strings = rows.filter("page_id = class_id").select(F.col("class_id").alias("id"), F.col("folder").alias("block"), F.col("title").alias("s"))
+    out = similar.links(rows, similar.edit_pairs(strings, TITLE_EDITS), F.min("distance"))
+    return out.select("page_id", "class_id", "n_links", "best")
+
+
 def q_extracted(spark, sf):
     """K1 record of the extraction stage: region, site, counts, keyword flag
     with the original keyword list, line count, text digest."""
@@ -139,6 +169,8 @@ QUERIES = {
     "url_parts": q_url_parts,
     "title_similarity": q_title_similarity,
     "title_overlap": q_title_overlap,
+    "similar_titles": q_similar_titles,
+    "near_titles": q_near_titles,
     "extracted": q_extracted,
     "index_pages": q_index_pages,
 }
@@ -187,6 +219,21 @@ SQL = {
                round({overlap_sql('title', 'first_par')}, 6) AS title_par_overlap FROM t""",
     "title_overlap": f"""{_FEAT}
         SELECT page_id, round({overlap_sql('title', 'first_par')}, 6) AS title_par_overlap FROM feat""",
+    "similar_titles": f"""{_FEAT},
+        t AS (SELECT page_id, list_sort(list_distinct(list_filter(string_split_regex(title, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> ''))) AS w FROM feat),
+        c AS (SELECT page_id, w, min(page_id) OVER (PARTITION BY w) AS class_id FROM t),
+        k AS (SELECT DISTINCT class_id, w FROM c WHERE len(w) > 0),
+        p AS (SELECT a.class_id, len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) AS o FROM k a JOIN k b ON a.class_id <> b.class_id
+              AND len(list_intersect(a.w, b.w)) * 10 >= least(len(a.w), len(b.w)) * {round(SIMILAR_TITLES * 10)}),
+        n AS (SELECT class_id, count(*) AS n_links, max(o) AS best FROM p GROUP BY class_id)
+        SELECT page_id, c.class_id, coalesce(n_links, 0) AS n_links, round(best, 6) AS best FROM c LEFT JOIN n USING (class_id)""",
+    "near_titles": f"""{_FEAT},
+        t AS (SELECT feat.page_id, regexp_extract({_PATH}, '\\A/([^/]+)/', 1) AS folder, title, {_ONE_BYTE.format('title')} AS s FROM feat),
+        c AS (SELECT page_id, folder, s, min(page_id) OVER (PARTITION BY folder, title) AS class_id FROM t),
+        k AS (SELECT DISTINCT class_id, folder, s FROM c),
+        p AS (SELECT a.class_id, levenshtein(a.s, b.s) AS d FROM k a JOIN k b ON a.class_id <> b.class_id AND a.folder IS NOT DISTINCT FROM b.folder),
+        n AS (SELECT class_id, count(*) AS n_links, CAST(min(d) AS INTEGER) AS best FROM p WHERE d <= {TITLE_EDITS} GROUP BY class_id)
+        SELECT page_id, c.class_id, coalesce(n_links, 0) AS n_links, best FROM c LEFT JOIN n USING (class_id)""",
     "extracted": f"""{_FEAT}
         SELECT page_id, region, {_SITE} AS site, content_num, link_num,
                {keyword_sql('text', COVID_KEYWORDS)} AS keyword_flag, CAST(n_lines AS BIGINT) AS n_lines,
