@@ -19,10 +19,17 @@ _HALF = 1 << 62
 
 def _pick(history: DataFrame, key: str, order: Column, cols) -> DataFrame:
     cols = [c for c in (cols or history.columns) if c != key]
-    marked = history.select(key, *cols, order.alias("_order"))
-    best = marked.groupBy(F.col(key).alias("_key")).agg(F.max("_order").alias("_best"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_best"))
-    return marked.join(best, same, "left_semi").drop("_order")
+    marked = history.select(key, *cols, order.alias("_order"), _row_hash(history, [key, *cols]).alias("_hash"))
+    best = marked.groupBy(F.col(key).alias("_key")).agg(F.max("_order").alias("_best"), F.max_by("_hash", "_order").alias("_which"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_best")) & (F.col("_hash") == F.col("_which"))
+    return marked.join(best, same, "left_semi").drop("_order", "_hash")
+
+
+def _row_hash(rows: DataFrame, cols) -> Column:
+    """A row's hash, which decides between rows that tie on the order (maps,
+    which have none, are left out)."""
+    plain = [c for c in cols if "map<" not in rows.schema[c].dataType.simpleString()]
+    return F.xxhash64(*[F.col(c) for c in plain])
 
 
 def _late(arrival: str) -> Column:
@@ -33,7 +40,8 @@ def latest_version(history: DataFrame, key: str, ts: str, arrival: str, cols=Non
     """K6: per ``key`` the version with the greatest ``ts`` (null: the
     least); among equal ``ts`` the earliest ``arrival`` (a later equal one is
     not newer, so it does not replace).  ``arrival`` is a numeric arrival
-    order, unique for a key and time."""
+    order, unique for a key and time; of rows that tie on all three one
+    stays (all copies of it, if they are equal in every column)."""
     micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-_HALF))
     wide = micros.cast("decimal(19,0)") * F.lit(str(2 * _HALF)).cast("decimal(19,0)") + _late(arrival).cast("decimal(19,0)")
     return _pick(history, key, wide.cast("decimal(38,0)"), cols)

@@ -3,6 +3,8 @@ hourly manifest, stage health, JSON sidecar fields, short posts."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from docflow.operators import ledger as L
 from docflow.operators.latest import first_version, latest_version
 from docflow.plans import sqlparts as S
 from docflow.plans.common import read
+from docflow.session import scratch_path
+from docflow.sinks.commits import merge_newest, read_newest
 
 FAIL_VALUE = 200.0     # an event with a larger value counts as a failed item
 STALE_AFTER = "1 hour"  # a stage whose last item is older than this is flagged
@@ -30,6 +34,17 @@ def q_latest_version(spark, sf):
     return latest_version(e, "user_id", "ts", "event_id")
 
 
+def q_newest_table(spark, sf):
+    """K6 kept up by batches: four batches of events, each with versions older
+    and newer than those before it, merged into a table of hash buckets."""
+    e = read(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    root = scratch_path(spark, f"newest/{uuid.uuid4().hex}")
+    for k in range(4):
+        merge_newest(e.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k), root, k, "user_id", "ts", "event_id", buckets=16)
+    held = read_newest(spark, root)
+    return e.limit(0) if held is None else held.select(e.columns)
+
+
 def q_first_seen(spark, sf):
     """K7: first arrival per user, later ones refused."""
     e = read(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
@@ -85,7 +100,7 @@ def q_turn_overlap(spark, sf):
 
 
 QUERIES = {
-    "two_ended": q_two_ended, "latest_version": q_latest_version, "first_seen": q_first_seen,
+    "two_ended": q_two_ended, "latest_version": q_latest_version, "newest_table": q_newest_table, "first_seen": q_first_seen,
     "hourly_manifest": q_hourly_manifest, "stage_health": q_stage_health, "json_field": q_json_field,
     "post_prepare": q_post_prepare, "turn_overlap": q_turn_overlap,
 }
@@ -94,11 +109,14 @@ _q = S.q
 _text_overlap = S.text_overlap
 
 
+_NEWEST = """SELECT user_id, event_id, ts, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id ASC) = 1"""
+
 SQL = {
     "two_ended": f"""SELECT * FROM (SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT {K.TWEET_HEAD_TAIL})
         UNION SELECT * FROM (SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT {K.TWEET_HEAD_TAIL})""",
-    "latest_version": """SELECT user_id, event_id, ts, event_type, value FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id ASC) = 1""",
+    "latest_version": _NEWEST,
+    "newest_table": _NEWEST,
     "first_seen": """SELECT user_id, event_id, ts, event_type FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
     "hourly_manifest": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY ALL",

@@ -149,6 +149,16 @@ def upsert_history(stream: DataFrame, history_path: str, checkpoint: str):
     return run_batches(stream, lambda b, i: append_batch(b, history_path, i), checkpoint)
 
 
+def upsert_newest(stream: DataFrame, root: str, checkpoint: str, key: str, ts: str, arrival: str, buckets: int | None = None):
+    """The newest-version table kept up by every micro-batch, which
+    rewrites only the buckets it touches (``sinks.commits``)."""
+    from docflow.sinks.commits import BUCKETS, merge_newest
+
+    def merge(batch: DataFrame, number: int):
+        merge_newest(batch, root, number, key, ts, arrival, buckets or BUCKETS)
+    return run_batches(stream, merge, checkpoint)
+
+
 def latest_view(spark: SparkSession, history_path: str, key: str, ts: str, arrival: str, cols=None) -> DataFrame:
     """The newest-version table over the history (K6)."""
     return latest_version(spark.read.parquet(history_path).drop("batch_id"), key, ts, arrival, cols)
