@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from docflow.operators import ledger as L
@@ -239,8 +240,8 @@ def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
-#: Events a type may have in one poll of ``stream_quota``.
-POLL_QUOTA = 1900
+#: Events a type may have in one poll of ``stream_quota``, and its polls' distance.
+POLL_QUOTA, POLL_GAP_MS = 1900, 10_000
 
 
 def poll_numbers(items: DataFrame, site: str, order: list, n: int) -> DataFrame:
@@ -254,10 +255,92 @@ def poll_numbers(items: DataFrame, site: str, order: list, n: int) -> DataFrame:
             .withColumn("poll", F.floor((F.col("rank") - F.col("__first")) / n).cast("long")).drop("rank", "__site", "__first"))
 
 
+#: Rows a file of the poll stream holds at most, on average.
+FILE_ROWS = 500_000
+
+
+def write_by_time(rows: DataFrame, ts: str, path: str, files: int) -> None:
+    """``rows`` as ``files`` files of consecutive times, written one after
+    another, and a last file with one tick far behind them."""
+    lo, hi = rows.agg(F.min(ts), F.max(ts)).first()
+    step = (hi - lo) / files if lo is not None else None
+    for k in range(files if lo is not None else 0):
+        part = rows.filter((F.col(ts) >= lo + step * k) if k else (F.col(ts) >= lo) | F.col(ts).isNull())
+        part = part.filter(F.col(ts) < lo + step * (k + 1)) if k < files - 1 else part
+        part.withColumn("__tick", F.lit(False)).coalesce(1).write.parquet(f"{path}/{k:06d}")
+    tick = rows.sparkSession.range(1).select(*[F.lit("2999-01-01").cast(f.dataType).alias(f.name) if f.name == ts else
+                                               F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.lit(True).alias("__tick"))
+    tick.coalesce(1).write.parquet(f"{path}/{files:06d}")
+
+
 def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bounded batch per poll, drained to the end: at most
-    ``POLL_QUOTA`` events per type and poll, newest first; every event comes
-    out, with the number of its poll."""
+    """W3 + W4: the events as a stream of several files; at most ``POLL_QUOTA``
+    events per type and poll are let through, newest first.  The polls start
+    after the last event, when a tick has moved the watermark, and timers drain
+    the queues; every event comes out once, with the number of its poll."""
+    from docflow.streaming.quota import run_quota, with_ticks
+    configure(spark)
+    base = _run_dir(spark, "quota")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
+    n_events, end = ev.agg(F.count(F.lit(1)), F.unix_millis(F.max(F.col("ts").cast("timestamp")))).first()
+    write_by_time(ev, "ts", f"{base}/in", max(3, -(-n_events // FILE_ROWS)))
+    stream = file_stream(spark, f"{base}/in/*", with_ticks(ev.schema), max_files_per_trigger=1)
+    run_quota(stream, f"{base}/out", f"{base}/ckpt", site="event_type", ts="ts", order=["ts", "event_id"], n=POLL_QUOTA,
+              gap_ms=POLL_GAP_MS, start_ms=(end or 0) + 1)
+    got = spark.read.schema(T.StructType([*ev.schema, T.StructField("poll", T.LongType())])).parquet(f"{base}/out")
+    return got.select("event_id", "event_type", "ts", "poll")
+
+
+def count_with_late(stream: DataFrame, ts: str, by: list[str], window: str, delay: str, root: str, checkpoint: str):
+    """W6/W7 with late rows kept: counts per window of the rows that are not
+    more than ``delay`` behind the newest time of the batches before theirs;
+    the others, and rows without a time, go to the table ``late`` instead of
+    vanishing.  Counts, late rows and the newest time are one commit a batch
+    (``sinks.commits``), so a repeated batch replaces its own."""
+    from docflow.sinks.commits import is_committed, read_committed, write_version
+
+    def count(batch: DataFrame, number: int):
+        spark = batch.sparkSession
+        if is_committed(spark, root, number):
+            return
+        seen = read_committed(spark, root, "newest_time")
+        newest = seen.agg(F.max("newest")).first()[0] if seen is not None else None
+        fresh = F.col(ts).isNotNull() if newest is None else F.coalesce(F.col(ts) >= F.lit(newest) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        rows = batch.persist()
+        try:
+            w = F.window(ts, window)
+            counts = rows.filter(fresh).groupBy(*by, w.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+            write_version(root, number, {
+                "counts": counts.select(*by, F.col("w.start").alias("window_start"), "n"),
+                "late": rows.filter(~fresh),
+                "newest_time": rows.agg(F.max(ts).alias("newest")).coalesce(1)})
+        finally:
+            rows.unpersist()
+    return run_batches(stream, count, checkpoint)
+
+
+def counts_view(spark: SparkSession, root: str, by: list[str]) -> DataFrame:
+    """The committed counts: (by, window_start, n)."""
+    from docflow.sinks.commits import read_committed
+    return read_committed(spark, root, "counts").groupBy(*by, "window_start").agg(F.sum("n").alias("n"))
+
+
+LATE_FILES, LATE_DELAY = 3, "10 days"
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 + W6 + W7: the events as files in random time order; per day and
+    type those counted and those set aside as late."""
+    from docflow.sinks.commits import read_committed
     configure(spark)
+    base = _run_dir(spark, "late")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
-    return poll_numbers(ev, "event_type", [F.col("ts").desc(), F.col("event_id").desc()], POLL_QUOTA).select("event_id", "event_type", "ts", "poll")
+    for k in range(LATE_FILES):
+        ev.filter(F.pmod(F.col("event_id"), F.lit(LATE_FILES)) == k).coalesce(1).write.parquet(f"{base}/in/{k}")
+    stream = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
+    count_with_late(stream, "ts", ["event_type"], "1 day", LATE_DELAY, f"{base}/out", f"{base}/ckpt")
+    late = read_committed(spark, f"{base}/out", "late")
+    day = late.groupBy("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count(F.lit(1)).alias("n_late"))
+    on_time = counts_view(spark, f"{base}/out", ["event_type"]).withColumn("day", F.col("window_start").cast("timestamp_ntz"))
+    out = on_time.select("event_type", "day", "n", F.lit(0).cast("long").alias("n_late")).unionByName(day.withColumn("n", F.lit(0).cast("long")))
+    return out.groupBy("event_type", "day").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))

@@ -24,9 +24,12 @@ def test_poll_numbers_are_those_of_the_loop(spark, scratch):
     assert {k: got[k] for k in looped} == looped
 
 
-def test_stream_quota_does_not_poll_in_a_loop(spark, scratch, monkeypatch):
+def test_stream_quota_keeps_its_quota(spark, scratch, monkeypatch):
     monkeypatch.setattr(W, "POLL_QUOTA", 3)
-    monkeypatch.setattr(W, "drain", None)
     events(spark).write.parquet(f"{scratch}/events.parquet")
-    got = [(r.event_type, r.poll) for r in W.stream_quota(spark, scratch).collect()]
-    assert len(got) == 400 and max(got.count(x) for x in set(got)) == 3
+    got = W.stream_quota(spark, scratch).collect()
+    sizes = [(r.event_type, r.poll) for r in got]
+    assert len(got) == 400 and max(sizes.count(x) for x in set(sizes)) == 3
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    want = {r.event_id: r.poll for r in W.poll_numbers(events(spark), "event_type", order, 3).collect()}
+    assert {r.event_id: r.poll for r in got} == want
