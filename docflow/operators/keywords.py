@@ -41,12 +41,12 @@ def merged_lines(wide: DataFrame, langs=DICTIONARY_LANGS) -> DataFrame:
     return wide.select("term_id", F.concat_ws("\t", *[F.coalesce(F.col(l), F.lit("")) for l in langs]).alias("line"))
 
 
-def hits_per_lang(df: DataFrame, text: str, long: DataFrame, block_chars: int | None = None) -> DataFrame:
+def hits_per_lang(df: DataFrame, text: str, long: DataFrame, block_chars: int | None = None, langs=None) -> DataFrame:
     """X11: per text, the dictionary terms found (``kw_found``: term_id, lang,
-    term) and a hit count per dictionary language.  Each text is searched once
-    for all terms (``term_search``)."""
+    term) and a hit count per language (``langs``; by default those of the
+    dictionary).  Each text is searched once for all terms (``term_search``)."""
     out = search_terms(df, text, long, "kw_found", block_chars)
-    for (l,) in sorted(tuple(r) for r in long.select("lang").distinct().collect()):
+    for l in langs or sorted(r.lang for r in long.select("lang").distinct().collect()):
         out = out.withColumn(f"hits_{l}", F.size(F.filter(F.col("kw_found"), lambda k: k["lang"] == l)))
     return out
 

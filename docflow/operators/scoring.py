@@ -114,7 +114,10 @@ def class_centroids(train: DataFrame, vec: str, label: str) -> list[tuple]:
 def nearest_centroid(df: DataFrame, vec: str, centroids: list[tuple]) -> DataFrame:
     """U2 over vectors: ``topic`` (class of the nearest centroid, the first on
     a tie) and ``confidence`` (0.5 to 1: the second distance's share of the two
-    smallest).  The centroids travel in the plan: classes x dimensions values."""
+    smallest).  The centroids travel in the plan: classes x dimensions values.
+    Without any class the topic is null."""
+    if not centroids:
+        return df.withColumn("topic", F.lit(None).cast("int")).withColumn("confidence", F.lit(None).cast("double"))
     x = F.transform(vec, lambda v: F.round(v.cast("double") * SCALE))
     dist = lambda c: F.aggregate(F.zip_with(x, F.lit([float(v) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
     ranked = F.array_sort(F.array(*[F.struct(dist(c).alias("d"), F.lit(label).alias("c")) for label, c in centroids]))

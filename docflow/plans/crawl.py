@@ -7,6 +7,7 @@ reads them back with the operator; the oracle computes the same from the rows.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from docflow.plans.sqlparts import norm_lang, q
 from docflow.session import scratch_path
 from docflow.sources import files as S
 from docflow.sources import manifests as M
-from docflow.streaming.incremental import dedupe_stream, file_stream, upsert_history
+from docflow.streaming.incremental import dedupe_stream, file_stream, read_output, upsert_history
 
 ROOT = "/crawl"
 
@@ -82,7 +83,7 @@ def q_manifest_window(spark, sf):
     event, read back for a window of 10 days and one region."""
     e = read(spark, sf, "events").select("event_id", "ts", "event_type")
     newest, n_events = e.agg(F.max("ts"), F.count(F.lit(1))).first()
-    last = newest.date()
+    last = newest.date() if newest else dt.date(1970, 1, 1)
     files = event_manifests(e, n_events)
     got = M.recent_lines(M.parse_manifests(files), 10, ROOT, "us", last)
     return got.select("page_path", F.col("file_date").cast("string").alias("file_date"), "region", "site", F.col("ordinal.age_days").cast("long").alias("age_days"))
@@ -147,7 +148,7 @@ def q_dictionary_hits(spark, sf):
     words = F.split("text", " ")
     terms = read(spark, sf, "benchmark", heavy=False).select(F.col("item_id").alias("term_id"), F.when(F.col("item_id") % 2 == 0, "en").otherwise("fr").alias("lang"),
                                                              F.lower(F.element_at(words, 1)).alias("term"))
-    out = hits_per_lang(read(spark, sf, "documents").select("doc_id", "text"), "text", terms)
+    out = hits_per_lang(read(spark, sf, "documents").select("doc_id", "text"), "text", terms, langs=["en", "fr"])
     return out.select("doc_id", F.col("hits_en").cast("long").alias("hits_en"), F.col("hits_fr").cast("long").alias("hits_fr"), F.size("kw_found").cast("long").alias("n_found"))
 
 
@@ -155,9 +156,9 @@ def q_dedupe_stream(spark, sf):
     """Users of the event stream, each once within the watermark."""
     base = scratch_path(spark, f"streams/dedupe-{uuid.uuid4().hex}")
     schema = read(spark, sf, "events").schema
-    s = file_stream(spark, sf, schema, glob="events.parquet").select("user_id", "ts")
+    s = file_stream(spark, f"{sf}/events.parquet*", schema).select("user_id", "ts")
     upsert_history(dedupe_stream(s, "user_id", "ts", "3650 days").select("user_id"), f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out").select("user_id")
+    return read_output(spark, f"{base}/out", s.select("user_id").schema).select("user_id")
 
 
 TM_TERMS = [("en", "ja", "the", "ザ"), ("fr", "ja", "la", "ラ"), ("de", "ja", "der", "デア")]

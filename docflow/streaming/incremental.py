@@ -181,7 +181,16 @@ def rollup_to_table(counts: DataFrame, path: str, checkpoint: str):
     return run_batches(counts, lambda b, i: append_batch(b, path, i), checkpoint, output_mode="update")
 
 
+def read_output(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that ``append_batch`` wrote, without its batch numbers; empty
+    if no batch had rows."""
+    from docflow.sinks.tables import read_if_exists
+    t = read_if_exists(spark, path)
+    return spark.createDataFrame([], schema) if t is None else t.drop("batch_id")
+
+
 def rollup_view(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last value of each window that ``rollup_to_table`` wrote."""
     t = spark.read.parquet(path)
     cols = [c for c in t.columns if c not in keys and c != "batch_id"]
     w = t.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_v"))
@@ -193,7 +202,12 @@ def rollup_view(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 def _events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None):
     configure(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return file_stream(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=max_files)
+    return file_stream(spark, f"{sf_dir}/events.parquet*", schema, max_files_per_trigger=max_files)
+
+
+def _any_output(spark: SparkSession, path: str) -> bool:
+    from docflow.sinks.tables import read_if_exists
+    return read_if_exists(spark, path) is not None
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -205,6 +219,8 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "hourly")
     counts = windowed_counts(_events_stream(spark, sf_dir), "ts", [], "1 hour", "1 hour")
     rollup_to_table(counts, f"{base}/out", f"{base}/ckpt")
+    if not _any_output(spark, f"{base}/out"):
+        return spark.createDataFrame([], "hour timestamp_ntz, n long")
     v = rollup_view(spark, f"{base}/out", ["window_start"])
     return v.select(F.col("window_start").alias("hour"), "n")
 
@@ -215,6 +231,8 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windowed_counts(_events_stream(spark, sf_dir).withColumnRenamed("event_type", "stage"),
                              "ts", ["stage"], "1 hour", "1 hour")
     rollup_to_table(counts, f"{base}/out", f"{base}/ckpt")
+    if not _any_output(spark, f"{base}/out"):
+        return spark.createDataFrame([], counts.schema)
     return rollup_view(spark, f"{base}/out", ["stage", "window_start"])
 
 
@@ -223,6 +241,8 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "latest")
     s = _events_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
     upsert_history(s, f"{base}/history", f"{base}/ckpt")
+    if not _any_output(spark, f"{base}/history"):
+        return spark.createDataFrame([], s.schema)
     return latest_view(spark, f"{base}/history", "user_id", "ts", "event_id")
 
 
@@ -233,11 +253,11 @@ def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "first")
     configure(spark)
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "ts", "event_type")
-    third = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
     for k in (1, 2, 3):
-        window = ev.filter(F.col("event_id") <= third[0] + (third[1] - third[0]) * k / 3)
+        window = ev if lo is None else ev.filter(F.col("event_id") <= lo + (hi - lo) * k / 3)
         process_new(window, "user_id", lambda b: first_version(b, "user_id", "event_id"), f"{base}/out", f"{base}/ledger")
-    return spark.read.parquet(f"{base}/out").drop("batch_id")
+    return read_output(spark, f"{base}/out", ev.schema)
 
 
 #: Events a type may have in one poll of ``stream_quota``, and its polls' distance.
