@@ -5,16 +5,18 @@ of documents: the block's terms and, for each, its postings (ascending token
 positions, stored as differences), plus where every document ends.  It serves
 any number of benchmark sets.
 
-A search cuts the benchmark's items into windows (equal windows once), gives
-every block the windows whose terms it all holds, and intersects the terms'
-position lists, each shifted by the term's place in the window, from the
-rarest on.  What is left are exact phrase occurrences.  With ``slop`` above
+A search cuts the benchmark's items into windows (equal windows once).  Each
+window is filed under the term that occurs in the fewest of them; a block
+looks up only the windows filed under terms that it holds, keeps those whose
+terms it all holds, and intersects the terms' position lists, each shifted by
+the term's place in the window, from the rarest on.  What is left are exact phrase occurrences.  With ``slop`` above
 zero a term may stand that many positions off its place, and the occurrences
 are proximity matches.  No text or posting is shuffled: a block is searched
 where it is read.
 
 Items reach the tasks in passes of about ``words_per_pass`` words, which bounds
-what is sent; a document's hits from all passes are joined as spans.
+what is sent; a document's hits are joined as spans by a running maximum of
+their ends, so the work is linear in them.
 
 Defined cases: null texts have no words; an item without words matches
 nothing; an item that repeats counts once for each item id (null: empty); an
@@ -103,6 +105,18 @@ class Windows:
         for r, key in enumerate(found):
             self.terms[r, :len(key)] = [vocab[w] for w in key]
         self.size = (self.terms >= 0).sum(axis=1)
+        # windows by the term that the fewest of them hold
+        share = np.bincount(self.terms[self.terms >= 0], minlength=len(vocab) + 1)
+        share[-1] = len(found) * window + 1                 # the padding (-1)
+        key = self.terms[np.arange(len(found)), share[self.terms].argmin(axis=1)] if len(found) else np.zeros(0, np.int64)
+        self.by_term = np.argsort(key, kind="stable")
+        self.first = np.searchsorted(key[self.by_term], np.arange(len(vocab) + 1))
+
+    def filed_under(self, terms: np.ndarray) -> np.ndarray:
+        """The windows filed under any of ``terms``."""
+        n = self.first[terms + 1] - self.first[terms]
+        ends = np.cumsum(n)
+        return self.by_term[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n) + np.repeat(self.first[terms], n)]
 
 
 def intersect(lists: list[np.ndarray], slop: int = 0) -> np.ndarray:
@@ -122,13 +136,15 @@ def intersect(lists: list[np.ndarray], slop: int = 0) -> np.ndarray:
     return start
 
 
-def search_block(terms: pa.Array, counts: np.ndarray, steps: np.ndarray, ends: np.ndarray, w: Windows, slop: int = 0):
-    """(document's place in the block, first, after, window) of each match."""
+def search_block(terms: pa.Array, counts: np.ndarray, steps: np.ndarray, ends: np.ndarray, w: Windows, slop: int = 0) -> tuple[np.ndarray, ...]:
+    """Matches as arrays: the document's place in the block, first, after, window."""
+    none = np.zeros(0, dtype=np.int64)
     if not len(ends) or not len(w.size):
-        return []
+        return none, none, none, none
     place = pc.fill_null(pc.index_in(w.vocab, value_set=terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    here = np.where(w.terms >= 0, place[w.terms], 0)
-    live = np.flatnonzero(((here >= 0) | (w.terms < 0)).all(axis=1))
+    near = w.filed_under(np.flatnonzero(place >= 0))
+    here = np.where(w.terms[near] >= 0, place[w.terms[near]], 0)
+    full = ((here >= 0) | (w.terms[near] < 0)).all(axis=1)
     first = np.cumsum(counts) - counts
     open_: dict[int, np.ndarray] = {}
 
@@ -136,45 +152,75 @@ def search_block(terms: pa.Array, counts: np.ndarray, steps: np.ndarray, ends: n
         if t not in open_:
             open_[t] = np.cumsum(steps[first[t]:first[t] + counts[t]], dtype=np.int64)
         return open_[t]
-    out = []
-    for r in live:
-        n = int(w.size[r])
-        start = intersect([postings(t) for t in here[r, :n]], slop)
-        start = start[(start >= 0) & (start < ends[-1])]
-        doc = np.searchsorted(ends, start, side="right")
-        for s, d in zip(start[start + n <= ends[doc]], doc[start + n <= ends[doc]]):
-            out.append((int(d), int(s), int(s) + n, int(r)))
-    return out
+    starts, windows = [none], [none]
+    for r, row in zip(near[full], here[full]):
+        start = intersect([postings(t) for t in row[:w.size[r]]], slop)
+        starts.append(start[(start >= 0) & (start < ends[-1])])
+        windows.append(np.full(len(starts[-1]), r))
+    start, window = np.concatenate(starts), np.concatenate(windows)
+    doc = np.searchsorted(ends, start, side="right")
+    after = start + w.size[window]
+    whole = after <= ends[doc]
+    return doc[whole], start[whole], after[whole], window[whole]
+
+
+def join_spans(doc: np.ndarray, first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans that touch or overlap within a document become one, in order."""
+    if not len(doc):
+        return doc, first, after
+    order = np.lexsort((first, doc))
+    doc, first, after = doc[order], first[order], after[order]
+    reach = np.maximum.accumulate(after + doc * (after.max() + 1))      # documents one after another
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | ((first + doc * (after.max() + 1))[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    return doc[at], first[at], np.maximum.reduceat(after, at)
 
 
 HITS = "block long, slot long, spans array<struct<first:long,after:long>>, items array<string>"
 
 
+SPANS = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
+
+
+def span_lists(doc: np.ndarray, first: np.ndarray, after: np.ndarray, docs: np.ndarray) -> pa.Array:
+    """The spans of each of ``docs``, in a list."""
+    both = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(after, pa.int64())], names=["first", "after"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, [*docs, np.iinfo(np.int64).max]), pa.int32()), both).cast(SPANS)
+
+
 def search(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """Hits of one pass: a row for each document with any."""
+    """Hits of one pass: a row for each document with any, spans joined."""
     held = share(index.sparkSession, Windows(items, window))
 
     def run(batches):
         w = opened(held)
         for b in batches:
-            rows = []
             for k in range(b.num_rows):
                 part = lambda name: b.column(name)[k].values  # noqa: B023, E731
                 number = lambda name: part(name).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                docs: dict[int, tuple[list, set]] = {}
-                for d, s, e, r in search_block(part("terms"), number("counts"), number("steps"), number("ends"), w, slop):
-                    spans, found = docs.setdefault(d, ([], set()))
-                    spans.append({"first": s, "after": e})
-                    found.update(w.items[r])
-                rows += [(b.column("block")[k].as_py(), d, s, sorted(i)) for d, (s, i) in docs.items()]
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))), pa.array(cols[3], pa.list_(pa.string()))],
-                names=["block", "slot", "spans", "items"])
+                doc, first, after, r = search_block(part("terms"), number("counts"), number("steps"), number("ends"), w, slop)
+                spans = join_spans(doc, first, after)
+                found: dict[int, set] = {}
+                for d, x in np.unique(np.stack([doc, r]), axis=1).T.tolist():
+                    found.setdefault(d, set()).update(w.items[x])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b.column("block")[k].as_py()] * len(found), pa.int64()), pa.array(list(found), pa.int64()),
+                     span_lists(*spans, np.array(list(found), dtype=np.int64)), pa.array([sorted(x) for x in found.values()], pa.list_(pa.string()))],
+                    names=["block", "slot", "spans", "items"])
     return index.select("block", "ends", "terms", "counts", "steps").mapInArrow(run, HITS)
 
 
+def joined(batches):
+    """Arrow step: the spans of each row, which come from several passes, joined."""
+    for b in batches:
+        lists = b.column("spans")
+        row = np.repeat(np.arange(b.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        flat = lists.flatten()
+        spans = join_spans(row, *[flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+        yield b.set_column(b.schema.get_field_index("spans"), "spans", span_lists(*spans, np.arange(b.num_rows)))
+
+
 def passes(items: DataFrame, id_col: str, text_col: str, words_per_pass: int):
     """Lists of (item id, words), together all items, each of bounded size."""
     text = text_of(text_col)
@@ -194,15 +240,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for items in passes(benchmark, item_col, item_text_col, words_per_pass):
         found = search(index, items, window, slop)
         hits = found if hits is None else hits.unionByName(found)
-    hits = hits.groupBy("block", "slot").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-                                             F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    # spans in order: one that begins before the last one's end lengthens it
-    join = F.aggregate("spans", F.array().cast("array<struct<first:long,after:long>>"), lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x["first"] <= F.element_at(acc, -1)["after"]),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-            F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["after"], x["after"]).alias("after")))))
-        .otherwise(F.concat(acc, F.array(x))))
-    hits = hits.select("block", "slot", join.alias("spans"), "items")
+    hits = hits.groupBy("block", "slot").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                                             F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).mapInArrow(joined, HITS)
     each = index.select("block", F.posexplode(F.arrays_zip("doc_id", "text_hash", "ends")).alias("slot", "d"),
                         "ends").select("block", F.col("slot").cast("long").alias("slot"), "d.doc_id", "d.text_hash", F.col("d.ends").alias("end"),
                                        F.when(F.col("slot") > 0, F.element_at("ends", F.col("slot"))).otherwise(0).alias("begin"))

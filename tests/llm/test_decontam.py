@@ -87,3 +87,29 @@ def test_matches_do_not_cross_documents(spark):
     d = spark.createDataFrame([(1, "x a b"), (2, "c d y")], "doc_id long, text string").coalesce(1)
     b = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
     assert [x.n_hit for x in decontam.decontaminate(d, b).collect()] == [0, 0]
+
+
+def test_spans_are_joined_in_linear_time(spark):
+    import time
+    n = 40_000
+    rows = [(1, " ".join(["a b c d e f g h i j k"] * n)), (2, "z " * 50 + "a b c d e f g h i j")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "c d e f g h i j k a"), (3, "only here")], "item_id long, text string")
+    decontam.decontaminate(d.filter("doc_id = 2"), b).collect()
+    t0 = time.time()
+    got = {x.doc_id: (x.n_words, x.n_hit, len(x.spans), x["items"]) for x in decontam.decontaminate(d, b).collect()}
+    assert got == {1: (11 * n, 11 * n - 1, 1, ["1", "2"]), 2: (60, 10, 1, ["1"])}       # 80,000 matches in one document
+    assert time.time() - t0 < 20
+
+
+def test_windows_are_looked_up_by_their_rarest_term():
+    w = decontam.Windows([("1", [b"the", b"x"]), ("2", [b"the", b"y", b"the"]), ("3", [b"the"])])
+    names = w.vocab.to_pylist()
+    at = lambda t: sorted(i for r in w.filed_under(np.array([names.index(t)])) for i in w.items[r])
+    assert (at("x"), at("y"), at("the")) == (["1"], ["2"], ["3"])
+    assert len(w.filed_under(np.zeros(0, dtype=np.int64))) == 0
+
+
+def test_spans_join():
+    doc, first, after = (np.array(x) for x in ([0, 0, 1, 0, 0], [5, 0, 8, 2, 7], [8, 3, 9, 4, 8]))
+    assert [x.tolist() for x in decontam.join_spans(doc, first, after)] == [[0, 0, 1], [0, 5, 8], [4, 8, 9]]
