@@ -1,19 +1,37 @@
-"""The whole trigram model in shards: every word, bigram and trigram of the
-training texts with its exact count.
-
-Words have ids by the rank of their 62-bit hash (checked to be distinct).
-Bigrams are keyed by a one-to-one mix of their two ids, trigrams by a 62-bit
-hash of the bigram's key and the last id.  Each level is cut into shards by
-the top bits of the key, so all shards are of like size whatever the texts
-hold; their number follows the training tokens.  A shard's keys are
-Elias-Fano coded, its counts are bytes with a list of the larger ones.  Tasks
-write the shards to the shared folder of ``spark.checkpoint.dir`` and the
+"""The whole trigram model as Elias-Fano tries in shards: every word, bigram
+and trigram of the training texts.
+
+Words have ids by the rank of their 62-bit hash (checked to be distinct).  A
+two-word context (a, b) belongs to one shard, by a hash of both, with all that
+follows it; so shards are of like size whatever the texts hold, their number
+follows the training tokens, and a frequent word is spread over all of them.
+
+A shard is a trie of three levels (``Trie``).  Its heads are first words, its
+nodes the second words after each head, its leaves the third words after each
+node.  Children stand in the order of their parents, and monotone pointers,
+Elias-Fano coded, delimit those of each.  A child is stored relative to its
+context: the words after a context ascend, and each context begins where the
+one before it ended, so that a level is one ascending Elias-Fano sequence.  A
+query takes a context's base from the value before its range and searches
+base + word; a hit outside the range belongs to another context.
+
+Probabilities are interpolated Witten-Bell over complete counts, down to a
+unigram with ``alpha`` added for each word and for one unseen word.  A leaf
+holds the code of its smoothed share n / (N + K) of the context, a node that
+of its context's back-off weight K / (N + K) and of its own count, from which
+the share of a bigram follows.  Codes have 8 bits and stand for the mean of
+one of 256 equal steps of the logarithm, so a value is off by at most 1 / 256
+of the range of its level's logarithms, mostly by far less.
+
+Tasks write the shards to the shared folder of ``spark.checkpoint.dir`` and the
 scoring tasks map the files into memory; neither the driver nor a broadcast
 holds any of the model.  n-grams travel packed, a row for each shard and
-chunk, summed within a chunk.
+chunk, in context order and summed within a chunk; bigrams need no exchange of
+their own, as a shard has all of a context.
 
-Probabilities are interpolated Witten-Bell over the complete counts, down to
-a unigram with ``alpha`` added for each word and for one unseen word.
+Defined cases: a null text is empty and has its end token; repeated rows are
+scored each; a text of any length is scored whole; without training texts
+every token is unknown; an empty table gives no row; null ids are kept.
 """
 
 from __future__ import annotations
@@ -51,12 +69,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix((a.astype(U64) << U64(ID_BITS)) | b.astype(U64))
+def shard_of(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    """The shard of each context (a, b)."""
+    return mix((a.astype(U64) << U64(ID_BITS)) | b.astype(U64)) >> (BITS - bits)
 
 
-def triple_keys(pair: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return mix((pair.astype(U64) + c.astype(U64) * U64(0x2545F4914F6CDD1D)) & MASK)
+def starts(*columns: np.ndarray) -> np.ndarray:
+    """Where, in sorted columns, a new combination begins."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def by_shard(shard: np.ndarray) -> np.ndarray:
+    """A stable order by shard."""
+    return np.argsort(shard.astype(np.uint16) if shard.max(initial=0) < 1 << 16 else shard, kind="stable")
 
 
 def hashes(words: pa.Array, salt: int) -> np.ndarray:
@@ -84,15 +113,14 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def packed(part: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """(shard, data): a row for each value of ``part``, which is in order.
-    The entries of a row are sorted by the first column, kept as steps."""
+    """(shard, data): a row for each value of ``part``, which is in order, as
+    is the first column within it; that one is kept as steps."""
     shards, at = np.unique(part, return_index=True)
     data = []
     for s, e in zip(at, [*at[1:], len(part)]):
-        o = s + np.argsort(columns[0][s:e])
-        first = columns[0][o].astype(np.int64)
+        first = columns[0][s:e].astype(np.int64)
         steps = np.diff(first, prepend=first[0])
-        data.append(pack([np.array([e - s, first[0]], "<i8"), *[_planes(_narrow(c)) for c in (steps, *[c[o] for c in columns[1:]])]]))
+        data.append(pack([np.array([e - s, first[0]], "<i8"), *[_planes(_narrow(c)) for c in (steps, *[c[s:e] for c in columns[1:]])]]))
     return pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(data, pa.binary())], names=["shard", "data"])
 
 
@@ -108,10 +136,62 @@ def unpacked(batches, width: int) -> list[np.ndarray]:
     return [np.concatenate(p) if p else np.empty(0, np.int64) for p in parts]
 
 
-def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the keys, and where in it each new key begins."""
-    o = np.argsort(key)
-    return o, np.flatnonzero(np.append(True, np.diff(key[o]) > 0)[:len(key)])
+def codes8(x: np.ndarray) -> list[np.ndarray]:
+    """8-bit codes of equal steps between the least and the greatest value,
+    and the mean of each."""
+    if not len(x):
+        return [np.zeros(0, np.uint8), np.zeros(1)]
+    code = np.minimum((x - x.min()) * (256 / (np.ptp(x) or 1.0)), 255).astype(np.uint8)
+    n = np.bincount(code, minlength=256)
+    return [code, np.bincount(code, x, 256) / np.maximum(1, n)]
+
+
+def relative(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Ascending words of each context (which begin at ``first``) as one
+    ascending sequence: a context begins after the last value before it."""
+    last = words[np.append(first[1:], len(words)) - 1] + 1
+    base = np.cumsum(last) - last
+    return words + np.repeat(base, np.diff(np.append(first, len(words))))
+
+
+class Trie:
+    """One shard; see the module's docstring."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.heads, self.to_nodes, self.nodes, self.to_leaves, self.leaves = (EliasFano.of(arrays[3 * k:3 * k + 3]) for k in range(5))
+        self.count, self.counts, self.back, self.backs, self.share, self.shares = arrays[15:21]
+
+    @staticmethod
+    def build(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        """From distinct trigrams in order, with their counts."""
+        node = starts(a, b)
+        head = starts(a[node])
+        total, kinds = np.add.reduceat(n, node), np.diff(np.append(node, len(n)))
+        whole = total + kinds
+        levels = [a[node][head], np.append(head, len(node)), relative(b[node], head), np.append(node, len(n)), relative(c, node)]
+        out = [x for v in levels for x in EliasFano.encode(v).arrays()]
+        for logs in (np.log10(total), np.log10(kinds / whole), np.log10(n / np.repeat(whole, kinds))):
+            out += codes8(logs)
+        return out
+
+    @staticmethod
+    def _child(pointers: EliasFano, level: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The child of each parent for each word, or -1."""
+        lo, hi = pointers.get(parent), pointers.get(parent + 1)
+        base = np.where(lo > 0, level.get(np.maximum(lo - 1, 0)) + 1, 0)
+        at = level.find(base + word)
+        return np.where((at >= lo) & (at < hi), at, -1)
+
+    def node(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The node of each context (sorted by a), or -1."""
+        first = starts(a)
+        head = np.repeat(self.heads.find(a[first]), np.diff(np.append(first, len(a))))
+        out, held = np.full(len(a), -1, dtype=np.int64), np.flatnonzero(head >= 0)
+        out[held] = self._child(self.to_nodes, self.nodes, head[held], b[held])
+        return out
+
+    def leaf(self, node: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return self._child(self.to_leaves, self.leaves, node, c)
 
 
 def _save(path: str, arrays: list[np.ndarray]) -> None:
@@ -183,6 +263,50 @@ class Level:
         return rank[back], [x[back] for x in out]
 
 
+class Tries:
+    """The shards of n-grams, opened as they are needed."""
+
+    def __init__(self, folder: str, bits: int):
+        self.folder, self.bits, self.open = folder, bits, {}
+
+    def shard(self, shard: int) -> Trie | None:
+        if shard not in self.open:
+            if len(self.open) >= OPEN:
+                self.open.pop(next(iter(self.open)))
+            path = f"{self.folder}/trie-{shard}"
+            self.open[shard] = Trie(_load(path)) if os.path.exists(path) else None
+        return self.open[shard]
+
+    def _each(self, shard: np.ndarray):
+        """(trie, places in ``shard``) of every shard that is there."""
+        order = by_shard(shard)
+        at = starts(shard[order])
+        for s, e in zip(at, [*at[1:], len(order)]):
+            trie = self.shard(int(shard[order[s]]))
+            if trie is not None:
+                yield trie, order[s:e]
+
+    def contexts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For contexts sorted by a and b: shard, node (-1 without one), the
+        context's count and its back-off weight (0 without one)."""
+        shard = shard_of(a, b, self.bits)
+        node, count, back = np.full(len(a), -1, dtype=np.int64), np.zeros(len(a)), np.zeros(len(a))
+        for trie, at in self._each(shard):
+            found = trie.node(a[at], b[at])
+            at, found = at[found >= 0], found[found >= 0]
+            node[at], count[at], back[at] = found, 10 ** trie.counts[trie.count[found]], 10 ** trie.backs[trie.back[found]]
+        return shard, node, count, back
+
+    def shares(self, shard: np.ndarray, node: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The share of each word c after a node (0 without a leaf)."""
+        out = np.zeros(len(c))
+        for trie, at in self._each(shard):
+            leaf = trie.leaf(node[at], c[at])
+            at, leaf = at[leaf >= 0], leaf[leaf >= 0]
+            out[at] = 10 ** trie.shares[trie.share[leaf]]
+        return out
+
+
 class Shards:
     """Where the model is, and its few numbers."""
 
@@ -235,7 +359,7 @@ def store_words(vocabulary: DataFrame, total: int, kinds: int, texts: int) -> Sh
             once = np.append(True, np.diff(keys) > 0)[:len(keys)]
             done = save_shards(folder, "words", bits, keys[once], [n[once]])
             yield pa.RecordBatch.from_pylist([{"shard": s, "n": k} for s, k in done], pa.schema([("shard", pa.int64()), ("n", pa.int64())]))
-        rows = vocabulary.mapInArrow(deal, "shard long, data binary").repartition(1 << bits, "shard").mapInArrow(write, "shard long, n long").collect()
+        rows = vocabulary.mapInArrow(deal, "shard long, data binary").repartitionById(1 << bits, F.col("shard").cast("int")).mapInArrow(write, "shard long, n long").collect()
         sizes = {r.shard: r.n for r in rows}
         if sum(sizes.values()) == kinds:
             return Shards(folder, salt, sizes, bits, total, kinds, texts)
@@ -255,62 +379,58 @@ def sequence(model: Shards, ids: np.ndarray, per: np.ndarray, end: int) -> tuple
 
 
 def store_grams(texts: DataFrame, model: Shards) -> None:
-    """The bigrams, the trigrams and the number of words after each word, in
-    one pass over the texts.  A bigram's count is that of the trigrams that
-    begin with it (the end token has the stop mark after it)."""
+    """The tries and the number of words after each word, in one pass over the
+    texts.  A bigram's count is that of the trigrams that begin with it (the
+    end token has the stop mark after it)."""
     from docflow.llm.lm import tokens
     folder, bits = model.folder, model.bits
 
+    def counted(parts):
+        # a chunk has under 2 ** 21 different words: three local numbers make one key
+        seq = np.concatenate(parts)
+        ids, local = np.unique(seq, return_inverse=True)
+        keep = (seq[2:] != model.start) & (seq[1:-1] != model.start)
+        key = np.sort(((local[:-2] << 42) | (local[1:-1] << 21) | local[2:])[keep])
+        at = starts(key)
+        n, key = np.diff(np.append(at, len(key))), key[at]
+        a, b, c = (ids[(key >> k) & ((1 << 21) - 1)] for k in (42, 21, 0))
+        shard = shard_of(a, b, bits)
+        o = by_shard(shard)
+        return packed(shard[o], [x[o] for x in (a, b, c, n)])
+
     def count(batches):
         level = model.words()
         (end,), _ = _ids(model, level, pa.array([""]))
         parts, size = [], 0
-
-        def out():
-            a, b, c = (np.concatenate(x) for x in zip(*parts))
-            parts.clear()
-            key = triple_keys(pair_keys(a, b), c)
-            o, at = runs(key)
-            first = o[at]
-            return packed(key[first] >> (BITS - bits), [a[first], b[first], c[first], np.diff(at, append=len(o))])
         for batch in batches:
             flat, per = tokens(batch.column("t"))
             coded = flat.dictionary_encode()
             ids, _ = _ids(model, level, coded.dictionary)
             seq, _ = sequence(model, ids[coded.indices.to_numpy(zero_copy_only=False)], per, end)
-            a, b, c = seq[:-2], seq[1:-1], seq[2:]
-            keep = (c != model.start) & (b != model.start)
-            parts.append([x[keep].astype(np.uint32) for x in (a, b, c)])
-            size += len(seq)
-            if size > CHUNK:
-                yield out()
-                size = 0
+            for at in range(0, len(seq), CHUNK):
+                # a later piece takes the last two positions again, and never follows its forerunner in a chunk
+                piece = seq[max(0, at - 2):at + CHUNK]
+                if parts and (at or size + len(piece) > CHUNK):
+                    yield counted(parts)
+                    parts, size = [], 0
+                parts.append(piece)
+                size += len(piece)
         if parts:
-            yield out()
+            yield counted(parts)
 
-    def trigrams(batches):
+    def tries(batches):
         a, b, c, n = unpacked(batches, 4)
         if not len(n):
             return
-        key = triple_keys(pair_keys(a, b), c)
-        o, at = runs(key)
-        first = o[at]
-        n, a, b = np.add.reduceat(n[o], at), a[first], b[first]
-        save_shards(folder, "three", bits, key[first], [n])
-        pair = pair_keys(a, b)
-        o, at = runs(pair)
-        first = o[at]
-        yield packed(pair[first] >> (BITS - bits), [a[first], b[first], np.add.reduceat(n[o], at), np.diff(at, append=len(o))])
-
-    def bigrams(batches):
-        a, b, n, k = unpacked(batches, 4)
-        if not len(n):
-            return
-        pair = pair_keys(a, b)
-        o, at = runs(pair)
-        first = o[at]
-        save_shards(folder, "two", bits, pair[first], [np.add.reduceat(n[o], at), np.add.reduceat(k[o], at)])
-        word, k = np.unique(a[first], return_counts=True)
+        pair = (a << ID_BITS) | b
+        o = np.argsort(c, kind="stable")
+        o = o[np.argsort(pair[o], kind="stable")]
+        pair, c, n = pair[o], c[o], n[o]
+        at = starts(pair, c)
+        pair, c, n = pair[at], c[at], np.add.reduceat(n, at)
+        a, b = pair >> ID_BITS, pair & ((1 << ID_BITS) - 1)
+        _save(f"{folder}/trie-{shard_of(a[:1], b[:1], bits)[0]}", Trie.build(a, b, c, n))
+        word, k = np.unique(a[starts(pair)], return_counts=True)
         yield packed(word // BLOCK, [word, k])
 
     def after(batches):
@@ -320,10 +440,9 @@ def store_grams(texts: DataFrame, model: Shards) -> None:
             _save(f"{folder}/after-{block}", [np.bincount(word[of] % BLOCK, k[of], BLOCK).astype("<u4")])
         yield pa.RecordBatch.from_pylist([{"n": int(k.sum())}], pa.schema([("n", pa.int64())]))
 
-    form, shards = "shard long, data binary", 1 << bits
-    dealt = texts.mapInArrow(count, form).repartition(shards, "shard").mapInArrow(trigrams, form)
-    dealt = dealt.repartition(shards, "shard").mapInArrow(bigrams, form)
-    dealt.repartition(model.stop // BLOCK + 1, "shard").mapInArrow(after, "n long").agg(F.sum("n")).collect()
+    form, number = "shard long, data binary", F.col("shard").cast("int")      # a task for each shard
+    dealt = texts.mapInArrow(count, form).repartitionById(1 << bits, number).mapInArrow(tries, form)
+    dealt.repartitionById(model.stop // BLOCK + 1, number).mapInArrow(after, "n long").agg(F.sum("n")).collect()
 
 
 def score_texts(docs: DataFrame, model: Shards, alpha: float) -> DataFrame:
@@ -332,7 +451,7 @@ def score_texts(docs: DataFrame, model: Shards, alpha: float) -> DataFrame:
     from docflow.llm.lm import tokens
     norm = model.total + alpha * (model.kinds + 1)
 
-    def scored(rows, level, two, three):
+    def scored(rows, level, tries):
         end, (n_end,) = _ids(model, level, pa.array([""]))
         flat, per = tokens(rows.column("t"))
         coded = flat.dictionary_encode()
@@ -348,19 +467,23 @@ def score_texts(docs: DataFrame, model: Shards, alpha: float) -> DataFrame:
         count[ends] = n_end
         real = np.flatnonzero(~opens & (seq != model.stop))
         low = (count[real] + alpha) / norm
-        prev, cur = seq[real - 1], seq[real]
-        seen2, kinds2 = np.zeros(len(seq), np.int64), np.zeros(len(seq), np.int64)
-        key2 = pair_keys(prev, cur)
-        maybe = np.flatnonzero((count[real - 1] > 0) & (count[real] > 0))
-        _, (seen2[real[maybe]], kinds2[real[maybe]]) = two.find(key2[maybe])
-        k = follow[real - 1]
-        mid = np.where(count[real - 1] > 0, (seen2[real] + k * low) / np.maximum(1, count[real - 1] + k), low)
-        n_ctx, k_ctx = seen2[real - 1], kinds2[real - 1]
-        n3 = np.zeros(len(real), np.int64)
-        maybe = np.flatnonzero((n_ctx > 0) & (seen2[real] > 0))
-        before = pair_keys(seq[real[maybe] - 2], prev[maybe])
-        _, (n3[maybe],) = three.find(triple_keys(before, cur[maybe]))
-        top = np.where(n_ctx > 0, (n3 + k_ctx * mid) / np.maximum(1, n_ctx + k_ctx), mid)
+        # each different pair of known words is looked up once, as bigram and as context
+        known = real[(count[real - 1] > 0) & (count[real] > 0)]
+        pairs, which = np.unique((seq[known - 1] << ID_BITS) | seq[known], return_inverse=True)
+        shard, node, total, back = tries.contexts(pairs >> ID_BITS, pairs & ((1 << ID_BITS) - 1))
+        pair = np.full(len(seq), -1, dtype=np.int64)       # of the word at a place and the one before it
+        pair[known] = which
+        pick = lambda values, of: np.where(of >= 0, values[np.maximum(of, 0)] if len(values) else 0.0, 0.0)
+        seen, n1, k1 = pick(total, pair[real]), count[real - 1], follow[real - 1]
+        mid = np.where(n1 > 0, (seen + k1 * low) / np.maximum(1, n1 + k1), low)
+        context = pair[real - 1]
+        weight = pick(back, context)
+        maybe = np.flatnonzero((weight > 0) & (seen > 0))
+        keys, which = np.unique(context[maybe] * (model.stop + 1) + seq[real[maybe]], return_inverse=True)
+        of, word = np.divmod(keys, model.stop + 1)
+        share = np.zeros(len(real))
+        share[maybe] = tries.shares(shard[of], node[of], word)[which]
+        top = np.where(weight > 0, share + weight * mid, mid)
         sums = lambda x: np.bincount(doc[real], x, len(per))
         return pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), rows.column("held_out"), pa.array(per + 1, pa.int64()),
@@ -368,7 +491,7 @@ def score_texts(docs: DataFrame, model: Shards, alpha: float) -> DataFrame:
             names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     def run(batches):
-        levels = model.words(), Level(model.folder, "two", model.bits, values=2), Level(model.folder, "three", model.bits)
+        levels = model.words(), Tries(model.folder, model.bits)
         for b in batches:
             upto = np.cumsum(pc.binary_length(b.column("t")).to_numpy(zero_copy_only=False))
             at = 0
