@@ -13,16 +13,24 @@ import numpy as np
 U64 = np.uint64
 
 
+_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+#: Place of the k-th (from 0) one bit of each byte (8: there is none).
+_IN_BYTE = np.array([[*np.flatnonzero(row), *[8] * 8][:8] for row in _ONES], dtype=np.uint8).ravel()
+
+
 def _bit_select(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Position of the k-th (from 0) one bit of each word."""
-    at = np.zeros(len(word), dtype=U64)
-    k = k.astype(np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        ones = np.bitwise_count((word >> at) & U64((1 << half) - 1)).astype(np.int64)
-        up = k >= ones
-        k = np.where(up, k - ones, k)
-        at = np.where(up, at + U64(half), at)
-    return at.astype(np.int64)
+    octets = np.ascontiguousarray(word).view(np.uint8).reshape(-1, 8)
+    upto = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.uint8)
+    at = (upto <= k.astype(np.uint8)[:, None]).sum(axis=1, dtype=np.int64)
+    row = np.arange(len(at)) * 8 + at
+    before = np.where(at > 0, upto.ravel()[row - 1], 0)
+    return at * 8 + _IN_BYTE[octets.ravel()[row].astype(np.int64) * 8 + k - before]
+
+
+def _trailing(x: np.ndarray) -> np.ndarray:
+    """Number of zeros below the lowest one bit (64: there is none)."""
+    return np.bitwise_count((x & (~x + U64(1))) - U64(1)).astype(np.int64)
 
 
 class EliasFano:
@@ -69,22 +77,51 @@ class EliasFano:
         rest = np.where(off > 0, self.low[word + 1] << ((U64(64) - off) & U64(63)), U64(0))
         return ((self.low[word] >> off) | rest) & self.mask
 
+    def _place(self, i: np.ndarray) -> np.ndarray:
+        """Places of the one bits of the elements ``i``."""
+        word = np.searchsorted(self.ones, i, side="right") - 1
+        return word * 64 + _bit_select(self.high[word], i - self.ones[word])
+
+    def _value(self, place: np.ndarray, i: np.ndarray) -> np.ndarray:
+        return (((place - i).astype(np.uint64) << U64(self.low_bits)) | self._low(i)).astype(np.int64)
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at positions ``i``."""
         i = np.asarray(i, dtype=np.int64)
-        word = np.searchsorted(self.ones, i, side="right") - 1
-        high = (word * 64 + _bit_select(self.high[word], i - self.ones[word]) - i).astype(np.uint64)
-        return ((high << U64(self.low_bits)) | self._low(i)).astype(np.int64)
-
-    def _bucket(self, h: np.ndarray) -> np.ndarray:
-        """Number of elements whose high part is below ``h``."""
-        out = np.zeros(len(h), dtype=np.int64)
-        inside = (h > 0) & (h <= self.zeros[-1])
-        out[h > self.zeros[-1]] = self.n
+        return self._value(self._place(i), i)
+
+    def get_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at positions ``i`` and ``i + 1``: the second one's bit is
+        mostly in the word of the first."""
+        i = np.asarray(i, dtype=np.int64)
+        first = self._place(i)
+        rest = (self.high[first >> 6] >> (first & 63).astype(U64)) >> U64(1)
+        second = first + 1 + _trailing(rest)
+        far = np.flatnonzero(rest == 0)
+        second[far] = self._place(i[far] + 1)
+        return self._value(first, i), self._value(second, i + 1)
+
+    def _bucket(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of elements whose high part is below ``h``, and of those
+        with ``h`` at most."""
+        lo = np.zeros(len(h), dtype=np.int64)
+        place = np.full(len(h), -1, dtype=np.int64)       # of the zero before the bucket
+        inside = np.flatnonzero((h > 0) & (h <= self.zeros[-1]))
         k = h[inside] - 1                     # the h-th zero ends the elements below h
         word = np.searchsorted(self.zeros, k, side="right") - 1
-        out[inside] = word * 64 + _bit_select(~self.high[word], k - self.zeros[word]) - k
-        return out
+        place[inside] = word * 64 + _bit_select(~self.high[word], k - self.zeros[word])
+        lo[inside] = place[inside] - k
+        beyond = h > self.zeros[-1]
+        lo[beyond], place[beyond] = self.n, 64 * len(self.high) - 1
+        run, at = np.zeros(len(h), dtype=np.int64), place + 1
+        live = np.flatnonzero(at < 64 * len(self.high))
+        while len(live):                      # the run of ones, word by word
+            left = 64 - (at[live] & 63)
+            ones = np.minimum(_trailing(~(self.high[at[live] >> 6] >> (at[live] & 63).astype(U64))), left)
+            run[live] += ones
+            at[live] += ones
+            live = live[(ones == left) & (at[live] < 64 * len(self.high))]
+        return lo, lo + run
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Position of each value ``x`` (the first, if it repeats), or -1."""
@@ -93,19 +130,21 @@ class EliasFano:
             return np.full(len(x), -1, dtype=np.int64)
         valid = x >= 0
         v = np.where(valid, x, 0).astype(np.uint64)
-        h, want = (v >> U64(self.low_bits)).astype(np.int64), v & self.mask
-        lo, end = self._bucket(h), self._bucket(h + 1)
+        want = v & self.mask
+        lo, end = self._bucket((v >> U64(self.low_bits)).astype(np.int64))
         hi = end.copy()
-        live = np.flatnonzero(lo < hi)
+        live = np.flatnonzero(hi - lo > 1)
         while len(live):                      # successor search among the low bits of the bucket
             mid = (lo[live] + hi[live]) >> 1
-            less = self._low(mid) < want[live]
-            lo[live[less]] = mid[less] + 1
+            less = self._low(mid - 1) < want[live]
+            lo[live[less]] = mid[less]
             hi[live[~less]] = mid[~less]
-            live = live[lo[live] < hi[live]]
-        hit = valid & (lo < end)
-        hit[hit] = self._low(lo[hit]) == want[hit]
-        return np.where(hit, lo, -1)
+            live = live[hi[live] - lo[live] > 1]
+        hit = np.flatnonzero(valid & (lo < end))
+        out = np.full(len(x), -1, dtype=np.int64)
+        same = self._low(lo[hit]) == want[hit]
+        out[hit[same]] = lo[hit[same]]
+        return out
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:

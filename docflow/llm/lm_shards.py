@@ -177,7 +177,7 @@ class Trie:
     @staticmethod
     def _child(pointers: EliasFano, level: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The child of each parent for each word, or -1."""
-        lo, hi = pointers.get(parent), pointers.get(parent + 1)
+        lo, hi = pointers.get_two(parent)
         base = np.where(lo > 0, level.get(np.maximum(lo - 1, 0)) + 1, 0)
         at = level.find(base + word)
         return np.where((at >= lo) & (at < hi), at, -1)
@@ -366,13 +366,13 @@ def store_words(vocabulary: DataFrame, total: int, kinds: int, texts: int) -> Sh
     raise ValueError("word hashes collide")
 
 
-def sequence(model: Shards, ids: np.ndarray, per: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+def sequence(ids: np.ndarray, per: np.ndarray, start: int, end: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts one after the other, each between a start mark and an end
     token with a stop mark; and the position of every word."""
     size = per + 3
     ends = np.cumsum(size)
     out = np.empty(int(size.sum()), np.int64)
-    out[ends - size], out[ends - 2], out[ends - 1] = model.start, end, model.stop
+    out[ends - size], out[ends - 2], out[ends - 1] = start, end, stop
     at = np.arange(len(ids)) + 3 * np.repeat(np.arange(len(per)), per) + 1
     out[at] = ids
     return out, at
@@ -387,9 +387,10 @@ def store_grams(texts: DataFrame, model: Shards) -> None:
 
     def counted(parts):
         # a chunk has under 2 ** 21 different words: three local numbers make one key
-        seq = np.concatenate(parts)
-        ids, local = np.unique(seq, return_inverse=True)
-        keep = (seq[2:] != model.start) & (seq[1:-1] != model.start)
+        ids = np.unique(np.concatenate([own for own, _ in parts]))
+        local = np.concatenate([np.searchsorted(ids, own)[seq] for own, seq in parts])
+        opens = local == np.searchsorted(ids, model.start)
+        keep = ~(opens[2:] | opens[1:-1])
         key = np.sort(((local[:-2] << 42) | (local[1:-1] << 21) | local[2:])[keep])
         at = starts(key)
         n, key = np.diff(np.append(at, len(key))), key[at]
@@ -406,14 +407,15 @@ def store_grams(texts: DataFrame, model: Shards) -> None:
             flat, per = tokens(batch.column("t"))
             coded = flat.dictionary_encode()
             ids, _ = _ids(model, level, coded.dictionary)
-            seq, _ = sequence(model, ids[coded.indices.to_numpy(zero_copy_only=False)], per, end)
+            own, k = np.append(ids, [model.start, end, model.stop]), len(ids)
+            seq, _ = sequence(coded.indices.to_numpy(zero_copy_only=False), per, k, k + 1, k + 2)
             for at in range(0, len(seq), CHUNK):
                 # a later piece takes the last two positions again, and never follows its forerunner in a chunk
                 piece = seq[max(0, at - 2):at + CHUNK]
                 if parts and (at or size + len(piece) > CHUNK):
                     yield counted(parts)
                     parts, size = [], 0
-                parts.append(piece)
+                parts.append((own, piece))
                 size += len(piece)
         if parts:
             yield counted(parts)
@@ -458,7 +460,7 @@ def score_texts(docs: DataFrame, model: Shards, alpha: float) -> DataFrame:
         ids, n = _ids(model, level, coded.dictionary)
         codes = coded.indices.to_numpy(zero_copy_only=False)
         after = model.successors(ids)
-        seq, at = sequence(model, ids[codes], per, end[0])
+        seq, at = sequence(ids[codes], per, model.start, end[0], model.stop)
         doc = np.repeat(np.arange(len(per)), per + 3)
         count, follow = np.zeros(len(seq), np.int64), np.zeros(len(seq), np.int64)
         count[at], follow[at] = n[codes], after[codes]
