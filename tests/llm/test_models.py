@@ -1,10 +1,14 @@
 """Quality, toxicity, language and URL models: held-out accuracy, parts
 against brute force, and odd inputs."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from docflow.llm import langid, quality, toxicity, url_filter
@@ -151,13 +155,58 @@ def test_language_held_out(spark):
 
 
 def test_word_first_then_longest_known_grams():
-    two = lambda a, b: np.array([a, b])
-    m = langid.Model(["a", "b"], {0: {"known": two(-1.0, -9.0)}, 4: {"\x02new": two(-2.0, -3.0)}, 3: {"unk": two(-3.0, -1.0)}, 2: {}, 1: {"z": two(-5.0, -4.0)}})
-    assert list(m.vector("known")) == [-1.0, -9.0]
-    assert list(m.vector("newly")) == [-2.0, -3.0]
-    assert list(m.vector("unknow")) == [-3.0, -1.0]
-    assert list(m.vector("zzz")) == [-5.0, -4.0]
-    assert m.vector("qq") is None
+    table = lambda rows: langid.Table(pa.array(list(rows), pa.large_string()), np.array(list(rows.values())).reshape(len(rows), 2))
+    m = langid.Model(["a", "b"], table({"known": [-1.0, -9.0]}), {4: table({"\x02new": [-2.0, -3.0]}), 3: table({"unk": [-3.0, -1.0], "nkn": [-1.0, -1.0]}),
+                                                                  2: table({}), 1: table({"z": [-5.0, -4.0]})})
+    got = m.vectors(pa.array(["known", "newly", "unknow", "zzz", "qq"]))
+    assert got.tolist() == [[-1.0, -9.0], [-2.0, -3.0], [-2.0, -1.0], [-5.0, -4.0], [0.0, 0.0]]
+
+
+def brute_language(train, texts):
+    """Plain dictionaries of all words and n-grams of the training texts."""
+    find = lambda t: regex.findall(r"\p{L}+", (t or "").lower())
+    marked = lambda w, n: f"\x02{w}\x03" if n > 1 else w
+    grams = lambda w, n: [marked(w, n)[i:i + n] for i in range(len(marked(w, n)) - n + 1)] if n else [w]
+    langs = sorted({x for _, x in train if x is not None})
+    count = {n: {x: Counter(g for t, y in train if y == x for w in find(t) for g in grams(w, n)) for x in langs} for n in range(5)}
+    keys = {n: set().union(*count[n].values()) for n in count}
+    log = lambda n, g: [math.log10((count[n][x][g] + 0.5) / (sum(count[n][x].values()) + 0.5 * (len(keys[n]) + 1))) for x in langs]
+
+    def word(w):
+        for n in (0, 4, 3, 2, 1):
+            known = [log(n, g) for g in grams(w, n) if g in keys[n]]
+            if known:
+                return [sum(c) / len(known) for c in zip(*known)]
+        return [0.0] * len(langs)
+    out = []
+    for t in texts:
+        ws = find(t)
+        if not ws:
+            out.append(("und", 0.0))
+            continue
+        total = [sum(c) for c in zip(*map(word, ws))]
+        p = [10 ** ((x - max(total)) / len(ws) * min(len(ws), 20)) for x in total]
+        out.append((langs[total.index(max(total))], max(p) / sum(p)))
+    return out
+
+
+def test_predictions_are_those_of_plain_dictionaries(spark):
+    r = random.Random(4)
+    vocab = {x: ["".join(r.choice(letters) for _ in range(r.randint(1, 8))) for _ in range(30)] for x, letters in (("a", "abcdé"), ("b", "cdefß"), ("c", "acfgñ"))}
+    make = lambda x: r.choice([" ", ", ", " 7 "]).join(r.choice(vocab[x]).title() for _ in range(r.choice([1, 4, 30])))
+    train = [(make(x), x) for x in "abc" for _ in range(15)] + [("x y", None), (None, "a"), ("once", "c")]
+    texts = [make(r.choice("abc")) + r.choice(["", " zzgg", " abß"]) for _ in range(60)] + [None, "", "12 !?", "once"]
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(train)], "doc_id long, text string, lang string")
+    got = {x.doc_id: x for x in langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), langid.fit(docs)).collect()}
+    for i, (lang, score) in enumerate(brute_language(train, texts)):
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score), i
+    assert got[63].lang_pred == "c"          # known from one occurrence
+
+
+def test_the_sample_is_bounded_by_language(spark):
+    rows = [(i, f"w{i}" if i % 5 else "rare", "big" if i % 5 else "small") for i in range(5000)]
+    m = langid.fit(spark.createDataFrame([(i, t.translate(str.maketrans("0123456789", "abcdefghij")), x) for i, t, x in rows], "doc_id long, text string, lang string"), per_lang=200)
+    assert m.langs == ["big", "small"] and 120 < len(m.words.keys) < 300
 
 
 def test_counts_are_exact(spark):
