@@ -8,12 +8,13 @@ follows the training tokens, and a frequent word is spread over all of them.
 
 A shard is a trie of three levels (``Trie``).  Its heads are first words, its
 nodes the second words after each head, its leaves the third words after each
-node.  Children stand in the order of their parents, and monotone pointers,
-Elias-Fano coded, delimit those of each.  A child is stored relative to its
-context: the words after a context ascend, and each context begins where the
-one before it ended, so that a level is one ascending Elias-Fano sequence.  A
-query takes a context's base from the value before its range and searches
-base + word; a hit outside the range belongs to another context.
+node.  Children stand in the order of their parents, and each is stored
+relative to its context: the words after a context ascend, and each context
+begins where the one before it ended, so that a level is one ascending
+Elias-Fano sequence.  Monotone pointers, Elias-Fano coded, say where the values
+of each context begin.  A query takes a context's base and end from them and
+searches the successor base + word; a value from the end on belongs to another
+context.
 
 Probabilities are interpolated Witten-Bell over complete counts, down to a
 unigram with ``alpha`` added for each word and for one unseen word.  A leaf
@@ -36,7 +37,6 @@ every token is unknown; an empty table gives no row; null ids are kept.
 
 from __future__ import annotations
 
-import hashlib
 import mmap
 import os
 import uuid
@@ -89,9 +89,22 @@ def by_shard(shard: np.ndarray) -> np.ndarray:
 
 
 def hashes(words: pa.Array, salt: int) -> np.ndarray:
-    mark = salt.to_bytes(8, "little")
-    raw = b"".join(hashlib.blake2b(w, digest_size=8, salt=mark).digest() for w in words.cast(pa.large_binary()).to_numpy(zero_copy_only=False))
-    return (np.frombuffer(raw, "<u8") & MASK).astype(np.int64)
+    """62-bit hashes: the bytes of a word are the digits of a number to a base
+    that the salt picks, modulo 2 ** 64, and its bits are then scrambled."""
+    words = words.cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    size, out = np.diff(ends), np.zeros(len(words), dtype=U64)
+    if not size.sum():
+        return mix(out & MASK)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(U64) + U64(1)
+    base = U64((0x9E3779B97F4A7C15 * (2 * salt + 1) | 1) & (2**64 - 1))
+    power = np.cumprod(np.full(size.max(), base, dtype=U64))
+    first = ends[:-1] - ends[0]
+    digit = np.arange(len(data)) - np.repeat(first, size)
+    full = size > 0
+    out[full] = np.add.reduceat(data * power[digit], first[full])
+    out ^= out >> U64(32)
+    return mix(out & MASK)
 
 
 def shard_bits(items: int) -> int:
@@ -146,19 +159,20 @@ def codes8(x: np.ndarray) -> list[np.ndarray]:
     return [code, np.bincount(code, x, 256) / np.maximum(1, n)]
 
 
-def relative(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+def relative(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending words of each context (which begin at ``first``) as one
-    ascending sequence: a context begins after the last value before it."""
+    ascending sequence, and where in it each context begins: after the last
+    value of the one before it.  The last entry is the end."""
     last = words[np.append(first[1:], len(words)) - 1] + 1
     base = np.cumsum(last) - last
-    return words + np.repeat(base, np.diff(np.append(first, len(words))))
+    return words + np.repeat(base, np.diff(np.append(first, len(words)))), np.append(base, base[-1] + last[-1])
 
 
 class Trie:
     """One shard; see the module's docstring."""
 
     def __init__(self, arrays: list[np.ndarray]):
-        self.heads, self.to_nodes, self.nodes, self.to_leaves, self.leaves = (EliasFano.of(arrays[3 * k:3 * k + 3]) for k in range(5))
+        self.heads, self.nodes, self.to_nodes, self.leaves, self.to_leaves = (EliasFano.of(arrays[3 * k:3 * k + 3]) for k in range(5))
         self.count, self.counts, self.back, self.backs, self.share, self.shares = arrays[15:21]
 
     @staticmethod
@@ -168,7 +182,7 @@ class Trie:
         head = starts(a[node])
         total, kinds = np.add.reduceat(n, node), np.diff(np.append(node, len(n)))
         whole = total + kinds
-        levels = [a[node][head], np.append(head, len(node)), relative(b[node], head), np.append(node, len(n)), relative(c, node)]
+        levels = [a[node][head], *relative(b[node], head), *relative(c, node)]
         out = [x for v in levels for x in EliasFano.encode(v).arrays()]
         for logs in (np.log10(total), np.log10(kinds / whole), np.log10(n / np.repeat(whole, kinds))):
             out += codes8(logs)
@@ -177,10 +191,8 @@ class Trie:
     @staticmethod
     def _child(pointers: EliasFano, level: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The child of each parent for each word, or -1."""
-        lo, hi = pointers.get_two(parent)
-        base = np.where(lo > 0, level.get(np.maximum(lo - 1, 0)) + 1, 0)
-        at = level.find(base + word)
-        return np.where((at >= lo) & (at < hi), at, -1)
+        base, end = pointers.get_two(parent)
+        return np.where(base + word < end, level.find(base + word), -1)
 
     def node(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The node of each context (sorted by a), or -1."""
@@ -424,10 +436,14 @@ def store_grams(texts: DataFrame, model: Shards) -> None:
         a, b, c, n = unpacked(batches, 4)
         if not len(n):
             return
+        # the chunks are in order, so both sorts merge runs
         pair = (a << ID_BITS) | b
-        o = np.argsort(c, kind="stable")
-        o = o[np.argsort(pair[o], kind="stable")]
+        o = np.argsort(pair, kind="stable")
         pair, c, n = pair[o], c[o], n[o]
+        rank = np.zeros(len(pair), dtype=np.int64)
+        rank[starts(pair)[1:]] = 1
+        o = np.argsort((np.cumsum(rank) << ID_BITS) | c, kind="stable")
+        c, n = c[o], n[o]
         at = starts(pair, c)
         pair, c, n = pair[at], c[at], np.add.reduceat(n, at)
         a, b = pair >> ID_BITS, pair & ((1 << ID_BITS) - 1)
