@@ -57,15 +57,28 @@ def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(full)), np.diff(ends[off])
 
 
+GATHER = 32 << 20      # bytes of words that a task counts at a time
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(t) -> (word, n): every distinct word, and the end token as ``''``."""
     def run(batches):
+        held, size, ends = [], 0, 0
+
+        def out():
+            vc = pa.chunked_array(held, pa.large_string()).value_counts()
+            return pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([vc.field(0).cast(pa.string()), pa.array([""])]),
+                 pa.concat_arrays([vc.field(1).cast(pa.int64()), pa.array([ends], pa.int64())])], names=["word", "n"])
         for b in batches:
             flat, per = tokens(b.column("t"))
-            vc = flat.value_counts()
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([vc.field(0).cast(pa.string()), pa.array([""])]),
-                 pa.concat_arrays([vc.field(1).cast(pa.int64()), pa.array([len(per)], pa.int64())])], names=["word", "n"])
+            held.append(flat)
+            size, ends = size + flat.nbytes, ends + len(per)
+            if size > GATHER:
+                yield out()
+                held, size, ends = [], 0, 0
+        if ends:
+            yield out()
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 

@@ -56,7 +56,7 @@ MASK = U64((1 << BITS) - 1)
 SHARD = 1_500_000      # training tokens for each shard, at most
 BLOCK = 1 << 20        # ids in a file of successor counts
 CHUNK = 2_000_000      # positions counted at a time
-PIECE = 4 << 20        # bytes of text scored at a time (a text is not cut)
+PIECE = 8 << 20        # bytes of text scored at a time (a text is not cut)
 OPEN = 64              # shards of a level that a task keeps open
 
 
@@ -188,91 +188,23 @@ class Trie:
             out += codes8(logs)
         return out
 
-    @staticmethod
-    def _child(pointers: EliasFano, level: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The child of each parent for each word, or -1."""
-        base, end = pointers.get_two(parent)
-        return np.where(base + word < end, level.find(base + word), -1)
-
     def node(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The node of each context (sorted by a), or -1."""
         first = starts(a)
-        head = np.repeat(self.heads.find(a[first]), np.diff(np.append(first, len(a))))
-        out, held = np.full(len(a), -1, dtype=np.int64), np.flatnonzero(head >= 0)
-        out[held] = self._child(self.to_nodes, self.nodes, head[held], b[held])
+        head = self.heads.find(a[first])
+        base, end = np.zeros(len(head), dtype=np.int64), np.zeros(len(head), dtype=np.int64)
+        held = np.flatnonzero(head >= 0)
+        base[held], end[held] = self.to_nodes.get_two(head[held])
+        each = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(a))))
+        out, value = np.full(len(a), -1, dtype=np.int64), base[each] + b
+        inside = np.flatnonzero(value < end[each])
+        out[inside] = self.nodes.find(value[inside])
         return out
 
     def leaf(self, node: np.ndarray, c: np.ndarray) -> np.ndarray:
-        return self._child(self.to_leaves, self.leaves, node, c)
-
-
-def _save(path: str, arrays: list[np.ndarray]) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    own = f"{path}.{uuid.uuid4().hex}"
-    with open(own, "wb") as f:
-        f.write(pack(arrays))
-    os.replace(own, path)
-
-
-def _load(path: str) -> list[np.ndarray]:
-    with open(path, "rb") as f:
-        return unpack(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-
-
-def save_shards(folder: str, level: str, bits: int, keys: np.ndarray, values: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Files of the shards that ``keys`` (in order, distinct) are in; (shard,
-    number of keys) of each."""
-    part, out = keys >> (BITS - bits), []
-    shards, at = np.unique(part, return_index=True)
-    for shard, s, e in zip(shards, at, [*at[1:], len(keys)]):
-        arrays = EliasFano.encode(keys[s:e] & ((1 << (BITS - bits)) - 1)).arrays()
-        for v in values:
-            big = np.flatnonzero(v[s:e] > 254)
-            arrays += [np.minimum(v[s:e], 255).astype(np.uint8), big, v[s:e][big].astype("<i8")]
-        _save(f"{folder}/{level}-{shard}", arrays)
-        out.append((int(shard), int(e - s)))
-    return out
-
-
-class Level:
-    """Shards of a level, opened as they are needed."""
-
-    def __init__(self, folder: str, level: str, bits: int, sizes: dict[int, int] | None = None, values: int = 1):
-        self.path, self.bits, self.values = f"{folder}/{level}", bits, values
-        self.first, self.open, upto = {}, {}, 0
-        for shard, n in sorted((sizes or {}).items()):
-            self.first[shard], upto = upto, upto + n
-
-    def shard(self, shard: int) -> tuple[EliasFano, list[np.ndarray]] | None:
-        if shard not in self.open:
-            if len(self.open) >= OPEN:
-                self.open.pop(next(iter(self.open)))
-            path = f"{self.path}-{shard}"
-            arrays = _load(path) if os.path.exists(path) else None
-            self.open[shard] = arrays and (EliasFano.of(arrays[:3]), arrays[3:])
-        return self.open[shard]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Rank of each key among all keys (-1 without one; within its shard
-        if the sizes are not known), and its values (0 without one)."""
-        u, back = np.unique(keys, return_inverse=True)
-        rank, out = np.full(len(u), -1, np.int64), [np.zeros(len(u), np.int64) for _ in range(self.values)]
-        shards, at = np.unique(u >> (BITS - self.bits), return_index=True)
-        for shard, s, e in zip(shards.tolist(), at, [*at[1:], len(u)]):
-            held = self.shard(shard)
-            if held is None:
-                continue
-            coded, arrays = held
-            pos = coded.find(u[s:e] & ((1 << (BITS - self.bits)) - 1))
-            hit = np.flatnonzero(pos >= 0)
-            rank[s + hit] = pos[hit] + self.first.get(shard, 0)
-            for k in range(self.values):
-                small, big, value = arrays[3 * k:3 * k + 3]
-                got = small[pos[hit]].astype(np.int64)
-                large = np.flatnonzero(got == 255)
-                got[large] = value[np.searchsorted(big, pos[hit][large])]
-                out[k][s + hit] = got
-        return rank[back], [x[back] for x in out]
+        """The leaf of each word after each node, or -1."""
+        base, end = self.to_leaves.get_two(node)
+        return np.where(base + c < end, self.leaves.find(base + c), -1)
 
 
 class Tries:
