@@ -23,8 +23,8 @@ Defined cases: a null text counts as empty and stays null in the shards; null
 ids are ids like others; equal texts are records of their own and are not kept
 together; rows that repeat id and text may change places among themselves;
 a text larger than a bucket is one record of one bucket; an empty table
-gives empty shards; input columns pass unchanged, and one called ``shard`` or
-``slot`` or starting with ``__docflow_`` is refused with a message.
+gives empty shards; input columns pass unchanged, and where one is called ``shard``
+or ``slot``, the result's column of that name gets underscores at its end.
 """
 
 from __future__ import annotations
@@ -104,9 +104,10 @@ def shuffled_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` with ``shard`` (int) and ``slot`` (long), from a written
     table that holds the buckets in their shuffled order."""
-    taken = [c for c in docs.columns if c in ("shard", "slot") or c.startswith("__docflow_")]
-    if taken:
-        raise ValueError(f"rename the columns {taken}: the shards have columns of these names")
+    # inside, columns have names by their place, so that none can clash
+    names = docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
     n, buckets, hot = totals(docs, id_col, text_col, bucket_bytes, shards)
     h = F.xxhash64(F.col(id_col), text_of(text_col))
     marked = docs.withColumn("__docflow_h", h).join(F.broadcast(hot), F.col("__docflow_h") == F.col("__docflow_hot"), "left")
@@ -124,10 +125,17 @@ def shuffled_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     at = F.col("__docflow_start") + F.col("__docflow_place")
     # the shard whose range holds a place: the largest s with s * n // shards <= place
     shard = F.expr(f"((__docflow_at + 1) * {shards} - 1) div {max(n, 1)}")
-    return (placed.join(F.broadcast(starts), F.col("__docflow_bucket") == F.col("__docflow_b")).withColumn("__docflow_at", at)
-            .withColumn("shard", shard.cast("int"))
-            .withColumn("slot", F.col("__docflow_at") - F.expr(f"(shard * {n}L) div {shards}"))
-            .drop(*[c for c in ("bucket", "place", "b", "start", "at") for c in (f"__docflow_{c}",)]))
+    out = (placed.join(F.broadcast(starts), F.col("__docflow_bucket") == F.col("__docflow_b")).withColumn("__docflow_at", at)
+           .withColumn("shard", shard.cast("int"))
+           .withColumn("slot", F.col("__docflow_at") - F.expr(f"(shard * {n}L) div {shards}")))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
+                      *[F.col(c).alias(unused(c, names)) for c in ("shard", "slot")])
+
+
+def unused(name: str, taken: list[str]) -> str:
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
 
 
 def write_shards(shards: DataFrame, path: str) -> None:

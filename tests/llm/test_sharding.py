@@ -103,5 +103,7 @@ def test_layout_does_not_matter_and_files_ascend(spark, scratch):
 def test_empty_and_clashing(spark):
     assert sharding.shuffled_shards(frame(spark, [])).collect() == []
     assert [(r.shard, r.slot) for r in sharding.shuffled_shards(frame(spark, [(None, None)])).collect()] == [(7, 0)]
-    with pytest.raises(ValueError, match="slot"):
-        sharding.shuffled_shards(frame(spark, []).withColumn("slot", F.lit(1)))
+    odd = frame(spark, [(1, "a"), (2, "b")]).withColumn("slot", F.lit("x")).withColumn("__docflow_h", F.lit(9)).withColumn("c0", F.lit(7))
+    got = sharding.shuffled_shards(odd, 2)
+    assert got.columns == [*odd.columns, "shard", "slot_"]
+    assert sorted((r.doc_id, r.slot, r["__docflow_h"], r.c0, r.slot_) for r in got.collect()) == [(1, "x", 9, 7, 0), (2, "x", 9, 7, 0)]
