@@ -48,6 +48,23 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def by_place(docs: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by their place, so that no name clashes
+    with a helper's, and the new names of the columns ``named``."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [f"c{docs.columns.index(c)}" for c in named]
+
+
+def own_names(out: DataFrame, docs: DataFrame, *results: str) -> DataFrame:
+    """Undoes ``by_place``: the columns of ``docs`` under their names, then the
+    ``results``, with underscores at the end of a name that ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    def unused(name: str) -> str:
+        while name.lower() in taken:
+            name += "_"
+        return name
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], *[F.col(r).alias(unused(r)) for r in results])
+
+
 def keep_rows(docs: DataFrame, keys: dict[str, Column], drop: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``keys`` (name -> expression) are not in
     ``drop`` (a table with those names), null-safe, with the columns of

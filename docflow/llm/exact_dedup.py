@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import materialize, text_of
+from docflow.llm.common import by_place, materialize, own_names, text_of
 
 PREFIX_CHARS = 256
 
@@ -80,6 +80,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     repeat id and text go through a distinct on the digest instead (few
     rows: only those of groups in which the winner's id occurs twice).
     """
+    given = docs
+    docs, (id_col, text_col) = by_place(docs, id_col, text_col)
     text = text_of(text_col)
     sig = materialize(signatures(docs, text, id_col), "exact-sig")
     groups = duplicate_groups(sig)
@@ -94,7 +96,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     helpers = [c for c in joined.columns if c.startswith("__docflow_")]
     single = joined.filter(F.col("__docflow_top").isNull() | ((F.col("__docflow_top") == 1) & wins)).drop(*helpers)
     if top.filter("__docflow_top > 1").isEmpty():
-        return single
+        return own_names(single, given)
     # the same join, so both branches read one exchange of the texts
     many = joined.filter((F.col("__docflow_top") > 1) & wins).dropDuplicates(["__docflow_key"]).drop(*helpers)
-    return single.unionByName(many)
+    return own_names(single.unionByName(many), given)

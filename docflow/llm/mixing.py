@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docflow.llm.common import WORD, materialize, text_of
+from docflow.llm.common import WORD, by_place, materialize, own_names, text_of
 from docflow.operators.ranking import ranked
 
 BITS = 12            # hash bits a level: 4,096 buckets a source
@@ -116,7 +116,10 @@ def apply_plan(table: DataFrame, plan: DataFrame) -> DataFrame:
 def mix_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
     """The documents the mix takes, with their columns and mix_size,
     mix_source_size, mix_target, mix_copies, mix_taken.  Texts stay where they
-    are: the limits are one row per source."""
+    are: the limits are one row per source.  Where an input column has one of
+    these names, it stays, and the mix's gets underscores at its end."""
+    given = docs
+    docs, (id_col, text_col, source_col) = by_place(docs, id_col, text_col, source_col)
     plan = plan_mix(materialize(sizes(docs, id_col, text_col, source_col), "mix-sizes"), **params)
     plan = plan.select(F.lit(True).alias("__docflow_any"), *[F.col(c).alias(f"__docflow_{c}") for c in plan.columns])
     text = text_of(text_col)
@@ -128,4 +131,4 @@ def mix_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     out = (joined.withColumn("mix_source_size", F.col("__docflow_source_size")).withColumn("mix_target", F.col("__docflow_target"))
            .withColumn("mix_copies", (F.col("__docflow_whole") + more.cast("int")).cast("long")).filter("mix_copies > 0")
            .withColumn("mix_taken", F.col("mix_copies") * F.col("mix_size")))
-    return out.drop("__docflow_any", "__docflow_key", *[c for c in plan.columns if c != "__docflow_any"])
+    return own_names(out, given, "mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken")

@@ -120,3 +120,9 @@ def test_drop_near_duplicates(spark):
     assert simhash.drop_near_duplicates(frame(spark, [])).count() == 0
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([], "fp long"), 5)
+
+
+def test_exact_dedup_keeps_columns_with_helper_names(spark):
+    docs = spark.createDataFrame([(1, "a", 5), (2, "a", 6), (3, "b", 7)], "doc_id long, text string, __docflow_key int")
+    got = exact_dedup.drop_exact_duplicates(docs)
+    assert got.columns == docs.columns and sorted(tuple(x) for x in got.collect()) == [(2, "a", 6), (3, "b", 7)]

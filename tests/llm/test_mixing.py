@@ -97,3 +97,10 @@ def test_rank_across_ranges(spark):
     from pyspark.sql import functions as F
     got = {x.source: x["rank"] for x in mixing.ranked(df, [F.col("source").asc_nulls_last()]).collect()}
     assert got == {n: i for i, n in enumerate(names)}
+
+
+def test_input_columns_of_the_same_names_stay(spark):
+    docs = frame(spark, [(1, "a b c", "s"), (2, "d e", "s")]).selectExpr("*", "'own' AS mix_size", "7 AS __docflow_key")
+    got = mixing.mix_rows(docs)
+    assert got.columns == [*docs.columns, "mix_size_", "mix_source_size", "mix_target", "mix_copies", "mix_taken"]
+    assert sorted((x.doc_id, x.mix_size, x["__docflow_key"], x.mix_size_) for x in got.collect()) == [(1, "own", 7, 3), (2, "own", 7, 2)]
