@@ -129,7 +129,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, dense: int = DENSE) -> DataF
     halves = segments(fps)
     sizes = halves.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     shared = around(sizes, "part", 32, 1, "key").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
-    members = materialize(around(halves, "part", 32, 1, "key").select("fp", "key").join(shared, "key"), "simhash-members")
+    # the balls hold 66 times the rows that Spark's estimate has, so neither side may be broadcast by it
+    members = materialize(around(halves, "part", 32, 1, "key").select("fp", "key").join(shared.hint("merge"), "key"), "simhash-members")
     small = members.filter(F.col("n") <= dense).groupBy("key").agg(F.collect_list("fp").alias("fps"))
     out = pair_links(small, max_bits)
     hot = members.filter(F.col("n") > dense).select("fp").distinct()
