@@ -126,7 +126,7 @@ def translate_parts(parts: DataFrame, translate_fn: TranslateFn = passthrough,
 
 def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn: TranslateFn = passthrough,
                     memory: DataFrame | None = None, limit: int = PART_LIMIT, checkpoint: bool = True,
-                    memory_out: str | None = None, keep=()) -> DataFrame:
+                    memory_out: str | None = None, keep=(), parts: str | None = None) -> DataFrame:
     """U1 over items that passed the status cascade.
 
     ``items``: key, src_lang, to_lang, status, text.  Items with status 0
@@ -135,7 +135,8 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
     text.  Output: key, to_lang, status (3 when the result is <= 1 char),
     n_parts, translated, and the ``keep`` columns (which must depend on the
     key only, e.g. region or site: they ride along and are grouped on for
-    free).
+    free).  ``parts``: a column that holds the packed text already (A7), so
+    that an item with several targets is packed once, before its rows.
 
     The parts to translate are checkpointed, because the distinct parts and
     the join back both read them; texts that pass unchanged are not, they
@@ -144,11 +145,11 @@ def translate_items(items: DataFrame, key: str, text: str = "text", translate_fn
     same = (F.col("status") == STATUS_OK) & (F.col("src_lang") == F.col("to_lang"))
     keep = list(keep)
     base = [key, *keep, "to_lang"]
-    rows = items.filter(todo).select(*base, F.col("src_lang").alias("from_lang"), F.posexplode_outer(pack(text, limit)).alias("part_no", "part"))
+    rows = items.filter(todo).select(*base, F.col("src_lang").alias("from_lang"), F.posexplode_outer(F.col(parts) if parts else pack(text, limit)).alias("part_no", "part"))
     if checkpoint:
         rows = rows.checkpoint(eager=True)
-    parts = rows.filter(F.col("part_no").isNotNull())
-    tr = translate_parts(parts, translate_fn, memory, checkpoint, memory_out)
+    todo_parts = rows.filter(F.col("part_no").isNotNull())
+    tr = translate_parts(todo_parts, translate_fn, memory, checkpoint, memory_out)
     back = reassemble(tr.select(key, *keep, "to_lang", "part_no", F.col("translated").alias("part")),
                       [key, "to_lang", *keep]) \
         .select(key, *keep, "to_lang", "n_parts", F.col("text").alias("translated"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docflow import constants as K
 from docflow.functions import text as T
 from docflow.operators import ledger as L
-from docflow.operators.packing import explode_parts
+from docflow.operators.packing import explode_parts, pack
 from docflow.operators.routing import normalize_lang, route_supported, text_status, with_targets
 from docflow.operators.translate import translate_items
 from docflow.plans import sqlparts as S
@@ -104,8 +104,9 @@ def q_chunks(spark, sf):
 def q_translate_docs(spark, sf):
     """U1 + A8: status cascade, packing, distinct-part translation through
     the caller's function (pass-through here), re-assembly, status 3 check."""
-    st = doc_status_rows(spark, sf)
-    out = translate_items(st, "doc_id")
+    d = read(spark, sf, "documents").withColumn("parts", pack("text"))    # once a document, not once a target
+    st = text_status(d, TO_LANGS, DOC_KEYWORDS, max_lines=DOC_MAX_LINES, routes=DOC_ROUTES)
+    out = translate_items(st, "doc_id", parts="parts")
     return out.select("doc_id", "to_lang", "status", "n_parts", F.md5("translated").alias("text_md5"))
 
 

@@ -11,6 +11,7 @@ from docflow.functions.similarity import edit_distance, text_overlap, word_set
 from docflow.functions.text import keyword_flag
 from docflow.operators import similar
 from docflow.operators.latest import index_records
+from docflow.operators.ledger import ok_items
 from docflow.operators.pages import blocks_table, page_features
 from docflow.operators.ranking import written
 from docflow.operators.routing import density_ok, page_status
@@ -22,6 +23,7 @@ from docflow.plans.sqlparts import text_overlap as overlap_sql
 # list (constants.COVID_KEYWORDS) never occurs in them, which would leave
 # every page at status 1.  A frequent fragment exercises the whole cascade.
 PAGE_KEYWORDS = ["tion"]
+CODE_KEYWORDS = [*PAGE_KEYWORDS, "日"]
 TO_LANG = "ja"
 # Limits under which the synthetic pages reach codes 0, 1, 2, 7 and 9 and both
 # values of every flag (the original's limits leave the flags constant).
@@ -80,6 +82,20 @@ def q_page_status(spark, sf):
     return s.groupBy("src_lang", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_page_codes(spark, sf):
+    """F8 with every code the cascade gives, F6 and F7 included, one row per
+    page: every seventh page has lost its content (4), every eleventh is cut
+    to one character that is its keyword (3), and the target's ledger (S6)
+    holds every fifth page (5)."""
+    p = read(spark, sf, "pages")
+    html = (F.when(F.col("page_id") % 7 == 0, F.lit("<p></p>")).when(F.col("page_id") % 11 == 0, F.lit("<p>日</p>")).otherwise(F.col("html")))
+    f = page_features(p.withColumn("html", html), features=STATUS_FEATURES)
+    ledger = p.filter(F.col("page_id") % 5 == 0).select("page_id", (F.col("page_id") % 2).cast("int").alias("status"))
+    done = written(ok_items(ledger, "page_id"), "target-ledger")
+    s = page_status(f, TO_LANG, CODE_KEYWORDS, done=done, **PAGE_LIMITS)
+    return s.select("page_id", "src_lang", "status")
+
+
 def q_url_parts(spark, sf):
     """P9 + P6 on URLs: host (site), region folder, path, version-free key."""
     p = read(spark, sf, "pages", heavy=False).select("page_id", "url")
@@ -165,7 +181,7 @@ QUERIES = {
     "page_headings": q_page_headings,
     "link_flags": q_link_flags,
     "density_filter": q_density_filter,
-    "page_status": q_page_status,
+    "page_status": q_page_status, "page_codes": q_page_codes,
     "url_parts": q_url_parts,
     "title_similarity": q_title_similarity,
     "title_overlap": q_title_overlap,
@@ -183,6 +199,8 @@ _PATH = f"regexp_extract(url, {q(URL)}, 3)"
 _STATUS = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", PAGE_KEYWORDS),
                      "content_num", "link_num", "n_lines", "length(text)", region="region", **PAGE_LIMITS)
 
+_CODES = status_sql("src_lang", f"'{TO_LANG}'", "length(text) > 0", keyword_sql("text", CODE_KEYWORDS),
+                    "content_num", "link_num", "n_lines", "length(text)", region="region", **PAGE_LIMITS)
 
 
 def _with_pages(html: str, **limits) -> str:
@@ -207,6 +225,8 @@ SQL = {
                (NOT ((content_num + 1) / (content_num + link_num + 1) < {PAGE_LIMITS['density']}) OR coalesce(region = 'my', false)) AS keep
         FROM feat2""",
     "page_status": f"{_FEAT} SELECT src_lang, {_STATUS} AS status, count(*) AS n FROM feat2 GROUP BY ALL",
+    "page_codes": _with_pages("CASE WHEN page_id % 7 = 0 THEN '<p></p>' WHEN page_id % 11 = 0 THEN '<p>日</p>' ELSE html END")
+    + f"SELECT page_id, src_lang, CASE WHEN page_id % 10 = 0 AND {_CODES} <> 9 THEN 5 ELSE {_CODES} END AS status FROM feat2",
     "url_parts": f"""
         WITH u AS (SELECT page_id, {_SITE} AS site, {_PATH} AS path FROM pages)
         SELECT page_id, site, regexp_extract(path, '\\A/([^/]+)/', 1) AS region, path,
