@@ -3,6 +3,7 @@ hourly manifest, stage health, JSON sidecar fields, short posts."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Window
@@ -12,6 +13,7 @@ from docflow import constants as K
 from docflow.functions import text as T
 from docflow.functions.similarity import text_overlap
 from docflow.operators import ledger as L
+from docflow.operators import ledger_filter
 from docflow.operators.latest import first_version, latest_version
 from docflow.plans import sqlparts as S
 from docflow.plans.common import read
@@ -45,6 +47,21 @@ def q_newest_table(spark, sf):
     return e.limit(0) if held is None else held.select(e.columns)
 
 
+def q_ledger_filter(spark, sf):
+    """J1 through a ledger with a Bloom filter a day: the events are written
+    as ledger lines in three batches; the kinds of event each user has had
+    without one in the last two days, with their number."""
+    e = read(spark, sf, "events").withColumn("day", F.to_date("ts")).withColumn("item", F.concat_ws("/", "user_id", "event_type"))
+    root = scratch_path(spark, f"ledger/{uuid.uuid4().hex}")
+    for k in range(3):
+        lines = e.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k).select("item", "event_id", "day")
+        ledger_filter.append_lines(lines, root, k, "item", buckets=16)
+    last = e.agg(F.max("day")).first()[0]
+    items = e.groupBy("user_id", "event_type", "item").agg(F.count(F.lit(1)).alias("n"))
+    since = None if last is None else last - dt.timedelta(days=1)
+    return ledger_filter.unprocessed(items, root, "item", since, buckets=16).drop("item")
+
+
 def q_first_seen(spark, sf):
     """K7: first arrival per user, later ones refused."""
     e = read(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
@@ -100,7 +117,7 @@ def q_turn_overlap(spark, sf):
 
 
 QUERIES = {
-    "two_ended": q_two_ended, "latest_version": q_latest_version, "newest_table": q_newest_table, "first_seen": q_first_seen,
+    "two_ended": q_two_ended, "latest_version": q_latest_version, "newest_table": q_newest_table, "ledger_filter": q_ledger_filter, "first_seen": q_first_seen,
     "hourly_manifest": q_hourly_manifest, "stage_health": q_stage_health, "json_field": q_json_field,
     "post_prepare": q_post_prepare, "turn_overlap": q_turn_overlap,
 }
@@ -117,6 +134,10 @@ SQL = {
         UNION SELECT * FROM (SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT {K.TWEET_HEAD_TAIL})""",
     "latest_version": _NEWEST,
     "newest_table": _NEWEST,
+    "ledger_filter": """SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL
+        HAVING concat_ws('/', user_id, event_type) NOT IN (
+            SELECT concat_ws('/', user_id, event_type) FROM events
+            WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM events) - 1)""",
     "first_seen": """SELECT user_id, event_id, ts, event_type FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
     "hourly_manifest": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY ALL",
