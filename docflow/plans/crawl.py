@@ -1,5 +1,5 @@
 """Queries over crawl paths, manifests, ledgers, sidecars and the keyword
-dictionary (P1-P9, P11, S3, S5, S6, S8, S10-S12, J3, J8, X11, F5, W2, W4, U1).
+dictionary (P1-P9, P11, S3, S5, S6, S8, S10-S12, J3, J8, X11, F5, K1-K4, K9, W2, W4, U1).
 The given tables have no such files, so each query first writes the rows out
 in the file's form (a path, a meta line, a block XML, a JSON line) and then
 reads them back with the operator; the oracle computes the same from the rows.
@@ -24,6 +24,7 @@ from docflow.plans.common import read
 from docflow.plans.documents import _CHUNKS
 from docflow.plans.sqlparts import norm_lang, q
 from docflow.session import scratch_path
+from docflow.sinks import tables as T
 from docflow.sources import files as S
 from docflow.sources import manifests as M
 from docflow.streaming.incremental import dedupe_stream, file_stream, read_output, upsert_history
@@ -142,6 +143,35 @@ def q_classified_jsonl(spark, sf):
     return L.unscored_records(view, done).select("link", "title")
 
 
+STAGE_CHARS = 600    # shorter documents go to the quarantine table
+
+
+def q_stage_tables(spark, sf):
+    """The documents go through the stage tables in three
+    batches, the second of them twice (as after a crash): extracted texts,
+    their rendered HTML, a JSON line each, ledger lines, and a quarantine for
+    short texts.  One row a ledger line, with what the tables hold for it."""
+    d = read(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = d.withColumn("status", F.when(F.coalesce(F.length("text"), F.lit(0)) >= STAGE_CHARS, K.STATUS_OK).otherwise(K.STATUS_SHORT))
+    root = scratch_path(spark, f"stages/{uuid.uuid4().hex}")
+    for batch in (0, 1, 1, 2):
+        rows = d.filter(F.pmod("doc_id", F.lit(3)) == batch)
+        good = rows.filter(F.col("status") == K.STATUS_OK)
+        T.write_extracted(good.select("doc_id", F.col("lang").alias("region"), F.md5("text").alias("text_md5")), f"{root}/extracted", batch)
+        T.write_translated(good.select("doc_id", F.when(F.col("doc_id") % 2 == 0, "ja").otherwise("en").alias("to_lang"), F.col("text").alias("translated")), f"{root}/translated", batch_id=batch)
+        T.quarantine(rows.filter(F.col("status") != K.STATUS_OK), f"{root}/quarantine", "extract", "doc_id", F.concat(F.lit("status "), F.col("status").cast("string")), batch)
+        T.append_ledger(rows, f"{root}/ledger", "extract", "doc_id", batch_id=batch)
+    T.write_jsonl(d.select("doc_id", F.concat(F.lit('题 "'), "lang").alias("title")), f"{root}/jsonl")
+    held = lambda name, ddl: spark.read.schema(ddl).parquet(f"{root}/{name}")
+    out = held("ledger", "page_path long, status int, stage string, day date, batch_id long").select(F.col("page_path").alias("doc_id"), "stage", "status", "batch_id")
+    json = S.read_jsonl(spark, f"{root}/jsonl").select(F.variant_get("record", "$.doc_id", "long").alias("doc_id"), F.try_variant_get("record", "$.title", "string").alias("title"))
+    for side in (held("extracted", "doc_id long, text_md5 string, region string, batch_id long").drop("batch_id"),
+                 held("translated", "doc_id long, html string, to_lang string").select("doc_id", "to_lang", F.md5("html").alias("html_md5")),
+                 held("quarantine", "item long, reason string").select(F.col("item").alias("doc_id"), "reason"), json):
+        out = out.join(side, "doc_id", "left")
+    return out
+
+
 def q_dictionary_hits(spark, sf):
     """Terms (the first words of the benchmark items, in two
     languages) found in each document."""
@@ -175,7 +205,7 @@ def q_translate_tm(spark, sf):
 
 
 QUERIES = {"crawl_paths": q_crawl_paths, "post_paths": q_post_paths, "manifest_window": q_manifest_window, "ledger_lines": q_ledger_lines, "meta_lines": q_meta_lines,
-           "block_xml": q_block_xml, "classified_jsonl": q_classified_jsonl, "dictionary_hits": q_dictionary_hits, "dedupe_stream": q_dedupe_stream, "translate_tm": q_translate_tm}
+           "block_xml": q_block_xml, "classified_jsonl": q_classified_jsonl, "stage_tables": q_stage_tables, "dictionary_hits": q_dictionary_hits, "dedupe_stream": q_dedupe_stream, "translate_tm": q_translate_tm}
 
 # ---------------------------------------------------------------- oracles
 _REGIONS = ", ".join(q(r) for r in K.REGIONS)
@@ -210,6 +240,13 @@ SQL = {
     "block_xml": """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
         SELECT doc_id, 'T' || doc_id AS title, CAST(count(*) FILTER (WHERE i % 3 <> 2) AS INTEGER) AS content_num, CAST(count(*) FILTER (WHERE i % 3 = 2) AS INTEGER) AS link_num,
                md5('T' || doc_id || coalesce(string_agg(chr(10) || x, '' ORDER BY i) FILTER (WHERE i % 3 <> 2 AND x <> ''), '')) AS text_md5 FROM l GROUP BY doc_id""",
+    "stage_tables": f"""WITH d AS (SELECT *, coalesce(length(text), 0) >= {STAGE_CHARS} AS good,
+            '<html>' || chr(10) || '<head><meta charset="utf-8"/></head>' || chr(10) || '<body>' || chr(10) || array_to_string(list_transform(
+            string_split(text, chr(10)), lambda l: '<p>' || l || '</p>' || chr(10)), '') || '</body>' || chr(10) || '</html>' || chr(10) AS html FROM documents)
+        SELECT doc_id, 'extract' AS stage, CASE WHEN good THEN 0 ELSE 3 END AS status, doc_id % 3 AS batch_id,
+               CASE WHEN good THEN md5(text) END AS text_md5, CASE WHEN good THEN lang END AS region,
+               CASE WHEN good THEN CASE WHEN doc_id % 2 = 0 THEN 'ja' ELSE 'en' END END AS to_lang, CASE WHEN good THEN md5(html) END AS html_md5,
+               CASE WHEN NOT good THEN 'status 3' END AS reason, '题 "' || lang AS title FROM d""",
     "classified_jsonl": """SELECT '/crawl/us/orig/' || doc_id || '.html' AS link, '题 "' || doc_id AS title FROM labels WHERE doc_id % 9 <> 1 AND quality <> 0""",
     "dictionary_hits": """WITH t AS (SELECT item_id % 2 = 0 AS en, lower(split_part(text, ' ', 1)) AS term FROM benchmark)
         SELECT doc_id, count(*) FILTER (WHERE en AND contains(text, term)) AS hits_en, count(*) FILTER (WHERE NOT en AND contains(text, term)) AS hits_fr,
