@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators.ranking import written
 
-#: Slots of 64 bits a filter has.  Four keys a slot let about 1 in 200 other
+#: Slots of 64 bits a filter has.  Four keys a slot let about 1 in 180 other
 #: keys through, so 4 million slots serve windows of some 16 million lines.
 SLOTS = 1 << 22
 HASHES = 4
