@@ -275,21 +275,28 @@ def poll_numbers(items: DataFrame, site: str, order: list, n: int) -> DataFrame:
             .withColumn("poll", F.floor((F.col("rank") - F.col("__first")) / n).cast("long")).drop("rank", "__site", "__first"))
 
 
-#: Rows a file of the poll stream holds at most, on average.
-FILE_ROWS = 500_000
+#: Rows a file of the poll stream holds at most, and a task takes of it, on average.
+FILE_ROWS, TASK_ROWS = 500_000, 50_000
 
 
 def write_by_time(rows: DataFrame, ts: str, path: str, files: int) -> None:
-    """``rows`` as ``files`` files of consecutive times, written one after
-    another, and a last file with one tick far behind them."""
-    lo, hi = rows.agg(F.min(ts), F.max(ts)).first()
-    step = (hi - lo) / files if lo is not None else None
-    for k in range(files if lo is not None else 0):
-        part = rows.filter((F.col(ts) >= lo + step * k) if k else (F.col(ts) >= lo) | F.col(ts).isNull())
-        part = part.filter(F.col(ts) < lo + step * (k + 1)) if k < files - 1 else part
-        part.withColumn("__tick", F.lit(False)).coalesce(1).write.parquet(f"{path}/{k:06d}")
-    tick = rows.sparkSession.range(1).select(*[F.lit("2999-01-01").cast(f.dataType).alias(f.name) if f.name == ts else
-                                               F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.lit(True).alias("__tick"))
+    """``rows`` that have a time as ``files`` files of consecutive times, written
+    one after another, and a last file with one tick far behind them.
+
+    One pass deals the rows to their files beside ``path``; each is then copied
+    in turn, as a file stream takes files by the time they were written."""
+    spark = rows.sparkSession
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi = rows.agg(F.min(micros), F.max(micros)).first()
+    if lo is not None:
+        step = -(-(hi - lo + 1) // files)
+        dealt = rows.filter(F.col(ts).isNotNull()).withColumn("__tick", F.lit(False)).withColumn("__file", F.floor((micros - lo) / step).cast("int"))
+        dealt.repartition(files, "__file").write.partitionBy("__file").parquet(f"{path}_dealt")
+        dealt = spark.read.schema(dealt.schema).parquet(f"{path}_dealt")
+        for k in range(files):
+            dealt.filter(F.col("__file") == k).drop("__file").coalesce(1).write.parquet(f"{path}/{k:06d}")
+    tick = spark.range(1).select(*[F.lit("2999-01-01").cast(f.dataType).alias(f.name) if f.name == ts else
+                                   F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], F.lit(True).alias("__tick"))
     tick.coalesce(1).write.parquet(f"{path}/{files:06d}")
 
 
@@ -302,11 +309,12 @@ def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     base = _run_dir(spark, "quota")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
-    n_events, end = ev.agg(F.count(F.lit(1)), F.unix_millis(F.max(F.col("ts").cast("timestamp")))).first()
+    n_events, end, types = ev.agg(F.count(F.lit(1)), F.unix_millis(F.max(F.col("ts").cast("timestamp"))), F.approx_count_distinct("event_type")).first()
     write_by_time(ev, "ts", f"{base}/in", max(3, -(-n_events // FILE_ROWS)))
-    stream = file_stream(spark, f"{base}/in/*", with_ticks(ev.schema), max_files_per_trigger=1)
+    # a file is one read task; what is made of its rows is shared out
+    stream = file_stream(spark, f"{base}/in/*", with_ticks(ev.schema), max_files_per_trigger=1).repartition(FILE_ROWS // TASK_ROWS)
     run_quota(stream, f"{base}/out", f"{base}/ckpt", site="event_type", ts="ts", order=["ts", "event_id"], n=POLL_QUOTA,
-              gap_ms=POLL_GAP_MS, start_ms=(end or 0) + 1)
+              gap_ms=POLL_GAP_MS, start_ms=(end or 0) + 1, sites=types + 1)
     got = spark.read.schema(T.StructType([*ev.schema, T.StructField("poll", T.LongType())])).parquet(f"{base}/out")
     return got.select("event_id", "event_type", "ts", "poll")
 

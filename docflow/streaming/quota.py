@@ -26,6 +26,8 @@ from pyspark.sql.types import BooleanType, StructField, StructType, TimestampNTZ
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
+SPREAD = 4     # partitions a site, so that sites seldom share one
 PAGE = 500
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -86,9 +88,9 @@ class Quota(StatefulProcessor):
         self.meta = handle.getValueState("meta", "head long, tail long, poll long, timer boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values(["order_key", "item"], kind="stable")
+        new = pd.concat(list(rows))
         queue = Pages(self.pages, self.meta, self.page)
-        queue.add(new["item"].tolist())
+        queue.add([item for _, item in sorted(zip(new["order_key"], new["item"]))])
         if not queue.timer:
             self.handle.registerTimer(self.next_poll(max(timerValues.getCurrentWatermarkInMs(), int(new["at_ms"].min()))))
             queue.timer = True
@@ -144,14 +146,22 @@ def with_ticks(schema: StructType) -> StructType:
     return StructType([*schema, StructField("__tick", BooleanType())])
 
 
-def run_quota(stream: DataFrame, out: str, checkpoint: str, **quota):
+def run_quota(stream: DataFrame, out: str, checkpoint: str, sites: int | None = None, **quota):
     """Runs ``quota_stream`` over what is there now; results go to ``out`` by
-    batch.  The state is held in RocksDB."""
+    batch.  The state is held in RocksDB.  ``sites``: about how many there are;
+    a batch commits each partition's store, with keys or without, so few sites
+    get no more than ``SPREAD`` partitions each (a restart keeps the first run's
+    number)."""
     from docflow.streaming.incremental import append_batch, run_batches
     conf = stream.sparkSession.conf
-    before = conf.get(PROVIDER, None)
-    conf.set(PROVIDER, ROCKSDB)
+    held = {PROVIDER: ROCKSDB}
+    if sites:
+        held[PARTITIONS] = str(min(int(conf.get(PARTITIONS)), SPREAD * sites))
+    before = {k: conf.get(k, None) for k in held}
+    for k, v in held.items():
+        conf.set(k, v)
     try:
         return run_batches(quota_stream(stream, **quota), lambda b, i: append_batch(b, out, i), checkpoint)
     finally:
-        conf.set(PROVIDER, before) if before else conf.unset(PROVIDER)
+        for k, v in before.items():
+            conf.set(k, v) if v else conf.unset(k)

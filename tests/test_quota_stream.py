@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -124,6 +125,42 @@ def test_counts_and_late_rows_are_the_input(spark, scratch, deal):
     assert got == want and (len(groups) == 1 or len(late) > 8)
 
 
+def test_files_by_time_read_the_input_a_fixed_number_of_times(spark, scratch):
+    """Twenty files of 200 rows; the time is a counted function."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def at(i):
+        calls.add(1)
+        return None if i % 50 == 0 else T0 + dt.timedelta(seconds=i * 7 % 200, microseconds=i)
+    rows = spark.range(200).withColumn("ts", F.udf(at, "timestamp_ntz")("id"))
+    W.write_by_time(rows, "ts", f"{scratch}/in", 20)
+    assert calls.value <= 5 * 200
+    got = [spark.read.parquet(f"{scratch}/in/{k:06d}").collect() for k in range(21)]
+    assert sorted(x.id for part in got[:20] for x in part) == [i for i in range(200) if i % 50]
+    ends = [(min(x.ts for x in part), max(x.ts for x in part)) for part in got if part]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and sum(map(bool, got)) == 21
+    assert [x["__tick"] for x in got[20]] == [True] and not any(x["__tick"] for part in got[:20] for x in part)
+    W.write_by_time(rows.filter("id = 3"), "ts", f"{scratch}/one", 3)
+    assert [spark.read.parquet(f"{scratch}/one/{k:06d}").count() for k in range(4)] == [1, 0, 0, 1]
+
+
+def test_few_sites_have_few_stores(spark, scratch, monkeypatch):
+    """A batch commits every partition's store: two types do not get 40."""
+    rows = [(i, "ab"[i % 2], T0 + dt.timedelta(seconds=i)) for i in range(50)]
+    spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp_ntz").write.parquet(f"{scratch}/events.parquet")
+    monkeypatch.setattr(W, "_run_dir", lambda *_: f"{scratch}/run")
+    monkeypatch.setattr(W, "POLL_QUOTA", 10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = {x.event_id: x.poll for x in W.stream_quota(spark, scratch).collect()}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {i: (49 - i) // 2 // 10 for i in range(50)}
+    assert len([d for d in os.listdir(f"{scratch}/run/ckpt/state/0") if d.isdigit()]) <= 12
+
+
 def test_empty_events(spark, scratch):
     spark.createDataFrame([], "event_id long, event_type string, ts timestamp_ntz, user_id long").write.parquet(f"{scratch}/events.parquet")
     assert W.stream_quota(spark, scratch).collect() == [] and W.stream_late(spark, scratch).collect() == []
