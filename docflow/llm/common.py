@@ -27,13 +27,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder of ``spark.checkpoint.dir`` and
     read it back: the lineage is cut, a lost executor costs no recomputation,
-    and later readers prune columns."""
+    and later readers prune columns.  A table whose rows are megabytes names
+    the bytes of a ``row_group``: writers and readers hold one at a time, and
+    Parquet else looks at its size every hundred rows only."""
     spark = prepare(df.sparkSession)
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    sizes = {"parquet.block.size": row_group, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1} if row_group else {}
+    df.write.options(**sizes).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

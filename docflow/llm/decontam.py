@@ -37,6 +37,7 @@ from docflow.llm.common import materialize, opened, prepare, share, text_of
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
 WORDS_PER_PASS = 500_000
+ROW_GROUP = 4 << 20
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -86,7 +87,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = text_of(text_col)
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
-    return materialize(rows.mapInArrow(run, INDEX), "decontam-index")
+    return materialize(rows.mapInArrow(run, INDEX), "decontam-index", ROW_GROUP)
 
 
 class Windows:

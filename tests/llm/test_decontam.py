@@ -113,3 +113,20 @@ def test_windows_are_looked_up_by_their_rarest_term():
 def test_spans_join():
     doc, first, after = (np.array(x) for x in ([0, 0, 1, 0, 0], [5, 0, 8, 2, 7], [8, 3, 9, 4, 8]))
     assert [x.tolist() for x in decontam.join_spans(doc, first, after)] == [[0, 0, 1], [0, 5, 8], [4, 8, 9]]
+
+
+def row_groups(paths):
+    import pyarrow.parquet as pq
+    files = [pq.ParquetFile(p.removeprefix("file://").removeprefix("file:")).metadata for p in paths]
+    return [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+
+
+def test_index_is_written_and_read_in_small_row_groups(spark):
+    r = random.Random(2)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(50_000)]
+    rows = [(i, " ".join(r.choices(vocab, k=20_000))) for i in range(100)]                # 14 MB, one task
+    index = decontam.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), block_bytes=1 << 20)
+    groups = row_groups(index.inputFiles())
+    assert sum(g.num_rows for g in groups) == index.count() > 12
+    assert max(g.total_byte_size for g in groups) < 2 * decontam.ROW_GROUP                # was all of the task's blocks
+    assert max(g.column(i).total_uncompressed_size for g in groups for i in range(g.num_columns)) < decontam.ROW_GROUP
