@@ -111,3 +111,23 @@ def test_texts_are_not_shuffled_by_the_searches(spark):
     assert "Exchange" not in decontam.build_index(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in simhash.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in mixing.sizes(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_decontamination_holds_few_blocks_at_once(spark, tmp_path):
+    """Stage 4 over a task of many blocks: no row group of the index has them all."""
+    from pathlib import Path
+
+    from docflow.session import scratch_path
+    from tests.llm.test_decontam import row_groups
+    r = random.Random(3)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(50_000)]
+    item = " ".join(r.choices(vocab, k=12))
+    texts = [" ".join(r.choices(vocab, k=20_000)) + (f" {item}" if i % 50 == 7 else "") for i in range(300)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    folder = Path(scratch_path(spark, "llm").removeprefix("file://").removeprefix("file:"))
+    seen = set(folder.glob("decontam-index-*"))
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert sorted(x.doc_id for x in kept.select("doc_id").collect()) == [i for i in range(300) if i % 50 != 7]
+    groups = row_groups(str(p) for d in set(folder.glob("decontam-index-*")) - seen for p in d.glob("*.parquet"))
+    assert sum(g.num_rows for g in groups) > 6 and 3 * max(g.total_byte_size for g in groups) < sum(g.total_byte_size for g in groups)
